@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadcorpus.functions import markup as M
 from threadcorpus.functions.text import blank_length, is_too_short, sanitize, words
 from threadcorpus.operators import lang as L
 from threadcorpus.operators import stats as S
@@ -389,6 +390,52 @@ def q_thread_word_scores(spark, sf_dir):
                                 _filtered_communities(spark, sf_dir))
 
 
+# ------------------------------------------------------------------ markup
+
+@register("decode_entities", with_ctes((), O.entity_cte()) + f"""
+SELECT page_id, {O.decode_entities('html')} AS decoded FROM pages, emap""")
+def q_decode_entities(spark, sf_dir):
+    """P11 + P12: numeric and named character references of every page decoded in one pass."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", M.decode_entities("html").alias("decoded"))
+
+
+@register("markup_blocks", with_ctes(("posts",)) + f"""
+, tb AS (SELECT id, {O.typed_blocks(O.xml_unescape('body'))} AS blocks FROM posts),
+ex AS (SELECT id, unnest(range(len(blocks))) AS pos, unnest(blocks) AS blk FROM tb)
+SELECT id, CAST(pos AS INTEGER) AS pos, blk.t AS type, blk.text AS text FROM ex""")
+def q_markup_blocks(spark, sf_dir):
+    """Typed markdown blocks (position, type, plain text) of every post."""
+    posts = fixture(spark, sf_dir, "posts")
+    blocks = posts.select("id", F.posexplode(M.typed_blocks(M.xml_unescape("body"))).alias("pos", "blk"))
+    return blocks.select("id", "pos", F.col("blk.t").alias("type"), F.col("blk.text").alias("text"))
+
+
+@register("render_xml", with_ctes(("posts_conv",), O.entity_cte()) + f"""
+SELECT id, '<text id="' || {O.xml_escape_attr('id')} || '">' || chr(10)
+           || {O.escape_spoilers(O.decode_entities(O.markdown_html(O.xml_unescape('body'))))}
+           || chr(10) || '</text>' AS xml
+FROM posts_conv, emap""")
+def q_render_xml(spark, sf_dir):
+    """X2 + P10-P14: every post rendered as a ``<text>`` element of clean XML."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    return posts.select("id", M.render_text(F.col("id"), M.post_html("body")).alias("xml"))
+
+
+SPOILER_VIEW = """SELECT CAST(conv_id AS STRING) AS conv_id, turn,
+  concat('<p><a href="', CASE WHEN turn % 2 = 0 THEN '#s' ELSE '/s' END, '" title="',
+         replace(text, ',', '"'), '">spoiler</a> ', text, '</p>') AS html
+  FROM {conversations}"""
+
+
+@register("spoiler_escape", with_ctes((), f"sp AS ({SPOILER_VIEW.format(conversations='conversations')})") + f"""
+SELECT conv_id, turn, {O.escape_spoilers('html')} AS html FROM sp""")
+def q_spoiler_escape(spark, sf_dir):
+    """Quotes inside spoiler-link titles escaped (links built around conversation text)."""
+    sp = spark.sql(SPOILER_VIEW, conversations=read_table(spark, sf_dir, "conversations"))
+    return sp.select("conv_id", "turn", M.escape_spoilers("html").alias("html"))
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items() if sql is not None}
 

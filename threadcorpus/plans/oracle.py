@@ -128,3 +128,116 @@ def multi_label_ctes(src: str, out: str = "mlabels") -> str:
                                 ELSE 'other' END AS language
               FROM {out}_rated r LEFT JOIN {out}_lid l USING (id)),
 {out} AS (SELECT p.id, d.language FROM {out}_prep p LEFT JOIN {out}_dec d USING (id))"""
+
+
+# ------------------------------------------------------------------ markup
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _markup():
+    from threadcorpus.functions import markup
+    return markup
+
+
+def xml_unescape(x: str) -> str:
+    return f"replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+def xml_escape_attr(x: str) -> str:
+    return f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+def inline_text(x: str) -> str:
+    c = f"replace(replace({x}, '<', '&lt;'), '>', '&gt;')"
+    for pattern, group in _markup().INLINE_MARKS:
+        c = f"regexp_replace({c}, {lit(pattern)}, '\\{group}', 'g')"
+    return c
+
+
+def block_type(b: str) -> str:
+    M = _markup()
+    patterns = {"heading": M.HEADING, "rule": M.RULE, "code": M.CODE, "quote": M.QUOTE, "list": M.LIST_ITEM}
+    whens = " ".join(f"WHEN regexp_matches({b}, {lit(patterns[n])}) THEN '{n}'" for n in M.BLOCK_TYPES)
+    return f"CASE {whens} ELSE 'paragraph' END"
+
+
+def block_text(b: str, t: str) -> str:
+    M = _markup()
+    stripped = (f"CASE WHEN {t} = 'heading' THEN regexp_replace({b}, {lit(M.STRIP['heading'])}, '\\1', 'g') "
+                f"WHEN {t} = 'quote' THEN regexp_replace({b}, {lit(M.STRIP['quote'])}, '\\1', 'g') "
+                f"WHEN {t} = 'code' THEN regexp_replace({b}, {lit(M.STRIP['code'])}, '\\1', 'g') "
+                f"WHEN {t} = 'list' THEN regexp_replace({b}, {lit(M.STRIP['list'])}, '\\1', 'g') "
+                f"WHEN {t} = 'rule' THEN '' ELSE {b} END")
+    return (f"CASE WHEN {t} = 'code' THEN replace(replace({stripped}, '<', '&lt;'), '>', '&gt;') "
+            f"ELSE {inline_text(stripped)} END")
+
+
+def typed_blocks(x: str) -> str:
+    M = _markup()
+    raw = f"string_split_regex(replace({x}, chr(13), ''), {lit(M.BLOCK_SPLIT)})"
+    trimmed = f"list_transform({raw}, lambda b: regexp_replace(b, {lit(M.BLOCK_END)}, ''))"
+    kept = f"list_filter({trimmed}, lambda b: trim(b) <> '')"
+    typed = f"list_transform({kept}, lambda b: {{'b': b, 't': {block_type('b')}}})"
+    return f"list_transform({typed}, lambda x: {{'b': x.b, 't': x.t, 'text': {block_text('x.b', 'x.t')}}})"
+
+
+def render_block(x: str) -> str:
+    M = _markup()
+    b, t, text = f"{x}.b", f"{x}.t", f"{x}.text"
+    level = f"CAST(length(regexp_extract({b}, {lit(M.HEADING_LEVEL)}, 1)) AS VARCHAR)"
+    items = f"array_to_string(list_transform(string_split({text}, chr(10)), lambda i: '<li>' || i || '</li>'), chr(10))"
+    tag = f"(CASE WHEN regexp_matches({b}, {lit(M.ORDERED_ITEM)}) THEN 'ol' ELSE 'ul' END)"
+    return (f"CASE WHEN {t} = 'heading' THEN '<h' || {level} || '>' || {text} || '</h' || {level} || '>' "
+            f"WHEN {t} = 'rule' THEN '<hr/>' "
+            f"WHEN {t} = 'code' THEN '<pre><code>' || {text} || '</code></pre>' "
+            f"WHEN {t} = 'quote' THEN '<blockquote>' || chr(10) || '<p>' || {text} || '</p>' || chr(10) || '</blockquote>' "
+            f"WHEN {t} = 'list' THEN '<' || {tag} || '>' || chr(10) || {items} || chr(10) || '</' || {tag} || '>' "
+            f"ELSE '<p>' || {text} || '</p>' END")
+
+
+def markdown_html(x: str) -> str:
+    return f"coalesce(array_to_string(list_transform({typed_blocks(x)}, lambda x: {render_block('x')}), chr(10)), '')"
+
+
+def entity_map() -> str:
+    table = _markup().entity_table()
+    return "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in sorted(table.items())) + "}"
+
+
+def _code_point_text(cp: str) -> str:
+    M = _markup()
+    ch = (f"(CASE WHEN {cp} > 0 AND {cp} <= 1114111 AND NOT ({cp} >= 55296 AND {cp} <= 57343) "
+          f"THEN chr(CAST({cp} AS INTEGER)) ELSE {lit(M.REPLACEMENT_CHAR)} END)")
+    return (f"(CASE WHEN {ch} = '&' THEN '&amp;' WHEN {ch} = '<' THEN '&lt;' WHEN {ch} = '>' THEN '&gt;' "
+            f"WHEN {ch} = '\"' THEN '&quot;' WHEN {ch} = '''' THEN '&apos;' ELSE {ch} END)")
+
+
+def decode_entities(x: str, emap: str = "emap.m") -> str:
+    M = _markup()
+    digits = "substring(p, 3, length(p) - 3)"
+    hexd = "substring(p, 4, length(p) - 4)"
+    dec_cp = f"(CASE WHEN length({digits}) <= 8 THEN CAST({digits} AS BIGINT) ELSE -1 END)"
+    hex_cp = f"(CASE WHEN length({hexd}) <= 7 THEN CAST('0x' || {hexd} AS BIGINT) ELSE -1 END)"
+    piece = (f"CASE WHEN (starts_with(p, '&#x') OR starts_with(p, '&#X')) AND ends_with(p, ';') THEN {_code_point_text(hex_cp)} "
+             f"WHEN starts_with(p, '&#') AND ends_with(p, ';') THEN {_code_point_text(dec_cp)} "
+             f"WHEN starts_with(p, '&') AND length(p) > 1 THEN coalesce({emap}[substring(p, 2, length(p))], '&amp;' || substring(p, 2, length(p))) "
+             f"WHEN p = '&' THEN '&amp;' ELSE p END")
+    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(M.ENTITY_PIECES)}, 0), "
+            f"lambda p: {piece}), ''), '')")
+
+
+def escape_spoilers(x: str) -> str:
+    M = _markup()
+    n = M.SPOILER_PREFIX_LEN
+    piece = (f"CASE WHEN starts_with(p, '<a href=\"') AND length(p) > {n + 2} AND ends_with(p, '\">') "
+             f"AND regexp_matches(p, {lit('^<a href=\"[#/]s\" title=\"')}) "
+             f"THEN substring(p, 1, {n}) || replace(substring(p, {n + 1}, length(p) - {n} - 2), '\"', '&quot;') || '\">' "
+             f"ELSE p END")
+    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(M.SPOILER_PIECES)}, 0), "
+            f"lambda p: {piece}), ''), '')")
+
+
+def entity_cte() -> str:
+    return f"emap AS (SELECT {entity_map()} AS m)"
