@@ -225,8 +225,14 @@ def render_text(post_id, html_col) -> Column:
                     F.lit("\n</text>"))
 
 
-def render_open_tag(level: str, cols: list[str]) -> Column:
-    """Opening tag with one attribute per column, in column order (NULL -> NA)."""
-    attrs = [F.concat(F.lit(f' {c}="'), xml_escape_attr(F.coalesce(F.col(c).cast("string"), F.lit("NA"))),
-                      F.lit('"')) for c in cols]
-    return F.concat(F.lit(f"<{level}"), *attrs, F.lit(">"))
+def render_open_tag(level: str, attrs) -> Column:
+    """P15 + P16: opening tag with one attribute per entry, in order; NULL renders as ``NA``.
+
+    ``attrs`` holds column names or ``(attribute name, column)`` pairs.
+    """
+    parts = [F.lit(f"<{level}")]
+    for a in attrs:
+        name, col = (a, F.col(a)) if isinstance(a, str) else (a[0], _col(a[1]))
+        value = xml_escape_attr(F.coalesce(col.cast("string"), F.lit("NA")))
+        parts += [F.lit(f' {name}="'), value, F.lit('"')]
+    return F.concat(*parts, F.lit(">"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from threadcorpus.functions import markup as M
 from threadcorpus.functions.text import blank_length, is_too_short, sanitize, words
+from threadcorpus.operators import corpus as C
 from threadcorpus.operators import lang as L
 from threadcorpus.operators import stats as S
 from threadcorpus.operators import threads as T
@@ -436,6 +437,91 @@ def q_spoiler_escape(spark, sf_dir):
     return sp.select("conv_id", "turn", M.escape_spoilers("html").alias("html"))
 
 
+# ------------------------------------------------------------------ corpus
+
+@register("vertical_lines", with_ctes(("posts_conv",)) + f"""
+, v AS (SELECT id, {O.vertical_lines('body')} AS lines FROM posts_conv)
+SELECT id, CAST(unnest(range(len(lines))) AS INTEGER) AS line_no, unnest(lines) AS line FROM v""")
+def q_vertical_lines(spark, sf_dir):
+    """Every post as one token per line with sentence and paragraph breaks."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    return posts.select("id", F.posexplode(C.vertical_lines(F.col("body"))).alias("line_no", "line"))
+
+
+@register("sentence_tags", with_ctes(("posts_conv",)) + f"""
+, v AS (SELECT id, {O.vertical_lines('body')} AS lines FROM posts_conv),
+x AS (SELECT id, CAST(unnest(range(len(lines))) AS INTEGER) AS line_no, unnest(lines) AS line FROM v),
+st AS (SELECT *, last_value(CASE WHEN line IN ('<p>', '</p>') THEN line END IGNORE NULLS)
+                 OVER (PARTITION BY id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_m
+       FROM x),
+o AS (SELECT id, line_no, CASE WHEN line = '<p>' THEN ['<p>', '<s>'] WHEN line = '</p>' THEN ['</s>', '</p>']
+                              WHEN line = '' AND coalesce(last_m = '<p>', false) THEN ['</s>', '<s>']
+                              WHEN line = '' THEN []::VARCHAR[] ELSE [line] END AS arr FROM st)
+SELECT id, line_no, CAST(unnest(range(len(arr))) AS INTEGER) AS sub, unnest(arr) AS line FROM o""")
+def q_sentence_tags(spark, sf_dir):
+    """X4 (window form) applied to the vertical lines of every post."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    lines = posts.select("id", F.posexplode(C.vertical_lines(F.col("body"))).alias("line_no", "line"))
+    return C.insert_sentence_tags(lines, ["id"])
+
+
+CONV_COMMENT_META = "SELECT id, author, CAST(created_utc AS STRING) AS created_utc FROM {posts_conv} WHERE kind = 'comment'"
+CONV_SUBMISSION_META = "SELECT id, author FROM {posts_conv} WHERE kind = 'submission'"
+
+
+def _post_lines_sql(src: str, meta: str, level: str, cols, part: int) -> str:
+    tag = O.open_tag(level, [("id", "p.id"), *[(c, f"m.{c}") for c in cols]])
+    return f"""SELECT text_id, {part} AS part, created_utc, post_id,
+       CAST(unnest(range(len(c))) AS INTEGER) AS line_no, unnest(c) AS line
+FROM (SELECT p.text_id, p.created_utc, p.id AS post_id,
+             list_concat(list_concat([{tag}], {O.tagged_lines('p.body')}), ['</{level}>']) AS c
+      FROM {src} p JOIN {meta} m ON m.id = p.id) q"""
+
+
+ASSEMBLY = f"""keyed AS (SELECT *, string_split(link_id, '_')[-1] AS text_id FROM posts_conv),
+kept AS (SELECT t.text_id, m.subreddit, m.created_utc FROM (SELECT DISTINCT text_id FROM keyed) t
+         JOIN thread_meta m ON m.id = t.text_id),
+cmeta AS ({CONV_COMMENT_META.format(posts_conv='posts_conv')}),
+smeta AS ({CONV_SUBMISSION_META.format(posts_conv='posts_conv')}),
+live AS (SELECT * FROM keyed WHERE text_id IN (SELECT text_id FROM kept)),
+lsub AS (SELECT * FROM live WHERE kind = 'submission'),
+lcom AS (SELECT * FROM live WHERE kind = 'comment'),
+corpus_lines AS (
+  SELECT text_id, 0 AS part, CAST(0 AS BIGINT) AS created_utc, '' AS post_id, 0 AS line_no,
+         {O.open_tag('text', [('id', 'text_id'), ('subreddit', 'subreddit'), ('created_utc', 'created_utc')])} AS line
+  FROM kept
+  UNION ALL {_post_lines_sql('lsub', 'smeta', 'submission', ['author'], 1)}
+  UNION ALL {_post_lines_sql('lcom', 'cmeta', 'comment', ['author', 'created_utc'], 2)}
+  UNION ALL SELECT text_id, 3, CAST(0 AS BIGINT), '', 0, '</text>' FROM kept)"""
+
+
+@register("assemble_corpus", with_ctes(("posts_conv", "thread_meta"), ASSEMBLY) + """
+SELECT text_id, CAST(part AS INTEGER) AS part, created_utc, post_id, CAST(line_no AS INTEGER) AS line_no, line
+FROM corpus_lines""")
+def q_assemble_corpus(spark, sf_dir):
+    """X5 + X6 + J9-J11 + P15 + P16: threads with metadata as sentence-tagged vertical text."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    tmeta = fixture(spark, sf_dir, "thread_meta")
+    cmeta = spark.sql(CONV_COMMENT_META, posts_conv=posts)
+    smeta = spark.sql(CONV_SUBMISSION_META, posts_conv=posts)
+    return C.assemble_texts(posts, tmeta, cmeta, smeta)
+
+
+@register("assembly_rejects", with_ctes(("posts_conv", "thread_meta")) + f"""
+, cm AS ({CONV_COMMENT_META.format(posts_conv='posts_conv')}),
+t AS (SELECT DISTINCT string_split(link_id, '_')[-1] AS id FROM posts_conv)
+SELECT 'thread' AS kind, id FROM t WHERE id NOT IN (SELECT id FROM thread_meta)
+UNION ALL
+SELECT DISTINCT 'comment' AS kind, p.id FROM posts_conv p
+WHERE p.kind = 'comment' AND string_split(p.link_id, '_')[-1] IN (SELECT id FROM thread_meta)
+  AND p.id NOT IN (SELECT id FROM cm)""")
+def q_assembly_rejects(spark, sf_dir):
+    """J10 + J11 anti joins: threads and comments dropped for missing metadata."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    return C.assembly_rejects(posts, fixture(spark, sf_dir, "thread_meta"),
+                              spark.sql(CONV_COMMENT_META, posts_conv=posts))
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items() if sql is not None}
 

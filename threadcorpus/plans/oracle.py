@@ -241,3 +241,37 @@ def escape_spoilers(x: str) -> str:
 
 def entity_cte() -> str:
     return f"emap AS (SELECT {entity_map()} AS m)"
+
+
+# ------------------------------------------------------------------ corpus
+
+def _corpus():
+    from threadcorpus.operators import corpus
+    return corpus
+
+
+def _sentence_tokens(p: str) -> str:
+    C = _corpus()
+    marked = f"regexp_replace({p}, {lit(C.SENTENCE_END)}, '\\1' || chr(1), 'g')"
+    toks = f"list_transform(string_split({marked}, chr(1)), lambda s: regexp_extract_all(s, {lit(C.TOKEN)}, 0))"
+    return f"list_filter({toks}, lambda t: len(t) > 0)"
+
+
+def vertical_lines(x: str) -> str:
+    para = (f"list_concat(list_concat(['<p>'], flatten(list_transform({_sentence_tokens('p')}, "
+            f"lambda toks, i: CASE WHEN i > 1 THEN list_concat([''], toks) ELSE toks END))), ['</p>'])")
+    return f"flatten(list_transform(list_transform({typed_blocks(x)}, lambda b: b.text), lambda p: {para}))"
+
+
+def tagged_lines(x: str) -> str:
+    para = (f"list_concat(list_concat(['<p>', '<s>'], flatten(list_transform({_sentence_tokens('p')}, "
+            f"lambda toks, i: CASE WHEN i > 1 THEN list_concat(['</s>', '<s>'], toks) ELSE toks END))), "
+            f"['</s>', '</p>'])")
+    return f"flatten(list_transform(list_transform({typed_blocks(x)}, lambda b: b.text), lambda p: {para}))"
+
+
+def open_tag(level: str, attrs) -> str:
+    parts = [f"'<{level}'"]
+    for name, expr in attrs:
+        parts.append(f"' {name}=\"' || {xml_escape_attr(f'coalesce(CAST({expr} AS VARCHAR), {lit(chr(78) + chr(65))})')} || '\"'")
+    return " || ".join(parts) + " || '>'"
