@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from threadcorpus.functions import markup as M
 from threadcorpus.functions.text import blank_length, is_too_short, sanitize, words
 from threadcorpus.operators import corpus as C
+from threadcorpus.operators import evaluate as E
 from threadcorpus.operators import lang as L
 from threadcorpus.operators import stats as S
 from threadcorpus.operators import threads as T
@@ -522,6 +523,89 @@ def q_assembly_rejects(spark, sf_dir):
                               spark.sql(CONV_COMMENT_META, posts_conv=posts))
 
 
+# ------------------------------------------------------------------ evaluation
+
+@register("corpus_summary", with_ctes(("posts_conv",)) + f"""
+SELECT kind, CAST(count(*) AS BIGINT) AS n_posts, CAST(sum(len({O.words('body')})) AS BIGINT) AS n_tokens,
+       CAST(min(year(DATE '1970-01-01' + CAST(floor(created_utc / 86400) AS INTEGER))) AS INTEGER) AS first_year,
+       CAST(max(year(DATE '1970-01-01' + CAST(floor(created_utc / 86400) AS INTEGER))) AS INTEGER) AS last_year
+FROM posts_conv GROUP BY kind""")
+def q_corpus_summary(spark, sf_dir):
+    """Size report per post kind (posts, word tokens, first and last year)."""
+    return E.corpus_summary(fixture(spark, sf_dir, "posts_conv"))
+
+
+SAMPLE_SEED = "s42"
+
+
+@register("thread_sample", with_ctes(*G4, TS_BASE, TS) + f"""
+, b AS (SELECT link_id, score, CAST(least(floor(score * 5), 4) AS INTEGER) AS stratum FROM ts WHERE lang = 'de'),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5(link_id || '{SAMPLE_SEED}'), link_id) AS rn FROM b)
+SELECT link_id, score, stratum, CAST(rn AS INTEGER) AS sample_rank FROM r WHERE rn <= 2""")
+def q_thread_sample(spark, sf_dir):
+    """Two German threads per score fifth, chosen by seeded hash (annotation sample)."""
+    scores = _thread_scores(spark, sf_dir).where(F.col("lang") == "de").select("link_id", "score")
+    sample = E.stratified_sample(scores, "link_id", E.score_bins(F.col("score"), 5), 2, SAMPLE_SEED)
+    return sample.select("link_id", "score", "stratum", "sample_rank")
+
+
+ML_POSTS = O.multi_label_ctes("posts", "ml")
+GOLD = "gl AS (SELECT p.gold, ml.language FROM posts p JOIN ml USING (id))"
+
+
+@register("label_confusion", with_ctes(("posts",), MODEL, ML_POSTS, GOLD) + """
+SELECT gold, language AS predicted, CAST(count(*) AS BIGINT) AS n FROM gl GROUP BY gold, language""")
+def q_label_confusion(spark, sf_dir):
+    """Confusion counts of the many-language label against the documents' language."""
+    posts = fixture(spark, sf_dir, "posts")
+    pred = L.label_multi(posts, language_model(spark, sf_dir), TARGET_LANGS).join(
+        posts.select("id", "gold"), "id")
+    return E.confusion(pred, "language", "gold")
+
+
+@register("label_quality", with_ctes(("posts",), MODEL, ML_POSTS, GOLD) + "\n" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS class, tp, fp, fn, CASE WHEN tp + fp = 0 THEN NULL ELSE tp / (tp + fp) END AS precision,
+       CASE WHEN tp + fn = 0 THEN NULL ELSE tp / (tp + fn) END AS recall,
+       CASE WHEN 2 * tp + fp + fn = 0 THEN NULL ELSE 2 * tp / (2 * tp + fp + fn) END AS f1
+FROM (SELECT CAST(count_if(language = '{c}' AND gold = '{c}') AS BIGINT) AS tp,
+             CAST(count_if(language = '{c}' AND NOT coalesce(gold = '{c}', false)) AS BIGINT) AS fp,
+             CAST(count_if(gold = '{c}' AND NOT coalesce(language = '{c}', false)) AS BIGINT) AS fn FROM gl) q_{c}"""
+    for c in TARGET_LANGS))
+def q_label_quality(spark, sf_dir):
+    """Precision, recall and F1 of the many-language label per target language."""
+    posts = fixture(spark, sf_dir, "posts")
+    pred = L.label_multi(posts, language_model(spark, sf_dir), TARGET_LANGS).join(
+        posts.select("id", "gold"), "id")
+    return E.label_quality(pred, "language", "gold", TARGET_LANGS)
+
+
+SWEEP = [0.05, 0.1, 0.2, 0.3, 0.5]
+
+
+@register("threshold_sweep", with_ctes(*G3) + """
+, tc AS (SELECT p.*, CASE WHEN g.id IS NULL THEN 'nope' ELSE 'german' END AS la,
+                len(string_split(p.body, ' ')) AS le
+         FROM posts p LEFT JOIN gids g USING (id) WHERE p.link_id IN (SELECT link_id FROM tkeys)),
+tsum AS (SELECT link_id, sum(CASE WHEN la = 'german' THEN le ELSE 0 END) AS target_words, sum(le) AS all_words,
+                first(subreddit ORDER BY created_utc, id) AS subreddit FROM tc GROUP BY link_id),
+sc AS (SELECT t.link_id, (c.corpus_prop * t.target_words) / t.all_words AS score FROM tsum t JOIN cf c USING (subreddit)),
+tg AS (SELECT link_id, count_if(gold = 'de') * 2 > count(*) AS gold_de FROM posts GROUP BY link_id),
+j AS (SELECT sc.score, tg.gold_de FROM sc JOIN tg USING (link_id)),
+t AS (SELECT unnest([""" + ", ".join(f"CAST({t} AS DOUBLE)" for t in SWEEP) + """]) AS threshold)
+SELECT threshold, CAST(count_if(score >= threshold AND gold_de) AS BIGINT) AS tp,
+       CAST(count_if(score >= threshold AND NOT gold_de) AS BIGINT) AS fp,
+       CAST(count_if(score < threshold AND gold_de) AS BIGINT) AS fn
+FROM t, j GROUP BY threshold""")
+def q_threshold_sweep(spark, sf_dir):
+    """Errors of the word-weighted thread rule at several cut-offs against majority gold."""
+    scores = T.thread_word_scores(_thread_comments(spark, sf_dir), _german_ids(spark, sf_dir),
+                                  _filtered_communities(spark, sf_dir))
+    posts = fixture(spark, sf_dir, "posts")
+    gold = posts.groupBy("link_id").agg(
+        ((F.count_if(F.col("gold") == "de") * 2) > F.count("*")).alias("gold_de"))
+    return E.sweep_threshold(scores.join(gold, "link_id"), "score", "gold_de", SWEEP)
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items() if sql is not None}
 
