@@ -4,7 +4,9 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_RUNS`` timed runs per query (median reported, default 3),
 ``BENCH_QUERIES`` comma-separated subset. Each run executes the whole plan
 into Spark's ``noop`` sink (nothing is collected to the driver). The language
-model is trained once (timed as ``train_model``) and reused, as in production.
+model is trained once (``train_model``) and posts are labelled once per fixture
+(``stage_label_*``); later queries read these stage outputs, as the steps of
+the original workflow read each other's files.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from threadcorpus.plans import catalog  # noqa: E402
-from threadcorpus.plans.context import language_model  # noqa: E402
+from threadcorpus.plans.context import label_meta, language_model, multi_meta  # noqa: E402
 from threadcorpus.session import get_session  # noqa: E402
 
 HEADLINE = [
@@ -50,9 +52,16 @@ def main() -> None:
     queries = catalog.queries()
     timings: dict[str, float] = {}
 
-    t0 = time.perf_counter()
-    language_model(spark, sf_dir)
-    timings["train_model"] = round(time.perf_counter() - t0, 3)
+    # Stage outputs shared by later queries, each built (and timed) once.
+    stages = {
+        "train_model": lambda: language_model(spark, sf_dir),
+        "stage_label_posts": lambda: label_meta(spark, sf_dir),
+        "stage_label_threads": lambda: multi_meta(spark, sf_dir, "posts_conv_dup"),
+    }
+    for name, build in stages.items():
+        t0 = time.perf_counter()
+        build()
+        timings[name] = round(time.perf_counter() - t0, 3)
 
     for name in names:
         if name not in queries:

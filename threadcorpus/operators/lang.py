@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import is_too_short, sanitize, words
-from threadcorpus.operators.joins import checked_join
+from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, checked_join
 from threadcorpus.session import materialize
 
 # Fixed values of the labelling rules.
@@ -53,24 +53,48 @@ def lexicon_index(lexicon: DataFrame, langs: Sequence[str]) -> DataFrame:
     return materialize(index)
 
 
+# ------------------------------------------------------- scoring pieces against a model
+
+def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows: int) -> DataFrame:
+    """Attach model rows to exploded pieces ``(_pid, key)``; adds the multiplicity ``cnt``.
+
+    With a model small enough to broadcast (checked row count), every piece
+    probes the broadcast hash table directly and the following per-post
+    aggregation combines map-side: only one row per post and task is shuffled.
+    Beyond that size, pieces are first counted per (post, piece) and joined
+    with the salted shuffle join, which spreads hot pieces (frequent words or
+    n-grams) over many tasks.
+    """
+    if table_rows <= BROADCAST_MAX_ROWS:
+        return pieces.join(F.broadcast(table), key, "left").withColumn("cnt", F.lit(1).cast("bigint"))
+    counted = pieces.groupBy("_pid", key).agg(F.count("*").alias("cnt"))
+    return checked_join(counted, table, key, "left", small_rows=table_rows)
+
+
 # ----------------------------------------------------------- error rates
 
 def error_rates(posts: DataFrame, index: DataFrame, langs: Sequence[str],
-                id_col: str = "id", text_col: str = "clean") -> DataFrame:
+                id_col: str = "id", text_col: str = "clean", index_rows: int | None = None,
+                skip=None) -> DataFrame:
     """Per post with at least one word: ``n_words`` and ``err_<lang>``.
 
     ``err_<lang>`` = occurrences of words missing from that language's lexicon
-    divided by all word occurrences. Words are counted per post first (map-side
-    partial aggregation), then checked once per distinct word.
+    divided by all word occurrences. Words are checked against the lexicon
+    index (broadcast when its checked size allows) and summed per post with
+    map-side partial aggregation. ``skip`` is an optional boolean column of
+    posts to leave out (they produce no words).
     """
-    tokens = posts.select(F.col(id_col).alias("_pid"),
-                          F.explode(words(F.col(text_col))).alias("token"))
-    freq = tokens.groupBy("_pid", F.lower("token").alias("word")).agg(F.count("*").alias("freq"))
-    joined = checked_join(freq, index, "word", "left")
-    aggs = [F.sum("freq").alias("n_words")]
+    toks = words(F.col(text_col))
+    if skip is not None:
+        toks = F.when(~skip, toks)
+    pieces = posts.select(F.col(id_col).alias("_pid"), F.explode(toks).alias("token")) \
+        .select("_pid", F.lower("token").alias("word"))
+    rows = index.count() if index_rows is None else index_rows
+    joined = _pieces_with_model(pieces, "word", index, rows)
+    aggs = [F.sum("cnt").alias("n_words")]
     for lang in langs:
         known = F.coalesce(F.col(f"in_{lang}"), F.lit(0)) == 1
-        aggs.append(F.sum(F.when(known, F.lit(0)).otherwise(F.col("freq"))).alias(f"_miss_{lang}"))
+        aggs.append(F.sum(F.when(known, F.lit(0)).otherwise(F.col("cnt"))).alias(f"_miss_{lang}"))
     per_post = joined.groupBy("_pid").agg(*aggs)
     cols = [F.col("_pid").alias(id_col), F.col("n_words")]
     cols += [(F.col(f"_miss_{lang}") / F.col("n_words")).alias(f"err_{lang}") for lang in langs]
@@ -119,6 +143,7 @@ class NgramProfile:
     langs: list[str]
     unseen: dict[str, int]
     prior: dict[str, int]
+    rows: int
     n: int = NGRAM
 
 
@@ -154,7 +179,7 @@ def train_langid(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
         .cast("bigint").alias("lp"))
     wide = lp.groupBy("gram").pivot("lang", langs).agg(F.first("lp"))
     table = materialize(wide.select("gram", *[F.col(lang).alias(f"lp_{lang}") for lang in langs]))
-    return NgramProfile(table=table, langs=langs, unseen=unseen, prior=prior, n=n)
+    return NgramProfile(table=table, langs=langs, unseen=unseen, prior=prior, rows=table.count(), n=n)
 
 
 def profile_rows(profile: NgramProfile) -> DataFrame:
@@ -169,14 +194,13 @@ def score_langid(posts: DataFrame, profile: NgramProfile, id_col: str = "id",
                  text_col: str = "clean") -> DataFrame:
     """Most probable language per post: ``(id, langid, langid_score)``.
 
-    N-grams are counted per post, joined with the profile (broadcast when its
-    size allows, salted otherwise) and summed per post and language. Ties go
-    to the alphabetically last language.
+    Every n-gram occurrence is looked up in the profile (broadcast when its
+    checked size allows, salted otherwise) and the log-probabilities are
+    summed per post and language. Ties go to the alphabetically last language.
     """
-    grams = (posts.select(F.col(id_col).alias("_pid"),
-                          F.explode(char_ngrams(F.lower(F.col(text_col)), profile.n)).alias("gram"))
-             .groupBy("_pid", "gram").agg(F.count("*").alias("cnt")))
-    joined = checked_join(grams, profile.table, "gram", "left")
+    grams = posts.select(F.col(id_col).alias("_pid"),
+                         F.explode(char_ngrams(F.lower(F.col(text_col)), profile.n)).alias("gram"))
+    joined = _pieces_with_model(grams, "gram", profile.table, profile.rows)
     sums = [F.sum(F.col("cnt") * F.coalesce(F.col(f"lp_{lang}"), F.lit(profile.unseen[lang])))
             .alias(f"s_{lang}") for lang in profile.langs]
     per_post = joined.groupBy("_pid").agg(*sums)
@@ -196,6 +220,7 @@ class LanguageModel:
     index: DataFrame
     profile: NgramProfile
     langs: list[str]
+    index_rows: int
 
 
 def train_language_model(labelled: DataFrame, langs: Sequence[str], text_col: str = "text",
@@ -205,7 +230,7 @@ def train_language_model(labelled: DataFrame, langs: Sequence[str], text_col: st
     lexicon = build_lexicon(labelled, text_col, lang_col, id_col, min_docs)
     index = lexicon_index(lexicon, langs)
     profile = train_langid(labelled, text_col, lang_col)
-    return LanguageModel(index=index, profile=profile, langs=list(langs))
+    return LanguageModel(index=index, profile=profile, langs=list(langs), index_rows=index.count())
 
 
 def _prepared(posts: DataFrame, id_col: str, body_col: str) -> DataFrame:
@@ -221,11 +246,11 @@ def label_single(posts: DataFrame, model: LanguageModel, target: str = "de", ref
     ``target`` error rate under 0.7, and the classifier answers ``target``.
     """
     prepared = _prepared(posts, id_col, body_col)
-    long_enough = prepared.where(~F.col("short"))
-    rates = error_rates(long_enough, model.index, [reference, target], "_pid", "clean")
+    rates = error_rates(prepared, model.index, [reference, target], "_pid", "clean",
+                        model.index_rows, skip=F.col("short"))
     gated = rates.where((F.col(f"err_{reference}") > ENGLISH_ERROR_MIN)
                         & (F.col(f"err_{target}") < TARGET_ERROR_MAX)).select("_pid")
-    gated_text = long_enough.join(gated, "_pid", "left_semi")
+    gated_text = prepared.join(gated, "_pid", "left_semi")
     lid = score_langid(gated_text, model.profile, "_pid", "clean")
     labelled = prepared.join(lid, "_pid", "left")
     label = F.when(F.col("short"), F.lit(None).cast("boolean")) \
@@ -244,15 +269,14 @@ def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
     targets = list(targets)
     langs = [reference] + [t for t in targets if t != reference]
     prepared = _prepared(posts, id_col, body_col)
-    long_enough = prepared.where(~F.col("short"))
-    rates = error_rates(long_enough, model.index, langs, "_pid", "clean")
+    rates = error_rates(prepared, model.index, langs, "_pid", "clean", model.index_rows, skip=F.col("short"))
     candidates = F.filter(
         F.array(*[F.when(F.col(f"err_{t}") < TARGET_ERROR_MAX, F.lit(t)) for t in targets]),
         lambda x: x.isNotNull())
     rated = rates.select("_pid", (F.col(f"err_{reference}") > ENGLISH_ERROR_MIN).alias("non_ref"),
                          candidates.alias("candidates"))
     gated = rated.where(F.col("non_ref") & (F.size("candidates") > 0))
-    gated_text = long_enough.join(gated.select("_pid"), "_pid", "left_semi")
+    gated_text = prepared.join(gated.select("_pid"), "_pid", "left_semi")
     lid = score_langid(gated_text, model.profile, "_pid", "clean")
     decided = rated.join(lid, "_pid", "left").select(
         "_pid",

@@ -95,7 +95,8 @@ def q_error_rates(spark, sf_dir):
     """A9 + J8: per post dictionary error rate for each language."""
     posts = fixture(spark, sf_dir, "posts").select("id", sanitize("body").alias("clean"))
     model = language_model(spark, sf_dir)
-    return L.error_rates(posts.where(~is_too_short("clean")), model.index, MODEL_LANGS)
+    return L.error_rates(posts, model.index, MODEL_LANGS, index_rows=model.index_rows,
+                         skip=is_too_short("clean"))
 
 
 @register("unknown_words_de", with_ctes(("posts",), MODEL, RATES_INPUT) + f"""
@@ -250,8 +251,7 @@ def _conv_meta(spark, sf_dir):
 
 
 def _community(spark, sf_dir):
-    from threadcorpus.session import materialize
-    return materialize(S.community_scores(_conv_meta(spark, sf_dir), TARGET_LANGS))
+    return S.community_scores(_conv_meta(spark, sf_dir), TARGET_LANGS)
 
 
 def _thread_scores(spark, sf_dir):
@@ -340,7 +340,7 @@ G3 = (("posts",), MODEL, SINGLE, META, MONTHLY, CORPUS, IDS, FILTERED, TKEYS)
 
 
 def _german_ids(spark, sf_dir):
-    return T.target_ids(single_labels(spark, sf_dir))
+    return T.target_ids(label_meta(spark, sf_dir))
 
 
 def _filtered_communities(spark, sf_dir):

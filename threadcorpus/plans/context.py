@@ -1,8 +1,10 @@
-"""Inputs shared by the registered queries: fixture posts and trained models.
+"""Inputs shared by the registered queries: fixture posts, models, stage outputs.
 
 A model (lexicon index + n-gram profile) is trained once per application and
 data folder and kept in the checkpoint folder, the way a user trains it once
-and reuses it for every labelling job.
+and reuses it for every labelling job. Labelled posts are a stage output in
+the same sense (the label files of the original workflow): written once to
+the checkpoint folder and read by the statistics and thread stages.
 """
 
 from __future__ import annotations
@@ -13,11 +15,19 @@ from pyspark.sql import functions as F
 from threadcorpus.functions.text import epoch_month
 from threadcorpus.operators.lang import LanguageModel, label_multi, label_single, train_language_model
 from threadcorpus.plans.fixtures import REFERENCE_LANG, SINGLE_TARGET, TARGET_LANGS, fixture
-from threadcorpus.session import read_table
+from threadcorpus.session import materialize, read_table
 
 MODEL_LANGS = [REFERENCE_LANG, *TARGET_LANGS]
 
 _MODELS: dict[tuple[str, str], LanguageModel] = {}
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = materialize(build())
+    return _STAGES[key]
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
@@ -36,16 +46,20 @@ def single_labels(spark: SparkSession, sf_dir: str, posts: DataFrame | None = No
 
 
 def label_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label meta rows ``(id, subreddit, month, label)`` of the ``posts`` fixture."""
-    posts = fixture(spark, sf_dir, "posts")
-    labels = single_labels(spark, sf_dir, posts)
-    return posts.select("id", "subreddit", "link_id", "created_utc", "body",
-                        epoch_month(F.col("created_utc")).alias("month")).join(labels, "id")
+    """Label meta rows ``(id, subreddit, link_id, created_utc, month, label)`` of ``posts`` (stage output)."""
+    def build() -> DataFrame:
+        posts = fixture(spark, sf_dir, "posts")
+        labels = single_labels(spark, sf_dir, posts)
+        return posts.select("id", "subreddit", "link_id", "created_utc",
+                            epoch_month(F.col("created_utc")).alias("month")).join(labels, "id")
+    return _stage(spark, sf_dir, "label_meta", build)
 
 
 def multi_meta(spark: SparkSession, sf_dir: str, name: str = "posts_conv") -> DataFrame:
-    """Post meta rows of a thread fixture with the many-language label ``language``."""
-    posts = fixture(spark, sf_dir, name)
-    labels = label_multi(posts.select("id", "body").dropDuplicates(["id"]),
-                         language_model(spark, sf_dir), TARGET_LANGS, REFERENCE_LANG)
-    return posts.join(labels, "id", "left")
+    """Post meta rows of a thread fixture with the many-language label ``language`` (stage output)."""
+    def build() -> DataFrame:
+        posts = fixture(spark, sf_dir, name)
+        labels = label_multi(posts.select("id", "body").dropDuplicates(["id"]),
+                             language_model(spark, sf_dir), TARGET_LANGS, REFERENCE_LANG)
+        return posts.drop("body").join(labels, "id", "left")
+    return _stage(spark, sf_dir, "multi_meta:" + name, build)

@@ -77,5 +77,21 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver tables (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one of the driver tables (``<sf_dir>/<name>.parquet``).
+
+    A file written as a single row group is scanned by a single task; the
+    text jobs then explode every row into tokens or n-grams inside that one
+    task. When the scan has fewer splits than the cluster has cores, rows are
+    spread round-robin over ``defaultParallelism`` partitions first. Large
+    inputs already scan in many splits and are left as they are.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_narrow_scan(df)
+
+
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than the default parallelism."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
