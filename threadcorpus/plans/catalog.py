@@ -7,6 +7,7 @@ library operators on all rows. ``QUERIES[name] = (fn(spark, sf_dir), sql)``;
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -606,6 +607,110 @@ def q_threshold_sweep(spark, sf_dir):
     return E.sweep_threshold(scores.join(gold, "link_id"), "score", "gold_de", SWEEP)
 
 
+# ------------------------------------------------------------------ sources
+
+def conv_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in raw dump lines ``(kind, value)`` of ``posts_conv``.
+
+    Submissions carry ``selftext`` and no thread fields; comments of turn 3 lack
+    ``parent_id``; posts of odd conversations quote ``created_utc``.
+    """
+    p = fixture(spark, sf_dir, "posts_conv")
+    quoted = (F.col("conv_id") % 2) == 1
+    created = F.when(quoted, F.col("created_utc").cast("string"))
+    sub_fields = [F.col("id"), F.col("body").alias("selftext"), "subreddit", "subreddit_id", "author"]
+    com_fields = [F.col("id"), "body", "link_id",
+                  F.when(F.col("turn") != 3, F.col("parent_id")).alias("parent_id"),
+                  "subreddit", "subreddit_id", "author"]
+
+    def js(fields):
+        return F.when(quoted, F.to_json(F.struct(*fields, created.alias("created_utc")))) \
+            .otherwise(F.to_json(F.struct(*fields, F.col("created_utc"))))
+    return p.select("kind", F.when(F.col("kind") == "submission", js(sub_fields))
+                    .otherwise(js(com_fields)).alias("value"))
+
+
+PARSED_COLS = ["id", "kind", "link_id", "parent_id", "subreddit", "subreddit_id", "created_utc",
+               "author", "body", "is_submitter", "permalink", "malformed"]
+
+
+@register("parse_posts", with_ctes(("posts_conv",)) + """
+SELECT id, kind, link_id, CASE WHEN kind = 'comment' AND turn = 3 THEN 'None' ELSE parent_id END AS parent_id,
+       subreddit, subreddit_id, created_utc, author, body, '' AS is_submitter, '' AS permalink,
+       false AS malformed
+FROM posts_conv""")
+def q_parse_posts(spark, sf_dir):
+    """S2 + P6: dump lines of both kinds parsed into the canonical post schema."""
+    from threadcorpus.sources.readers import parse_posts
+    lines = conv_json_lines(spark, sf_dir)
+    subs = parse_posts(lines.where(F.col("kind") == "submission").select("value"), "submission")
+    coms = parse_posts(lines.where(F.col("kind") == "comment").select("value"), "comment")
+    return subs.unionByName(coms).select(*PARSED_COLS)
+
+
+BATCH_VIEW = """SELECT DISTINCT concat('/dumps/comments/RC_', month, '-', subreddit, '.ldjson.gz') AS file_name FROM {meta}"""
+
+
+@register("batch_keys", with_ctes(("posts",)) + f"""
+, m AS (SELECT {O.month('created_utc')} AS month, subreddit FROM posts),
+f AS ({BATCH_VIEW.format(meta='m')})
+SELECT file_name, regexp_extract(file_name, '(RC.+)-', 1) AS batch,
+       regexp_replace(regexp_extract(file_name, '([^/]+)$', 1), '\\.[^.]+$', '') AS base
+FROM f""")
+def q_batch_keys(spark, sf_dir):
+    """Batch key and base name of dump file names (one file per month and community)."""
+    from threadcorpus.functions.text import epoch_month
+    from threadcorpus.sources.readers import base_name, batch_key
+    m = fixture(spark, sf_dir, "posts").select(epoch_month(F.col("created_utc")).alias("month"), "subreddit")
+    files = spark.sql(BATCH_VIEW, meta=m)
+    return files.select("file_name", batch_key("file_name").alias("batch"), base_name("file_name").alias("base"))
+
+
+# ------------------------------------------------------------------ streaming
+
+@register("stream_labels", with_ctes(("posts",), MODEL, ML_POSTS) + "\nSELECT id, language FROM ml")
+def q_stream_labels(spark, sf_dir):
+    """Posts arriving as JSON-line files, labelled per micro-batch (many-language rule)."""
+    from threadcorpus.streaming import stream as ST
+    base = ST.work_dir(spark, "labels")
+    posts = fixture(spark, sf_dir, "posts")
+    lines = posts.select(F.to_json(F.struct("id", "body", "link_id", "subreddit", "subreddit_id",
+                                            "created_utc")).alias("value"))
+    lines.write.text(os.path.join(base, "in"))
+    q = ST.label_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                        language_model(spark, sf_dir), TARGET_LANGS, os.path.join(base, "state"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select("id", "language")
+
+
+@register("stream_monthly_share", with_ctes(("posts",), MODEL, SINGLE, META, MONTHLY) + "\nSELECT * FROM monthly")
+def q_stream_monthly_share(spark, sf_dir):
+    """Running monthly German share per community over arriving label files."""
+    from threadcorpus.streaming import stream as ST
+    base = ST.work_dir(spark, "shares")
+    meta = label_meta(spark, sf_dir).select("id", "subreddit", "created_utc", "label")
+    meta.write.parquet(os.path.join(base, "in"))
+    source = spark.readStream.schema(meta.schema).parquet(os.path.join(base, "in"))
+    q = ST.write_snapshot(ST.community_counts(source), os.path.join(base, "out"), os.path.join(base, "state"))
+    q.awaitTermination()
+    return ST.share_of(spark.read.parquet(os.path.join(base, "out"))).select(
+        "month", "subreddit", "n", "total", "prop")
+
+
+@register("stream_dedup", with_ctes(("posts_conv_dup",)) + """
+SELECT DISTINCT kind, id, link_id FROM posts_conv_dup""")
+def q_stream_dedup(spark, sf_dir):
+    """Repeated posts dropped from an arriving stream within a one-day watermark."""
+    from threadcorpus.streaming import stream as ST
+    base = ST.work_dir(spark, "dedup")
+    posts = fixture(spark, sf_dir, "posts_conv_dup").select("kind", "id", "link_id", "created_utc")
+    posts.write.parquet(os.path.join(base, "in"))
+    source = spark.readStream.schema(posts.schema).parquet(os.path.join(base, "in"))
+    q = ST.append_to(ST.dedup_stream(source), os.path.join(base, "out"), os.path.join(base, "state"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select("kind", "id", "link_id")
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items() if sql is not None}
 
