@@ -63,3 +63,9 @@ def test_community_and_thread_scores(spark):
     assert th == {("de", "t3_1"): (0.5, 0.125), ("fr", "t3_2"): (0.5, 0.125)}
     for r in S.community_scores(meta, ["de", "fr"]).collect():
         assert 0 < r.fraction <= 1 and r.total >= r.target >= 1
+
+
+def test_label_with_pandas_hook(spark):
+    posts = spark.createDataFrame([("a", "Hallo Welt http://x"), ("b", "hello")], "id string, body string")
+    out = L.label_with(posts, lambda s: s.str.len().astype(str))
+    assert sorted((r.id, r.label) for r in out.collect()) == [("a", "11"), ("b", "5")]

@@ -154,3 +154,15 @@ def corpus_order() -> list[Column]:
 
 __all__ = ["vertical_lines", "tagged_lines", "insert_sentence_tags", "assemble_texts",
            "assembly_rejects", "corpus_order"]
+
+
+def merge_metadata(first: DataFrame, second: DataFrame, key: str = "id") -> DataFrame:
+    """U3 + W8: concatenate two metadata tables; for a key in both, the first table's row wins.
+
+    Columns missing on one side are NULL (rendered ``NA`` in tags). The pick is
+    a partial ``min_by`` per key, so repeated keys are collapsed map-side.
+    """
+    from threadcorpus.operators.ordering import keep_first
+    tagged = first.withColumn("_src", F.lit(0)).unionByName(second.withColumn("_src", F.lit(1)),
+                                                            allowMissingColumns=True)
+    return keep_first(tagged, [key], ["_src"]).drop("_src")

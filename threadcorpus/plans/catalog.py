@@ -215,6 +215,18 @@ def q_community_filter(spark, sf_dir):
                        F.round("threshold", 6).alias("threshold"))
 
 
+YEAR_2010 = [f"2010-{m:02d}" for m in range(1, 13)]
+
+
+@register("monthly_wide", with_ctes(("posts",), MODEL, SINGLE, META, MONTHLY, CORPUS) + "\nSELECT c.subreddit, c.corpus_N, c.corpus_total, c.corpus_prop, " + ", ".join(
+    f"""max(CASE WHEN m.month = '{m}' THEN m.n END) AS "RC_{m}_N", max(CASE WHEN m.month = '{m}' THEN m.total END) AS "RC_{m}_total", max(CASE WHEN m.month = '{m}' THEN m.prop END) AS "RC_{m}_prop\""""
+    for m in [f"2010-{k:02d}" for k in range(1, 13)]) + """
+FROM corpus c JOIN monthly m USING (subreddit) GROUP BY c.subreddit, c.corpus_N, c.corpus_total, c.corpus_prop""")
+def q_monthly_wide(spark, sf_dir):
+    """J4 + U4 + A3: one row per community, corpus totals then a (N, total, prop) triple per month of 2010."""
+    return S.community_stats(S.monthly_share(label_meta(spark, sf_dir)), YEAR_2010)
+
+
 # ------------------------------------------------------- threads, count based
 
 ML_CONV = O.multi_label_ctes("posts_conv_dup", "ml")
@@ -711,6 +723,23 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(os.path.join(base, "out")).select("kind", "id", "link_id")
 
 
+SECOND_META = """SELECT CAST(conv_id AS STRING) AS id, max(author) AS author, max(subreddit) AS subreddit
+  FROM {posts_conv} GROUP BY conv_id"""
+
+
+@register("merge_metadata", with_ctes(("posts_conv", "thread_meta")) + f"""
+, second AS ({SECOND_META.format(posts_conv='posts_conv')})
+SELECT id, subreddit, created_utc, CAST(NULL AS VARCHAR) AS author FROM thread_meta
+UNION ALL
+SELECT id, subreddit, CAST(NULL AS VARCHAR) AS created_utc, author FROM second
+WHERE id NOT IN (SELECT id FROM thread_meta)""")
+def q_merge_metadata(spark, sf_dir):
+    """U3 + W8: thread metadata merged from two tables, the first table winning per id."""
+    posts = fixture(spark, sf_dir, "posts_conv")
+    merged = C.merge_metadata(fixture(spark, sf_dir, "thread_meta"), spark.sql(SECOND_META, posts_conv=posts))
+    return merged.select("id", "subreddit", "created_utc", "author")
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items() if sql is not None}
 
