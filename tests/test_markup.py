@@ -44,3 +44,12 @@ def test_open_tag_fills_na_and_escapes(spark):
     df = spark.createDataFrame([("1", None, 'a"b')], "id string, x string, y string")
     tag = df.select(render_open_tag("text", ["id", "x", "y"]).alias("t")).first()["t"]
     assert tag == '<text id="1" x="NA" y="a&quot;b">'
+
+
+def test_table_decoding_equals_column_form(spark):
+    from threadcorpus.operators.render import decode_entities_rows
+    texts = ["&auml; &#228; &bogus; a&b &copy 2 &#0; &NotEqualTilde; x", "", "plain", "&&amp;&#x26;"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    col = {r.k: r.d for r in df.select("k", decode_entities("t").alias("d")).collect()}
+    rows = {r.k: r.decoded for r in decode_entities_rows(df, ["k"], "t").collect()}
+    assert rows == col

@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -162,14 +163,15 @@ def train_langid(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
     # Per-language constants: bounded by the number of languages.
     totals = counts.groupBy("lang").agg(F.sum("cnt").alias("total"))
     vocab = counts.select("gram").distinct().count()
-    doc_counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    per_lang = docs.groupBy("lang").agg(F.count("*").alias("d")).collect()
+    doc_counts = {r["lang"]: r["d"] for r in per_lang}
     n_docs = sum(doc_counts.values())
     langs = sorted(doc_counts)
     scale = F.lit(float(LOGPROB_SCALE))
     unseen_rows = (totals.select("lang", F.round(scale * F.ln(F.lit(1.0) / (F.col("total") + F.lit(vocab))))
                                  .cast("bigint").alias("u")).collect())
     unseen = {r["lang"]: r["u"] for r in unseen_rows}
-    prior_rows = (docs.groupBy("lang").agg(F.count("*").alias("d"))
+    prior_rows = (docs.sparkSession.createDataFrame(per_lang)
                   .select("lang", F.round(scale * F.ln(F.col("d") / F.lit(float(n_docs))))
                           .cast("bigint").alias("p")).collect())
     prior = {r["lang"]: r["p"] for r in prior_rows}
@@ -226,10 +228,18 @@ class LanguageModel:
 def train_language_model(labelled: DataFrame, langs: Sequence[str], text_col: str = "text",
                          lang_col: str = "lang", id_col: str = "doc_id",
                          min_docs: int = LEXICON_MIN_DOCS) -> LanguageModel:
-    """Build lexicon index and n-gram profile from labelled text."""
-    lexicon = build_lexicon(labelled, text_col, lang_col, id_col, min_docs)
-    index = lexicon_index(lexicon, langs)
-    profile = train_langid(labelled, text_col, lang_col)
+    """Build lexicon index and n-gram profile from labelled text.
+
+    The training input is read once and kept (memory, spilling to disk) while
+    both models are built from it.
+    """
+    docs = labelled.select(id_col, lang_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lexicon = build_lexicon(docs, text_col, lang_col, id_col, min_docs)
+        index = lexicon_index(lexicon, langs)
+        profile = train_langid(docs, text_col, lang_col)
+    finally:
+        docs.unpersist()
     return LanguageModel(index=index, profile=profile, langs=list(langs), index_rows=index.count())
 
 

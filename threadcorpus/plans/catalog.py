@@ -18,6 +18,7 @@ from threadcorpus.functions.text import blank_length, is_too_short, sanitize, wo
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import evaluate as E
 from threadcorpus.operators import lang as L
+from threadcorpus.operators import render as R
 from threadcorpus.operators import stats as S
 from threadcorpus.operators import threads as T
 from threadcorpus.plans import oracle as O
@@ -412,7 +413,7 @@ SELECT page_id, {O.decode_entities('html')} AS decoded FROM pages, emap""")
 def q_decode_entities(spark, sf_dir):
     """P11 + P12: numeric and named character references of every page decoded in one pass."""
     pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", M.decode_entities("html").alias("decoded"))
+    return R.decode_entities_rows(pages, ["page_id"], "html")
 
 
 @register("markup_blocks", with_ctes(("posts",)) + f"""
@@ -433,8 +434,7 @@ SELECT id, '<text id="' || {O.xml_escape_attr('id')} || '">' || chr(10)
 FROM posts_conv, emap""")
 def q_render_xml(spark, sf_dir):
     """X2 + P10-P14: every post rendered as a ``<text>`` element of clean XML."""
-    posts = fixture(spark, sf_dir, "posts_conv")
-    return posts.select("id", M.render_text(F.col("id"), M.post_html("body")).alias("xml"))
+    return R.render_posts(fixture(spark, sf_dir, "posts_conv"))
 
 
 SPOILER_VIEW = """SELECT CAST(conv_id AS STRING) AS conv_id, turn,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,13 +68,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the reliable checkpoint folder.
+    """Cut lineage by writing ``df`` as a Parquet table in the checkpoint folder.
 
-    Used for small reusable models (lexicon, n-gram profile) and for results
-    whose physical layout later steps depend on.
+    Used for reusable models (lexicon, n-gram profile), stage outputs and
+    results whose physical layout later steps depend on. Unlike an eager
+    ``checkpoint()`` of an uncached plan, the plan runs once; the table read
+    back carries file sizes the planner uses for join decisions.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
