@@ -69,3 +69,27 @@ def test_label_with_pandas_hook(spark):
     posts = spark.createDataFrame([("a", "Hallo Welt http://x"), ("b", "hello")], "id string, body string")
     out = L.label_with(posts, lambda s: s.str.len().astype(str))
     assert sorted((r.id, r.label) for r in out.collect()) == [("a", "11"), ("b", "5")]
+
+
+def test_salted_model_joins_equal_broadcast(spark, monkeypatch):
+    """Lexicon and n-gram lookups give the same labels when the models are too big to broadcast."""
+    from conftest import SF_SMALL
+    from threadcorpus.session import read_table
+
+    docs = read_table(spark, SF_SMALL, "documents")
+    model = L.train_language_model(docs, ["en", "de", "fr", "es"])
+    posts = docs.select(F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("id"),
+                        F.col("text").alias("body"))
+
+    def run():
+        multi = {(r.id, r.language) for r in L.label_multi(posts, model, ["de", "fr", "es"], "en").collect()}
+        single = {(r.id, r.label) for r in L.label_single(posts, model, "de", "en").collect()}
+        lid = {tuple(r) for r in L.score_langid(posts.select("id", F.col("body").alias("clean")),
+                                                model.profile).collect()}
+        return multi, single, lid
+
+    broadcast = run()
+    monkeypatch.setattr(L, "BROADCAST_MAX_ROWS", 0)
+    salted = run()
+    assert salted == broadcast
+    assert len(broadcast[0]) == docs.count()

@@ -69,7 +69,7 @@ def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows
     if table_rows <= BROADCAST_MAX_ROWS:
         return pieces.join(F.broadcast(table), key, "left").withColumn("cnt", F.lit(1).cast("bigint"))
     counted = pieces.groupBy("_pid", key).agg(F.count("*").alias("cnt"))
-    return checked_join(counted, table, key, "left", small_rows=table_rows)
+    return checked_join(counted, table, key, "left", max_rows=BROADCAST_MAX_ROWS, small_rows=table_rows)
 
 
 # ----------------------------------------------------------- error rates
