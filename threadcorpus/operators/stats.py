@@ -143,12 +143,17 @@ def thread_scores(meta: DataFrame, communities: DataFrame, langs: Sequence[str],
     the community's fraction (community flag not required); ``score`` is their
     product and ``exceeded = score >= cutoff``.
     """
-    aggs = [F.count("*").alias("total")]
+    # Counts per (thread, community) keep only integer buffers, so the big
+    # aggregation over all posts is hash based; the community per language is
+    # then picked from the few rows per thread.
+    counts = [F.count("*").alias("n")]
+    counts += [F.count_if(F.col(label_col) == F.lit(lang)).alias(f"t_{lang}") for lang in langs]
+    per_pair = meta.groupBy("link_id", "subreddit_id").agg(*counts)
+    aggs = [F.sum("n").alias("total")]
     for lang in langs:
-        hit = F.col(label_col) == F.lit(lang)
-        aggs.append(F.count_if(hit).alias(f"t_{lang}"))
-        aggs.append(F.max(F.when(hit, F.col("subreddit_id"))).alias(f"sid_{lang}"))
-    per_thread = meta.groupBy("link_id").agg(*aggs)
+        aggs.append(F.sum(f"t_{lang}").alias(f"t_{lang}"))
+        aggs.append(F.max(F.when(F.col(f"t_{lang}") > 0, F.col("subreddit_id"))).alias(f"sid_{lang}"))
+    per_thread = per_pair.groupBy("link_id").agg(*aggs)
     long = per_thread.select("link_id", "total", _stack(langs, "t_", ["sid"])) \
         .where(F.col("target") > 0).withColumnRenamed("sid", "subreddit_id")
     community = materialize(communities.select(
