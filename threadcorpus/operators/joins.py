@@ -26,7 +26,9 @@ def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     ``salt_buckets`` salts from a hash of the row, ``small`` is replicated once
     per salt. Each big row still meets each matching small row exactly once,
     so inner, left, semi and anti joins keep their meaning, and a hot key is
-    split over ``salt_buckets`` tasks.
+    split over ``salt_buckets`` tasks. ``salt_buckets=1`` is for keys that are
+    unique on both sides (post ids): a plain shuffle join, with AQE's skew
+    join splitting any oversized partition.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti"):
@@ -34,6 +36,8 @@ def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     n = small.count() if small_rows is None else small_rows
     if n <= max_rows:
         return big.join(F.broadcast(small), keys, how)
+    if salt_buckets <= 1:
+        return big.join(small, keys, how)
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
                                                 F.lit(salt_buckets)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))

@@ -60,7 +60,8 @@ def submissions_of_threads(submissions: DataFrame, threads: DataFrame,
                            key: str = "link_id", id_col: str = "id") -> DataFrame:
     """Submissions whose thread key (``t3_`` + id) is in ``threads``."""
     ids = materialize(threads.select(bare_id(F.col(key)).alias(id_col)).distinct())
-    return checked_join(submissions, ids, id_col, "left_semi")
+    # Submission ids are unique: no hot key to salt.
+    return checked_join(submissions, ids, id_col, "left_semi", salt_buckets=1)
 
 
 def extract_threads(posts: DataFrame, scores: DataFrame) -> DataFrame:
@@ -117,7 +118,7 @@ def mark_members(posts: DataFrame, ids: DataFrame, yes: str = "german", no: str
                  id_col: str = "id") -> DataFrame:
     """Label every post ``yes`` if its id is in ``ids``, else ``no``."""
     members = materialize(ids.select(id_col).distinct().withColumn("_member", F.lit(True)))
-    joined = checked_join(posts, members, id_col, "left")
+    joined = checked_join(posts, members, id_col, "left", salt_buckets=1)  # unique post ids
     return joined.withColumn("la", F.when(F.col("_member"), F.lit(yes)).otherwise(F.lit(no))) \
         .drop("_member")
 
