@@ -65,6 +65,34 @@ def test_community_and_thread_scores(spark):
         assert 0 < r.fraction <= 1 and r.total >= r.target >= 1
 
 
+def test_thread_scores_across_communities_match_brute_force(spark):
+    """A thread whose posts sit in several communities: totals count every post, the community is
+    the largest id among posts of the language (the two-step aggregation keeps this)."""
+    rows = [("t5_a", "t3_1", "de"), ("t5_b", "t3_1", "de"), ("t5_b", "t3_1", "other"),
+            ("t5_c", "t3_1", None), ("t5_a", "t3_1", "fr"), ("t5_a", "t3_2", "fr"),
+            ("t5_c", "t3_2", "de"), ("t5_b", "t3_2", "other")]
+    rows += [("t5_hot", "t3_hot", "de" if i % 3 else "other") for i in range(300)]
+    meta = spark.createDataFrame(rows, "subreddit_id string, link_id string, language string")
+    langs = ["de", "fr"]
+    com = S.community_scores(meta, langs)
+    frac = {(r.lang, r.subreddit_id): r.fraction for r in com.collect()}
+    expected = {}
+    for lang in langs:
+        for link in {r[1] for r in rows}:
+            posts = [r for r in rows if r[1] == link]
+            hits = [r for r in posts if r[2] == lang]
+            if not hits:
+                continue
+            sid = max(r[0] for r in hits)
+            if (lang, sid) not in frac:
+                continue
+            fraction = len(hits) / len(posts)
+            expected[(lang, link)] = (sid, len(hits), len(posts), fraction * frac[(lang, sid)])
+    got = {(r.lang, r.link_id): (r.subreddit_id, r.target, r.total, r.score)
+           for r in S.thread_scores(meta, com, langs).collect()}
+    assert got == expected
+
+
 def test_label_with_pandas_hook(spark):
     posts = spark.createDataFrame([("a", "Hallo Welt http://x"), ("b", "hello")], "id string, body string")
     out = L.label_with(posts, lambda s: s.str.len().astype(str))
