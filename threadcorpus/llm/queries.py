@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadcorpus.llm import chat, decontaminate, packing, rules, secrets, urls
+from threadcorpus.llm import chat, cnn, decontaminate, forest, packing, pii, rules, secrets, suffix, urls
 from threadcorpus.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings removed from all documents."""
+    return suffix.digest(suffix.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules as weak supervision over all documents."""
     return rules.digest(rules.score(table(spark, sf_dir, "documents")))
@@ -18,11 +23,28 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level convolutional network, fitted on labelled rows that are not held out, over all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return cnn.score(docs, cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block and allow list, and boosted trees, over all pages."""
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: patterns, and what the character network adds."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.fit(docs)))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and links of all documents whose 5-word shingles are similar to 0.8 or more."""
+    return forest.join(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents, with corpus-wide ownership."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
@@ -39,9 +61,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_url_filters": op5_url_filters,
+    "op6_pii": op6_pii,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
