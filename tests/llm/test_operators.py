@@ -1,0 +1,462 @@
+"""The training-data operators against brute force, round trips and held-out rows."""
+import hashlib
+import itertools
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+
+from threadcorpus.llm import (chat, cnn, components, decontaminate, forest, packing, pii, queries, rules, secrets,
+                              suffix, urls)
+
+SF = "/root/testdata/sf0.001"
+SPACE = r"[^\x20\x09-\x0D]+"
+
+
+def texts(df):
+    return {r.doc_id: r.text or "" for r in df.select("doc_id", "text").collect()}
+
+
+# ------------------------------------------------------------------ 1 suffix dedup
+
+def brute_repeats(docs):
+    seen, out = set(), {}
+    for i, t in sorted(docs.items()):
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 99):
+            w = b[p:p + 100]
+            if w in seen:
+                gone[p:p + 100] = b"\1" * 100
+            seen.add(w)
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out[i] = (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("many", [2_000, 2])
+def test_suffix_dedup_equals_brute_force(spark, documents, many, monkeypatch):
+    monkeypatch.setattr(suffix, "MANY_PIECES", many)
+    got = {r[0]: tuple(r[1:5]) for r in suffix.digest(suffix.remove_repeats(documents)).collect()}
+    assert got == brute_repeats(texts(documents))
+
+
+def test_suffix_dedup_of_periodic_text(spark):
+    docs = {1: "abcd" * 200, 2: "x" * 350, 3: "y" + "x" * 120, 4: "line of text, again and again. " * 9}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    got = {r[0]: tuple(r[1:5]) for r in suffix.digest(suffix.remove_repeats(df)).collect()}
+    assert got == brute_repeats(docs)
+
+
+def test_merge_finds_the_repeated_intervals():
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        some = [bytes(rng.choice([97, 98], rng.integers(5, 30)).astype(np.uint8)) for _ in range(rng.integers(2, 9))]
+        own = [np.arange(k, len(some), 3) for k in range(min(3, len(some)))]
+        shards = [suffix.Shard([some[j] for j in o]) for o in own]
+        order, interval = suffix.merge(shards, 6)
+        text = np.concatenate([o[s.text] for o, s in zip(own, shards)])[order]
+        place = np.concatenate([s.place for s in shards])[order]
+        got, want = defaultdict(set), defaultdict(set)
+        for t, p, v in zip(text, place, interval):
+            got[v].add((int(t), int(p)))
+        for k, t in enumerate(some):
+            for p in range(len(t) - 5):
+                want[t[p:p + 6]].add((k, p))
+        assert {frozenset(v) for v in got.values() if len(v) > 1} == {frozenset(v) for v in want.values() if len(v) > 1}
+
+
+def test_suffix_dedup_of_odd_rows(spark, odd):
+    rows = suffix.remove_repeats(odd).collect()
+    assert len(rows) == odd.count()
+    assert {r.doc_id: len(r.kept) for r in rows if r.doc_id in (1, 2, 5)} == {1: 0, 2: 0, 5: 30}
+    assert next(r for r in rows if r.doc_id == 8).spans[0].start == 0
+    assert suffix.remove_repeats(odd.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 2 quality rules
+
+def brute_counts(t):
+    w = re.findall(SPACE, t)
+    c = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    found = {j for i in range(len(w) - 4) if c[tuple(w[i:i + 5])] > 1 for j in range(i, i + 5)}
+    seen, again = set(), 0
+    for line in t.split("\n"):
+        if re.search(SPACE, line):
+            again += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), again, len(found)
+
+
+def test_rules_counts_and_verdicts(spark, documents):
+    rows = rules.digest(rules.score(documents)).collect()
+    all_texts = texts(documents)
+    for r in rows:
+        want = brute_counts(all_texts[r.doc_id])
+        assert tuple(r[1:6]) == want
+        assert r.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r.kept and r.base_failed)
+    labels = pd.read_parquet(f"{SF}/labels.parquet").set_index("doc_id").quality
+    kept = {r.doc_id: r.kept for r in rows if not r.base_failed}
+    right = [kept[i] == bool(q) for i, q in labels.items() if i in kept]
+    assert np.mean(right) > 0.9
+
+
+def test_rules_em_recovers_planted_accuracies():
+    rng = np.random.default_rng(1)
+    good = rng.random(20_000) < 0.8
+    against = np.where(good[:, None], 0.02, 0.5)
+    v = np.where(rng.random((20_000, 5)) < against, -1, 0)
+    v = np.column_stack([v, np.where(rng.random(20_000) < np.where(good, 0.9, 0.1), 1, 0)])
+    patterns, counts = np.unique(v, axis=0, return_counts=True)
+    chance, prior = rules.fit(patterns, counts.astype(float))
+    assert abs(prior - 0.8) < 0.03 and np.abs(chance[0, :5, 0] - 0.5).max() < 0.05
+
+
+def test_rules_of_odd_rows(spark, odd):
+    rows = rules.score(odd).collect()
+    assert len(rows) == odd.count() and not any(r.kept for r in rows if r.n_words < 10)
+    assert rules.score(odd.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 3 decontamination
+
+def test_decontamination_equals_sql(spark, documents):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.sql(decontaminate.ORACLE).df().sort_values("doc_id").reset_index(drop=True)
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for block in (100_000, 70):
+        got = decontaminate.digest(decontaminate.search(documents, benchmark, block)).toPandas()
+        got = got.sort_values("doc_id").reset_index(drop=True)[list(want.columns)]
+        assert (got == want).all().all()
+        assert decontaminate.drop_contaminated(documents, benchmark, block).count() == (~want.contaminated).sum()
+
+
+def test_decontamination_of_odd_rows(spark, odd):
+    items = spark.createDataFrame([(1, "Text, of SEVEN"), (2, None), (None, "a"), (3, "text of seven"), (4, "")],
+                                  "item_id bigint, text string")
+    rows = {r.doc_id: r for r in decontaminate.search(odd, items).collect()}
+    assert (rows[5].n_hit, rows[5]["items"], rows[5].contaminated) == (3, ["1", "3"], True)
+    assert (rows[4].n_hit, rows[4]["items"]) == (1, []) and not rows[1].contaminated
+    assert decontaminate.search(odd, items.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.search(odd.limit(0), items).count() == 0
+    kept = decontaminate.drop_contaminated(odd, items)
+    assert kept.columns == odd.columns and kept.count() == 6
+
+
+# ------------------------------------------------------------------ 4 classifier
+
+def test_network_gradients():
+    net = cnn.Network(3)
+    rng = np.random.default_rng(0)
+    chunks, first, y = rng.integers(97, 105, (5, cnn.CHUNK)).astype(np.uint8), np.array([0, 2, 3]), np.array([1, 0, 1.0])
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+
+    def loss():
+        h = net.chunk_features(chunks)
+        mean = np.add.reduceat(h, first) / np.diff(np.append(first, 5))[:, None]
+        z = net.combine(mean, np.maximum.reduceat(h, first))
+        return np.mean(np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y))
+
+    g = net.gradients(chunks, first, y)
+    for k in net.p:
+        at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
+        old = net.p[k][at]
+        net.p[k][at] = old + 1e-5
+        up = loss()
+        net.p[k][at] = old - 1e-5
+        assert abs((up - loss()) / 2e-5 - g[k][at]) < 1e-3 * max(1, abs(g[k][at]))
+        net.p[k][at] = old
+
+
+def test_classifier_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = cnn.score(docs, cnn.fit(docs, labels)).toPandas().set_index("doc_id")
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.index]).all()
+    assert ((got.score >= 0.3).astype(int) == got.predicted).all()
+    both = got.join(labels.toPandas().set_index("doc_id"), how="inner")
+    both = both[both.held_out]
+    one, zero = both.score[both.quality == 1].to_numpy(), both.score[both.quality == 0].to_numpy()
+    assert (one[:, None] > zero[None]).mean() > 0.85
+    assert both.predicted[both.quality == 1].mean() > 0.95
+
+
+def test_classifier_of_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(4, 0), (5, 1), (7, None), (None, 1)], "doc_id bigint, quality int")
+    for some in (labels, labels.limit(0), labels.where("quality = 1")):
+        rows = cnn.score(odd, cnn.fit(odd, some)).collect()
+        assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    net = cnn.Network()
+    assert cnn.score(odd.limit(0), net).count() == 0 and cnn.keep_good(odd, net).columns == odd.columns
+
+
+# ------------------------------------------------------------------ 5 url filters
+
+def test_url_parts_and_rules(spark):
+    rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/x?q#f"), (4, "https://www.example.com/en/"),
+            (5, "x://b.net/fr"), (6, "x://b.net/fr/1"), (7, "http://com"), (8, "http://netnet/es/"), (9, "a://b://c.com/d"),
+            (6, "x://b.net/fr/1"), (None, "http://t.com/")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df).collect()}
+    assert got[1][:3] == ("", "", None) and got[2][:3] == ("", "", None)
+    assert got[3] == ("a.example.com", "/en/x", "example.com/en/", "block")
+    assert got[4] == ("www.example.com", "/en/", "www.example.com/en/", "allow")
+    assert got[5][2] is None and got[6][2:] == ("net/fr/", "block") and got[7][:3] == ("com", "", None)
+    assert got[8][2] is None and got[9][:2] == ("b:", "//c.com/d") and got[None][2:] == ("com/", "allow")
+    assert urls.judge(df.limit(0)).count() == 0
+
+
+def test_url_trees_learn_the_list(spark):
+    got = urls.judge(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).toPandas()
+    listed = got[got.rule.notna()]
+    assert ((listed.score >= 0.5) == (listed.verdict == "block")).mean() > 0.9
+    assert got.verdict.isin(["allow", "block"]).all() and len(got) == 250
+
+
+# ------------------------------------------------------------------ 6 personal data
+
+PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def brute_spans(t):
+    out = []
+    for k, p in enumerate(PATTERNS):
+        for m in re.finditer(p, t):
+            d = re.sub("[^0-9]", "", m[0])
+            if (k == 0 or k == 1 and all(int(x) <= 255 for x in m[0].split("."))
+                    or k == 2 and 13 <= len(d) <= 19 and pii.luhn(d) or k == 3 and 9 <= len(d) <= 15):
+                out.append((k, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_the_patterns():
+    rng = np.random.default_rng(2)
+    for _ in range(5_000):
+        t = "".join(rng.choice(list("aB1205 9.@+-()_é"), rng.integers(0, 40)))
+        assert pii.base_spans(t) == brute_spans(t)
+
+
+def test_tagger_finds_held_out_spans(spark, documents):
+    docs = [t for t in texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).values() if re.search("[0-9@]", t)]
+    fit, held = docs[:len(docs) * 2 // 3], docs[len(docs) * 2 // 3:]
+    xs, ys = [], []
+    for t in fit:
+        c = pii.encode(t)
+        s = pii.window_starts(c)
+        xs.append(pii.windows(c, s))
+        tags = np.concatenate([pii.tag_sequence(len(c), pii.base_spans(t)), np.zeros(pii.WINDOW, int)])
+        ys.append(tags[s[:, None] + np.arange(pii.WINDOW)])
+    tagger = pii.Tagger().fit(np.concatenate(xs), np.concatenate(ys))
+    base = [pii.base_spans(t) for t in held]
+    alone = pii.added_spans(held, [[] for _ in held], tagger)
+    found = sum(len(set(a) & set(b)) for a, b in zip(alone, base))
+    assert found > 0.6 * sum(map(len, base))
+    assert sum(map(len, pii.added_spans(held, base, tagger))) < 0.2 * sum(map(len, base))
+
+
+def test_reconcile_joins_cut_spans_and_drops_overlaps():
+    assert pii.reconcile([(0, 10, 32, 0.9, True), (0, 10, 40, 0.9, False), (2, 20, 30, 0.9, False)]) \
+        == [(0, 10, 40, pytest.approx(0.9))]
+
+
+def test_pii_of_odd_rows(spark, odd):
+    tagger = pii.fit(odd.limit(0))
+    rows = pii.digest(pii.find(odd, tagger)).collect()
+    assert len(rows) == odd.count() and {r.spans for r in rows} == {""}
+    df = spark.createDataFrame([(1, "mail x@y.de, or +49 30 1234567", 9), (2, None, 0)], "doc_id bigint, text string, n_chars bigint")
+    got = {r.doc_id: (r.text, r.n_chars) for r in pii.mask(df, tagger).collect()}
+    assert got == {1: ("mail [email], or [phone]", 24), 2: (None, 0)}
+    assert pii.find(odd.limit(0), tagger).count() == 0
+
+
+# ------------------------------------------------------------------ 7 jaccard join
+
+def brute_groups(docs):
+    sets = {}
+    for i, t in docs.items():
+        w = re.findall(SPACE, re.sub("[A-Z]+", lambda m: m[0].lower(), t))
+        k = min(5, len(w))
+        sets[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = Counter()
+    for a, b in itertools.combinations(sorted(sets), 2):
+        n = len(sets[a] & sets[b])
+        if n and n >= 0.8 * (len(sets[a]) + len(sets[b]) - n) - 1e-9:
+            links[a] += 1
+            links[b] += 1
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: (root(i), links[i]) for i in sets}
+
+
+@pytest.mark.parametrize("block", [400_000, 300])
+def test_jaccard_join_equals_brute_force(spark, documents, block):
+    got = {r.doc_id: (r.class_id, r.n_links) for r in forest.join(documents, block_shingles=block).collect()}
+    assert got == brute_groups(texts(documents))
+
+
+def test_jaccard_join_of_chained_near_copies(spark):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words[2 * i:2 * i + 120])) for i in range(60)] + [(100 + i, " ".join(words[:120])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for block in (400_000, 500):
+        got = {r.doc_id: (r.class_id, r.n_links) for r in forest.join(df, block_shingles=block).collect()}
+        assert got == brute_groups(dict(rows))
+
+
+def test_jaccard_join_of_odd_rows(spark, odd):
+    rows = forest.join(odd).collect()
+    assert len(rows) == odd.count()
+    by = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in rows if r.doc_id}
+    assert by[1] == (1, 0, 1) and by[5] == (5, 3, 4) and by[6] == (5, 3, 4) and by[7] == (7, 1, 1) and by[8] == (7, 1, 1)
+    assert forest.join(odd.limit(0)).count() == 0
+    kept = forest.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 5, 7, None, None])
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50) if i % 10 != 9] + [(60, 60)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u int, v int")).collect()}
+    assert got == {i: i // 10 * 10 for i in range(51) if i < 50}
+
+
+# ------------------------------------------------------------------ 8 secrets
+
+def brute_secrets(t):
+    out = [(m.start(), "assign", m.end()) for m in re.finditer(
+        r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t) if len(m[1]) >= 6]
+    out += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return sorted(out, key=lambda s: (s[0], ["assign", "access", "hex"].index(s[1])))
+
+
+def test_secrets_equal_the_patterns(spark, documents):
+    key = "AKIA" + "A1" * 8
+    more = spark.createDataFrame([
+        (10_001, f"é token=token:abcdefg Password : 'hunter22' {key} {'ab' * 12} api_key=short=1", "s"),
+        (10_002, "\U0001f600 secret=\"a.b-c_d\" " + "0f" * 30, None)], "doc_id bigint, text string, source string")
+    docs = documents.select("doc_id", "text", "source").unionByName(more)
+    all_texts = texts(docs)
+    for r in secrets.digest(secrets.scan(docs)).collect():
+        want = brute_secrets(all_texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, k, b in want).encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in want) for k in ("assign", "access", "hex"))
+
+
+def test_secret_ownership(spark):
+    own, shared = "Zx9-qT7_Lm2+Rk5/Wv8Pn3", "Example1Example2Example3"
+    rows = [(1, f"my {own} key", "a")] + [(i, f"see {shared}", f"s{i}") for i in range(2, 8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: (r.spans, r.n_live, r.n_example) for r in secrets.digest(secrets.scan(df)).collect()}
+    assert got[1] == ("owned:3:25", 1, 0) and got[2] == ("", 0, 1)
+
+
+def test_secrets_of_odd_rows(spark, odd):
+    assert secrets.scan(odd).count() == odd.count() and secrets.scan(odd.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 9 packing
+
+def test_packing_places_every_token(spark, documents):
+    got = packing.pack_documents(documents, group_pieces=50).toPandas()
+    want = {i: len(re.findall(SPACE, t)) for i, t in texts(documents).items()}
+    assert got.groupby("doc_id").n_tokens.sum().to_dict() == {i: n for i, n in want.items() if n}
+    for _, bin_ in got.sort_values("bin_offset").groupby("bin"):
+        assert (bin_.bin_offset.to_numpy() == np.cumsum(bin_.n_tokens) - bin_.n_tokens).all()
+        least = min(n for n in packing.LENGTHS if n >= bin_.n_tokens.sum())
+        assert (bin_.bin_length == least).all()
+
+
+def test_packing_beats_one_length():
+    sizes = np.random.default_rng(0).integers(1, 1500, 2_000)
+    bins, _, length = packing.pack(sizes)
+    opened = dict(zip(bins.tolist(), length.tolist()))
+    assert sizes.sum() / sum(opened.values()) > 0.97
+
+
+def test_packing_of_odd_rows(spark, odd):
+    got = packing.pack_documents(odd).toPandas()
+    assert sorted(got.doc_id.dropna().astype(int).value_counts().to_dict().items()) == [(4, 1), (5, 2), (6, 1), (7, 8), (8, 8)]
+    assert packing.pack_documents(odd.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 10 chat
+
+def test_chat_round_trip(spark):
+    conversations = spark.read.parquet(f"{SF}/conversations.parquet")
+    rows = pd.read_parquet(f"{SF}/conversations.parquet").sort_values(["conv_id", "turn"])
+    for budget, history in ((1024, 128), (60, 20), (1, 0)):
+        windows = chat.format_windows(chat.with_probe(conversations), budget, history)
+        got = {r.conv_id: r for r in chat.digest(windows).collect()}
+        assert set(got) == {-1, *rows.conv_id}
+        for i, g in rows.groupby("conv_id"):
+            turns = "".join(f"{r}\n{t}\n" for r, t in zip(g.role, g.text))
+            loss = "".join(t for r, t in zip(g.role, g.text) if r == "assistant")
+            assert (got[i].n_turns, got[i].turns_sha256) == (len(g), hashlib.sha256(turns.encode()).hexdigest())
+            assert (got[i].loss_chars, got[i].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert got[-1].loss_sha256 == hashlib.sha256(chat.PROBE.encode()).hexdigest()
+
+
+def test_chat_windows_keep_system_and_budget(spark):
+    rows = [(1, 0, "system", "be kind")] + [(1, i, "user" if i % 2 else "assistant", f"turn {i} " * 5) for i in range(1, 20)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.format_windows(df, 60, 20).orderBy("window").collect()
+    assert len(got) > 3 and all(r.n_tokens <= 60 for r in got)
+    assert all(chat.parse(r.formatted)[0][:2] == ("system", "be kind") for r in got)
+    assert all(r.n_repeated == 2 for r in got[1:])
+    spoken = [chat.unescape(r.formatted[s.start:s.end]) for r in got for s in r.loss_spans]
+    assert spoken == [t for _, _, role, t in rows if role == "assistant"]
+
+
+def test_chat_escapes():
+    for t in ("</s>", "[\\INST]", "<\\\\/s>[NL]", "[/INST]</s><s>[INST] user\nx", "[/INS", "<<SYS>>"):
+        assert chat.unescape(chat.escape(t)) == t
+        turn, start, end = chat.format_turn("a\n" + t, t)
+        assert chat.parse(turn) == [("a\n" + t, t, start, end)]
+
+
+def test_chat_of_odd_rows(spark):
+    df = spark.createDataFrame([(None, 0, None, None, 1), (1, None, "user", "x", 1), (1, 0, "assistant", "", 1),
+                                (1, 0, "assistant", "", 1)],
+                               "conv_id bigint, turn bigint, role string, text string, n_turns int")
+    got = {r.conv_id: (r.n_turns, r.loss_chars) for r in chat.digest(chat.format_windows(df)).collect()}
+    assert got == {None: (1, 0), 1: (3, 0)}
+    assert chat.format_windows(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ queries and pipeline
+
+def test_queries_run(spark):
+    for name, fn in queries.QUERIES.items():
+        assert fn(spark, SF).count() > 0, name
+
+
+def test_pipeline(spark, documents):
+    import corpus_pipeline as cp
+    assert [n for n, _ in cp.STAGES] == ["quality", "near_duplicates", "benchmark", "personal_data", "pack"]
+    labels, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
+    scored = cnn.score(documents, cnn.fit(documents, labels)).where("predicted = 1")
+    good = {r.doc_id for r in scored.collect()}
+    docs = {i: t for i, t in texts(documents).items() if i in good}
+    groups = brute_groups(docs)
+    docs = {i: t for i, t in docs.items() if groups[i][0] == i}
+    bad = {r.doc_id for r in decontaminate.search(documents, benchmark).where("contaminated").collect()}
+    docs = {i: t for i, t in docs.items() if i not in bad}
+    packed = cp.run(spark, SF).toPandas()
+    assert set(packed.doc_id) == {i for i, t in docs.items() if t.split()}
+    for _, stage in cp.STAGES[:-1]:
+        assert stage(spark, documents, SF).columns == documents.columns

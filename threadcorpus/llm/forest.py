@@ -368,8 +368,9 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each group: the one whose doc_id names the class; columns stay.
 
-    Rows without words all stay, as do rows of a null doc_id in a class
-    without another id; a row repeated with all its columns stays once.
+    Rows without words all stay; rows of a null doc_id count as one document
+    and stay if one of them has no class with another id; a row repeated with
+    all its columns stays once.
     """
     kept = join(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"))
     kept = kept.distinct()

@@ -330,6 +330,8 @@ def repeats(texts: list[bytes], doc: np.ndarray, start: np.ndarray, shards: int
 
 def _spans(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows joined to spans: document, start, end."""
+    if not len(doc):
+        return doc, at.astype(np.int32), at.astype(np.int32)
     order = np.lexsort((at, doc))
     doc, at = doc[order], at[order]
     new = np.ones(len(doc), bool)
