@@ -116,8 +116,8 @@ def decode_entities(c) -> Column:
 
     def piece(p: Column) -> Column:
         is_hex = p.startswith("&#x") | p.startswith("&#X")
-        digits = F.substring(p, 3, F.length(p) - 3)
-        hexdigits = F.substring(p, 4, F.length(p) - 4)
+        digits = F.regexp_replace(F.substring(p, 3, F.length(p) - 3), "^0+(?=.)", "")
+        hexdigits = F.regexp_replace(F.substring(p, 4, F.length(p) - 4), "^0+(?=.)", "")
         dec_cp = F.when(F.length(digits) <= 8, digits.cast("bigint")).otherwise(F.lit(-1))
         hex_cp = F.when(F.length(hexdigits) <= 7, F.conv(hexdigits, 16, 10).cast("bigint")).otherwise(F.lit(-1))
         named = F.try_element_at(entities, F.substring(p, 2, F.length(p)))

@@ -14,13 +14,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import is_too_short, sanitize, words
 from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, checked_join
+from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import materialize
 
 # Fixed values of the labelling rules.
@@ -230,26 +230,37 @@ def train_language_model(labelled: DataFrame, langs: Sequence[str], text_col: st
                          min_docs: int = LEXICON_MIN_DOCS) -> LanguageModel:
     """Build lexicon index and n-gram profile from labelled text.
 
-    The training input is read once and kept (memory, spilling to disk) while
-    both models are built from it.
+    Texts are dealt by id once for each of the models built from them.
     """
-    docs = labelled.select(id_col, lang_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lexicon = build_lexicon(docs, text_col, lang_col, id_col, min_docs)
-        index = lexicon_index(lexicon, langs)
-        profile = train_langid(docs, text_col, lang_col)
-    finally:
-        docs.unpersist()
+    docs = labelled.select(id_col, lang_col, text_col).repartition(id_col)
+    lexicon = build_lexicon(docs, text_col, lang_col, id_col, min_docs)
+    index = lexicon_index(lexicon, langs)
+    profile = train_langid(docs, text_col, lang_col)
     return LanguageModel(index=index, profile=profile, langs=list(langs), index_rows=index.count())
 
 
-def _prepared(posts: DataFrame, id_col: str, body_col: str) -> DataFrame:
-    return posts.select(F.col(id_col).alias("_pid"), sanitize(F.col(body_col)).alias("clean")) \
-        .withColumn("short", is_too_short(F.col("clean")))
+def _key(id_col: str | Sequence[str]):
+    """One column that identifies a post: a column, or several as a struct."""
+    return F.col(id_col) if isinstance(id_col, str) else F.struct(*id_col)
+
+
+def _columns(id_col: str | Sequence[str]) -> list:
+    return [F.col("_pid").alias(id_col)] if isinstance(id_col, str) else [F.col(f"_pid.{c}") for c in id_col]
+
+
+def _prepared(posts: DataFrame, id_col: str | Sequence[str], body_col: str) -> DataFrame:
+    """Sanitized texts by key: one shuffle of the text, whose layout the aggregations and joins by key reuse."""
+    return posts.select(_key(id_col).alias("_pid"), sanitize(F.col(body_col)).alias("clean")) \
+        .withColumn("short", is_too_short(F.col("clean"))).repartition("_pid")
+
+
+def one_each(posts: DataFrame, keys: Sequence[str] = ("kind", "id")) -> DataFrame:
+    """One copy of every post (the least), so that labels can be joined back to all copies."""
+    return keep_first(posts, list(keys), [])
 
 
 def label_single(posts: DataFrame, model: LanguageModel, target: str = "de", reference: str = "en",
-                 id_col: str = "id", body_col: str = "body") -> DataFrame:
+                 id_col: str | Sequence[str] = "id", body_col: str = "body") -> DataFrame:
     """One-target rule: ``(id, label)`` with label NULL (too short), true or false.
 
     True iff the post has words, its ``reference`` error rate is over 0.3, its
@@ -265,11 +276,11 @@ def label_single(posts: DataFrame, model: LanguageModel, target: str = "de", ref
     labelled = prepared.join(lid, "_pid", "left")
     label = F.when(F.col("short"), F.lit(None).cast("boolean")) \
         .otherwise(F.coalesce(F.col("langid") == F.lit(target), F.lit(False)))
-    return labelled.select(F.col("_pid").alias(id_col), label.alias("label"))
+    return labelled.select(*_columns(id_col), label.alias("label"))
 
 
 def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
-                reference: str = "en", id_col: str = "id", body_col: str = "body") -> DataFrame:
+                reference: str = "en", id_col: str | Sequence[str] = "id", body_col: str = "body") -> DataFrame:
     """Many-target rule: ``(id, language)``, language NULL, ``other`` or a target code.
 
     NULL when too short or without words; ``other`` when the reference error
@@ -294,7 +305,7 @@ def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
         .when(F.array_contains(F.col("candidates"), F.col("langid")), F.col("langid"))
         .otherwise(F.lit("other")).alias("language"))
     # Posts that are too short or have no words are absent from ``decided``.
-    return prepared.join(decided, "_pid", "left").select(F.col("_pid").alias(id_col), "language")
+    return prepared.join(decided, "_pid", "left").select(*_columns(id_col), "language")
 
 
 def label_with(posts: DataFrame, fn: Callable[[pd.Series], pd.Series], id_col: str = "id",

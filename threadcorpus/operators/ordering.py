@@ -35,20 +35,23 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(pieces.select("_part", *keys,
                                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    ranked = checked_join(local, offsets, ["_part", *keys], "inner")
+    # A null key is a group like any other, so it is compared as one value with its null flag.
+    name = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
+    ranked = checked_join(local.withColumn("_key", name), offsets.withColumn("_key", name).drop(*keys),
+                          ["_part", "_key"], "inner")
     return ranked.withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint")) \
-        .drop("_part", "_local", "_off")
+        .drop("_part", "_key", "_local", "_off")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """One row per ``keys``: the row smallest by ``order``.
+    """One row per ``keys``: the row smallest by ``order``, then by its other columns.
 
     ``min_by`` is a partial aggregate, so copies are collapsed map-side before
     the shuffle; a key repeated a million times sends one row per map task.
     """
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*_cols(order))).alias("_row"))
+        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*_cols(order), *_cols(rest))).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 

@@ -32,19 +32,20 @@ def entity_frame(spark: SparkSession) -> DataFrame:
 def decode_entities_rows(df: DataFrame, keys: Sequence[str], text_col: str, out_col: str = "decoded") -> DataFrame:
     """P11 + P12 for a table: ``(*keys, out_col)`` with every text decoded in one pass.
 
-    Same result as :func:`threadcorpus.functions.markup.decode_entities`;
-    ``keys`` must identify a row.
+    Same result as :func:`threadcorpus.functions.markup.decode_entities`; one
+    output row for each input row, also where rows share their ``keys``.
     """
-    keys = list(keys)
-    pieces = df.select(*keys, F.posexplode_outer(
+    columns = list(keys)
+    keys = [*columns, "_row"]
+    pieces = df.withColumn("_row", F.monotonically_increasing_id()).select(*keys, F.posexplode_outer(
         F.regexp_extract_all(F.col(text_col), F.lit(ENTITY_PIECES), 0)).alias("_pos", "p"))
     p = F.col("p")
     named = p.startswith("&") & ~p.startswith("&#") & (F.length(p) > 1)
     with_name = pieces.withColumn("name", F.when(named, F.substring(p, 2, F.length(p))))
     joined = with_name.join(F.broadcast(entity_frame(df.sparkSession)), "name", "left")
     is_hex = (p.startswith("&#x") | p.startswith("&#X")) & p.endswith(";")
-    digits = F.substring(p, 3, F.length(p) - 3)
-    hexdigits = F.substring(p, 4, F.length(p) - 4)
+    digits = F.regexp_replace(F.substring(p, 3, F.length(p) - 3), "^0+(?=.)", "")
+    hexdigits = F.regexp_replace(F.substring(p, 4, F.length(p) - 4), "^0+(?=.)", "")
     dec_cp = F.when(F.length(digits) <= 8, digits.cast("bigint")).otherwise(F.lit(-1))
     hex_cp = F.when(F.length(hexdigits) <= 7, F.conv(hexdigits, 16, 10).cast("bigint")).otherwise(F.lit(-1))
     out = (F.when(is_hex, _code_point_text(hex_cp))
@@ -55,7 +56,8 @@ def decode_entities_rows(df: DataFrame, keys: Sequence[str], text_col: str, out_
            .otherwise(p))
     decoded = joined.select(*keys, F.struct("_pos", out.alias("o")).alias("_piece"))
     ordered = F.array_sort(F.collect_list("_piece"))
-    return decoded.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["o"]), "").alias(out_col))
+    joined = decoded.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["o"]), "").alias(out_col))
+    return joined.select(*columns, out_col)
 
 
 def render_posts(posts: DataFrame, id_col: str = "id", body_col: str = "body") -> DataFrame:

@@ -660,13 +660,13 @@ def q_parse_posts(spark, sf_dir):
     return subs.unionByName(coms).select(*PARSED_COLS)
 
 
-BATCH_VIEW = """SELECT DISTINCT concat('/dumps/comments/RC_', month, '-', subreddit, '.ldjson.gz') AS file_name FROM {meta}"""
+BATCH_VIEW = """SELECT DISTINCT concat('/dumps/', CASE WHEN length(subreddit) % 2 = 0 THEN 'comments/RC_' ELSE 'submissions/RS_' END, month, '.', subreddit, '.zst') AS file_name FROM {meta}"""
 
 
 @register("batch_keys", with_ctes(("posts",)) + f"""
 , m AS (SELECT {O.month('created_utc')} AS month, subreddit FROM posts),
 f AS ({BATCH_VIEW.format(meta='m')})
-SELECT file_name, regexp_extract(file_name, '(RC.+)-', 1) AS batch,
+SELECT file_name, regexp_extract(file_name, '(R[CS]_[0-9]{{4}}-[0-9]{{2}})', 1) AS batch,
        regexp_replace(regexp_extract(file_name, '([^/]+)$', 1), '\\.[^.]+$', '') AS base
 FROM f""")
 def q_batch_keys(spark, sf_dir):
@@ -688,11 +688,11 @@ def q_stream_labels(spark, sf_dir):
     posts = fixture(spark, sf_dir, "posts")
     lines = posts.select(F.to_json(F.struct("id", "body", "link_id", "subreddit", "subreddit_id",
                                             "created_utc")).alias("value"))
-    lines.write.text(os.path.join(base, "in"))
+    lines.repartition(3).write.text(os.path.join(base, "in"))
     q = ST.label_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
                         language_model(spark, sf_dir), TARGET_LANGS, os.path.join(base, "state"))
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out")).select("id", "language")
+    return spark.read.parquet(os.path.join(base, "out", "labels")).select("id", "language")
 
 
 @register("stream_monthly_share", with_ctes(("posts",), MODEL, SINGLE, META, MONTHLY) + "\nSELECT * FROM monthly")
@@ -701,24 +701,24 @@ def q_stream_monthly_share(spark, sf_dir):
     from threadcorpus.streaming import stream as ST
     base = ST.work_dir(spark, "shares")
     meta = label_meta(spark, sf_dir).select("id", "subreddit", "created_utc", "label")
-    meta.write.parquet(os.path.join(base, "in"))
-    source = spark.readStream.schema(meta.schema).parquet(os.path.join(base, "in"))
+    meta.repartition(3).write.parquet(os.path.join(base, "in"))
+    source = spark.readStream.schema(meta.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
     q = ST.write_snapshot(ST.community_counts(source), os.path.join(base, "out"), os.path.join(base, "state"))
     q.awaitTermination()
-    return ST.share_of(spark.read.parquet(os.path.join(base, "out"))).select(
+    return ST.share_of(ST.latest_snapshot(spark, os.path.join(base, "out"))).select(
         "month", "subreddit", "n", "total", "prop")
 
 
 @register("stream_dedup", with_ctes(("posts_conv_dup",)) + """
 SELECT DISTINCT kind, id, link_id FROM posts_conv_dup""")
 def q_stream_dedup(spark, sf_dir):
-    """Repeated posts dropped from an arriving stream within a one-day watermark."""
+    """Repeated posts dropped from files that arrive one by one, the newest months first."""
     from threadcorpus.streaming import stream as ST
     base = ST.work_dir(spark, "dedup")
     posts = fixture(spark, sf_dir, "posts_conv_dup").select("kind", "id", "link_id", "created_utc")
-    posts.write.parquet(os.path.join(base, "in"))
-    source = spark.readStream.schema(posts.schema).parquet(os.path.join(base, "in"))
-    q = ST.append_to(ST.dedup_stream(source), os.path.join(base, "out"), os.path.join(base, "state"))
+    posts.repartitionByRange(3, F.desc("created_utc")).write.parquet(os.path.join(base, "in"))
+    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+    q = ST.dedup_stream(source, os.path.join(base, "out"), os.path.join(base, "state"))
     q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out")).select("kind", "id", "link_id")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadcorpus.functions.text import epoch_month
-from threadcorpus.operators.lang import LanguageModel, label_multi, label_single, train_language_model
+from threadcorpus.operators.lang import LanguageModel, label_multi, label_single, one_each, train_language_model
 from threadcorpus.plans.fixtures import REFERENCE_LANG, SINGLE_TARGET, TARGET_LANGS, fixture
 from threadcorpus.session import materialize, read_table
 
@@ -45,13 +45,19 @@ def single_labels(spark: SparkSession, sf_dir: str, posts: DataFrame | None = No
     return label_single(posts, language_model(spark, sf_dir), SINGLE_TARGET, REFERENCE_LANG)
 
 
+def keyed_single_labels(spark: SparkSession, sf_dir: str, posts: DataFrame) -> DataFrame:
+    """One label for each post, whatever its number of copies: ``(kind, id, label)``."""
+    return label_single(one_each(posts.select("kind", "id", "body")), language_model(spark, sf_dir),
+                        SINGLE_TARGET, REFERENCE_LANG, id_col=["kind", "id"])
+
+
 def label_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label meta rows ``(id, subreddit, link_id, created_utc, month, label)`` of ``posts`` (stage output)."""
     def build() -> DataFrame:
         posts = fixture(spark, sf_dir, "posts")
-        labels = single_labels(spark, sf_dir, posts)
-        return posts.select("id", "subreddit", "link_id", "created_utc",
-                            epoch_month(F.col("created_utc")).alias("month")).join(labels, "id")
+        labels = keyed_single_labels(spark, sf_dir, posts)
+        return posts.select("kind", "id", "subreddit", "link_id", "created_utc",
+                            epoch_month(F.col("created_utc")).alias("month")).join(labels, ["kind", "id"]).drop("kind")
     return _stage(spark, sf_dir, "label_meta", build)
 
 
@@ -59,7 +65,7 @@ def multi_meta(spark: SparkSession, sf_dir: str, name: str = "posts_conv") -> Da
     """Post meta rows of a thread fixture with the many-language label ``language`` (stage output)."""
     def build() -> DataFrame:
         posts = fixture(spark, sf_dir, name)
-        labels = label_multi(posts.select("id", "body").dropDuplicates(["id"]),
-                             language_model(spark, sf_dir), TARGET_LANGS, REFERENCE_LANG)
-        return posts.drop("body").join(labels, "id", "left")
+        labels = label_multi(one_each(posts.select("kind", "id", "body")), language_model(spark, sf_dir),
+                             TARGET_LANGS, REFERENCE_LANG, id_col=["kind", "id"])
+        return posts.drop("body").join(labels, ["kind", "id"], "left")
     return _stage(spark, sf_dir, "multi_meta:" + name, build)

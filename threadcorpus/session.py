@@ -48,8 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a fresh folder under the system
-    temporary directory is created.
+    is. When it is unset, a local session gets a fresh folder under the system
+    temporary directory; on a cluster, whose machines do not share that, it is
+    an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="threadcorpus-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -82,21 +85,5 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver tables (``<sf_dir>/<name>.parquet``).
-
-    A file written as a single row group is scanned by a single task; the
-    text jobs then explode every row into tokens or n-grams inside that one
-    task. When the scan has fewer splits than the cluster has cores, rows are
-    spread round-robin over ``defaultParallelism`` partitions first. Large
-    inputs already scan in many splits and are left as they are.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_narrow_scan(df)
-
-
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than the default parallelism."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Read one of the driver tables (``<sf_dir>/<name>.parquet``)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import THREAD_PREFIX
 
-# Codecs by file suffix. Spark's text source decodes these itself;
-# xz is not decoded by it (the bytes come back as text without an error).
+# File suffixes of the codecs that Spark's text source decodes.
 SPARK_CODECS = ("gz", "bz2", "zst")
-PYTHON_CODECS = ("xz",)
-XZ_BATCH_LINES = 10_000
 
 RAW_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -37,58 +33,31 @@ POST_COLUMNS = ["id", "kind", "link_id", "parent_id", "subreddit", "subreddit_id
                 "author", "body", "is_submitter", "permalink", "malformed", "raw"]
 
 
+# Seconds as a number or quoted number, with or without a fraction (which is cut off).
+EPOCH = "try_cast(try_cast(trim(j.created_utc) AS DECIMAL(30, 9)) AS BIGINT)"
+
+
 def codec_of(path: str) -> str:
     """Compression suffix of a path; anything else is an error."""
     suffix = path.rsplit(".", 1)[-1].lower() if "." in path else ""
-    if suffix not in SPARK_CODECS + PYTHON_CODECS:
-        raise ValueError(f"compression type not supported: {path}")
+    if suffix not in SPARK_CODECS:
+        raise ValueError(f"no reader for this file's suffix: {path}")
     return suffix
 
 
-def _xz_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import lzma
-
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        for path in pdf["path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(path)
-            with filesystem.open_input_stream(inner) as raw, lzma.open(raw, "rt", encoding="utf-8") as f:
-                buf: list[str] = []
-                for line in f:
-                    buf.append(line.rstrip("\n"))
-                    if len(buf) >= XZ_BATCH_LINES:
-                        yield pd.DataFrame({"value": buf, "file_path": path})
-                        buf = []
-                if buf:
-                    yield pd.DataFrame({"value": buf, "file_path": path})
-
-
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of compressed files as ``(value, file_path)``; codec chosen by suffix.
 
     gz, bz2 and zst files are read by Spark's text source (bz2 splits, the
-    others are one task per file); xz files are streamed by ``mapInPandas``,
-    one file at a time, in batches of lines. Other suffixes raise ValueError.
+    others are one task per file). Other suffixes raise ValueError; xz files
+    are to be recompressed first, as Spark has no codec for them.
     """
     paths = list(paths)
-    by_codec = {p: codec_of(p) for p in paths}
-    native = [p for p, c in by_codec.items() if c in SPARK_CODECS]
-    xz = [p for p, c in by_codec.items() if c in PYTHON_CODECS]
-    frames = []
-    if native:
-        frames.append(spark.read.text(native).select(
-            "value", F.col("_metadata.file_path").alias("file_path")))
-    if xz:
-        files = spark.read.format("binaryFile").load(xz).select("path")
-        files = files.repartition(max(1, len(xz)))
-        frames.append(files.mapInPandas(_xz_lines, "value string, file_path string"))
-    if not frames:
+    if not paths:
         raise ValueError("no input paths")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    for path in paths:
+        codec_of(path)
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
 def parse_posts(lines: DataFrame, kind: str) -> DataFrame:
@@ -97,7 +66,8 @@ def parse_posts(lines: DataFrame, kind: str) -> DataFrame:
     ``kind`` is ``comment`` or ``submission``. Submissions take their text from
     ``selftext``, their thread key is ``t3_<id>`` and their parent ``None``;
     absent ``parent_id`` becomes ``None``, absent ``is_submitter``/``permalink``
-    the empty string. ``created_utc`` accepts numbers and quoted numbers.
+    the empty string. ``created_utc`` accepts numbers and quoted numbers; a
+    value that is neither flags the line as malformed.
     """
     if kind not in ("comment", "submission"):
         raise ValueError(f"unknown post kind {kind!r}")
@@ -116,10 +86,11 @@ def parse_posts(lines: DataFrame, kind: str) -> DataFrame:
     return parsed.select(
         j["id"].alias("id"), F.lit(kind).alias("kind"), link_id.alias("link_id"), parent.alias("parent_id"),
         j["subreddit"].alias("subreddit"), j["subreddit_id"].alias("subreddit_id"),
-        F.expr("try_cast(trim(j.created_utc) AS BIGINT)").alias("created_utc"),
+        F.expr(EPOCH).alias("created_utc"),
         j["author"].alias("author"), body.alias("body"), submitter.alias("is_submitter"),
         F.coalesce(j["permalink"], F.lit("")).alias("permalink"),
-        (j["_corrupt_record"].isNotNull() | j.isNull()).alias("malformed"), "raw", *extra)
+        (j["_corrupt_record"].isNotNull() | j.isNull()
+         | (j["created_utc"].isNotNull() & F.expr(EPOCH).isNull())).alias("malformed"), "raw", *extra)
 
 
 def read_posts(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -139,12 +110,12 @@ POST_META_SCHEMA = ("id STRING, submission BOOLEAN, language STRING, created_utc
 
 def read_lang_meta(spark: SparkSession, path) -> DataFrame:
     """S3: headerless 3-column label TSV; ``None`` is a missing label."""
-    return spark.read.csv(path, sep="\t", schema=LANG_META_SCHEMA, nullValue="None", header=False)
+    return spark.read.csv(path, sep="\t", quote="", schema=LANG_META_SCHEMA, nullValue="None", header=False)
 
 
 def read_post_meta(spark: SparkSession, path) -> DataFrame:
     """8-column post meta TSV with header (``None`` read as NULL)."""
-    return spark.read.csv(path, sep="\t", schema=POST_META_SCHEMA, nullValue="None", header=True)
+    return spark.read.csv(path, sep="\t", quote="", schema=POST_META_SCHEMA, nullValue="None", header=True)
 
 
 def read_subreddit_stats(spark: SparkSession, path) -> DataFrame:
@@ -158,37 +129,59 @@ def read_keys(spark: SparkSession, path, col: str | None = None) -> DataFrame:
     """Distinct keys from an id list (one per line) or the ``col`` column of a header TSV."""
     if col is None:
         return spark.read.text(path).select(F.trim("value").alias("id")).where(F.col("id") != "").distinct()
-    return spark.read.csv(path, sep="\t", header=True).select(col).distinct()
+    return spark.read.csv(path, sep="\t", quote="", header=True).select(col).distinct()
 
 
 def read_threads(spark: SparkSession, path, comment_schema: T.StructType | None = None) -> DataFrame:
-    """One JSON array of comments per line -> one row per comment with ``pos``."""
+    """One JSON array of comments per line -> one row per comment with ``pos``.
+
+    Lines that are no such array are in :func:`thread_rejects`.
+    """
     schema = T.ArrayType(comment_schema or RAW_SCHEMA)
     arrays = spark.read.text(path).select(F.from_json("value", schema).alias("thread"))
     return arrays.select(F.posexplode("thread").alias("pos", "c")).select("pos", "c.*")
 
 
+def thread_rejects(spark: SparkSession, path) -> DataFrame:
+    """Lines of a thread file that :func:`read_threads` cannot parse: ``(value)``."""
+    parsed = spark.read.text(path).select("value", F.from_json("value", T.ArrayType(RAW_SCHEMA)).alias("thread"))
+    return parsed.where(F.col("thread").isNull() & (F.trim("value") != "")).select("value")
+
+
 ATTRIBUTE = r'([A-Za-z_][A-Za-z0-9_]*)="([^"]*)"'
 
 
+def unescape_attr(value: Column) -> Column:
+    """Undo the escaping of attribute values (``&amp;`` last, so nothing is unescaped twice)."""
+    for name, char in (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        value = F.replace(value, F.lit(name), F.lit(char))
+    return value
+
+
 def region_attributes(tag: Column) -> Column:
-    """Attributes of an opening tag as a map."""
+    """Attributes of an opening tag as a map, their values unescaped."""
     return F.map_from_arrays(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1),
-                             F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2))
+                             F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2), unescape_attr))
+
+
+def content_lines(lines) -> Column:
+    """Lines between two tags: without the empty rest that stands before the closing tag."""
+    lines = F.col(lines) if isinstance(lines, str) else lines
+    return F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
 
 
 def read_regions(spark: SparkSession, path, level: str) -> DataFrame:
     """Regions ``<level ...>`` ... ``</level>`` of a vertical file as ``(attrs, lines)``.
 
     Records are split on the closing tag, so a region never straddles two
-    rows; ``lines`` are the content lines between the tags.
+    rows; ``lines`` are the content lines between the tags, blank ones (which
+    end sentences) included.
     """
-    records = spark.read.option("lineSep", f"</{level}>\n").text(path)
+    records = spark.read.option("lineSep", f"</{level}>").text(path)
     opened = records.select(F.regexp_extract("value", f"(<{level}[ >][^\\n]*)", 1).alias("tag"),
                             F.split(F.regexp_replace("value", f"(?s)^.*?<{level}[ >][^\\n]*\\n", ""), "\n")
                             .alias("lines")).where(F.col("tag") != "")
-    return opened.select(region_attributes(F.col("tag")).alias("attrs"),
-                         F.filter("lines", lambda x: x != F.lit("")).alias("lines"))
+    return opened.select(region_attributes(F.col("tag")).alias("attrs"), content_lines("lines").alias("lines"))
 
 
 def nested_regions(regions: DataFrame, level: str) -> DataFrame:
@@ -201,19 +194,23 @@ def nested_regions(regions: DataFrame, level: str) -> DataFrame:
                             F.regexp_replace("chunk", f"(?s)^.*?<{level}[ >][^\\n]*\\n?", "").alias("body"))
     return inner.where(F.col("tag") != "").select(
         "outer", "pos", region_attributes(F.col("tag")).alias("attrs"),
-        F.filter(F.split("body", "\n"), lambda x: x != F.lit("")).alias("lines"))
+        content_lines(F.split("body", "\n")).alias("lines"))
 
 
 def read_metadata(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
-    """S9 + P16: metadata table, every column a string, missing values ``NA``."""
-    df = spark.read.csv(path, sep=sep, header=True, inferSchema=False)
+    """S9 + P16: metadata table, every column a string, missing values ``NA``.
+
+    Tab-separated tables are written without quotes and read so.
+    """
+    quote = "" if sep == "\t" else '"'
+    df = spark.read.csv(path, sep=sep, quote=quote, header=True, inferSchema=False)
     return df.na.fill("NA")
 
 
 def batch_key(file_name) -> Column:
-    """Batch (month) key of a file name: from ``RC`` up to the last ``-``."""
+    """Batch (month) key of a dump's file name, of either kind: ``RC_yyyy-mm`` or ``RS_yyyy-mm``."""
     c = F.col(file_name) if isinstance(file_name, str) else file_name
-    return F.regexp_extract(c, r"(RC.+)-", 1)
+    return F.regexp_extract(c, r"(R[CS]_[0-9]{4}-[0-9]{2})", 1)
 
 
 def base_name(path) -> Column:

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadcorpus.functions.text import epoch_month, epoch_timestamp
-from threadcorpus.operators.lang import LanguageModel, label_multi
+from threadcorpus.functions.text import epoch_month
+from threadcorpus.operators.lang import LanguageModel, label_multi, one_each
+from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import checkpoint_dir
 from threadcorpus.sources.readers import parse_posts
 
@@ -27,20 +28,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def label_stream(spark: SparkSession, source: str, sink: str, model: LanguageModel,
-                 targets, checkpoint: str, kind: str = "comment") -> StreamingQuery:
+                 targets, checkpoint: str, kind: str = "comment", files_per_batch: int = 1) -> StreamingQuery:
     """Label JSON-line files as they arrive; labels are appended as parquet.
 
     Each micro-batch runs the batch labeller unchanged (``foreachBatch``): the
     lexicon and n-gram joins and per-post aggregations need the whole batch.
-    Writing is idempotent per batch id, so a retried batch does not duplicate.
+    A post is labelled once per batch and the label joined to all its copies,
+    keyed by kind and id. Malformed lines go to ``<sink>/rejects``, labels to
+    ``<sink>/labels``. Writing is idempotent per batch id, so a retried batch
+    does not duplicate.
     """
-    lines = spark.readStream.format("text").load(source)
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(source)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        posts = parse_posts(batch, kind).where(~F.col("malformed"))
-        labels = label_multi(posts.select("id", "body"), model, targets)
-        out = posts.select("id", "subreddit", "created_utc").join(labels, "id", "left")
-        out.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+        parsed = parse_posts(batch, kind)
+        parsed.where("malformed").select("raw").write.mode("overwrite").text(
+            os.path.join(sink, "rejects", f"batch={batch_id}"))
+        posts = parsed.where(~F.col("malformed"))
+        keys = ["kind", "id"]
+        labels = label_multi(one_each(posts.select(*keys, "body")), model, targets, id_col=keys)
+        out = posts.select(*keys, "subreddit", "created_utc").join(labels, keys, "left")
+        out.write.mode("overwrite").parquet(os.path.join(sink, "labels", f"batch={batch_id}"))
 
     return (lines.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -59,20 +67,42 @@ def share_of(counts: DataFrame) -> DataFrame:
 
 
 def write_snapshot(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest full result of a streaming aggregation as a parquet table."""
+    """Write the full result of a streaming aggregation after every batch, each to a folder of its own.
+
+    :func:`latest_snapshot` reads the last one that was written whole.
+    """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(
+            os.path.join(sink, f"version={batch_id}"))
 
     return (stream.writeStream.outputMode("complete").foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def dedup_stream(posts: DataFrame, keys=("kind", "id"), time_col: str = "created_utc",
-                 delay: str = "1 day") -> DataFrame:
-    """Drop repeated posts whose copies arrive within ``delay`` of each other (event time)."""
-    timed = posts.withColumn("_event_time", epoch_timestamp(F.col(time_col)))
-    return (timed.withWatermark("_event_time", delay)
-            .dropDuplicatesWithinWatermark(list(keys)).drop("_event_time"))
+def latest_snapshot(spark: SparkSession, sink: str) -> DataFrame:
+    """The result of the last batch that :func:`write_snapshot` completed."""
+    versions = spark.read.parquet(sink)
+    last = versions.agg(F.max("_batch")).first()[0]
+    return versions.where(F.col("_batch") == F.lit(last)).drop("_batch", "version")
+
+
+def dedup_stream(posts: DataFrame, sink: str, checkpoint: str, keys=("kind", "id")) -> StreamingQuery:
+    """Append the first copy of every post, however late its other copies arrive.
+
+    Each micro-batch is reduced to one row per key and held against what
+    earlier batches wrote, so a post of an old month is kept as long as it is
+    new. A retried batch replaces its own folder.
+    """
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = keep_first(batch, list(keys), [])
+        written = spark.read.schema(batch.schema.add("batch", "long")).parquet(sink) if batch_id else None
+        if written is not None:
+            fresh = fresh.join(written.where(F.col("batch") != batch_id).select(*keys), list(keys), "left_anti")
+        fresh.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+
+    return (posts.writeStream.foreachBatch(per_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def append_to(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
