@@ -344,9 +344,11 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, label: Callable[[str], list[S
 
     Without such a text the network stays unfitted and tags nothing.
     """
-    rows = docs.select(text_of().alias("text")).where(F.col("text").rlike("[0-9@]")) \
+    texts = docs.select(text_of().alias("text")).where(F.col("text").rlike("[0-9@]")) \
         .select("text", F.xxhash64("text").alias("h"))
-    rows = rows.dropDuplicates(["h"]).orderBy("h", "text").limit(fit_rows).toLocalIterator()
+    # The sample is chosen by its hashes alone, of a proven number, before any text moves.
+    chosen = texts.select("h").distinct().orderBy("h").limit(fit_rows)
+    rows = texts.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).orderBy("h").toLocalIterator()
     xs, ys = [], []
     for row in rows:
         chars = encode(row["text"])
