@@ -34,7 +34,7 @@ def test_markdown_blocks(spark):
     html = one(spark, markdown_html("v"), md)
     assert html.split("\n") == [
         "<h1>Head b</h1>", "<blockquote>", "<p>q i</p>", "</blockquote>", "<ul>", "<li>one</li>",
-        "<li>two l</li>", "</ul>", "<ol>", "<li>a</li>", "</ol>", "<pre><code>code &lt;x&gt;</code></pre>",
+        '<li>two <a href="http://x">l</a></li>', "</ul>", "<ol>", "<li>a</li>", "</ol>", "<pre><code>code &lt;x&gt;</code></pre>",
         "<hr/>", "<p>plain s c</p>"]
     types = [b["t"] for b in one(spark, typed_blocks("v"), md)]
     assert types == ["heading", "quote", "list", "list", "code", "rule", "paragraph"]
@@ -53,3 +53,35 @@ def test_table_decoding_equals_column_form(spark):
     col = {r.k: r.d for r in df.select("k", decode_entities("t").alias("d")).collect()}
     rows = {r.k: r.decoded for r in decode_entities_rows(df, ["k"], "t").collect()}
     assert rows == col
+
+
+def test_headings_take_one_line(spark):
+    html = one(spark, markdown_html("v"), "intro\n# Head\nbody text\n## a\n### b\n\n\n\n# c")
+    assert html.split("\n") == ["<p>intro</p>", "<h1>Head</h1>", "<p>body text</p>", "<h2>a</h2>", "<h3>b</h3>",
+                                "<h1>c</h1>"]
+
+
+def test_links_titles_and_spoilers(spark):
+    from threadcorpus.functions.markup import post_html
+    md = '[x](#s "they said "no" (twice)") [t _i_](http://a/b_c_d "w") [u](http://a/?q=1) [open'
+    assert one(spark, post_html("v"), md) == (
+        '<p><a href="#s" title="they said &quot;no&quot; (twice)">x</a> <a href="http://a/b_c_d" title="w">t i</a> '
+        '<a href="http://a/?q=1">u</a> [open</p>')
+    assert one(spark, post_html("v"), '[x](/u "a &quot;b&quot;")') == '<p><a href="/u" title="a \'b\'">x</a></p>'
+
+
+def test_code_spans_and_words_keep_their_marks(spark):
+    assert one(spark, markdown_html("v"), "`a*b*c` _i_ _j_ snake_case_x **b** `") == "<p>a*b*c i j snake_case_x b `</p>"
+
+
+def test_padded_references(spark):
+    assert one(spark, decode_entities("v"), "&#0000000228;&#x000000E4;&#1114112;&#99999999999;") == "ää��"
+
+
+def test_decoding_is_narrow(spark):
+    from threadcorpus.operators.render import decode_entities_rows, render_posts
+    df = spark.createDataFrame([("1", None), ("1", "a"), ("1", "a")], "id string, body string")
+    plan = render_posts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert [r.decoded for r in decode_entities_rows(df, ["id"], "body").collect()] == ["", "a", "a"]
+    assert render_posts(df).count() == 3

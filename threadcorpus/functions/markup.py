@@ -9,6 +9,7 @@ can be restated in other engines.
 from __future__ import annotations
 
 import html.entities
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +24,10 @@ REPLACEMENT_CHAR = "�"
 SPOILER_PIECES = r'<a href="[#/]s" title="[^>]+">|<|[^<]+'
 SPOILER_PREFIX_LEN = len('<a href="#s" title="')
 # Markdown subset: block separators and block types.
-BLOCK_SPLIT = "\n[ \t]*\n"
+BLOCK_SPLIT = "\n[ \t\n]*\n"
+BLANK_START = "^[ \t\n]*\n"
+# A heading is one line, whatever stands before and after it.
+HEADING_LINE = "(^|\n)(#{1,6}[ \t][^\n]*)"
 BLOCK_END = "[ \t\n]+\\z"
 HEADING = r"^#{1,6}[ \t]"
 QUOTE = r"^[ \t]*>"
@@ -40,15 +44,23 @@ STRIP = {
     "list": r"(^|\n)[ \t]*([*+-]|[0-9]+\.)[ \t]+",
 }
 BLOCK_TYPES = ["heading", "rule", "code", "quote", "list"]
-# Inline marks reduced to their text: links, bold, strike-through, italics, code.
+# Pieces of a block: code spans, links (with or without a title), other text.
+INLINE_PIECES = r'`[^`\n]+`|\[[^\]\n]*\]\([^() \t\n"]*([ \t]+"[^\n]*?")?[ \t]*\)|[`\[]|[^`\[]+'
+# Text, address and title of a link (groups 1, 2 and 4).
+LINK = r'^\[([^\]\n]*)\]\(([^() \t\n"]*)([ \t]+"([^\n]*)")?[ \t]*\)\z'
+# Inline marks reduced to their text: bold, strike-through, italics, code.
 INLINE_MARKS = [
-    (r"\[([^\]]*)\]\([^)]*\)", 1),
-    (r"\*\*([^*]+)\*\*", 1),
-    (r"__([^_]+)__", 1),
-    (r"~~([^~]+)~~", 1),
-    (r"\*([^*]+)\*", 1),
-    (r"`([^`]+)`", 1),
+    (r"\*\*([^*]+)\*\*", "$1"),
+    (r"__([^_]+)__", "$1"),
+    (r"~~([^~]+)~~", "$1"),
+    (r"\*([^*]+)\*", "$1"),
+    (r"`([^`]+)`", "$1"),
 ]
+# Italics by underscores, never inside a word. A match takes the character after
+# it, so a second pass finds the marks that follow at once.
+UNDERSCORED = r"(^|[^\p{L}\p{N}_])_([^_\n]+)_(\z|[^\p{L}\p{N}_])"
+# Marks inside code spans and link tags stand as noncharacters while the others are removed.
+MARKS, SHIELDED = "*_~`", "\ufdd0\ufdd1\ufdd2\ufdd3"
 
 
 def _col(c) -> Column:
@@ -87,10 +99,11 @@ def entity_table() -> dict[str, str]:
 
 
 def _entity_map() -> Column:
-    table = entity_table()
-    names = sorted(table)
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
-                             F.array(*[F.lit(table[n]) for n in names]))
+    """Entity table as a constant map of maps, keyed by a name's first letter and the name."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, chars in entity_table().items():
+        by_letter.setdefault(name[0], {})[name] = chars
+    return F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
 
 
 def _code_point_text(cp: Column) -> Column:
@@ -111,8 +124,9 @@ def decode_entities(c) -> Column:
     become their characters; unknown names and bare ``&`` get their ``&``
     escaped. Text produced by a replacement is never decoded again.
     """
+    c = _col(c)
     entities = _entity_map()
-    pieces = F.regexp_extract_all(_col(c), F.lit(ENTITY_PIECES), 0)
+    pieces = F.regexp_extract_all(c, F.lit(ENTITY_PIECES), 0)
 
     def piece(p: Column) -> Column:
         is_hex = p.startswith("&#x") | p.startswith("&#X")
@@ -120,7 +134,7 @@ def decode_entities(c) -> Column:
         hexdigits = F.regexp_replace(F.substring(p, 4, F.length(p) - 4), "^0+(?=.)", "")
         dec_cp = F.when(F.length(digits) <= 8, digits.cast("bigint")).otherwise(F.lit(-1))
         hex_cp = F.when(F.length(hexdigits) <= 7, F.conv(hexdigits, 16, 10).cast("bigint")).otherwise(F.lit(-1))
-        named = F.try_element_at(entities, F.substring(p, 2, F.length(p)))
+        named = F.try_element_at(F.try_element_at(entities, F.substring(p, 2, 1)), F.substring(p, 2, F.length(p)))
         return (F.when(is_hex & p.endswith(";"), _code_point_text(hex_cp))
                 .when(p.startswith("&#") & p.endswith(";"), _code_point_text(dec_cp))
                 .when(p.startswith("&") & (F.length(p) > 1),
@@ -128,7 +142,7 @@ def decode_entities(c) -> Column:
                 .when(p == F.lit("&"), F.lit("&amp;"))
                 .otherwise(p))
 
-    return F.array_join(F.transform(pieces, piece), "")
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
 def escape_spoilers(c) -> Column:
@@ -148,12 +162,41 @@ def escape_spoilers(c) -> Column:
 
 # ------------------------------------------------------------ markdown subset
 
-def inline_text(c) -> Column:
-    """Reduce inline marks (links, bold, italics, strike-through, code) to their text."""
+def _attr(c: Column) -> Column:
+    """A value for a quoted attribute that entity decoding cannot close."""
+    return F.regexp_replace(c, '"|&(quot|QUOT);?', "'")
+
+
+def _link_tag(p: Column) -> Column:
+    """Opening ``<a>`` tag of a link; spoiler titles keep their quotes for :func:`escape_spoilers`."""
+    url, title = F.regexp_extract(p, LINK, 2), F.regexp_extract(p, LINK, 4)
+    title = F.when(url.isin("#s", "/s"), title).otherwise(_attr(title))
+    with_title = F.when(title == "", F.lit("")).otherwise(F.concat(F.lit('" title="'), title))
+    return F.concat(F.lit('<a href="'), _attr(url), with_title, F.lit('">'))
+
+
+def inline_text(c, links: bool = False) -> Column:
+    """Inline marks (links, bold, italics, strike-through, code) reduced to their text.
+
+    With ``links``, links become ``<a href title>`` elements instead. Code
+    spans and addresses keep the marks they hold.
+    """
     c = F.replace(F.replace(_col(c), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    for pattern, group in INLINE_MARKS:
-        c = F.regexp_replace(c, pattern, f"${group}")
-    return c
+
+    def shield(x: Column) -> Column:
+        return F.translate(x, MARKS, SHIELDED)
+
+    def piece(p: Column) -> Column:
+        text = F.regexp_extract(p, LINK, 1)
+        link = F.concat(shield(_link_tag(p)), text, F.lit("</a>")) if links else text
+        return (F.when(p.startswith("`") & (F.length(p) > 2), shield(F.substring(p, 2, F.length(p) - 2)))
+                .when(p.startswith("[") & (F.length(p) > 1), link).otherwise(p))
+
+    c = F.when(c.contains("[") | c.contains("`"),
+               F.array_join(F.transform(F.regexp_extract_all(c, F.lit(INLINE_PIECES), F.lit(0)), piece), "")).otherwise(c)
+    for pattern, text in [*INLINE_MARKS, (UNDERSCORED, "$1$2$3"), (UNDERSCORED, "$1$2$3")]:
+        c = F.regexp_replace(c, pattern, text)
+    return F.translate(c, SHIELDED, MARKS)
 
 
 def block_type(b: Column) -> Column:
@@ -166,14 +209,15 @@ def block_type(b: Column) -> Column:
 
 
 def blocks(c) -> Column:
-    """Non-blank blocks of a text separated by blank lines (``\\r`` removed)."""
-    text = F.replace(_col(c), F.lit("\r"), F.lit(""))
+    """Non-blank blocks of a text separated by blank lines (``\\r`` removed), each heading line one of them."""
+    text = F.regexp_replace(F.replace(_col(c), F.lit("\r"), F.lit("")), HEADING_LINE, "$1\n$2\n")
+    text = F.regexp_replace(text, BLANK_START, "")
     trimmed = F.transform(F.split(text, BLOCK_SPLIT), lambda b: F.regexp_replace(b, BLOCK_END, ""))
     return F.filter(trimmed, lambda b: F.trim(b) != F.lit(""))
 
 
-def block_text(b: Column, t: Column) -> Column:
-    """Plain text of a block of type ``t``: block marks removed, inline marks reduced."""
+def block_text(b: Column, t: Column, links: bool = False) -> Column:
+    """Text of a block of type ``t``: block marks removed, inline marks as in :func:`inline_text`."""
     stripped = (F.when(t == "heading", F.regexp_replace(b, STRIP["heading"], "$1"))
                 .when(t == "quote", F.regexp_replace(b, STRIP["quote"], "$1"))
                 .when(t == "code", F.regexp_replace(b, STRIP["code"], "$1"))
@@ -181,17 +225,17 @@ def block_text(b: Column, t: Column) -> Column:
                 .when(t == "rule", F.lit(""))
                 .otherwise(b))
     return F.when(t == "code", F.replace(F.replace(stripped, F.lit("<"), F.lit("&lt;")),
-                                         F.lit(">"), F.lit("&gt;"))).otherwise(inline_text(stripped))
+                                         F.lit(">"), F.lit("&gt;"))).otherwise(inline_text(stripped, links))
 
 
-def typed_blocks(c) -> Column:
-    """Blocks of a text as ``struct(b, t, text)``: raw block, type and plain text.
+def typed_blocks(c, links: bool = False) -> Column:
+    """Blocks of a text as ``struct(b, t, text)``: raw block, type and text.
 
     Type and text are computed once per block (successive ``transform`` steps).
     """
     typed = F.transform(blocks(c), lambda b: F.struct(b.alias("b"), block_type(b).alias("t")))
     return F.transform(typed, lambda x: F.struct(x["b"].alias("b"), x["t"].alias("t"),
-                                                 block_text(x["b"], x["t"]).alias("text")))
+                                                 block_text(x["b"], x["t"], links).alias("text")))
 
 
 def render_block(x: Column) -> Column:
@@ -211,7 +255,7 @@ def render_block(x: Column) -> Column:
 
 def markdown_html(c) -> Column:
     """Markdown subset to HTML, one line per block."""
-    return F.array_join(F.transform(typed_blocks(c), render_block), "\n")
+    return F.array_join(F.transform(typed_blocks(c, links=True), render_block), "\n")
 
 
 def post_html(c) -> Column:

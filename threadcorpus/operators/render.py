@@ -1,68 +1,21 @@
-"""Entity decoding and XML rendering of whole post tables.
-
-The column form in :mod:`threadcorpus.functions.markup` looks named
-references up in a 2,231-entry map literal inside an array lambda, a linear
-scan per reference. For tables, references are looked up by a broadcast hash
-join against the entity table instead (a fixed 2,231 rows), and the decoded
-pieces of each text are put back together in order. A group is the pieces of
-one text, so its size is bounded by the longest text, not by the data.
-"""
+"""Entity decoding and XML rendering of whole post tables (narrow projections)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadcorpus.functions.markup import (ENTITY_PIECES, _code_point_text, entity_table, escape_spoilers,
-                                           markdown_html, render_text, xml_unescape)
-
-_TABLES: dict[str, DataFrame] = {}
-
-
-def entity_frame(spark: SparkSession) -> DataFrame:
-    """The entity table as a DataFrame ``(name, chars)`` (fixed size)."""
-    key = spark.sparkContext.applicationId
-    if key not in _TABLES:
-        _TABLES[key] = spark.createDataFrame(sorted(entity_table().items()), "name string, chars string")
-    return _TABLES[key]
+from threadcorpus.functions.markup import decode_entities, post_html, render_text
 
 
 def decode_entities_rows(df: DataFrame, keys: Sequence[str], text_col: str, out_col: str = "decoded") -> DataFrame:
-    """P11 + P12 for a table: ``(*keys, out_col)`` with every text decoded in one pass.
-
-    Same result as :func:`threadcorpus.functions.markup.decode_entities`; one
-    output row for each input row, also where rows share their ``keys``.
-    """
-    columns = list(keys)
-    keys = [*columns, "_row"]
-    pieces = df.withColumn("_row", F.monotonically_increasing_id()).select(*keys, F.posexplode_outer(
-        F.regexp_extract_all(F.col(text_col), F.lit(ENTITY_PIECES), 0)).alias("_pos", "p"))
-    p = F.col("p")
-    named = p.startswith("&") & ~p.startswith("&#") & (F.length(p) > 1)
-    with_name = pieces.withColumn("name", F.when(named, F.substring(p, 2, F.length(p))))
-    joined = with_name.join(F.broadcast(entity_frame(df.sparkSession)), "name", "left")
-    is_hex = (p.startswith("&#x") | p.startswith("&#X")) & p.endswith(";")
-    digits = F.regexp_replace(F.substring(p, 3, F.length(p) - 3), "^0+(?=.)", "")
-    hexdigits = F.regexp_replace(F.substring(p, 4, F.length(p) - 4), "^0+(?=.)", "")
-    dec_cp = F.when(F.length(digits) <= 8, digits.cast("bigint")).otherwise(F.lit(-1))
-    hex_cp = F.when(F.length(hexdigits) <= 7, F.conv(hexdigits, 16, 10).cast("bigint")).otherwise(F.lit(-1))
-    out = (F.when(is_hex, _code_point_text(hex_cp))
-           .when(p.startswith("&#") & p.endswith(";"), _code_point_text(dec_cp))
-           .when(p.startswith("&") & (F.length(p) > 1),
-                 F.coalesce(F.col("chars"), F.concat(F.lit("&amp;"), F.substring(p, 2, F.length(p)))))
-           .when(p == F.lit("&"), F.lit("&amp;"))
-           .otherwise(p))
-    decoded = joined.select(*keys, F.struct("_pos", out.alias("o")).alias("_piece"))
-    ordered = F.array_sort(F.collect_list("_piece"))
-    joined = decoded.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["o"]), "").alias(out_col))
-    return joined.select(*columns, out_col)
+    """P11 + P12 for a table: ``(*keys, out_col)``, one row for each input row; a NULL text is empty."""
+    return df.select(*keys, decode_entities(F.coalesce(F.col(text_col), F.lit(""))).alias(out_col))
 
 
 def render_posts(posts: DataFrame, id_col: str = "id", body_col: str = "body") -> DataFrame:
-    """X2 + P10-P14 for a table: ``(id, xml)``, every post as a ``<text>`` element."""
-    html = posts.select(F.col(id_col).alias("_id"), markdown_html(xml_unescape(F.col(body_col))).alias("_html"))
-    decoded = decode_entities_rows(html, ["_id"], "_html", "_dec")
-    return decoded.select(F.col("_id").alias(id_col),
-                          render_text(F.col("_id"), escape_spoilers(F.col("_dec"))).alias("xml"))
+    """X2 + P10-P14 for a table: ``(id, xml)``, every post as a ``<text>`` element; a NULL body is empty."""
+    body = F.coalesce(F.col(body_col), F.lit(""))
+    return posts.select(F.col(id_col), render_text(F.col(id_col), post_html(body)).alias("xml"))

@@ -437,6 +437,34 @@ def q_render_xml(spark, sf_dir):
     return R.render_posts(fixture(spark, sf_dir, "posts_conv"))
 
 
+@register("markup_variety_blocks", with_ctes(("posts_markup",)) + f"""
+, tb AS (SELECT id, {O.typed_blocks(O.xml_unescape('body'))} AS blocks FROM posts_markup),
+ex AS (SELECT id, unnest(range(len(blocks))) AS pos, unnest(blocks) AS blk FROM tb)
+SELECT id, CAST(pos AS INTEGER) AS pos, blk.t AS type, blk.text AS text FROM ex""")
+def q_markup_variety_blocks(spark, sf_dir):
+    """Blocks of posts with headings, links, spoilers, quotes, lists, code and references."""
+    posts = fixture(spark, sf_dir, "posts_markup")
+    blocks = posts.select("id", F.posexplode(M.typed_blocks(M.xml_unescape("body"))).alias("pos", "blk"))
+    return blocks.select("id", "pos", F.col("blk.t").alias("type"), F.col("blk.text").alias("text"))
+
+
+@register("markup_variety_xml", with_ctes(("posts_markup",), O.entity_cte()) + f"""
+SELECT id, '<text id="' || {O.xml_escape_attr('id')} || '">' || chr(10)
+           || {O.escape_spoilers(O.decode_entities(O.markdown_html(O.xml_unescape('body'))))}
+           || chr(10) || '</text>' AS xml
+FROM posts_markup, emap""")
+def q_markup_variety_xml(spark, sf_dir):
+    """X2 + P10-P14: the same posts rendered, links and spoiler titles included."""
+    return R.render_posts(fixture(spark, sf_dir, "posts_markup"))
+
+
+@register("markup_variety_references", with_ctes(("posts_markup",), O.entity_cte()) + f"""
+SELECT id, {O.decode_entities('body')} AS decoded FROM posts_markup, emap""")
+def q_markup_variety_references(spark, sf_dir):
+    """P11 + P12: padded, invalid, unknown and bare references of the same posts."""
+    return R.decode_entities_rows(fixture(spark, sf_dir, "posts_markup"), ["id"], "body")
+
+
 SPOILER_VIEW = """SELECT CAST(conv_id AS STRING) AS conv_id, turn,
   concat('<p><a href="', CASE WHEN turn % 2 = 0 THEN '#s' ELSE '/s' END, '" title="',
          replace(text, ',', '"'), '">spoiler</a> ', text, '</p>') AS html

@@ -49,7 +49,23 @@ SELECT CAST(conv_id AS STRING) AS id, max(subreddit) AS subreddit, CAST(min(crea
 FROM {posts_conv} WHERE conv_id % 9 <> 0 GROUP BY conv_id
 """
 
+# Posts in markup: headings, links, spoilers, quotes, lists, code, rules and references around the texts.
+POSTS_MARKUP = """
+SELECT id, kind, created_utc, CASE (conv_id + turn) % 9
+  WHEN 0 THEN concat('# Head **x** &#0000228;', chr(10), body)
+  WHEN 1 THEN concat('see [the _link_](http://x.org/a_b_c "a title") or [q](http://y.org/?a=1&amp;copy "two &quot;q&quot;") ', body)
+  WHEN 2 THEN concat('[hidden](#s "they said "no" (twice)") and [more](/s "&lt;i&gt; &quot;x&quot;") ', body)
+  WHEN 3 THEN concat('> ', body, chr(10), '> second', chr(10), chr(10), chr(10), '- one', chr(10), '- two `a*b*c` *i* _j_ _k_')
+  WHEN 4 THEN concat('    code <b> &#x000000E4;', chr(10), chr(10), body, ' &bogus; &copy 2 &#0; &#xD800; &#1114112;')
+  WHEN 5 THEN concat('1. a', chr(10), '2. b', chr(10), chr(10), '***', chr(10), chr(10), body, ' snake_case_name **bold** ~~gone~~ ```')
+  WHEN 6 THEN concat(chr(10), '### h3', chr(10), '# h1', chr(10), body, chr(10), chr(10), chr(10), chr(10), '## h2')
+  WHEN 7 THEN concat('a &lt;b&gt; &amp;amp; R&D &#34;q&#x27; [open ', body, ' ** * _ `x')
+  ELSE concat(chr(13), chr(10), chr(9), 'tabbed', chr(13), chr(10), body) END AS body
+FROM {posts_conv}
+"""
+
 FIXTURES = {
+    "posts_markup": (POSTS_MARKUP, ("posts_conv",)),
     "posts": (POSTS, ("documents",)),
     "posts_conv": (POSTS_CONV, ("conversations",)),
     "posts_conv_dup": (POSTS_CONV_DUP, ("posts_conv",)),

@@ -6,6 +6,9 @@ check the Spark result independently. Only the oracle uses these strings.
 
 from __future__ import annotations
 
+import html
+import html.entities
+
 from threadcorpus.plans.fixtures import REFERENCE_LANG, SINGLE_TARGET, TARGET_LANGS
 
 MODEL_LANGS = [REFERENCE_LANG, *TARGET_LANGS]
@@ -136,9 +139,30 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _markup():
-    from threadcorpus.functions import markup
-    return markup
+# The definitions restated here on their own, in the patterns of DuckDB's engine.
+BLOCK_PATTERNS = [
+    ("heading", r"^#{1,6}[ \t]"),
+    ("rule", r"^[ \t]*((\*[ \t]*){3,}|(-[ \t]*){3,}|(_[ \t]*){3,})$"),
+    ("code", r"^(    |\t)"),
+    ("quote", r"^[ \t]*>"),
+    ("list", r"^[ \t]*([*+-]|[0-9]+\.)[ \t]"),
+]
+BLOCK_MARKS = {
+    "heading": r"^()#{1,6}[ \t]+",
+    "quote": r"(^|\n)[ \t]*>[ \t]?",
+    "code": r"(^|\n)(?:    |\t)",
+    "list": r"(^|\n)[ \t]*(?:[*+-]|[0-9]+\.)[ \t]+",
+}
+HEAD_LINE = r"(^|\n)(#{1,6}[ \t][^\n]*)"
+BLANKS_FIRST = r"^[ \t\n]*\n"
+BLANK_LINES = r"\n[ \t\n]*\n"
+LINK_PARTS = r'^\[([^\]\n]*)\]\(([^() \t\n"]*)(?:[ \t]+"([^\n]*)")?[ \t]*\)$'
+SPAN_PARTS = r'`[^`\n]+`|\[[^\]\n]*\]\([^() \t\n"]*(?:[ \t]+"[^\n]*?")?[ \t]*\)|[`\[]|[^`\[]+'
+UNDERSCORE = r"(^|[^\p{L}\p{N}_])_([^_\n]+)_($|[^\p{L}\p{N}_])"
+REFERENCE_PARTS = r"&#[0-9]+;|&#[xX][0-9a-fA-F]+;|&[A-Za-z0-9]+;?|&|[^&]+"
+TAG_PARTS = r'<a href="[#/]s" title="[^>]+">|<|[^<]+'
+SENTENCE_STOP = r"([.!?])[ \t\n]+"
+TOKEN_PARTS = r"&[A-Za-z0-9#]+;|[\p{L}\p{N}_]+|[^ \t\n\p{L}\p{N}_]"
 
 
 def xml_unescape(x: str) -> str:
@@ -149,46 +173,59 @@ def xml_escape_attr(x: str) -> str:
     return f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
 
 
-def inline_text(x: str) -> str:
+def _hide(x: str) -> str:
+    return f"translate({x}, '*_~`', chr(64976) || chr(64977) || chr(64978) || chr(64979))"
+
+
+def _quoteless(x: str) -> str:
+    return f"regexp_replace({x}, '\"|&(quot|QUOT);?', chr(39), 'g')"
+
+
+def inline_text(x: str, links: bool = False) -> str:
+    text, url, title = (f"regexp_extract(p, {lit(LINK_PARTS)}, {g})" for g in (1, 2, 3))
+    kept = f"CASE WHEN {url} IN ('#s', '/s') THEN {title} ELSE {_quoteless(title)} END"
+    tag = (f"'<a href=\"' || {_quoteless(url)} || CASE WHEN {title} = '' THEN '' "
+           f"ELSE '\" title=\"' || {kept} END || '\">'")
+    link = f"{_hide(tag)} || {text} || '</a>'" if links else text
+    piece = (f"CASE WHEN starts_with(p, '`') AND length(p) > 2 THEN {_hide('substring(p, 2, length(p) - 2)')} "
+             f"WHEN starts_with(p, '[') AND length(p) > 1 THEN {link} ELSE p END")
     c = f"replace(replace({x}, '<', '&lt;'), '>', '&gt;')"
-    for pattern, group in _markup().INLINE_MARKS:
-        c = f"regexp_replace({c}, {lit(pattern)}, '\\{group}', 'g')"
-    return c
+    c = f"coalesce(array_to_string(list_transform(regexp_extract_all({c}, {lit(SPAN_PARTS)}), lambda p: {piece}), ''), '')"
+    for mark in (r"\*\*([^*]+)\*\*", "__([^_]+)__", "~~([^~]+)~~", r"\*([^*]+)\*", "`([^`]+)`"):
+        c = f"regexp_replace({c}, {lit(mark)}, '\\1', 'g')"
+    for _ in range(2):
+        c = f"regexp_replace({c}, {lit(UNDERSCORE)}, '\\1\\2\\3', 'g')"
+    return f"translate({c}, chr(64976) || chr(64977) || chr(64978) || chr(64979), '*_~`')"
 
 
 def block_type(b: str) -> str:
-    M = _markup()
-    patterns = {"heading": M.HEADING, "rule": M.RULE, "code": M.CODE, "quote": M.QUOTE, "list": M.LIST_ITEM}
-    whens = " ".join(f"WHEN regexp_matches({b}, {lit(patterns[n])}) THEN '{n}'" for n in M.BLOCK_TYPES)
+    whens = " ".join(f"WHEN regexp_matches({b}, {lit(p)}) THEN '{n}'" for n, p in BLOCK_PATTERNS)
     return f"CASE {whens} ELSE 'paragraph' END"
 
 
-def block_text(b: str, t: str) -> str:
-    M = _markup()
-    stripped = (f"CASE WHEN {t} = 'heading' THEN regexp_replace({b}, {lit(M.STRIP['heading'])}, '\\1', 'g') "
-                f"WHEN {t} = 'quote' THEN regexp_replace({b}, {lit(M.STRIP['quote'])}, '\\1', 'g') "
-                f"WHEN {t} = 'code' THEN regexp_replace({b}, {lit(M.STRIP['code'])}, '\\1', 'g') "
-                f"WHEN {t} = 'list' THEN regexp_replace({b}, {lit(M.STRIP['list'])}, '\\1', 'g') "
-                f"WHEN {t} = 'rule' THEN '' ELSE {b} END")
+def block_text(b: str, t: str, links: bool = False) -> str:
+    whens = " ".join(f"WHEN {t} = '{n}' THEN regexp_replace({b}, {lit(p)}, '\\1', 'g')"
+                     for n, p in BLOCK_MARKS.items())
+    stripped = f"CASE {whens} WHEN {t} = 'rule' THEN '' ELSE {b} END"
     return (f"CASE WHEN {t} = 'code' THEN replace(replace({stripped}, '<', '&lt;'), '>', '&gt;') "
-            f"ELSE {inline_text(stripped)} END")
+            f"ELSE {inline_text(stripped, links)} END")
 
 
-def typed_blocks(x: str) -> str:
-    M = _markup()
-    raw = f"string_split_regex(replace({x}, chr(13), ''), {lit(M.BLOCK_SPLIT)})"
-    trimmed = f"list_transform({raw}, lambda b: regexp_replace(b, {lit(M.BLOCK_END)}, ''))"
+def typed_blocks(x: str, links: bool = False) -> str:
+    lined = f"regexp_replace(replace({x}, chr(13), ''), {lit(HEAD_LINE)}, '\\1' || chr(10) || '\\2' || chr(10), 'g')"
+    text = f"regexp_replace({lined}, {lit(BLANKS_FIRST)}, '')"
+    raw = f"string_split_regex({text}, {lit(BLANK_LINES)})"
+    trimmed = f"list_transform({raw}, lambda b: rtrim(b, ' ' || chr(9) || chr(10)))"
     kept = f"list_filter({trimmed}, lambda b: trim(b) <> '')"
     typed = f"list_transform({kept}, lambda b: {{'b': b, 't': {block_type('b')}}})"
-    return f"list_transform({typed}, lambda x: {{'b': x.b, 't': x.t, 'text': {block_text('x.b', 'x.t')}}})"
+    return f"list_transform({typed}, lambda x: {{'b': x.b, 't': x.t, 'text': {block_text('x.b', 'x.t', links)}}})"
 
 
 def render_block(x: str) -> str:
-    M = _markup()
     b, t, text = f"{x}.b", f"{x}.t", f"{x}.text"
-    level = f"CAST(length(regexp_extract({b}, {lit(M.HEADING_LEVEL)}, 1)) AS VARCHAR)"
+    level = f"CAST(length(regexp_extract({b}, '^#+')) AS VARCHAR)"
     items = f"array_to_string(list_transform(string_split({text}, chr(10)), lambda i: '<li>' || i || '</li>'), chr(10))"
-    tag = f"(CASE WHEN regexp_matches({b}, {lit(M.ORDERED_ITEM)}) THEN 'ol' ELSE 'ul' END)"
+    tag = f"(CASE WHEN regexp_matches({b}, {lit(r'^[ \t]*[0-9]+\.[ \t]')}) THEN 'ol' ELSE 'ul' END)"
     return (f"CASE WHEN {t} = 'heading' THEN '<h' || {level} || '>' || {text} || '</h' || {level} || '>' "
             f"WHEN {t} = 'rule' THEN '<hr/>' "
             f"WHEN {t} = 'code' THEN '<pre><code>' || {text} || '</code></pre>' "
@@ -198,44 +235,42 @@ def render_block(x: str) -> str:
 
 
 def markdown_html(x: str) -> str:
-    return f"coalesce(array_to_string(list_transform({typed_blocks(x)}, lambda x: {render_block('x')}), chr(10)), '')"
+    return f"coalesce(array_to_string(list_transform({typed_blocks(x, True)}, lambda x: {render_block('x')}), chr(10)), '')"
 
 
 def entity_map() -> str:
-    table = _markup().entity_table()
+    """Named references of the standard library; the characters of XML's own syntax stay escaped."""
+    table = {name: html.escape(chars, quote=False) for name, chars in html.entities.html5.items()}
     return "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in sorted(table.items())) + "}"
 
 
 def _code_point_text(cp: str) -> str:
-    M = _markup()
     ch = (f"(CASE WHEN {cp} > 0 AND {cp} <= 1114111 AND NOT ({cp} >= 55296 AND {cp} <= 57343) "
-          f"THEN chr(CAST({cp} AS INTEGER)) ELSE {lit(M.REPLACEMENT_CHAR)} END)")
+          f"THEN chr(CAST({cp} AS INTEGER)) ELSE chr(65533) END)")
     return (f"(CASE WHEN {ch} = '&' THEN '&amp;' WHEN {ch} = '<' THEN '&lt;' WHEN {ch} = '>' THEN '&gt;' "
             f"WHEN {ch} = '\"' THEN '&quot;' WHEN {ch} = '''' THEN '&apos;' ELSE {ch} END)")
 
 
 def decode_entities(x: str, emap: str = "emap.m") -> str:
-    M = _markup()
-    digits = "substring(p, 3, length(p) - 3)"
-    hexd = "substring(p, 4, length(p) - 4)"
-    dec_cp = f"(CASE WHEN length({digits}) <= 8 THEN CAST({digits} AS BIGINT) ELSE -1 END)"
-    hex_cp = f"(CASE WHEN length({hexd}) <= 7 THEN CAST('0x' || {hexd} AS BIGINT) ELSE -1 END)"
+    dec = "ltrim(substring(p, 3, length(p) - 3), '0')"
+    hexd = "ltrim(substring(p, 4, length(p) - 4), '0')"
+    dec_cp = f"(CASE WHEN length({dec}) BETWEEN 1 AND 8 THEN CAST({dec} AS BIGINT) ELSE -1 END)"
+    hex_cp = f"(CASE WHEN length({hexd}) BETWEEN 1 AND 7 THEN CAST('0x' || {hexd} AS BIGINT) ELSE -1 END)"
     piece = (f"CASE WHEN (starts_with(p, '&#x') OR starts_with(p, '&#X')) AND ends_with(p, ';') THEN {_code_point_text(hex_cp)} "
              f"WHEN starts_with(p, '&#') AND ends_with(p, ';') THEN {_code_point_text(dec_cp)} "
              f"WHEN starts_with(p, '&') AND length(p) > 1 THEN coalesce({emap}[substring(p, 2, length(p))], '&amp;' || substring(p, 2, length(p))) "
              f"WHEN p = '&' THEN '&amp;' ELSE p END")
-    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(M.ENTITY_PIECES)}, 0), "
+    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(REFERENCE_PARTS)}, 0), "
             f"lambda p: {piece}), ''), '')")
 
 
 def escape_spoilers(x: str) -> str:
-    M = _markup()
-    n = M.SPOILER_PREFIX_LEN
+    n = 20
     piece = (f"CASE WHEN starts_with(p, '<a href=\"') AND length(p) > {n + 2} AND ends_with(p, '\">') "
              f"AND regexp_matches(p, {lit('^<a href=\"[#/]s\" title=\"')}) "
              f"THEN substring(p, 1, {n}) || replace(substring(p, {n + 1}, length(p) - {n} - 2), '\"', '&quot;') || '\">' "
              f"ELSE p END")
-    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(M.SPOILER_PIECES)}, 0), "
+    return (f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {lit(TAG_PARTS)}, 0), "
             f"lambda p: {piece}), ''), '')")
 
 
@@ -245,15 +280,9 @@ def entity_cte() -> str:
 
 # ------------------------------------------------------------------ corpus
 
-def _corpus():
-    from threadcorpus.operators import corpus
-    return corpus
-
-
 def _sentence_tokens(p: str) -> str:
-    C = _corpus()
-    marked = f"regexp_replace({p}, {lit(C.SENTENCE_END)}, '\\1' || chr(1), 'g')"
-    toks = f"list_transform(string_split({marked}, chr(1)), lambda s: regexp_extract_all(s, {lit(C.TOKEN)}, 0))"
+    marked = f"regexp_replace({p}, {lit(SENTENCE_STOP)}, '\\1' || chr(1), 'g')"
+    toks = f"list_transform(string_split({marked}, chr(1)), lambda s: regexp_extract_all(s, {lit(TOKEN_PARTS)}, 0))"
     return f"list_filter({toks}, lambda t: len(t) > 0)"
 
 
