@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from threadcorpus.plans import catalog
+from threadcorpus.plans import catalog, files
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -43,7 +43,8 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     assert set(catalog.oracle()) == set(catalog.queries())
-    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(files.oracle()) == set(files.queries())
+    assert set(catalog.queries()) | set(files.queries()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -620,6 +620,23 @@ def q_label_quality(spark, sf_dir):
     return E.label_quality(pred, "language", "gold", TARGET_LANGS)
 
 
+HELD_OUT = 5
+HELD_VIEWS = f"""train_docs AS (SELECT * FROM documents WHERE doc_id % {HELD_OUT} <> 0),
+held AS (SELECT * FROM posts WHERE doc_id % {HELD_OUT} = 0)"""
+
+
+@register("label_quality_held_out", with_ctes(("posts",), HELD_VIEWS, MODEL.replace("FROM documents", "FROM train_docs"),
+                                              O.multi_label_ctes("held", "ml")) + """
+SELECT p.gold, ml.language AS predicted, CAST(count(*) AS BIGINT) AS n FROM held p JOIN ml USING (id)
+GROUP BY p.gold, ml.language""")
+def q_label_quality_held_out(spark, sf_dir):
+    """E2 on rows the model never saw: fitted on four fifths of the documents, judged on the rest."""
+    docs = read_table(spark, sf_dir, "documents").where(F.col("doc_id") % HELD_OUT != 0)
+    held = fixture(spark, sf_dir, "posts").where(F.col("doc_id") % HELD_OUT == 0)
+    labels = L.label_multi(held, L.train_language_model(docs, MODEL_LANGS), TARGET_LANGS)
+    return E.confusion(held.select("id", "gold").join(labels, "id"), "language", "gold")
+
+
 SWEEP = [0.05, 0.1, 0.2, 0.3, 0.5]
 
 

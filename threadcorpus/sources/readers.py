@@ -120,7 +120,7 @@ def read_post_meta(spark: SparkSession, path) -> DataFrame:
 
 def read_subreddit_stats(spark: SparkSession, path) -> DataFrame:
     """Community statistics CSV, the corpus columns typed."""
-    df = spark.read.csv(path, header=True, inferSchema=False)
+    df = spark.read.csv(path, header=True, inferSchema=False, escape='"')
     return df.select(F.col("subreddit"), F.col("corpus_N").cast("bigint"),
                      F.col("corpus_total").cast("bigint"), F.col("corpus_prop").cast("double"))
 
@@ -198,13 +198,14 @@ def nested_regions(regions: DataFrame, level: str) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
-    """S9 + P16: metadata table, every column a string, missing values ``NA``.
+    """S9 + P16: metadata table, every column a string, missing and empty values ``NA``.
 
     Tab-separated tables are written without quotes and read so.
     """
     quote = "" if sep == "\t" else '"'
-    df = spark.read.csv(path, sep=sep, quote=quote, header=True, inferSchema=False)
-    return df.na.fill("NA")
+    df = spark.read.csv(path, sep=sep, quote=quote, escape=quote, header=True, inferSchema=False)
+    df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.replace("", None).na.fill("NA")
 
 
 def batch_key(file_name) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadcorpus.functions.text import py_bool_text
+from threadcorpus.functions.text import epoch_timestamp, py_bool_text
 from threadcorpus.operators.ordering import sorted_for_output
+from threadcorpus.sources.readers import batch_key
 
 
 def write_raw(df: DataFrame, path: str, col: str = "raw", compression: str = "gzip") -> None:
@@ -42,8 +43,8 @@ def write_tsv(df: DataFrame, path: str, header: bool = True, compression: str =
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
-    """K4: comma-separated statistics with header."""
-    df.write.mode("overwrite").csv(path, header=True, compression=compression)
+    """K4: comma-separated statistics with header; quotes inside values are doubled."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"', compression=compression)
 
 
 def write_post_records(df: DataFrame, path: str, keys: Sequence[str] = ("link_id",),
@@ -85,9 +86,16 @@ def write_xml_corpus(df: DataFrame, path: str, col: str = "xml", compression: st
         .text(path, compression=compression)
 
 
+def post_metadata(posts: DataFrame) -> DataFrame:
+    """K8: metadata columns of canonical posts with the UTC time as ``date`` and the file's month as ``batch``."""
+    date = F.date_format(epoch_timestamp(F.col("created_utc")), "yyyy-MM-dd HH:mm:ss")
+    return posts.select("id", "author", date.alias("date"), "link_id", "is_submitter", "parent_id", "permalink",
+                        "subreddit", "subreddit_id", batch_key("file_path").alias("batch"))
+
+
 def write_post_metadata(df: DataFrame, path: str, batch_col: str = "batch") -> None:
-    """K8: post metadata CSV, one folder per input batch (month)."""
-    df.write.mode("overwrite").partitionBy(batch_col).csv(path, header=True, compression="gzip")
+    """K8: post metadata CSV, one folder per input batch (month); quotes inside values are doubled."""
+    df.write.mode("overwrite").partitionBy(batch_col).csv(path, header=True, escape='"', compression="gzip")
 
 
 def write_vertical(lines: DataFrame, path: str, compression: str = "gzip") -> None:
