@@ -37,3 +37,15 @@ def test_salted_join_equals_broadcast_join(spark):
         b = sorted(map(tuple, checked_join(big, small, "w", how, max_rows=0, salt_buckets=5).collect()))
         c = sorted(map(tuple, checked_join(big, small, "w", how, max_rows=0, salt_buckets=1).collect()))
         assert a == b == c, how
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from threadcorpus.operators.joins import ROW_BYTES, broadcast_rows
+    assert broadcast_rows(spark.createDataFrame([("a", 1)] * 3, "w string, n int")) == 3
+    assert broadcast_rows(spark.createDataFrame([("a" * 1000 * ROW_BYTES, 1)], "w string, n int")) > 1000
+    assert broadcast_rows(spark.createDataFrame([], "w string")) == 0
+    big = spark.createDataFrame([("a" * 50 * ROW_BYTES, 1), ("b", 2)], "w string, n int")
+    small = spark.createDataFrame([("a" * 50 * ROW_BYTES, "x")], "w string, v string")
+    wide = checked_join(big, small, "w", "left", max_rows=40)
+    assert "BroadcastHashJoin" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.v or "" for r in wide.collect()) == ["", "x"]

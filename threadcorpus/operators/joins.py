@@ -7,21 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows. Lexicon and
-# profile rows are a few dozen bytes, so this keeps a broadcast under ~100 MB.
+# A side is broadcast only up to this many rows and this many bytes of content for each of them.
 BROADCAST_MAX_ROWS = 2_000_000
+ROW_BYTES = 64
 # Replicas of the small side when it is too large to broadcast; the large side
 # is spread over them so one hot key no longer lands in a single task.
 SALT_BUCKETS = 32
 
 
+def broadcast_rows(df: DataFrame) -> int:
+    """Rows of ``df``, or as many rows of ``ROW_BYTES`` bytes as its content fills if that is more.
+
+    One aggregation; pass a materialized frame.
+    """
+    content = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(content), F.lit(0)).alias("bytes")).first()
+    return max(size["rows"], -(-size["bytes"] // ROW_BYTES))
+
+
 def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
                  max_rows: int = BROADCAST_MAX_ROWS, salt_buckets: int = SALT_BUCKETS,
                  small_rows: int | None = None) -> DataFrame:
     """Equi-join ``big`` with ``small`` on column names ``on``.
 
-    ``small`` is broadcast when its row count (given, or counted here; pass a
-    materialized frame so counting is cheap) is at most ``max_rows``. Larger
+    ``small`` is broadcast when its size by :func:`broadcast_rows` (given, or
+    counted here; pass a materialized frame so counting is cheap) is at most
+    ``max_rows``, so long values count as several rows. Larger
     sides are joined with a salted shuffle join: every ``big`` row gets one of
     ``salt_buckets`` salts from a hash of the row, ``small`` is replicated once
     per salt. Each big row still meets each matching small row exactly once,
@@ -33,7 +44,7 @@ def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti"):
         raise ValueError(f"checked_join keeps the big side whole; unsupported join type {how!r}")
-    n = small.count() if small_rows is None else small_rows
+    n = broadcast_rows(small) if small_rows is None else small_rows
     if n <= max_rows:
         return big.join(F.broadcast(small), keys, how)
     if salt_buckets <= 1:

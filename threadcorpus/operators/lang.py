@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import is_too_short, sanitize, words
-from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, checked_join
+from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, broadcast_rows, checked_join
 from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import materialize
 
@@ -59,7 +59,7 @@ def lexicon_index(lexicon: DataFrame, langs: Sequence[str]) -> DataFrame:
 def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows: int) -> DataFrame:
     """Attach model rows to exploded pieces ``(_pid, key)``; adds the multiplicity ``cnt``.
 
-    With a model small enough to broadcast (checked row count), every piece
+    With a model small enough to broadcast (checked size), every piece
     probes the broadcast hash table directly and the following per-post
     aggregation combines map-side: only one row per post and task is shuffled.
     Beyond that size, pieces are first counted per (post, piece) and joined
@@ -90,7 +90,7 @@ def error_rates(posts: DataFrame, index: DataFrame, langs: Sequence[str],
         toks = F.when(~skip, toks)
     pieces = posts.select(F.col(id_col).alias("_pid"), F.explode(toks).alias("token")) \
         .select("_pid", F.lower("token").alias("word"))
-    rows = index.count() if index_rows is None else index_rows
+    rows = broadcast_rows(index) if index_rows is None else index_rows
     joined = _pieces_with_model(pieces, "word", index, rows)
     aggs = [F.sum("cnt").alias("n_words")]
     for lang in langs:
@@ -236,7 +236,7 @@ def train_language_model(labelled: DataFrame, langs: Sequence[str], text_col: st
     lexicon = build_lexicon(docs, text_col, lang_col, id_col, min_docs)
     index = lexicon_index(lexicon, langs)
     profile = train_langid(docs, text_col, lang_col)
-    return LanguageModel(index=index, profile=profile, langs=list(langs), index_rows=index.count())
+    return LanguageModel(index=index, profile=profile, langs=list(langs), index_rows=broadcast_rows(index))
 
 
 def _key(id_col: str | Sequence[str]):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from threadcorpus.functions.text import THREAD_SCORE_CUTOFF, share_threshold
 from threadcorpus.operators.joins import checked_join
+from threadcorpus.operators.ordering import rank_in_group
 from threadcorpus.session import materialize
 
 # Fixed value: communities need more than this many positive posts overall.
@@ -51,9 +52,9 @@ def rank_monthly(monthly: DataFrame, month_col: str = "month") -> DataFrame:
     """Rank communities within a month by ``n`` desc, ``prop`` desc (ties by name).
 
     The input is the aggregated monthly table: one row per community and month.
+    A month of many communities is ranked in pieces, never in one task.
     """
-    w = Window.partitionBy(month_col).orderBy(F.desc("n"), F.desc("prop"), F.asc("subreddit"))
-    return monthly.withColumn("rank", F.row_number().over(w))
+    return rank_in_group(monthly, [month_col], [F.desc("n"), F.desc("prop"), F.asc("subreddit")], "rank")
 
 
 def corpus_share(monthly: DataFrame) -> DataFrame:

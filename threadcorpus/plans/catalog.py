@@ -123,14 +123,14 @@ def q_langid_profile(spark, sf_dir):
                                         f"din AS (SELECT doc_id AS id, {O.sanitize('text')} AS clean FROM documents)",
                                         O.langid_ctes("din", "lid")) + """
 SELECT d.doc_id, d.lang AS gold, l.langid, l.langid_score
-FROM documents d JOIN lid l ON l.id = d.doc_id""")
+FROM documents d LEFT JOIN lid l ON l.id = d.doc_id""")
 def q_langid_documents(spark, sf_dir):
-    """L2 scoring: most probable language of every document (whole texts)."""
+    """L2 scoring: most probable language of every document (whole texts; NULL for texts without a trigram)."""
     docs = read_table(spark, sf_dir, "documents")
     clean = docs.select(F.col("doc_id").alias("id"), sanitize("text").alias("clean"))
     lid = L.score_langid(clean, language_model(spark, sf_dir).profile)
     return docs.select("doc_id", F.col("lang").alias("gold")).join(
-        lid.withColumnRenamed("id", "doc_id"), "doc_id")
+        lid.withColumnRenamed("id", "doc_id"), "doc_id", "left")
 
 
 @register("label_single", with_ctes(("posts",), MODEL, SINGLE) + "\nSELECT id, label FROM labels")
