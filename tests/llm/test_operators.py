@@ -45,6 +45,29 @@ def test_suffix_dedup_equals_brute_force(spark, documents, many, monkeypatch):
     assert got == brute_repeats(texts(documents))
 
 
+def test_repeats_within_a_task_are_those_of_equal_pieces():
+    rng = np.random.default_rng(3)
+    n = 500
+    kind = rng.integers(0, 40, n)
+    least, identity = (kind % 7).astype(np.uint64), kind.astype(np.uint64)
+    doc, start = rng.integers(0, 30, n), (rng.integers(0, 20, n) * 100).astype(np.int32)
+    windows = (kind % 5 + 1 + np.where(kind % 2, suffix.INNER, 0)).astype(np.uint16)
+    own, d, s, e = suffix._own_repeats(least, identity, doc, start, windows)
+    first = {}
+    for row in sorted(zip(identity.tolist(), doc.tolist(), start.tolist())):
+        first.setdefault(row[0], row[1:])
+    want = defaultdict(set)
+    for k, a, b, w in zip(identity.tolist(), doc.tolist(), start.tolist(), (windows % suffix.INNER).tolist()):
+        if (a, b) != first[k]:
+            want[a] |= set(range(b, b + int(w) + 99))
+    got = defaultdict(set)
+    for a, b, c in zip(d.tolist(), s.tolist(), e.tolist()):
+        got[a] |= set(range(b, c))
+    assert got == want
+    assert sorted(zip(identity[own].tolist(), doc[own].tolist(), start[own].tolist())) == sorted(
+        (k, *v) for k, v in first.items())
+
+
 def test_suffix_dedup_of_periodic_text(spark):
     docs = {1: "abcd" * 200, 2: "x" * 350, 3: "y" + "x" * 120, 4: "line of text, again and again. " * 9}
     df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")

@@ -10,7 +10,8 @@ exchanged by that hash, in four steps:
    which cover the piece). A piece whose hash occurs once holds no
    repeat, unless the hash stands in it twice. Of
    equal pieces all but the earliest are repeats as a whole; this collapses
-   groups of copies before any text moves.
+   groups of copies before any text moves. Each task first does so with its
+   own pieces, so a passage of very many documents is sent once by each task.
 2. The text of the earliest of each of several different pieces under one hash
    is fetched from the documents.
 3. Pieces are indexed in shards: the suffixes of a shard are sorted once, which
@@ -163,18 +164,46 @@ def _group_of(doc: np.ndarray, n: int) -> np.ndarray:
     return (mix(doc.view(np.uint64) + np.uint64(1)) % np.uint64(n)).astype(np.int64)
 
 
+def _own_repeats(least: np.ndarray, identity: np.ndarray, doc: np.ndarray, start: np.ndarray,
+                 windows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Among pieces held together: flags of those that are not repeats, and the spans (document, start, end) of the others."""
+    order = np.argsort(identity, kind="stable")
+    same = identity[order][1:] == identity[order][:-1]
+    some = order[(np.append(same, False) | np.append(False, same))[:len(order)]]
+    some = some[np.lexsort((start[some], doc[some], least[some], identity[some]))]
+    new = np.ones(len(some), bool)
+    new[1:] = (identity[some][1:] != identity[some][:-1]) | (least[some][1:] != least[some][:-1])
+    lead = some[new][np.cumsum(new) - 1]
+    own = np.ones(len(least), bool)
+    own[some[~new]] = False
+    later = some[(doc[some] != doc[lead]) | (start[some] != start[lead])]
+    later = later[np.lexsort((start[later], doc[later]))]
+    d, s = doc[later], start[later]
+    e = s.astype(np.int64) + windows[later] % np.uint16(INNER) + (LENGTH - 1)
+    first = np.ones(len(d), bool)
+    first[1:] = d[1:] != d[:-1]
+    ahead = np.cumsum(first) << 40
+    e = (np.maximum.accumulate(e + ahead) - ahead).astype(np.int32)  # the furthest end so far in the document
+    first[1:] |= s[1:] > e[:-1]
+    at = np.flatnonzero(first)
+    return own, d[at], s[at], e[np.append(at[1:], len(d)) - 1] if len(d) else e
+
+
 def _name_pieces(docs: DataFrame, groups: int) -> DataFrame:
-    """``part, packed``: the pieces of all documents, dealt by least hash."""
+    """Repeats within a task, dealt by document (kind 0), and all other pieces, dealt by least hash (kind 1)."""
     def run(batches):
         held, count = [], 0
 
         def send():
-            columns = [np.concatenate(c) for c in zip(*held)]
-            rows = list(_dealt((columns[0] % np.uint64(groups)).astype(np.int64), groups, *columns))
+            columns = tuple(np.concatenate(c) for c in zip(*held))
+            own, doc, start, end = _own_repeats(*columns)
+            columns = tuple(c[own] for c in columns)
+            rows = [(p, 0, b) for p, b in _dealt(_group_of(doc, groups), groups, doc, start, end)]
+            rows += [(p, 1, b) for p, b in _dealt((columns[0] % np.uint64(groups)).astype(np.int64), groups, *columns)]
             for lo in range(0, len(rows), 256):
-                part, packed = zip(*rows[lo:lo + 256])
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(packed, pa.binary())],
-                                                 names=["part", "packed"])
+                part, kind, packed = zip(*rows[lo:lo + 256])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(kind, pa.int32()),
+                                                  pa.array(packed, pa.binary())], names=["part", "kind", "packed"])
 
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
@@ -188,13 +217,15 @@ def _name_pieces(docs: DataFrame, groups: int) -> DataFrame:
         if held:
             yield from send()
 
-    return arrow_map(docs, run, "part bigint, packed binary")
+    return arrow_map(docs, run, "part bigint, kind int, packed binary")
 
 
 def _earliest(groups: int):
-    """Repeats of whole pieces, and the pieces to be fetched, dealt by document."""
+    """Repeats of whole pieces (kind 0; those found before stay), and the pieces to be fetched, dealt by document."""
     def run(table: pa.Table) -> pa.Table:
-        least, identity, doc, start, windows = _unpack(table.column("packed").to_pylist(), *_NAMED)
+        sent = list(zip(table.column("part").to_pylist(), table.column("kind").to_pylist(),
+                        table.column("packed").to_pylist()))
+        least, identity, doc, start, windows = _unpack([b for _, k, b in sent if k == 1], *_NAMED)
         order = np.argsort(least, kind="stable")
         same = least[order][1:] == least[order][:-1]
         again = order[np.append(same, False) | np.append(False, same) | (windows[order] >= INNER)] if len(order) else order
@@ -209,8 +240,9 @@ def _earliest(groups: int):
         repeat = (doc != doc[first]) | (start != start[first])
         kinds = np.bincount(np.cumsum(new_hash) - 1, new_piece, minlength=0)[np.cumsum(new_hash) - 1] if n else np.zeros(0)
         asked = new_piece & ((kinds > 1) | inner)
-        rows = [(p, 0, b) for p, b in _dealt(_group_of(doc[repeat], groups), groups, doc[repeat], start[repeat],
-                                             start[repeat] + windows[repeat] + np.int32(LENGTH - 1))]
+        rows = [row for row in sent if row[1] == 0]
+        rows += [(p, 0, b) for p, b in _dealt(_group_of(doc[repeat], groups), groups, doc[repeat], start[repeat],
+                                              start[repeat] + windows[repeat] + np.int32(LENGTH - 1))]
         rows += [(p, 1, b) for p, b in _dealt(_group_of(doc[asked], groups), groups, least[asked], doc[asked],
                                               start[asked], windows[asked], kinds[asked] > MANY_PIECES)]
         part, kind, packed = zip(*rows) if rows else ((), (), ())
