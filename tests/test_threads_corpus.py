@@ -60,3 +60,15 @@ def test_assembly_drops_and_rejects(spark):
     assert ordered.count("</text>") == 2
     rej = sorted((r.kind, r.id) for r in C.assembly_rejects(p, tmeta, cmeta).collect())
     assert rej == [("comment", "1_2"), ("thread", "3")]
+    smeta = spark.createDataFrame([("9", "u")], "id string, author string")
+    rej = sorted((r.kind, r.id) for r in C.assembly_rejects(p, tmeta, cmeta, smeta).collect())
+    assert rej == [("comment", "1_2"), ("submission", "1"), ("thread", "3")]
+    assert not any(r.line.startswith("<submission") for r in C.assemble_texts(p, tmeta, cmeta, smeta).collect())
+
+
+def test_assembly_takes_a_repeated_post_once(spark):
+    p = posts(spark)
+    tmeta = spark.createDataFrame([("1", "board")], "id string, subreddit string")
+    cmeta = spark.createDataFrame([("1_1", "u1"), ("1_2", "u2")], "id string, author string")
+    lines = [r.line for r in C.assemble_texts(p, tmeta, cmeta).orderBy(*C.corpus_order()).collect()]
+    assert lines[-8:-1] == ['<comment id="1_2" author="u2">', "<p>", "<s>", "later", "</s>", "</p>", "</comment>"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from threadcorpus.functions.markup import render_open_tag, typed_blocks
 from threadcorpus.functions.text import bare_id
+from threadcorpus.operators.ordering import keep_first
 
 # Fixed values of the vertical format.
 # Tokens: an XML entity, a run of word characters, or one other visible character.
@@ -87,20 +88,16 @@ def insert_sentence_tags(lines: DataFrame, key: Sequence[str], pos: str = "line_
     return state.select(*key, pos, F.posexplode(out).alias("sub", line))
 
 
-def _post_lines(posts: DataFrame, meta: DataFrame | None, level: str, meta_cols: Sequence[str],
-                part: int) -> DataFrame:
-    """Lines of one kind of post: opening tag with metadata, sentence-tagged text, closing tag.
+def _meta_tags(meta: DataFrame, kind: str) -> DataFrame:
+    """Opening tag of every post of a kind that has a metadata row: ``(kind, id, tag)``."""
+    cols = [(c, F.col(c)) for c in meta.columns if c != "id"]
+    return meta.select(F.lit(kind).alias("kind"), "id", render_open_tag(kind, [("id", F.col("id")), *cols]).alias("tag"))
 
-    Posts without a metadata row are dropped (inner join on the unique post id).
-    """
-    rows = posts.select("text_id", F.lit(part).alias("part"), "created_utc", F.col("id").alias("post_id"), "body")
-    if meta is not None:
-        renamed = meta.select(F.col("id").alias("post_id"), *[F.col(c).alias(f"_m_{c}") for c in meta_cols])
-        rows = rows.join(renamed, "post_id", "inner")
-    tag = render_open_tag(level, [("id", F.col("post_id")), *[(c, F.col(f"_m_{c}")) for c in meta_cols]])
-    content = F.concat(F.array(tag), tagged_lines(F.col("body")), F.array(F.lit(f"</{level}>")))
-    return rows.select("text_id", "part", "created_utc", "post_id",
-                       F.posexplode(content).alias("line_no", "line"))
+
+def _live_posts(posts: DataFrame, thread_meta: DataFrame) -> DataFrame:
+    """Posts with ``text_id`` whose thread has metadata (skewed threads are split by AQE: only this side is large)."""
+    keyed = posts.withColumn("text_id", bare_id(F.col("link_id")))
+    return keyed.join(thread_meta.select(F.col("id").alias("text_id")), "text_id", "left_semi")
 
 
 def assemble_texts(posts: DataFrame, thread_meta: DataFrame, comment_meta: DataFrame,
@@ -109,42 +106,61 @@ def assemble_texts(posts: DataFrame, thread_meta: DataFrame, comment_meta: DataF
 
     ``posts`` hold both kinds (``kind``, ``id``, ``link_id``, ``created_utc``,
     ``body``); ``thread_meta`` is keyed by the bare thread id (``id``),
-    ``comment_meta`` and ``submission_meta`` by post id; their other columns
-    become attributes in column order. Threads without metadata are dropped,
-    as are comments without metadata (see :func:`assembly_rejects`); a thread
-    without submission simply has no submission part. Missing metadata values
-    render as ``NA``. Returns ``(text_id, part, created_utc, post_id, line_no, line)``;
-    the opening and closing rows of a text have ``created_utc = 0`` and ``post_id = ''``.
+    ``comment_meta`` and ``submission_meta`` by post id (one row for each id,
+    see :func:`merge_metadata`); their other columns become attributes in
+    column order. Of a post that occurs more than once the earliest copy is
+    taken. Threads without metadata are left out, as are posts without metadata
+    of their kind (see :func:`assembly_rejects`; without ``submission_meta``
+    submissions need none); a thread without submission simply has no
+    submission part. Missing metadata values render as ``NA``. Returns
+    ``(text_id, part, created_utc, post_id, line_no, line)``; the opening and
+    closing rows of a text have ``created_utc = 0`` and ``post_id = ''``.
+
+    Both kinds of posts go through one scan, and copies and metadata meet them
+    in one shuffle by ``(kind, id)``; a second, narrow scan lists the threads.
     """
     thread_cols = [c for c in thread_meta.columns if c != "id"]
-    comment_cols = [c for c in comment_meta.columns if c != "id"]
-    keyed = posts.withColumn("text_id", bare_id(F.col("link_id")))
-    threads = keyed.select("text_id").distinct()
+    threads = posts.select(bare_id(F.col("link_id")).alias("text_id")).distinct()
     kept = threads.join(thread_meta.withColumnRenamed("id", "text_id"), "text_id", "inner")
     open_tag = render_open_tag("text", [("id", F.col("text_id")), *thread_cols])
-    no_time = F.lit(0).cast("bigint").alias("created_utc")
-    opening = kept.select("text_id", F.lit(PART_OPEN).alias("part"), no_time, F.lit("").alias("post_id"),
-                          F.lit(0).alias("line_no"), open_tag.alias("line"))
-    closing = kept.select("text_id", F.lit(PART_CLOSE).alias("part"), no_time, F.lit("").alias("post_id"),
-                          F.lit(0).alias("line_no"), F.lit("</text>").alias("line"))
-    live = keyed.join(kept.select("text_id"), "text_id", "left_semi")
-    scols = [c for c in submission_meta.columns if c != "id"] if submission_meta is not None else []
-    sub_lines = _post_lines(live.where(F.col("kind") == "submission"), submission_meta, "submission",
-                            scols, PART_SUBMISSION)
-    com_lines = _post_lines(live.where(F.col("kind") == "comment"), comment_meta, "comment",
-                            comment_cols, PART_COMMENTS)
-    return opening.unionByName(sub_lines).unionByName(com_lines).unionByName(closing)
-
-
-def assembly_rejects(posts: DataFrame, thread_meta: DataFrame, comment_meta: DataFrame) -> DataFrame:
-    """Threads and comments left out of the corpus for missing metadata: ``(kind, id)``."""
+    ends = F.array(F.struct(F.lit(PART_OPEN).alias("part"), open_tag.alias("line")),
+                   F.struct(F.lit(PART_CLOSE).alias("part"), F.lit("</text>").alias("line")))
+    frame = kept.select("text_id", F.explode(ends).alias("e")).select(
+        "text_id", "e.part", F.lit(0).cast("bigint").alias("created_utc"), F.lit("").alias("post_id"),
+        F.lit(0).alias("line_no"), "e.line")
+    tags = _meta_tags(comment_meta, "comment")
+    if submission_meta is not None:
+        tags = tags.unionByName(_meta_tags(submission_meta, "submission"))
+    live = _live_posts(posts, thread_meta).select("text_id", "kind", "id", "created_utc", "body")
+    tagged = keep_first(live, ["kind", "id"], ["created_utc"]).join(tags, ["kind", "id"], "left")
+    is_submission = F.col("kind") == F.lit("submission")
+    if submission_meta is None:
+        bare = render_open_tag("submission", [("id", F.col("id"))])
+        tagged = tagged.withColumn("tag", F.when(is_submission, bare).otherwise(F.col("tag")))
+    close = F.concat(F.lit("</"), F.col("kind"), F.lit(">"))
+    content = F.concat(F.array("tag"), F.coalesce(tagged_lines(F.col("body")), F.array().cast("array<string>")),
+                       F.array(close))
+    lines = tagged.where(F.col("tag").isNotNull()).select(
+        "text_id", F.when(is_submission, F.lit(PART_SUBMISSION)).otherwise(F.lit(PART_COMMENTS)).alias("part"),
+        "created_utc", F.col("id").alias("post_id"), F.posexplode(content).alias("line_no", "line"))
+    return frame.unionByName(lines)
+
+
+def assembly_rejects(posts: DataFrame, thread_meta: DataFrame, comment_meta: DataFrame,
+                     submission_meta: DataFrame | None = None) -> DataFrame:
+    """Threads and posts left out of the corpus for missing metadata: ``(kind, id)``.
+
+    Posts of a thread without metadata are covered by the thread's row.
+    """
     threads = posts.select(bare_id(F.col("link_id")).alias("id")).distinct()
     no_meta = threads.join(thread_meta.select("id"), "id", "left_anti").select(F.lit("thread").alias("kind"), "id")
-    with_meta = posts.withColumn("_t", bare_id(F.col("link_id"))).join(
-        thread_meta.select(F.col("id").alias("_t")), "_t", "left_semi")
-    coms = with_meta.where(F.col("kind") == "comment").select("id").distinct()
-    missing = coms.join(comment_meta.select("id"), "id", "left_anti").select(F.lit("comment").alias("kind"), "id")
-    return no_meta.unionByName(missing)
+    known = comment_meta.select(F.lit("comment").alias("kind"), "id")
+    live = _live_posts(posts, thread_meta).select("kind", "id")
+    if submission_meta is None:
+        live = live.where(F.col("kind") == "comment")
+    else:
+        known = known.unionByName(submission_meta.select(F.lit("submission").alias("kind"), "id"))
+    return no_meta.unionByName(live.distinct().join(known, ["kind", "id"], "left_anti"))
 
 
 def corpus_order() -> list[Column]:
@@ -152,17 +168,12 @@ def corpus_order() -> list[Column]:
     return [F.col("text_id"), F.col("part"), F.col("created_utc"), F.col("post_id"), F.col("line_no")]
 
 
-__all__ = ["vertical_lines", "tagged_lines", "insert_sentence_tags", "assemble_texts",
-           "assembly_rejects", "corpus_order"]
-
-
 def merge_metadata(first: DataFrame, second: DataFrame, key: str = "id") -> DataFrame:
     """U3 + W8: concatenate two metadata tables; for a key in both, the first table's row wins.
 
     Columns missing on one side are NULL (rendered ``NA`` in tags). The pick is
     a partial ``min_by`` per key, so repeated keys are collapsed map-side.
     """
-    from threadcorpus.operators.ordering import keep_first
     tagged = first.withColumn("_src", F.lit(0)).unionByName(second.withColumn("_src", F.lit(1)),
                                                             allowMissingColumns=True)
     return keep_first(tagged, [key], ["_src"]).drop("_src")

@@ -507,10 +507,6 @@ def q_sentence_tags(spark, sf_dir):
     return C.insert_sentence_tags(lines, ["id"])
 
 
-CONV_COMMENT_META = "SELECT id, author, CAST(created_utc AS STRING) AS created_utc FROM {posts_conv} WHERE kind = 'comment'"
-CONV_SUBMISSION_META = "SELECT id, author FROM {posts_conv} WHERE kind = 'submission'"
-
-
 def _post_lines_sql(src: str, meta: str, level: str, cols, part: int) -> str:
     tag = O.open_tag(level, [("id", "p.id"), *[(c, f"m.{c}") for c in cols]])
     return f"""SELECT text_id, {part} AS part, created_utc, post_id,
@@ -520,11 +516,11 @@ FROM (SELECT p.text_id, p.created_utc, p.id AS post_id,
       FROM {src} p JOIN {meta} m ON m.id = p.id) q"""
 
 
-ASSEMBLY = f"""keyed AS (SELECT *, string_split(link_id, '_')[-1] AS text_id FROM posts_conv),
+def assembly(comment_cols=("author", "created_utc")) -> str:
+    """CTE ``corpus_lines``: the vertical corpus of ``posts_open``."""
+    return f"""keyed AS (SELECT DISTINCT *, string_split(link_id, '_')[-1] AS text_id FROM posts_open),
 kept AS (SELECT t.text_id, m.subreddit, m.created_utc FROM (SELECT DISTINCT text_id FROM keyed) t
          JOIN thread_meta m ON m.id = t.text_id),
-cmeta AS ({CONV_COMMENT_META.format(posts_conv='posts_conv')}),
-smeta AS ({CONV_SUBMISSION_META.format(posts_conv='posts_conv')}),
 live AS (SELECT * FROM keyed WHERE text_id IN (SELECT text_id FROM kept)),
 lsub AS (SELECT * FROM live WHERE kind = 'submission'),
 lcom AS (SELECT * FROM live WHERE kind = 'comment'),
@@ -532,36 +528,33 @@ corpus_lines AS (
   SELECT text_id, 0 AS part, CAST(0 AS BIGINT) AS created_utc, '' AS post_id, 0 AS line_no,
          {O.open_tag('text', [('id', 'text_id'), ('subreddit', 'subreddit'), ('created_utc', 'created_utc')])} AS line
   FROM kept
-  UNION ALL {_post_lines_sql('lsub', 'smeta', 'submission', ['author'], 1)}
-  UNION ALL {_post_lines_sql('lcom', 'cmeta', 'comment', ['author', 'created_utc'], 2)}
+  UNION ALL {_post_lines_sql('lsub', 'submission_meta', 'submission', ['author'], 1)}
+  UNION ALL {_post_lines_sql('lcom', 'comment_meta', 'comment', list(comment_cols), 2)}
   UNION ALL SELECT text_id, 3, CAST(0 AS BIGINT), '', 0, '</text>' FROM kept)"""
 
 
-@register("assemble_corpus", with_ctes(("posts_conv", "thread_meta"), ASSEMBLY) + """
+ASSEMBLY_VIEWS = ("posts_open", "thread_meta", "comment_meta", "submission_meta")
+
+
+@register("assemble_corpus", with_ctes(ASSEMBLY_VIEWS, assembly()) + """
 SELECT text_id, CAST(part AS INTEGER) AS part, created_utc, post_id, CAST(line_no AS INTEGER) AS line_no, line
 FROM corpus_lines""")
 def q_assemble_corpus(spark, sf_dir):
     """X5 + X6 + J9-J11 + P15 + P16: threads with metadata as sentence-tagged vertical text."""
-    posts = fixture(spark, sf_dir, "posts_conv")
-    tmeta = fixture(spark, sf_dir, "thread_meta")
-    cmeta = spark.sql(CONV_COMMENT_META, posts_conv=posts)
-    smeta = spark.sql(CONV_SUBMISSION_META, posts_conv=posts)
-    return C.assemble_texts(posts, tmeta, cmeta, smeta)
+    return C.assemble_texts(*(fixture(spark, sf_dir, v) for v in ASSEMBLY_VIEWS))
 
 
-@register("assembly_rejects", with_ctes(("posts_conv", "thread_meta")) + f"""
-, cm AS ({CONV_COMMENT_META.format(posts_conv='posts_conv')}),
-t AS (SELECT DISTINCT string_split(link_id, '_')[-1] AS id FROM posts_conv)
+@register("assembly_rejects", with_ctes(ASSEMBLY_VIEWS) + """
+, t AS (SELECT DISTINCT string_split(link_id, '_')[-1] AS id FROM posts_open)
 SELECT 'thread' AS kind, id FROM t WHERE id NOT IN (SELECT id FROM thread_meta)
 UNION ALL
-SELECT DISTINCT 'comment' AS kind, p.id FROM posts_conv p
-WHERE p.kind = 'comment' AND string_split(p.link_id, '_')[-1] IN (SELECT id FROM thread_meta)
-  AND p.id NOT IN (SELECT id FROM cm)""")
+SELECT DISTINCT p.kind, p.id FROM posts_open p
+WHERE string_split(p.link_id, '_')[-1] IN (SELECT id FROM thread_meta)
+  AND CASE WHEN p.kind = 'comment' THEN p.id NOT IN (SELECT id FROM comment_meta)
+           ELSE p.id NOT IN (SELECT id FROM submission_meta) END""")
 def q_assembly_rejects(spark, sf_dir):
-    """J10 + J11 anti joins: threads and comments dropped for missing metadata."""
-    posts = fixture(spark, sf_dir, "posts_conv")
-    return C.assembly_rejects(posts, fixture(spark, sf_dir, "thread_meta"),
-                              spark.sql(CONV_COMMENT_META, posts_conv=posts))
+    """J9 - J11 anti joins: threads, comments and submissions left out for missing metadata."""
+    return C.assembly_rejects(*(fixture(spark, sf_dir, v) for v in ASSEMBLY_VIEWS))
 
 
 # ------------------------------------------------------------------ evaluation

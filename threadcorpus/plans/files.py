@@ -12,8 +12,7 @@ from threadcorpus.operators import corpus as C
 from threadcorpus.operators import render as R
 from threadcorpus.operators import threads as T
 from threadcorpus.plans import oracle as O
-from threadcorpus.plans.catalog import (ASSEMBLY, CONV_COMMENT_META, CONV_SUBMISSION_META, PARSED_COLS, QueryFn,
-                                        conv_json_lines, with_ctes)
+from threadcorpus.plans.catalog import (ASSEMBLY_VIEWS, PARSED_COLS, QueryFn, assembly, conv_json_lines, with_ctes)
 from threadcorpus.plans.fixtures import fixture
 from threadcorpus.sources import readers, sinks
 from threadcorpus.streaming.stream import work_dir
@@ -166,15 +165,12 @@ def q_file_xml_corpus(spark, sf_dir):
     return regions.select(F.col("attrs")["id"].alias("id"), F.array_join("lines", "\n").alias("html"))
 
 
-@register("file_vertical", with_ctes(("posts_conv", "thread_meta"), ASSEMBLY) + """
+@register("file_vertical", with_ctes(ASSEMBLY_VIEWS, assembly()) + """
 SELECT line, CAST(count(*) AS BIGINT) AS n FROM corpus_lines GROUP BY line""")
 def q_file_vertical(spark, sf_dir):
     """K9: the vertical corpus written in order; its lines read back and counted."""
     path = work_dir(spark, "vertical")
-    posts = fixture(spark, sf_dir, "posts_conv")
-    lines = C.assemble_texts(posts, fixture(spark, sf_dir, "thread_meta"),
-                             spark.sql(CONV_COMMENT_META, posts_conv=posts),
-                             spark.sql(CONV_SUBMISSION_META, posts_conv=posts))
+    lines = C.assemble_texts(*(fixture(spark, sf_dir, v) for v in ASSEMBLY_VIEWS))
     sinks.write_vertical(lines, path)
     return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 

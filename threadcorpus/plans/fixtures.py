@@ -43,6 +43,21 @@ POSTS_CONV_DUP = """
 SELECT * FROM {posts_conv} UNION ALL SELECT * FROM {posts_conv} WHERE conv_id % 7 = 0 AND turn = 1
 """
 
+# Repeated posts, and threads whose first post is no submission.
+POSTS_OPEN = """
+SELECT id, CASE WHEN conv_id % 6 = 0 THEN 'comment' ELSE kind END AS kind, link_id, created_utc, author, body
+FROM {posts_conv_dup}
+"""
+
+# Metadata of their posts; some have none.
+COMMENT_META = """
+SELECT DISTINCT id, author, CAST(created_utc AS STRING) AS created_utc FROM {posts_open}
+WHERE kind = 'comment' AND length(body) % 10 <> 0
+"""
+SUBMISSION_META = """
+SELECT DISTINCT id, author FROM {posts_open} WHERE kind = 'submission' AND length(body) % 10 <> 0
+"""
+
 # Thread metadata; some threads are missing on purpose.
 THREAD_META = """
 SELECT CAST(conv_id AS STRING) AS id, max(subreddit) AS subreddit, CAST(min(created_utc) AS STRING) AS created_utc
@@ -69,6 +84,9 @@ FIXTURES = {
     "posts": (POSTS, ("documents",)),
     "posts_conv": (POSTS_CONV, ("conversations",)),
     "posts_conv_dup": (POSTS_CONV_DUP, ("posts_conv",)),
+    "posts_open": (POSTS_OPEN, ("posts_conv_dup",)),
+    "comment_meta": (COMMENT_META, ("posts_open",)),
+    "submission_meta": (SUBMISSION_META, ("posts_open",)),
     "thread_meta": (THREAD_META, ("posts_conv",)),
 }
 
