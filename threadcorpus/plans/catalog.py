@@ -659,13 +659,13 @@ def q_threshold_sweep(spark, sf_dir):
 
 # ------------------------------------------------------------------ sources
 
-def conv_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stand-in raw dump lines ``(kind, value)`` of ``posts_conv``.
+def conv_json_lines(spark: SparkSession, sf_dir: str, name: str = "posts_conv") -> DataFrame:
+    """Stand-in raw dump lines ``(kind, value)`` of ``posts_conv`` (or another thread fixture).
 
     Submissions carry ``selftext`` and no thread fields; comments of turn 3 lack
     ``parent_id``; posts of odd conversations quote ``created_utc``.
     """
-    p = fixture(spark, sf_dir, "posts_conv")
+    p = fixture(spark, sf_dir, name)
     quoted = (F.col("conv_id") % 2) == 1
     created = F.when(quoted, F.col("created_utc").cast("string"))
     sub_fields = [F.col("id"), F.col("body").alias("selftext"), "subreddit", "subreddit_id", "author"]
@@ -718,31 +718,39 @@ def q_batch_keys(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming
 
+def _two_arrivals(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows, split into what arrives before a stream stops and what arrives before it starts again."""
+    half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+    return rows.where(half == 0), rows.where(half == 1)
+
+
 @register("stream_labels", with_ctes(("posts",), MODEL, ML_POSTS) + "\nSELECT id, language FROM ml")
 def q_stream_labels(spark, sf_dir):
-    """Posts arriving as JSON-line files, labelled per micro-batch (many-language rule)."""
+    """Posts arriving as JSON-line files, labelled per micro-batch (many-language rule); the stream starts twice."""
     from threadcorpus.streaming import stream as ST
     base = ST.work_dir(spark, "labels")
     posts = fixture(spark, sf_dir, "posts")
     lines = posts.select(F.to_json(F.struct("id", "body", "link_id", "subreddit", "subreddit_id",
                                             "created_utc")).alias("value"))
-    lines.repartition(3).write.text(os.path.join(base, "in"))
-    q = ST.label_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
-                        language_model(spark, sf_dir), TARGET_LANGS, os.path.join(base, "state"))
-    q.awaitTermination()
+    for arrived in _two_arrivals(lines):
+        arrived.repartition(2).write.mode("append").text(os.path.join(base, "in"))
+        q = ST.label_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                            language_model(spark, sf_dir), TARGET_LANGS, os.path.join(base, "state"))
+        q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out", "labels")).select("id", "language")
 
 
 @register("stream_monthly_share", with_ctes(("posts",), MODEL, SINGLE, META, MONTHLY) + "\nSELECT * FROM monthly")
 def q_stream_monthly_share(spark, sf_dir):
-    """Running monthly German share per community over arriving label files."""
+    """Running monthly German share per community over arriving label files; the stream starts twice."""
     from threadcorpus.streaming import stream as ST
     base = ST.work_dir(spark, "shares")
     meta = label_meta(spark, sf_dir).select("id", "subreddit", "created_utc", "label")
-    meta.repartition(3).write.parquet(os.path.join(base, "in"))
-    source = spark.readStream.schema(meta.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
-    q = ST.write_snapshot(ST.community_counts(source), os.path.join(base, "out"), os.path.join(base, "state"))
-    q.awaitTermination()
+    for arrived in _two_arrivals(meta):
+        arrived.repartition(2).write.mode("append").parquet(os.path.join(base, "in"))
+        source = spark.readStream.schema(meta.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+        q = ST.write_snapshot(ST.community_counts(source), os.path.join(base, "out"), os.path.join(base, "state"))
+        q.awaitTermination()
     return ST.share_of(ST.latest_snapshot(spark, os.path.join(base, "out"))).select(
         "month", "subreddit", "n", "total", "prop")
 
@@ -750,14 +758,15 @@ def q_stream_monthly_share(spark, sf_dir):
 @register("stream_dedup", with_ctes(("posts_conv_dup",)) + """
 SELECT DISTINCT kind, id, link_id FROM posts_conv_dup""")
 def q_stream_dedup(spark, sf_dir):
-    """Repeated posts dropped from files that arrive one by one, the newest months first."""
+    """Repeated posts dropped from files that arrive one by one, in two starts, the newest months of each first."""
     from threadcorpus.streaming import stream as ST
     base = ST.work_dir(spark, "dedup")
     posts = fixture(spark, sf_dir, "posts_conv_dup").select("kind", "id", "link_id", "created_utc")
-    posts.repartitionByRange(3, F.desc("created_utc")).write.parquet(os.path.join(base, "in"))
-    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
-    q = ST.dedup_stream(source, os.path.join(base, "out"), os.path.join(base, "state"))
-    q.awaitTermination()
+    for arrived in _two_arrivals(posts):
+        arrived.repartitionByRange(2, F.desc("created_utc")).write.mode("append").parquet(os.path.join(base, "in"))
+        source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+        q = ST.dedup_stream(source, os.path.join(base, "out"), os.path.join(base, "state"))
+        q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out")).select("kind", "id", "link_id")
 
 

@@ -11,9 +11,11 @@ from threadcorpus.functions.text import blank_length
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import render as R
 from threadcorpus.operators import threads as T
+from threadcorpus.plans import catalog, jobs
 from threadcorpus.plans import oracle as O
 from threadcorpus.plans.catalog import (ASSEMBLY_VIEWS, PARSED_COLS, QueryFn, assembly, conv_json_lines, with_ctes)
-from threadcorpus.plans.fixtures import fixture
+from threadcorpus.plans.context import language_model
+from threadcorpus.plans.fixtures import TARGET_LANGS, fixture
 from threadcorpus.sources import readers, sinks
 from threadcorpus.streaming.stream import work_dir
 
@@ -27,13 +29,19 @@ def register(name: str, sql: str):
     return wrap
 
 
-def dump_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines of both kinds written as compressed dumps of one month and read as canonical posts."""
+def write_dumps(spark: SparkSession, sf_dir: str, name: str = "posts_conv") -> tuple[str, str]:
+    """Raw lines of both kinds of a thread fixture written as compressed dumps of one month: their paths."""
     base = work_dir(spark, "dump")
-    lines = conv_json_lines(spark, sf_dir)
+    lines = conv_json_lines(spark, sf_dir, name)
     comments, submissions = os.path.join(base, "RC_2014-01.gz"), os.path.join(base, "RS_2014-01.bz2")
     sinks.write_raw(lines.where(F.col("kind") == "comment"), comments, "value", "gzip")
     sinks.write_raw(lines.where(F.col("kind") == "submission"), submissions, "value", "bzip2")
+    return comments, submissions
+
+
+def dump_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dumps read as canonical posts."""
+    comments, submissions = write_dumps(spark, sf_dir)
     return readers.read_posts(spark, [comments], "comment").unionByName(
         readers.read_posts(spark, [submissions], "submission"))
 
@@ -195,6 +203,97 @@ def q_key_union(spark, sf_dir):
     return T.union_keys(posts.where(F.col("kind") == "comment"), posts.where(F.col("kind") == "submission"))
 
 
+# ------------------------------------------------------- whole jobs from files to files
+
+SECOND_HALF = 1277942400
+HALF_META = catalog.META.replace(O.month("p.created_utc"),
+                                 f"CASE WHEN p.created_utc < {SECOND_HALF} THEN '2010-01' ELSE '2010-07' END")
+
+
+def write_comment_dumps(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Comments with a known language written as two dumps, one for each half of the year."""
+    base = work_dir(spark, "comments")
+    posts = fixture(spark, sf_dir, "posts")
+    value = F.to_json(F.struct("id", "body", "link_id", "subreddit", "subreddit_id", "created_utc")).alias("raw")
+    first, second = os.path.join(base, "RC_2010-01.gz"), os.path.join(base, "RC_2010-07.bz2")
+    sinks.write_raw(posts.where(F.col("created_utc") < SECOND_HALF).select(value), first)
+    sinks.write_raw(posts.where(F.col("created_utc") >= SECOND_HALF).select(value), second, compression="bzip2")
+    return [first, second]
+
+
+def labelled_dumps(spark: SparkSession, sf_dir: str) -> tuple[list[str], str]:
+    """G1 applied to the comment dumps: their paths, and the folder of its results."""
+    dumps, out = write_comment_dumps(spark, sf_dir), work_dir(spark, "label-job")
+    jobs.label_comments(spark, dumps, language_model(spark, sf_dir), out)
+    return dumps, out
+
+
+@register("job_label_comments", with_ctes(("posts",), catalog.MODEL, catalog.SINGLE) + f"""
+SELECT p.id, p.subreddit, l.label AS german, l.label IS TRUE AS listed,
+       CASE WHEN p.created_utc < {SECOND_HALF} THEN 'RC_2010-01' ELSE 'RC_2010-07' END AS batch,
+       CASE WHEN l.label THEN p.body END AS body
+FROM posts p JOIN labels l USING (id)""")
+def q_job_label_comments(spark, sf_dir):
+    """G1: dumps to labels, original lines and ids; all three read back."""
+    _, out = labelled_dumps(spark, sf_dir)
+    meta = readers.read_lang_meta(spark, os.path.join(out, "meta"))
+    ids = readers.read_keys(spark, os.path.join(out, "ids")).withColumn("_listed", F.lit(True))
+    raw = readers.parse_posts(spark.read.text(os.path.join(out, "raw")), "comment").select("id", "body")
+    return meta.join(ids, "id", "left").join(raw, "id", "left").select(
+        "id", "subreddit", "german", F.col("_listed").isNotNull().alias("listed"), "batch", "body")
+
+
+@register("job_communities", with_ctes(("posts",), catalog.MODEL, catalog.SINGLE, HALF_META, catalog.MONTHLY,
+                                       catalog.CORPUS) + f"""
+SELECT * FROM corpus WHERE corpus_N > 1 AND corpus_prop >= {O.threshold('corpus_total')}""")
+def q_job_communities(spark, sf_dir):
+    """G1 + G2: dumps to the communities over the threshold."""
+    _, out = labelled_dumps(spark, sf_dir)
+    jobs.community_statistics(spark, os.path.join(out, "meta"), out)
+    return readers.read_subreddit_stats(spark, os.path.join(out, "selected"))
+
+
+SCORE_ROWS = ("link_id STRING, subreddit STRING, prior DOUBLE, n_posts BIGINT, target_words BIGINT, all_words BIGINT, "
+              "score DOUBLE, selected BOOLEAN")
+
+
+@register("job_select_threads", catalog.QUERIES["thread_word_scores"][1].replace(catalog.META, HALF_META))
+def q_job_select_threads(spark, sf_dir):
+    """G1 + G2 + G3: dumps to the scores of their threads."""
+    dumps, out = labelled_dumps(spark, sf_dir)
+    jobs.community_statistics(spark, os.path.join(out, "meta"), out)
+    jobs.select_threads(spark, dumps, [], os.path.join(out, "ids"), os.path.join(out, "selected"),
+                        os.path.join(out, "threads"))
+    return spark.read.csv(os.path.join(out, "threads", "scores"), sep="\t", quote="", header=True, schema=SCORE_ROWS)
+
+
+@register("job_threads_by_language", catalog.QUERIES["thread_extract"][1])
+def q_job_threads_by_language(spark, sf_dir):
+    """Dumps of both kinds, with copies, to ordered posts of the threads of each language."""
+    comments, submissions = write_dumps(spark, sf_dir, "posts_conv_dup")
+    out = work_dir(spark, "language-job")
+    jobs.threads_by_language(spark, [comments], [submissions], language_model(spark, sf_dir), TARGET_LANGS, out)
+    return spark.read.schema("lang STRING, link_id STRING, id STRING, kind STRING, created_utc BIGINT, pos BIGINT") \
+        .json(os.path.join(out, "posts"))
+
+
+@register("job_render_corpus", with_ctes(
+    ("posts_conv_dup", "thread_meta"),
+    "posts_open AS (SELECT id, kind, link_id, created_utc, author, body FROM posts_conv_dup)",
+    "comment_meta AS (SELECT DISTINCT id, author FROM posts_open WHERE kind = 'comment')",
+    "submission_meta AS (SELECT DISTINCT id, author FROM posts_open WHERE kind = 'submission')",
+    assembly(["author"])) + """
+SELECT line, CAST(count(*) AS BIGINT) AS n FROM corpus_lines GROUP BY line""")
+def q_job_render_corpus(spark, sf_dir):
+    """Dumps and thread metadata to the vertical corpus; its lines counted."""
+    comments, submissions = write_dumps(spark, sf_dir, "posts_conv_dup")
+    threads, out = work_dir(spark, "thread-table"), work_dir(spark, "render-job")
+    sinks.write_tsv(fixture(spark, sf_dir, "thread_meta"), threads)
+    jobs.render_corpus(spark, [comments], [submissions], threads, out, ["author"])
+    return spark.read.text(os.path.join(out, "vertical")).groupBy(F.col("value").alias("line")).agg(
+        F.count("*").alias("n"))
+
+
 def oracle() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items()}
 

@@ -35,9 +35,10 @@ def tsv_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = True, compression: str = "gzip") -> None:
-    """K3: tab-separated table (label meta, key tables, post meta, scores)."""
-    (tsv_ready(df).write.mode("overwrite")
+def write_tsv(df: DataFrame, path: str, header: bool = True, compression: str = "gzip",
+              partition_by: Sequence[str] = ()) -> None:
+    """K3: tab-separated table (label meta, key tables, post meta, scores), a folder for each value of ``partition_by``."""
+    (tsv_ready(df).write.mode("overwrite").partitionBy(*partition_by)
      .csv(path, sep="\t", header=header, nullValue="None", emptyValue="", quote="", escape="",
           compression=compression))
 
