@@ -99,7 +99,7 @@ def test_label_with_pandas_hook(spark):
     assert sorted((r.id, r.label) for r in out.collect()) == [("a", "11"), ("b", "5")]
 
 
-def test_salted_model_joins_equal_broadcast(spark, monkeypatch):
+def test_shuffled_model_joins_equal_broadcast(spark, monkeypatch):
     """Lexicon and n-gram lookups give the same labels when the models are too big to broadcast."""
     from conftest import SF_SMALL
     from threadcorpus.session import read_table
@@ -118,6 +118,6 @@ def test_salted_model_joins_equal_broadcast(spark, monkeypatch):
 
     broadcast = run()
     monkeypatch.setattr(L, "BROADCAST_MAX_ROWS", 0)
-    salted = run()
-    assert salted == broadcast
+    shuffled = run()
+    assert shuffled == broadcast
     assert len(broadcast[0]) == docs.count()

@@ -29,14 +29,48 @@ def test_keep_first_collapses_copies(spark):
     assert got == [("a", 1, "y"), ("b", 2, "z")]
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_shuffle_join_equals_broadcast_join(spark):
     big = spark.createDataFrame([("hot", i) for i in range(200)] + [("k1", 1), ("zz", 2)], "w string, n int")
     small = spark.createDataFrame([("hot", 1), ("k1", 2)], "w string, f int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         a = sorted(map(tuple, checked_join(big, small, "w", how).collect()))
-        b = sorted(map(tuple, checked_join(big, small, "w", how, max_rows=0, salt_buckets=5).collect()))
-        c = sorted(map(tuple, checked_join(big, small, "w", how, max_rows=0, salt_buckets=1).collect()))
-        assert a == b == c, how
+        b = sorted(map(tuple, checked_join(big, small, "w", how, max_rows=0).collect()))
+        assert a == b, how
+
+
+def test_shuffle_join_splits_a_hot_key(spark):
+    """A key of a third of the rows is read by several tasks, with a later step grouping by the same key."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500)
+        big = spark.range(n).repartition(8).select(key.alias("w"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        small = spark.range(-1, 500).select(F.col("id").alias("w"), (F.col("id") * 2).alias("f"))
+        joined = checked_join(big, small, "w", max_rows=0).groupBy("w", "f").agg(F.count("*").alias("n"), F.max("v"))
+        rows = {r.w: (r.f, r.n) for r in joined.collect()}
+        assert rows[-1] == (-2, n // 3) and sum(c for _, c in rows.values()) == n
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_scratch_deletes_its_tables(spark):
+    import os
+    from threadcorpus.session import materialize, scratch
+    before = materialize(spark.range(3))
+    with scratch(spark):
+        inner = materialize(spark.range(5))
+        assert inner.count() == 5
+        paths = [f.removeprefix("file://") for f in inner.inputFiles()]
+    assert paths and not any(os.path.exists(p) for p in paths)
+    assert before.count() == 3
 
 
 def test_broadcast_bound_counts_bytes(spark):

@@ -143,3 +143,30 @@ def test_threads_and_regions(spark, tmp_dir):
     nested = R.nested_regions(regions, "comment").collect()
     got = sorted((r.outer["id"], r.attrs["id"], tuple(r.lines)) for r in nested)
     assert got == [("t3_x", "a", ("<p>", "w", "</p>")), ("t3_x", "b", ("z",)), ("t3_y", "c", ("q",))]
+
+
+def test_label_job_keeps_rejects_and_unlabelled_comments(spark, tmp_dir):
+    import json
+    import os
+    from threadcorpus.operators import lang as L
+    from threadcorpus.plans import jobs
+    de = "der hund und die katze sind im garten und spielen heute zusammen"
+    en = "the dog and the cat are in the garden and play together today"
+    rows = [(i, t, l) for i, (t, l) in enumerate([(de, "de")] * 4 + [(en, "en")] * 4)]
+    model = L.train_language_model(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), ["en", "de"])
+    lines = [json.dumps({"id": "a", "body": de, "subreddit": "x", "link_id": "t3_1", "created_utc": 1}),
+             json.dumps({"id": "a", "body": de, "subreddit": "x", "link_id": "t3_1", "created_utc": 1}),
+             json.dumps({"id": "b", "body": en, "subreddit": 'q"x', "link_id": "t3_1", "created_utc": "2"}),
+             json.dumps({"id": "c", "body": "kurz", "subreddit": "x", "link_id": "t3_2", "created_utc": 3}), "{broken"]
+    dump, out = os.path.join(tmp_dir, "RC_2015-03.gz"), os.path.join(tmp_dir, "out")
+    spark.createDataFrame([(x,) for x in lines], "raw string").write.text(dump, compression="gzip")
+    jobs.label_comments(spark, [dump], model, out)
+    meta = sorted(map(tuple, R.read_lang_meta(spark, os.path.join(out, "meta")).collect()), key=str)
+    assert meta == sorted([("a", "x", True, "RC_2015-03")] * 2 + [("b", 'q"x', False, "RC_2015-03"),
+                                                                  ("c", "x", None, "RC_2015-03")], key=str)
+    assert sorted(r.value for r in spark.read.text(os.path.join(out, "raw")).collect()) == lines[:2]
+    assert [r.id for r in R.read_keys(spark, os.path.join(out, "ids")).collect()] == ["a"]
+    assert [r.value for r in spark.read.text(os.path.join(out, "rejects")).collect()] == ["{broken"]
+    jobs.community_statistics(spark, os.path.join(out, "meta"), out)
+    stats = R.read_subreddit_stats(spark, os.path.join(out, "stats")).collect()
+    assert [tuple(r)[:3] for r in stats] == [("x", 2, 3)]

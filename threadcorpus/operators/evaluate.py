@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from threadcorpus.functions.text import epoch_date, words
 
-# Salt buckets of the first top-k phase: a stratum is ranked in this many pieces.
-SAMPLE_SALTS = 64
-
 
 def corpus_summary(posts: DataFrame) -> DataFrame:
     """Posts, word tokens and first/last year per post kind."""
@@ -29,13 +26,15 @@ def score_bins(score: Column, bins: int) -> Column:
 
 
 def stratified_sample(scores: DataFrame, key: str, stratum: Column, n: int, seed: str,
-                      salts: int = SAMPLE_SALTS) -> DataFrame:
+                      salts: int | None = None) -> DataFrame:
     """``n`` rows per stratum, chosen by ``md5(key || seed)`` (deterministic).
 
     Two-phase top-k: rows are ranked within (stratum, salt) pieces first, so
-    no task holds a whole stratum; the second ranking sees at most
+    no task holds a whole stratum; there are as many salts as shuffle
+    partitions, unless given. The second ranking sees at most
     ``n * salts`` rows per stratum. The result is exactly the global top ``n``.
     """
+    salts = salts or int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), F.col(key)]
     staged = scores.withColumn("stratum", stratum).withColumn(
         "_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salts)))

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check, salting beyond it."""
+"""Join helpers: broadcast only behind a size check, a skew-aware shuffle join beyond it."""
 
 from __future__ import annotations
 
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 # A side is broadcast only up to this many rows and this many bytes of content for each of them.
 BROADCAST_MAX_ROWS = 2_000_000
 ROW_BYTES = 64
-# Replicas of the small side when it is too large to broadcast; the large side
-# is spread over them so one hot key no longer lands in a single task.
-SALT_BUCKETS = 32
+# What the shuffle join needs of the session.
+SKEW_SETTINGS = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+                 "spark.sql.adaptive.forceOptimizeSkewedJoin")
 
 
 def broadcast_rows(df: DataFrame) -> int:
@@ -26,20 +26,17 @@ def broadcast_rows(df: DataFrame) -> int:
 
 
 def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS, salt_buckets: int = SALT_BUCKETS,
-                 small_rows: int | None = None) -> DataFrame:
+                 max_rows: int = BROADCAST_MAX_ROWS, small_rows: int | None = None) -> DataFrame:
     """Equi-join ``big`` with ``small`` on column names ``on``.
 
     ``small`` is broadcast when its size by :func:`broadcast_rows` (given, or
     counted here; pass a materialized frame so counting is cheap) is at most
-    ``max_rows``, so long values count as several rows. Larger
-    sides are joined with a salted shuffle join: every ``big`` row gets one of
-    ``salt_buckets`` salts from a hash of the row, ``small`` is replicated once
-    per salt. Each big row still meets each matching small row exactly once,
-    so inner, left, semi and anti joins keep their meaning, and a hot key is
-    split over ``salt_buckets`` tasks. ``salt_buckets=1`` is for keys that are
-    unique on both sides (post ids): a plain shuffle join, with AQE's skew
-    join splitting any oversized partition.
+    ``max_rows``, so long values count as several rows. A larger side is joined
+    by a shuffle. A hot key is then split by its measured size: AQE cuts an
+    oversized partition of ``big`` into pieces of the advisory size, each of
+    which reads that partition of ``small`` again, so the number of tasks grows
+    with the key and nothing else is copied. The session is told to do so even
+    where a later step must shuffle once more.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti"):
@@ -47,9 +44,6 @@ def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     n = broadcast_rows(small) if small_rows is None else small_rows
     if n <= max_rows:
         return big.join(F.broadcast(small), keys, how)
-    if salt_buckets <= 1:
-        return big.join(small, keys, how)
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                                F.lit(salt_buckets)).cast("int"))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_big.join(salted_small, keys + ["_salt"], how).drop("_salt")
+    for name in SKEW_SETTINGS:
+        big.sparkSession.conf.set(name, "true")
+    return big.join(small, keys, how)

@@ -63,8 +63,8 @@ def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows
     probes the broadcast hash table directly and the following per-post
     aggregation combines map-side: only one row per post and task is shuffled.
     Beyond that size, pieces are first counted per (post, piece) and joined
-    with the salted shuffle join, which spreads hot pieces (frequent words or
-    n-grams) over many tasks.
+    by a shuffle, in which hot pieces (frequent words or n-grams) are split by
+    their size.
     """
     if table_rows <= BROADCAST_MAX_ROWS:
         return pieces.join(F.broadcast(table), key, "left").withColumn("cnt", F.lit(1).cast("bigint"))
@@ -197,7 +197,7 @@ def score_langid(posts: DataFrame, profile: NgramProfile, id_col: str = "id",
     """Most probable language per post: ``(id, langid, langid_score)``.
 
     Every n-gram occurrence is looked up in the profile (broadcast when its
-    checked size allows, salted otherwise) and the log-probabilities are
+    checked size allows, a shuffle join otherwise) and the log-probabilities are
     summed per post and language. Ties go to the alphabetically last language.
     """
     grams = posts.select(F.col(id_col).alias("_pid"),

@@ -60,8 +60,7 @@ def submissions_of_threads(submissions: DataFrame, threads: DataFrame,
                            key: str = "link_id", id_col: str = "id") -> DataFrame:
     """Submissions whose thread key (``t3_`` + id) is in ``threads``."""
     ids = materialize(threads.select(bare_id(F.col(key)).alias(id_col)).distinct())
-    # Submission ids are unique: no hot key to salt.
-    return checked_join(submissions, ids, id_col, "left_semi", salt_buckets=1)
+    return checked_join(submissions, ids, id_col, "left_semi")
 
 
 def extract_threads(posts: DataFrame, scores: DataFrame) -> DataFrame:
@@ -114,13 +113,11 @@ def thread_shape(posts: DataFrame, order: Sequence | None = None) -> DataFrame:
         F.max_by("id", key).alias("last_id"))
 
 
-def mark_members(posts: DataFrame, ids: DataFrame, yes: str = "german", no: str = "nope",
-                 id_col: str = "id") -> DataFrame:
-    """Label every post ``yes`` if its id is in ``ids``, else ``no``."""
+def mark_members(posts: DataFrame, ids: DataFrame, id_col: str = "id", out: str = "member") -> DataFrame:
+    """Flag every post whose id is in ``ids``."""
     members = materialize(ids.select(id_col).distinct().withColumn("_member", F.lit(True)))
-    joined = checked_join(posts, members, id_col, "left", salt_buckets=1)  # unique post ids
-    return joined.withColumn("la", F.when(F.col("_member"), F.lit(yes)).otherwise(F.lit(no))) \
-        .drop("_member")
+    joined = checked_join(posts, members, id_col, "left")
+    return joined.withColumn(out, F.col("_member").isNotNull()).drop("_member")
 
 
 def thread_word_scores(comments: DataFrame, ids: DataFrame, communities: DataFrame,
@@ -132,11 +129,11 @@ def thread_word_scores(comments: DataFrame, ids: DataFrame, communities: DataFra
     and ``all_words`` sum blank-split lengths of member / all posts, and
     ``score = prior * target_words / all_words``; ``selected = score >= cutoff``.
     """
-    marked = mark_members(comments, ids).withColumn("le", blank_length(F.col("body")))
+    marked = mark_members(comments, ids).withColumn("length", blank_length(F.col("body")))
     sums = marked.groupBy("link_id").agg(
-        F.sum(F.when(F.col("la") == F.lit("german"), F.col("le")).otherwise(F.lit(0)))
+        F.sum(F.when(F.col("member"), F.col("length")).otherwise(F.lit(0)))
         .cast("bigint").alias("target_words"),
-        F.sum("le").cast("bigint").alias("all_words"),
+        F.sum("length").cast("bigint").alias("all_words"),
         F.count("*").alias("n_posts"),
         F.min_by("subreddit", F.struct("created_utc", "id")).alias("subreddit"))
     priors = materialize(communities.select("subreddit", F.col("corpus_prop").alias("prior")))

@@ -3,7 +3,7 @@
 Each job takes paths and writes its results into folders below ``out``; the
 folders of one job are inputs of the next. Dumps are named by their month
 (``RC_yyyy-mm``, ``RS_yyyy-mm``). Lines that cannot be parsed go to
-``<out>/rejects``.
+``<out>/rejects``. Intermediate tables are deleted at the end of a job.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from threadcorpus.operators import lang as L
 from threadcorpus.operators import render as R
 from threadcorpus.operators import stats as S
 from threadcorpus.operators import threads as T
-from threadcorpus.session import materialize
+from threadcorpus.session import in_scratch, materialize
 from threadcorpus.sources import readers, sinks
 
 KEYS = ["kind", "id"]
@@ -35,6 +35,7 @@ def _posts(spark: SparkSession, comments: Sequence[str], submissions: Sequence[s
     return readers.drop_orphans(posts.where(~F.col("malformed")))
 
 
+@in_scratch
 def label_comments(spark: SparkSession, comments: Sequence[str], model: L.LanguageModel, out: str,
                    target: str = "de", reference: str = "en") -> None:
     """G1: label comment dumps for one language.
@@ -53,6 +54,7 @@ def label_comments(spark: SparkSession, comments: Sequence[str], model: L.Langua
     sinks.write_keys(T.target_ids(found), os.path.join(out, "ids"))
 
 
+@in_scratch
 def community_statistics(spark: SparkSession, meta: str, out: str) -> None:
     """Monthly and overall shares from label folders (``meta`` of :func:`label_comments`).
 
@@ -65,6 +67,7 @@ def community_statistics(spark: SparkSession, meta: str, out: str) -> None:
     sinks.write_csv(S.filter_communities(S.corpus_share(monthly)), os.path.join(out, "selected"))
 
 
+@in_scratch
 def select_threads(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], ids: str,
                    communities: str, out: str) -> None:
     """Threads chosen by the share of words in comments of the target language.
@@ -85,6 +88,7 @@ def select_threads(spark: SparkSession, comments: Sequence[str], submissions: Se
     sinks.write_raw(T.submissions_of_threads(opened, selected), os.path.join(out, "submissions"))
 
 
+@in_scratch
 def threads_by_language(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str],
                         model: L.LanguageModel, targets: Sequence[str], out: str, reference: str = "en") -> None:
     """Threads chosen by the share of posts in each of several languages, with their submissions.
@@ -114,6 +118,7 @@ def threads_by_language(spark: SparkSession, comments: Sequence[str], submission
     sinks.write_post_records(ordered, os.path.join(out, "posts"), group, ["pos"])
 
 
+@in_scratch
 def render_corpus(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], threads: str, out: str,
                   attributes: Sequence[str] = ("author", "date")) -> None:
     """Posts rendered as XML and assembled with their metadata into the vertical corpus.

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,10 +83,39 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the tables that :func:`materialize` writes within, also after an error.
+
+    Frames that read them must not be used afterwards.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for name in _SCRATCH.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_scratch(job: Callable) -> Callable:
+    """A job ``(spark, ...)`` that leaves nothing but its outputs: its intermediate tables are deleted."""
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scratch(spark):
+            return job(spark, *args, **kwargs)
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the driver tables (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
