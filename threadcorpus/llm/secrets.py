@@ -2,9 +2,10 @@
 
 Base kinds are found by pattern. Beyond them, long mixed tokens are
 candidates. The hashes of all found values are counted over the whole corpus
-by distinct repositories and owners: a value that many owners share is a
-copied example, a value of one owner only looks like a live credential.
-Candidates of the latter sort become spans of kind ``owned``.
+by distinct owners: a value that many owners share is a copied example, a
+value of one owner only looks like a live credential, however many documents
+of that owner hold it. Candidates of the latter sort become spans of kind
+``owned``.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ HEX = r"[0-9a-f]{24,}"
 OWNED = r"[A-Za-z0-9+/_-]{20,}"
 ASSIGN_MIN = 6
 KINDS = ("assign", "access", "hex", "owned")
-# A value of so many owners or more is an example; one of a single owner, in at
-# most so many repositories, with so many bits of entropy a character, is live.
+# A value of so many owners or more is an example; one of a single owner, with
+# so many bits of entropy a character, is live.
 EXAMPLE_OWNERS = 3
-LIVE_REPOSITORIES = 10
 LIVE_ENTROPY = 3.0
 
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -86,21 +86,18 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``base`` are the spans of the base kinds, ``spans`` these and the owned
     ones, both sorted by start, then kind; ends are exclusive, in code
-    points. ``source`` names the owner, a document is a repository. A null
-    source is one owner, a null text is empty; a repeated row is searched
-    again, and counts once as a repository; an empty table gives no rows;
-    other columns are ignored.
+    points. ``source`` names the owner. A null source is one owner, a null
+    text is empty; a repeated row is searched again; an empty table gives no
+    rows; other columns are ignored.
     """
     found = materialize(find(docs))
-    values = found.select("doc_id", "owner", "row", F.explode(F.concat("base", "more")).alias("s"))
-    values = values.select("doc_id", "owner", "row", "s", F.sha2(F.col("s.value"), 256).alias("hash"))
-    # Distinct (value, owner, repository), then by owner, then by value: a value
-    # that everyone copies is summed before it is shuffled by itself.
-    by_owner = values.select("hash", "owner", "doc_id").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    counts = by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    values = found.select("owner", "row", F.explode(F.concat("base", "more")).alias("s"))
+    values = values.select("owner", "row", "s", F.sha2(F.col("s.value"), 256).alias("hash"))
+    # Distinct (value, owner), then by value: a value that everyone copies is
+    # summed before it is shuffled by itself.
+    counts = values.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
     judged = values.join(counts, "hash")
-    live = (F.col("n_owners") == 1) & (F.col("n_repositories") <= LIVE_REPOSITORIES) \
-        & (_entropy(F.col("s.value")) >= LIVE_ENTROPY)
+    live = (F.col("n_owners") == 1) & (_entropy(F.col("s.value")) >= LIVE_ENTROPY)
     per_row = judged.withColumn("live", live).groupBy("row").agg(
         F.collect_list(F.when((F.col("s.kind") == 3) & F.col("live"), F.col("s"))).alias("owned"),
         F.count_if("live").alias("n_live"), F.count_if(F.col("n_owners") >= EXAMPLE_OWNERS).alias("n_example"))
