@@ -101,6 +101,28 @@ def test_suffix_dedup_of_odd_rows(spark, odd):
     assert suffix.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_null_and_equal_ids_of_different_texts(spark):
+    rng = np.random.default_rng(9)
+
+    def words(n):
+        return " ".join("".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n))
+
+    shared, block = words(40), words(120)
+    rows = [(None, words(300) + shared + words(60) + shared + words(100)), (None, ""), (None, words(20)),
+            (5, words(30) + shared), (5, shared + words(30)), (5, words(8)), (7, words(30) + block), (3, words(50)),
+            (None, block + words(10)), (None, words(10) + block), (None, block + words(10)), (7, words(40)),
+            (2**63 - 1, words(40) + block)]
+    rows += [(9, rows[3][1])] * 2 + [(None, words(60))] * 2 + [(None, shared + words(3)) for _ in range(40)]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    order.remove(14)  # the repeated row of doc_id 9
+    brute = brute_repeats({k: rows[i][1] for k, i in enumerate(order)})
+    want = Counter((rows[i][0], *brute[k]) for k, i in enumerate(order))
+    want[9, *brute[order.index(13)]] += 1
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter((r[0], *r[1:5]) for r in suffix.digest(suffix.remove_repeats(df)).collect())
+    assert got == want
+
+
 # ------------------------------------------------------------------ 2 quality rules
 
 def brute_counts(t):

@@ -148,7 +148,6 @@ _NAMED = (np.uint64, np.uint64, np.int64, np.int32, np.uint16)  # least hash, id
 _ASKED = (np.uint64, np.int64, np.int32, np.uint16, np.bool_)  # least hash, document, start, windows, many
 _FOUND = (np.int64, np.int32, np.int32)  # document, start, end
 _WINDOWS = (np.uint64, np.int64, np.int32)  # whole hash, document, start
-NO_ID = np.iinfo(np.int64).max
 
 
 def _dealt(key: np.ndarray, n: int, *columns: np.ndarray):
@@ -419,13 +418,14 @@ _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:
     """Each document's removed spans and what is left of its bytes."""
-    ids, data, offsets = _texts(docs)
+    numbers, data, offsets = _texts(docs)
+    ids = docs.column("doc_id").combine_chunks() if docs.num_rows else pa.array([], pa.int64())
     doc, start, end = _unpack(found.column("packed").to_pylist(), *_FOUND)
     order = np.lexsort((end, start, doc))
     doc, start, end = doc[order], start[order], end[order]
-    lo, hi = np.searchsorted(doc, ids), np.searchsorted(doc, ids, side="right")
+    lo, hi = np.searchsorted(doc, numbers), np.searchsorted(doc, numbers, side="right")
     spans, kept = [], []
-    for i in range(len(ids)):
+    for i in range(len(numbers)):
         text = data[offsets[i]:offsets[i + 1]]
         own: list[dict] = []
         if hi[i] > lo[i]:
@@ -439,37 +439,64 @@ def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:
             text = text[np.cumsum(mask[:-1]) == 0]
         spans.append(own)
         kept.append(text.tobytes())
-    return pa.table({"doc_id": pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64()),
-                     "n_bytes": pa.array(np.diff(offsets)), "spans": pa.array(spans, _SPAN_TYPE),
+    return pa.table({"doc_id": ids, "n_bytes": pa.array(np.diff(offsets)), "spans": pa.array(spans, _SPAN_TYPE),
                      "kept": pa.array(kept, pa.binary())})
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``doc, doc_id, text`` of every row; ``doc`` tells the documents apart and gives their order.
+
+    A document is a row, but rows of one doc_id and one text are one document.
+    ``doc`` is the doc_id where that tells all documents apart. Where a doc_id
+    is null or has several texts, the documents are numbered by doc_id, null
+    last, then row; their row numbers are written with the table.
+    """
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    hashed = F.sha2("text", 256)
+    several = source.select("doc_id", F.xxhash64("text").alias("h"), F.hash("text").alias("g")).groupBy("doc_id").agg(
+        F.min("h").alias("h0"), F.max("h").alias("h1"), F.min("g").alias("g0"), F.max("g").alias("g1")) \
+        .where("doc_id is null or h0 <> h1 or g0 <> g1")
+    if several.isEmpty():
+        return source.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+    rows = materialize(source.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
+    named = rows.withColumn("name", F.when(F.col("doc_id").isNull(), F.col("row").cast("string")).otherwise(
+        F.concat_ws(":", F.col("doc_id").cast("string"), hashed)))
+    first = named.groupBy("name").agg(F.min("doc_id").alias("id"), F.min("row").alias("first"))
+    # Numbers grow from one sorted partition to the next.
+    numbers = materialize(first.orderBy(F.col("id").asc_nulls_last(), "first").select(
+        "name", F.monotonically_increasing_id().alias("doc")))
+    return materialize(named.join(numbers, "name").select("doc", "doc_id", "text"))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: removed byte spans and the remaining bytes of every row.
 
     A byte is removed if a string of 100 bytes that covers it also starts
-    earlier: in a document of a smaller doc_id, or earlier in the same one.
-    Matches never cross documents. A null text is empty; a text of fewer than
-    100 bytes is kept; a null doc_id comes after all others; rows of the same
-    doc_id count as one document, so that a repeated row gives its result
-    again; an empty table gives no rows; other columns are ignored. Equal
-    strings are those of equal 128-bit hashes where whole pieces agree, and of
-    equal bytes (64-bit hashes under a hash of very many pieces) elsewhere.
+    earlier: in a document of a smaller doc_id, in an earlier row of the same
+    doc_id with another text, or earlier in the same document. Matches never
+    cross documents. A null text is empty; a text of fewer than 100 bytes is
+    kept; rows of a null doc_id are documents of their own and come after all
+    others, in their order; rows of the same doc_id and text count as one
+    document, so that a repeated row gives its result again; an empty table
+    gives no rows; other columns are ignored. Equal strings are those of equal
+    128-bit hashes where whole pieces agree, and of equal bytes (64-bit hashes
+    under a hash of very many pieces) elsewhere.
     """
     prepare(docs.sparkSession)
-    source = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(NO_ID))).alias("doc"), text_of().alias("text"))
+    source = _numbered(docs)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(MIN_GROUPS, total // GROUP_BYTES + 1)
-    found = materialize(_name_pieces(source, groups).groupBy("part").applyInArrow(
+    found = materialize(_name_pieces(source.select("doc", "text"), groups).groupBy("part").applyInArrow(
         _earliest(groups), "part bigint, kind int, packed binary"))
 
     def number(batches):
         for batch in batches:
             part = _group_of(batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64), groups)
-            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("doc"), pa.array(strings(batch.column("text")))],
-                                             names=["part", "doc", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("doc"), batch.column("doc_id"),
+                                              pa.array(strings(batch.column("text")))],
+                                             names=["part", "doc", "doc_id", "text"])
 
-    grouped = arrow_map(source, number, "part bigint, doc bigint, text string").groupBy("part")
+    grouped = arrow_map(source, number, "part bigint, doc bigint, doc_id bigint, text string").groupBy("part")
     fetched = grouped.cogroup(found.where("kind = 1").groupBy("part")).applyInArrow(
         _fetch(groups), "part bigint, kind int, packed binary")
     merged = fetched.groupBy("part").applyInArrow(_merge_pieces(groups), "part bigint, packed binary")
