@@ -373,6 +373,30 @@ def test_jaccard_join_of_odd_rows(spark, odd):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 5, 7, None, None])
 
 
+@pytest.mark.parametrize("free", [True, False])
+def test_one_row_of_each_group_where_ids_are_null_or_equal(spark, free):
+    def words(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(3, words("a")), (5, words("a")), (5, words("b")), (5, words("c")), (6, words("c") + " end")]
+    rows += [(None, words("b")) for _ in range(20)]
+    if free:
+        rows += [(None, words("n")) for _ in range(300)] + [(None, words("n") + " end")]
+        rows += [(None, words(f"m{i}x")) for i in range(50)] + [(None, None)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, k int")
+    groups = defaultdict(list)
+    linked = brute_groups({k: t or "" for k, (_, t) in enumerate(rows)})
+    for k, (g, _) in linked.items():
+        groups[g].append(k)
+    first = {g: min(ks, key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)) for g, ks in groups.items()}
+    want = set(first.values())
+    if free:  # a row of a null doc_id stays by itself
+        want |= {min(k for k in ks if rows[k][0] is None) for ks in groups.values() if any(rows[k][0] is None for k in ks)}
+    assert sorted(r.k for r in forest.keep_one(df).collect()) == sorted(want)
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in forest.join(df).collect())
+    assert got == Counter((i, rows[first[linked[k][0]]][0], linked[k][1]) for k, (i, _) in enumerate(rows))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50) if i % 10 != 9] + [(60, 60)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u int, v int")).collect()}

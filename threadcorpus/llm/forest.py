@@ -109,8 +109,8 @@ def _binary(keys: np.ndarray) -> pa.Array:
 
 
 def paths(docs: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, class, n_shingles, prefixes`` of each row: the key of its words, and its path in each tree."""
-    source = docs.select("doc_id", text_of().alias("text"))
+    """``doc_id, row, class, n_shingles, prefixes`` of each row: the key of its words, and its path in each tree."""
+    source = docs.select("doc_id", "row", text_of().alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -127,12 +127,12 @@ def paths(docs: DataFrame, depth: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(np.where(size > 0, TREES, 0))]).astype(np.int32)
             flat = np.concatenate(trees).view(np.int64).ravel()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _binary(np.concatenate(keys)), pa.array(size.astype(np.int64)),
+                [batch.column("doc_id"), batch.column("row"), _binary(np.concatenate(keys)), pa.array(size.astype(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["doc_id", "class", "n_shingles", "prefixes"])
+                names=["doc_id", "row", "class", "n_shingles", "prefixes"])
 
     key_type = source.schema["doc_id"].dataType.simpleString()
-    return arrow_map(source, run, f"doc_id {key_type}, class binary, n_shingles bigint, prefixes array<bigint>")
+    return arrow_map(source, run, f"doc_id {key_type}, row bigint, class binary, n_shingles bigint, prefixes array<bigint>")
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float):
@@ -326,9 +326,22 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
     doc_id is never the least; an empty table gives no rows; other columns are
     ignored.
     """
-    found = materialize(paths(docs, matched_depth(threshold, target=target)))
+    rows = materialize(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()))
+    return _grouped(rows, threshold, target, block_shingles).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def _grouped(rows: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL,
+             block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """The columns of :func:`join`, and ``row, alone, first_row, nameless_row``, of written ``rows``.
+
+    ``row`` tells the rows apart; ``alone`` marks those without words,
+    ``first_row`` is the group's first by doc_id (null last), then row, and
+    ``nameless_row`` its first of a null doc_id.
+    """
+    found = materialize(paths(rows, matched_depth(threshold, target=target)))
     classes = materialize(found.where("n_shingles > 0").groupBy("class").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("n_copies"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"),
+        F.min(F.when(F.col("doc_id").isNull(), F.col("row"))).alias("nameless_row"), F.count("*").alias("n_copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("prefixes").alias("prefixes")))
     buckets = classes.select("class", F.explode("prefixes").alias("bucket"))
     least = buckets.groupBy("bucket").agg(F.min("class").alias("m"), F.count("*").alias("n")).where("n > 1")
@@ -337,14 +350,14 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
 
     # A base slightly above 1 / threshold keeps rounding from parting two sizes that may be linked.
     size = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(1.0001 / threshold))).cast("int")
-    grouped = classes.select("class", "least", "n_copies", "n_shingles", size.alias("size")) \
+    grouped = classes.select("class", "first", "n_copies", "n_shingles", size.alias("size")) \
         .join(groups.withColumnRenamed("node", "class"), "class")
     by_size = grouped.groupBy("component", "size").agg(F.sum("n_shingles").alias("s"))
     blocks = by_size.groupBy("component").agg(F.sum("s").alias("all"), F.map_from_entries(F.collect_list(F.struct(
         "size", F.ceil(F.col("s") / block_shingles).cast("int").alias("n")))).alias("blocks"))
     dealt = grouped.join(blocks, "component").select(
-        F.col("least").alias("id"), "class", "n_copies", _places(threshold, block_shingles).alias("places"))
-    texts = docs.select("doc_id", text_of().alias("text")).join(dealt, F.col("doc_id").eqNullSafe(F.col("id")))
+        F.col("first.row").alias("row"), "class", "n_copies", _places(threshold, block_shingles).alias("places"))
+    texts = rows.select("row", text_of().alias("text")).join(dealt, "row")
     tiles = _shingles(texts.select("class", "n_copies", "places", "text")) \
         .select(F.explode("places").alias("p"), "class", "n_copies", "shingles") \
         .select("p.tile", "p.side", "class", "n_copies", "shingles")
@@ -353,25 +366,29 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
 
     linked = verified.where("v is null").groupBy(F.col("u").alias("class")).agg(F.sum("n").alias("linked"))
     joined = components(verified.where("v is not null").select("u", "v"))
-    named = classes.select("class", "least", "n_copies").join(joined.withColumnRenamed("node", "class"), "class", "left") \
+    named = classes.select("class", "first", "nameless_row", "n_copies").join(joined.withColumnRenamed("node", "class"), "class", "left") \
         .withColumn("component", F.coalesce("component", "class"))
-    ids = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    about = named.join(ids, "component").join(linked, "class", "left").select(
-        "class", "class_id", (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), "n_copies")
+    ids = named.groupBy("component").agg(F.min("first").alias("first"), F.min("nameless_row").alias("nameless_row"))
+    about = named.drop("first", "nameless_row").join(ids, "component").join(linked, "class", "left").select(
+        "class", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("first_row"), "nameless_row", (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), "n_copies")
     alone = F.col("n_shingles") == 0
-    out = found.select("doc_id", "class", "n_shingles").join(about, "class", "left")
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    out = found.select("doc_id", "row", "class", "n_shingles").join(about, "class", "left")
+    return out.select("row", alone.alias("alone"), "first_row", "nameless_row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"),
                       F.when(alone, F.lit(1)).otherwise(F.col("n_copies")).cast("bigint").alias("n_copies"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each group: the one whose doc_id names the class; columns stay.
+    """One row of each group: its first by doc_id (null last), then row; columns stay.
 
-    Rows without words all stay; rows of a null doc_id count as one document
-    and stay if one of them has no class with another id; a row repeated with
-    all its columns stays once.
+    Rows without words all stay; a row repeated with all its columns stays
+    once. Rows of a null doc_id count as one document as to groups with an id:
+    if any of them stays by itself, one of them stays in each such group too.
     """
-    kept = join(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"))
-    kept = kept.distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates()
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    grouped = _grouped(rows.select("doc_id", "text", F.col("__row").alias("row")), threshold)
+    kept = materialize(grouped.where("alone or row = first_row or row = nameless_row")
+                       .select(F.col("row").alias("__row"), "doc_id", "class_id"))
+    if kept.where("doc_id is null and class_id is null").isEmpty():
+        kept = kept.where("doc_id is not null")
+    return rows.join(kept.select("__row"), "__row", "left_semi").drop("__row").dropDuplicates()
