@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from threadcorpus.plans import catalog, files
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -10,7 +10,7 @@ from threadcorpus.operators.lang import label_multi, one_each, train_language_mo
 from threadcorpus.operators.ordering import keep_first, rank_in_group
 from threadcorpus.operators.render import render_posts
 from threadcorpus.streaming import stream as ST
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 @pytest.fixture(scope="module")

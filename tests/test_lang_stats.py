@@ -101,7 +101,7 @@ def test_label_with_pandas_hook(spark):
 
 def test_shuffled_model_joins_equal_broadcast(spark, monkeypatch):
     """Lexicon and n-gram lookups give the same labels when the models are too big to broadcast."""
-    from conftest import SF_SMALL
+    from inputs import SF_SMALL
     from threadcorpus.session import read_table
 
     docs = read_table(spark, SF_SMALL, "documents")
