@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadcorpus.llm import chat, cnn, decontaminate, forest, packing, pii, rules, secrets, suffix, urls
+from threadcorpus.llm import align, chat, cnn, decontaminate, forest, packing, pii, rules, secrets, suffix, urls
 from threadcorpus.llm.common import table
 
 
@@ -60,6 +60,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_windows(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in all documents, with corpus-wide counts."""
+    return align.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -71,5 +76,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_token_alignment": op11_token_alignment,
 }
 ORACLES = {"op3_decontamination": decontaminate.ORACLE}
