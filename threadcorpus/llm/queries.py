@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadcorpus.llm import align, chat, cnn, decontaminate, forest, packing, pii, rules, secrets, suffix, urls
+from threadcorpus.llm import align, chat, cnn, decontaminate, forest, packing, pii, rules, secrets, spelling, suffix, urls
 from threadcorpus.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.link(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the more frequent words one edit away, and where those end."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -77,5 +82,6 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_token_alignment": op11_token_alignment,
+    "op12_spelling_variants": op12_spelling_variants,
 }
-ORACLES = {"op3_decontamination": decontaminate.ORACLE}
+ORACLES = {"op3_decontamination": decontaminate.ORACLE, "op12_spelling_variants": spelling.ORACLE}
