@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadcorpus.llm import align, chat, cnn, decontaminate, forest, packing, pii, rules, secrets, spelling, suffix, urls
+from threadcorpus.llm import align, chat, cnn, decontaminate, extract, forest, packing, pii, rules, secrets, spelling, suffix, urls
 from threadcorpus.llm.common import table
 
 
@@ -70,6 +70,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages: by their marks, else without what repeats on their host."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -83,5 +88,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_token_alignment": op11_token_alignment,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_html_extraction": op13_html_extraction,
 }
-ORACLES = {"op3_decontamination": decontaminate.ORACLE, "op12_spelling_variants": spelling.ORACLE}
+ORACLES = {"op3_decontamination": decontaminate.ORACLE, "op12_spelling_variants": spelling.ORACLE,
+           "op13_html_extraction": extract.ORACLE}
