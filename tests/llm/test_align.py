@@ -70,6 +70,13 @@ def test_segments_keep_the_ids(tokens, monkeypatch):
     assert list(tokens.encode([text])) == whole
 
 
+def test_ranks_give_the_ids_of_the_file(tokens, documents):
+    assert tokens.by_ranks
+    texts = [r.text for r in documents.select("text").collect() if r.text]
+    texts += [f" a{chr(c)}b {chr(c)} {chr(c)}{chr(c)}1" for c in range(0x3000)] + ["x" * 50_000, " " * 9_999, "<|endoftext|>"]
+    assert tokens.ids_a(texts) == [e.ids for e in tokens.a.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_link_equals_brute_force(spark, documents, tokens):
     docs = documents.where("doc_id % 3 = 0 and length(text) < 3000")
     expected = brute(tokens, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
