@@ -370,7 +370,7 @@ def test_jaccard_join_of_odd_rows(spark, odd):
     assert forest.join(odd.limit(0)).count() == 0
     kept = forest.keep_one(odd)
     assert kept.columns == odd.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 5, 7, None, None])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 5, 7, None])
 
 
 @pytest.mark.parametrize("free", [True, False])
@@ -389,14 +389,33 @@ def test_one_row_of_each_group_where_ids_are_null_or_equal(spark, free):
     for k, (g, _) in linked.items():
         groups[g].append(k)
     first = {g: min(ks, key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)) for g, ks in groups.items()}
-    want = set(first.values())
-    if free:  # a row of a null doc_id stays by itself
-        want |= {min(k for k in ks if rows[k][0] is None) for ks in groups.values() if any(rows[k][0] is None for k in ks)}
-    assert sorted(r.k for r in forest.keep_one(df).collect()) == sorted(want)
+    # One row of each group, of its least doc_id; which one of equal ids is decided by a hash.
+    kept = [r.k for r in forest.keep_one(df).collect()]
+    assert sorted(linked[k][0] for k in kept) == sorted(groups)
+    assert all(rows[k][0] == rows[first[linked[k][0]]][0] for k in kept)
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in forest.join(df).collect())
     assert got == Counter((i, rows[first[linked[k][0]]][0], linked[k][1]) for k, (i, _) in enumerate(rows))
 
 
+def test_an_unrelated_row_changes_no_other(spark):
+    a, z = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    for more in ([], [(None, z)], [(None, None)], [(9, z)]):
+        df = spark.createDataFrame([(1, a), (None, a), *more], "doc_id bigint, text string")
+        assert Counter(forest.keep_one(df).collect()) == Counter([(1, a), *more])
+
+
+def test_keep_one_of_any_columns_and_names(spark):
+    a, b = "one two three four five six seven", "un deux trois quatre cinq six sept"
+    rows = [(1, a, {"x": 1}, (1, [2]), "r", 1), (2, a, {"x": 2}, None, "s", 2), (3, b, None, (3, []), None, 3),
+            (3, b, None, (3, []), None, 3), (4, "", {"y": 1}, None, "t", 4), (4, "", {"y": 1}, None, "t", 4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, m map<string,int>, s struct<p:int,q:array<int>>, row string, `__row` int")
+    kept = forest.keep_one(df)
+    assert kept.schema == df.schema
+    assert sorted((r.doc_id, r.m, r.row, r["__row"]) for r in kept.collect()) == [
+        (1, {"x": 1}, "r", 1), (3, None, None, 3), (4, {"y": 1}, "t", 4)]
+    assert forest.keep_one(df.limit(0)).collect() == []
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50) if i % 10 != 9] + [(60, 60)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u int, v int")).collect()}

@@ -18,6 +18,8 @@ of them, not the pairs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from threadcorpus.llm.common import SpanHasher, arrow_map, chain, mix, text_chunks, text_of, word_spans
 from threadcorpus.llm.components import components
+from threadcorpus.operators import bloom
 from threadcorpus.session import materialize
 
 SHINGLE_WORDS = 5
@@ -108,9 +111,14 @@ def _binary(keys: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def paths(docs: DataFrame, depth: int) -> DataFrame:
+def row_key(columns: Sequence[str]) -> Column:
+    """A 128-bit hash of a row's columns of any type: equal rows have one, and no row number must be written."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in columns]))))
+
+
+def paths(rows: DataFrame, depth: int) -> DataFrame:
     """``doc_id, row, class, n_shingles, prefixes`` of each row: the key of its words, and its path in each tree."""
-    source = docs.select("doc_id", "row", text_of().alias("text"))
+    source = rows.select("doc_id", "row", text_of().alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -132,7 +140,7 @@ def paths(docs: DataFrame, depth: int) -> DataFrame:
                 names=["doc_id", "row", "class", "n_shingles", "prefixes"])
 
     key_type = source.schema["doc_id"].dataType.simpleString()
-    return arrow_map(source, run, f"doc_id {key_type}, row bigint, class binary, n_shingles bigint, prefixes array<bigint>")
+    return arrow_map(source, run, f"doc_id {key_type}, row binary, class binary, n_shingles bigint, prefixes array<bigint>")
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float):
@@ -326,22 +334,22 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
     doc_id is never the least; an empty table gives no rows; other columns are
     ignored.
     """
-    rows = materialize(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()))
+    rows = docs.select("doc_id", "text").withColumn("row", row_key(["doc_id", "text"]))
     return _grouped(rows, threshold, target, block_shingles).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def _grouped(rows: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL,
              block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """The columns of :func:`join`, and ``row, alone, first_row, nameless_row``, of written ``rows``.
+    """The columns of :func:`join`, and ``row, alone, first_row``, of ``doc_id, text, row``.
 
-    ``row`` tells the rows apart; ``alone`` marks those without words,
-    ``first_row`` is the group's first by doc_id (null last), then row, and
-    ``nameless_row`` its first of a null doc_id.
+    ``row`` is a key of the row's content; ``alone`` marks those without words,
+    ``first_row`` is the group's first by doc_id (null last), then key. Texts
+    are read in place; only those of classes that may be linked are moved,
+    found by a filter of bounded size before the exact join.
     """
     found = materialize(paths(rows, matched_depth(threshold, target=target)))
     classes = materialize(found.where("n_shingles > 0").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"),
-        F.min(F.when(F.col("doc_id").isNull(), F.col("row"))).alias("nameless_row"), F.count("*").alias("n_copies"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"), F.count("*").alias("n_copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("prefixes").alias("prefixes")))
     buckets = classes.select("class", F.explode("prefixes").alias("bucket"))
     least = buckets.groupBy("bucket").agg(F.min("class").alias("m"), F.count("*").alias("n")).where("n > 1")
@@ -355,9 +363,10 @@ def _grouped(rows: DataFrame, threshold: float = THRESHOLD, target: float = TARG
     by_size = grouped.groupBy("component", "size").agg(F.sum("n_shingles").alias("s"))
     blocks = by_size.groupBy("component").agg(F.sum("s").alias("all"), F.map_from_entries(F.collect_list(F.struct(
         "size", F.ceil(F.col("s") / block_shingles).cast("int").alias("n")))).alias("blocks"))
-    dealt = grouped.join(blocks, "component").select(
-        F.col("first.row").alias("row"), "class", "n_copies", _places(threshold, block_shingles).alias("places"))
-    texts = rows.select("row", text_of().alias("text")).join(dealt, "row")
+    dealt = materialize(grouped.join(blocks, "component").select(
+        F.col("first.row").alias("row"), "class", "n_copies", _places(threshold, block_shingles).alias("places")))
+    may_link = bloom.key_filter(dealt, "row")
+    texts = rows.select("row", text_of().alias("text")).where(may_link).join(dealt, "row")
     tiles = _shingles(texts.select("class", "n_copies", "places", "text")) \
         .select(F.explode("places").alias("p"), "class", "n_copies", "shingles") \
         .select("p.tile", "p.side", "class", "n_copies", "shingles")
@@ -366,29 +375,37 @@ def _grouped(rows: DataFrame, threshold: float = THRESHOLD, target: float = TARG
 
     linked = verified.where("v is null").groupBy(F.col("u").alias("class")).agg(F.sum("n").alias("linked"))
     joined = components(verified.where("v is not null").select("u", "v"))
-    named = classes.select("class", "first", "nameless_row", "n_copies").join(joined.withColumnRenamed("node", "class"), "class", "left") \
+    named = classes.select("class", "first", "n_copies").join(joined.withColumnRenamed("node", "class"), "class", "left") \
         .withColumn("component", F.coalesce("component", "class"))
-    ids = named.groupBy("component").agg(F.min("first").alias("first"), F.min("nameless_row").alias("nameless_row"))
-    about = named.drop("first", "nameless_row").join(ids, "component").join(linked, "class", "left").select(
-        "class", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("first_row"), "nameless_row", (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), "n_copies")
+    ids = named.groupBy("component").agg(F.min("first").alias("first"))
+    about = named.drop("first").join(ids, "component").join(linked, "class", "left").select(
+        "class", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("first_row"),
+        (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), "n_copies")
     alone = F.col("n_shingles") == 0
     out = found.select("doc_id", "row", "class", "n_shingles").join(about, "class", "left")
-    return out.select("row", alone.alias("alone"), "first_row", "nameless_row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    return out.select("row", alone.alias("alone"), "first_row", "doc_id",
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"),
                       F.when(alone, F.lit(1)).otherwise(F.col("n_copies")).cast("bigint").alias("n_copies"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each group: its first by doc_id (null last), then row; columns stay.
+    """One row of each group: its first by doc_id (null last), then by a hash of the whole row; columns stay.
 
-    Rows without words all stay; a row repeated with all its columns stays
-    once. Rows of a null doc_id count as one document as to groups with an id:
-    if any of them stays by itself, one of them stays in each such group too.
+    Rows without words (null and empty texts) all stay; a row repeated with all
+    its columns stays once; an empty table gives no rows. Columns may have any
+    type and name. Rows that stay and are no repeat of another are not moved:
+    a filter of bounded size over the others' keys passes them in place.
     """
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
-    grouped = _grouped(rows.select("doc_id", "text", F.col("__row").alias("row")), threshold)
-    kept = materialize(grouped.where("alone or row = first_row or row = nameless_row")
-                       .select(F.col("row").alias("__row"), "doc_id", "class_id"))
-    if kept.where("doc_id is null and class_id is null").isEmpty():
-        kept = kept.where("doc_id is not null")
-    return rows.join(kept.select("__row"), "__row", "left_semi").drop("__row").dropDuplicates()
+    key = "row"
+    while key in docs.columns:
+        key = "_" + key
+    keyed = docs.withColumn(key, row_key(docs.columns))
+    grouped = _grouped(keyed.select("doc_id", "text", F.col(key).alias("row")), threshold)
+    rows = grouped.groupBy(F.col("row").alias(key)).agg(
+        F.count("*").alias("n"), F.max(F.col("alone") | (F.col("row") == F.col("first_row"))).alias("kept"))
+    decided = materialize(rows.where("n > 1 or not kept"))
+    concerned = bloom.key_filter(decided, key)
+    # Copies of a row collapse within each task, then meet the rows that go by the same key.
+    moved = keyed.where(concerned).dropDuplicates([key]).join(decided.where("not kept").select(key), key, "left_anti")
+    return keyed.where(~concerned).unionByName(moved).drop(key)
