@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadcorpus.functions.text import THREAD_SCORE_CUTOFF, bare_id, blank_length, thread_key
-from threadcorpus.operators.joins import checked_join
+from threadcorpus.operators import joins
+from threadcorpus.operators.bloom import key_filter
+from threadcorpus.operators.joins import broadcast_rows, checked_join
 from threadcorpus.operators.ordering import keep_first, rank_in_group
 from threadcorpus.session import materialize
 
@@ -50,24 +52,38 @@ def target_ids(labelled: DataFrame, label_col: str = "label", id_col: str = "id"
     return labelled.where(F.col(label_col)).select(id_col).distinct()
 
 
+def _members(posts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Posts whose key is in the written, distinct ``keys``.
+
+    Beyond the broadcast bound a filter of bounded size is applied to the posts
+    in place, and only those that pass it are shuffled to the exact join.
+    """
+    n = broadcast_rows(keys)
+    if n > joins.BROADCAST_MAX_ROWS:
+        posts = posts.where(key_filter(keys, key, n_keys=n))
+    return checked_join(posts, keys, key, "left_semi", max_rows=joins.BROADCAST_MAX_ROWS, small_rows=n)
+
+
 def comments_of_threads(comments: DataFrame, keys: DataFrame, key: str = "link_id") -> DataFrame:
     """All comments of the threads listed in ``keys`` (semi join)."""
-    key_set = materialize(keys.select(key).distinct())
-    return checked_join(comments, key_set, key, "left_semi")
+    return _members(comments, materialize(keys.select(key).distinct()), key)
 
 
 def submissions_of_threads(submissions: DataFrame, threads: DataFrame,
                            key: str = "link_id", id_col: str = "id") -> DataFrame:
     """Submissions whose thread key (``t3_`` + id) is in ``threads``."""
     ids = materialize(threads.select(bare_id(F.col(key)).alias(id_col)).distinct())
-    return checked_join(submissions, ids, id_col, "left_semi")
+    return _members(submissions, ids, id_col)
 
 
 def extract_threads(posts: DataFrame, scores: DataFrame) -> DataFrame:
     """Posts (both kinds) of threads flagged ``exceeded``, once per language."""
     keyed = posts.withColumn("link_id", thread_key(F.col("kind"), F.col("id"), F.col("link_id")))
     keys = materialize(scores.where(F.col("exceeded")).select("lang", "link_id").distinct())
-    return checked_join(keyed, keys, "link_id", "inner")
+    n = broadcast_rows(keys)
+    if n > joins.BROADCAST_MAX_ROWS:
+        keyed = keyed.where(key_filter(keys, "link_id", n_keys=n))
+    return checked_join(keyed, keys, "link_id", "inner", max_rows=joins.BROADCAST_MAX_ROWS, small_rows=n)
 
 
 def dedup_thread(posts: DataFrame, group: Sequence[str] = ("link_id",),
