@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threadcorpus.functions.text import epoch_month
 from threadcorpus.operators.lang import LanguageModel, label_multi, one_each
-from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import checkpoint_dir
 from threadcorpus.sources.readers import parse_posts
 
@@ -86,23 +87,36 @@ def latest_snapshot(spark: SparkSession, sink: str) -> DataFrame:
     return versions.where(F.col("_batch") == F.lit(last)).drop("_batch", "version")
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB: bounded memory, changes saved for each batch."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def dedup_stream(posts: DataFrame, sink: str, checkpoint: str, keys=("kind", "id")) -> StreamingQuery:
-    """Append the first copy of every post, however late its other copies arrive.
+    """Append one copy of every post, however late its other copies arrive.
 
-    Each micro-batch is reduced to one row per key and held against what
-    earlier batches wrote, so a post of an old month is kept as long as it is
-    new. A retried batch replaces its own folder.
+    The keys seen are keyed state on disk: a micro-batch looks up its own keys
+    and reads nothing that was written before, so its work does not grow with
+    the history. A post of an old month is kept as long as it is new. Of copies
+    that arrive in one micro-batch any one is kept. A retried batch replaces
+    its own folder.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = keep_first(batch, list(keys), [])
-        written = spark.read.schema(batch.schema.add("batch", "long")).parquet(sink) if batch_id else None
-        if written is not None:
-            fresh = fresh.join(written.where(F.col("batch") != batch_id).select(*keys), list(keys), "left_anti")
-        fresh.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
-
-    return (posts.writeStream.foreachBatch(per_batch)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+
+    with state_on_disk(posts.sparkSession):
+        return (posts.dropDuplicates(list(keys)).writeStream.foreachBatch(per_batch)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def append_to(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
