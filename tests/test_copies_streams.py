@@ -72,6 +72,51 @@ def test_dedup_stream_keeps_late_months_and_continues(spark, tmp_dir):
     assert sorted((r.kind, r.id) for r in spark.read.parquet(sink).collect()) == [("c", "0"), ("c", "1"), ("s", "1")]
 
 
+def test_dedup_stream_reads_only_what_arrives(spark, tmp_dir):
+    source, state = (os.path.join(tmp_dir, n) for n in ("in", "state"))
+    schema = "kind string, id string, created_utc bigint"
+    read, kept = [], []
+    for i in range(4):  # as many new posts each time, and all earlier ones once more in the last
+        rows = [("c", f"{i}_{k}", i) for k in range(50)] + ([("c", f"{j}_{k}", 9) for j in range(3) for k in range(50)] if i == 3 else [])
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        sink = os.path.join(tmp_dir, f"out{i}")  # a folder of its own: nothing written before can be read
+        q = ST.dedup_stream(spark.readStream.schema(schema).parquet(source), sink, state)
+        q.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in q.recentProgress))
+        kept.append(spark.read.parquet(sink).count())
+    assert read == [50, 50, 50, 200] and kept == [50, 50, 50, 50]
+    assert any(f.endswith(".zip") for _, _, names in os.walk(state) for f in names)  # RocksDB snapshots
+
+
+def test_label_job_reads_new_months_only(spark, model, texts, tmp_dir, monkeypatch):
+    import json
+    from threadcorpus.plans import jobs
+    out, decoded = os.path.join(tmp_dir, "out"), []
+    read_posts = jobs.readers.read_posts
+    monkeypatch.setattr(jobs.readers, "read_posts", lambda spark, paths, kind: decoded.append(list(paths)) or read_posts(spark, paths, kind))
+    dumps = []
+    for month, key in (("01", "a"), ("02", "b")):
+        dumps.append(os.path.join(tmp_dir, f"RC_2014-{month}.gz"))
+        lines = [json.dumps({"id": key + i, "body": texts[lang], "subreddit": "s", "link_id": "t3_x", "created_utc": 1})
+                 for i, lang in (("1", "de"), ("2", "en"))] + ["{broken"]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(dumps[-1], compression="gzip")
+
+    def ids():
+        return sorted(r.id for r in spark.read.text(os.path.join(out, "ids")).selectExpr("value as id").collect())
+
+    assert jobs.label_comments(spark, dumps[:1], model, out) == dumps[:1] and ids() == ["a1"]
+    # A crash after the outputs are written and before the batch is listed: the batch is done again, nothing doubles.
+    with monkeypatch.context() as m:
+        m.setattr(jobs.sinks, "commit_batches", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            jobs.label_comments(spark, dumps, model, out)
+    assert jobs.label_comments(spark, dumps, model, out) == dumps[1:] and ids() == ["a1", "b1"]
+    assert jobs.label_comments(spark, dumps, model, out) == []
+    assert decoded == [dumps[:1], dumps[1:], dumps[1:]]
+    assert spark.read.text(os.path.join(out, "rejects")).count() == 2
+    assert jobs.readers.read_lang_meta(spark, os.path.join(out, "meta")).count() == 4
+
+
 def test_label_stream_keeps_copies_and_malformed_lines(spark, model, texts, tmp_dir):
     import json
     source, sink, state = (os.path.join(tmp_dir, n) for n in ("in", "out", "state"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadcorpus.functions import markup as M
-from threadcorpus.functions.text import blank_length, is_too_short, sanitize, words
+from threadcorpus.functions.text import blank_length, epoch_month, is_too_short, sanitize, words
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import evaluate as E
 from threadcorpus.operators import lang as L
@@ -507,6 +507,15 @@ def q_sentence_tags(spark, sf_dir):
     return C.insert_sentence_tags(lines, ["id"])
 
 
+@register("tagged_lines", with_ctes(("posts_conv",)) + f"""
+, v AS (SELECT id, {O.tagged_lines('body')} AS lines FROM posts_conv)
+SELECT id, CAST(unnest(range(len(lines))) AS INTEGER) AS line_no, unnest(lines) AS line FROM v""")
+def q_tagged_lines(spark, sf_dir):
+    """X3 + X4 in one projection: tagged lines of every post, nothing shuffled."""
+    return fixture(spark, sf_dir, "posts_conv").select(
+        "id", F.posexplode(C.tagged_lines(F.col("body"))).alias("line_no", "line"))
+
+
 def _post_lines_sql(src: str, meta: str, level: str, cols, part: int) -> str:
     tag = O.open_tag(level, [("id", "p.id"), *[(c, f"m.{c}") for c in cols]])
     return f"""SELECT text_id, {part} AS part, created_utc, post_id,
@@ -557,6 +566,16 @@ def q_assembly_rejects(spark, sf_dir):
     return C.assembly_rejects(*(fixture(spark, sf_dir, v) for v in ASSEMBLY_VIEWS))
 
 
+@register("read_order_shape", with_ctes(("posts_conv_dup",)) + f"""
+, b AS (SELECT *, {O.month('created_utc')} AS batch FROM posts_conv_dup)
+SELECT link_id, CAST(count(*) AS BIGINT) AS n_posts, arg_min(id, (batch, created_utc, id)) AS first_id,
+       arg_max(id, (batch, created_utc, id)) AS last_id FROM b GROUP BY link_id""")
+def q_read_order_shape(spark, sf_dir):
+    """Threads in the order of reading, batch by batch: size, first and last post."""
+    posts = fixture(spark, sf_dir, "posts_conv_dup").withColumn("batch", epoch_month(F.col("created_utc")))
+    return T.thread_shape(posts, ["batch", "created_utc", "id"])
+
+
 # ------------------------------------------------------------------ evaluation
 
 @register("corpus_summary", with_ctes(("posts_conv",)) + f"""

@@ -11,12 +11,15 @@ from threadcorpus.functions.text import blank_length
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import render as R
 from threadcorpus.operators import threads as T
+from threadcorpus.operators.joins import checked_join
+from threadcorpus.operators.ordering import sorted_for_output
 from threadcorpus.plans import catalog, jobs
 from threadcorpus.plans import oracle as O
 from threadcorpus.plans.catalog import (ASSEMBLY_VIEWS, PARSED_COLS, QueryFn, assembly, conv_json_lines, with_ctes)
 from threadcorpus.plans.context import language_model
 from threadcorpus.plans.fixtures import TARGET_LANGS, fixture
-from threadcorpus.sources import readers, sinks
+from threadcorpus.session import materialize
+from threadcorpus.sources import readers, regions, sinks
 from threadcorpus.streaming.stream import work_dir
 
 QUERIES: dict[str, tuple[QueryFn, str]] = {}
@@ -174,13 +177,41 @@ def q_file_xml_corpus(spark, sf_dir):
 
 
 @register("file_vertical", with_ctes(ASSEMBLY_VIEWS, assembly()) + """
-SELECT line, CAST(count(*) AS BIGINT) AS n FROM corpus_lines GROUP BY line""")
+, placed AS (SELECT *, row_number() OVER (ORDER BY text_id, part, created_utc, post_id, line_no) - 1 AS line_no_all
+       FROM corpus_lines)
+SELECT text_id, CAST(line_no_all AS BIGINT) AS line_no,
+       CAST(line_no_all - min(line_no_all) OVER (PARTITION BY text_id) AS BIGINT) AS pos,
+       CAST(CASE WHEN part = 2 THEN dense_rank() OVER (PARTITION BY part ORDER BY text_id, created_utc, post_id) - 1 END AS BIGINT)
+         AS comment_no, line
+FROM placed""")
 def q_file_vertical(spark, sf_dir):
-    """K9: the vertical corpus written in order; its lines read back and counted."""
+    """K9 + S8: the vertical corpus written in order; every line read back with its place, text and comment."""
     path = work_dir(spark, "vertical")
     lines = C.assemble_texts(*(fixture(spark, sf_dir, v) for v in ASSEMBLY_VIEWS))
     sinks.write_vertical(lines, path)
-    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+    found = regions.region_lines(spark, path, ["text", "comment"])
+    texts = regions.region_table(found, "text").select(
+        F.col("region").alias("text"), F.col("attrs")["id"].alias("text_id"), "first_line")
+    return checked_join(found, materialize(texts), "text").select(
+        "text_id", "line_no", (F.col("line_no") - F.col("first_line")).alias("pos"), F.col("comment").alias("comment_no"), "line")
+
+
+@register("file_sentence_tags", with_ctes(("posts_conv",)) + f"""
+, v AS (SELECT id, {O.vertical_lines('body')} AS lines FROM posts_conv),
+x AS (SELECT id, CAST(unnest(range(len(lines))) AS INTEGER) AS n, unnest(lines) AS line FROM v),
+g AS (SELECT row_number() OVER (ORDER BY id, n) - 1 AS line_no, line FROM x),
+st AS (SELECT *, last_value(CASE WHEN line IN ('<p>', '</p>') THEN line END IGNORE NULLS)
+                 OVER (ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_m FROM g),
+o AS (SELECT line_no, CASE WHEN line = '<p>' THEN ['<p>', '<s>'] WHEN line = '</p>' THEN ['</s>', '</p>']
+                           WHEN line = '' AND coalesce(last_m = '<p>', false) THEN ['</s>', '<s>']
+                           WHEN line = '' THEN []::VARCHAR[] ELSE [line] END AS arr FROM st)
+SELECT CAST(line_no AS BIGINT) AS line_no, CAST(unnest(range(len(arr))) AS INTEGER) AS sub, unnest(arr) AS line FROM o""")
+def q_file_sentence_tags(spark, sf_dir):
+    """X4 on vertical files: sentence tags by the scan over files and tasks."""
+    path = work_dir(spark, "untagged")
+    lines = fixture(spark, sf_dir, "posts_conv").select("id", F.posexplode(C.vertical_lines(F.col("body"))).alias("n", "line"))
+    sorted_for_output(lines, ["id"], ["n"]).select("line").write.text(path, compression="gzip")
+    return regions.tag_sentences(spark, path)
 
 
 @register("pending_batches", with_ctes(("posts",)) + f"""
@@ -224,7 +255,9 @@ def write_comment_dumps(spark: SparkSession, sf_dir: str) -> list[str]:
 def labelled_dumps(spark: SparkSession, sf_dir: str) -> tuple[list[str], str]:
     """G1 applied to the comment dumps: their paths, and the folder of its results."""
     dumps, out = write_comment_dumps(spark, sf_dir), work_dir(spark, "label-job")
-    jobs.label_comments(spark, dumps, language_model(spark, sf_dir), out)
+    # The first month, then both: the second run reads the new month only.
+    for known in (dumps[:1], dumps):
+        jobs.label_comments(spark, known, language_model(spark, sf_dir), out)
     return dumps, out
 
 

@@ -2,7 +2,8 @@
 
 Each job takes paths and writes its results into folders below ``out``; the
 folders of one job are inputs of the next. Dumps are named by their month
-(``RC_yyyy-mm``, ``RS_yyyy-mm``). Lines that cannot be parsed go to
+(``RC_yyyy-mm``, ``RS_yyyy-mm``). A job decodes each dump once, into a typed
+table that all its steps read. Lines that cannot be parsed go to
 ``<out>/rejects``. Intermediate tables are deleted at the end of a job.
 """
 
@@ -27,31 +28,43 @@ KEYS = ["kind", "id"]
 
 
 def _posts(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], out: str) -> DataFrame:
-    """Well-formed posts of both kinds, without advertisements; other lines are written to the rejects."""
+    """Well-formed posts of both kinds, without advertisements, as a table; other lines are written to the rejects.
+
+    Compressed dumps are one task for each file; from here on tasks are cut by size.
+    """
     parts = [readers.read_posts(spark, paths, kind)
              for paths, kind in ((comments, "comment"), (submissions, "submission")) if paths]
-    posts = parts[0] if len(parts) == 1 else T.all_posts(*parts)
-    sinks.write_raw(posts.where("malformed"), os.path.join(out, "rejects"))
+    posts = materialize((parts[0] if len(parts) == 1 else T.all_posts(*parts)).withColumn("batch", readers.batch_key("file_path")))
+    sinks.write_raw(posts.where("malformed"), os.path.join(out, "rejects"), partition_by=("batch",))
     return readers.drop_orphans(posts.where(~F.col("malformed")))
 
 
 @in_scratch
 def label_comments(spark: SparkSession, comments: Sequence[str], model: L.LanguageModel, out: str,
-                   target: str = "de", reference: str = "en") -> None:
-    """G1: label comment dumps for one language.
+                   target: str = "de", reference: str = "en", overwrite: bool = False) -> list[str]:
+    """G1 + K10: label comment dumps for one language; dumps of batches already done are not read again.
 
-    Writes ``meta`` (id, community and label of every comment, a folder for
-    each batch), ``raw`` (the original lines of the target's comments) and
-    ``ids`` (their distinct ids).
+    Writes ``meta`` (id, community and label of every comment), ``raw`` (the
+    original lines of the target's comments) and ``ids`` (their distinct ids),
+    a folder for each batch, and then lists the batches in ``done``. With
+    ``overwrite`` all batches are done again. Returns the dumps that were read.
     """
-    posts = _posts(spark, comments, (), out)
+    done = os.path.join(out, "done")
+    pending = sinks.pending_dumps(spark, comments, done, overwrite)
+    if not pending:
+        return pending
+    posts = _posts(spark, pending, (), out)
     labels = materialize(L.label_single(L.one_each(posts.select(*KEYS, "body")), model, target, reference, id_col=KEYS))
-    meta = posts.select(*KEYS, "subreddit", readers.batch_key("file_path").alias("batch")).join(labels, KEYS, "left")
-    sinks.write_tsv(meta.select("id", "subreddit", "label", "batch"), os.path.join(out, "meta"), header=False,
-                    partition_by=("batch",))
+    by_batch = {"partition_by": ("batch",)}
+    meta = posts.select(*KEYS, "subreddit", "batch").join(labels, KEYS, "left")
+    sinks.write_tsv(meta.select("id", "subreddit", "label", "batch"), os.path.join(out, "meta"), header=False, **by_batch)
     found = L.keep_language(labels)
-    sinks.write_raw(posts.join(found.select(*KEYS), KEYS, "left_semi"), os.path.join(out, "raw"))
-    sinks.write_keys(T.target_ids(found), os.path.join(out, "ids"))
+    kept = posts.join(found.select(*KEYS), KEYS, "left_semi")
+    sinks.write_raw(kept, os.path.join(out, "raw"), **by_batch)
+    sinks.write_keys(kept.select("id", "batch").distinct(), os.path.join(out, "ids"), **by_batch)
+    batches = spark.createDataFrame([(d,) for d in pending], "path string").select(readers.batch_key("path").alias("batch"))
+    sinks.commit_batches(batches.distinct(), done)
+    return pending
 
 
 @in_scratch

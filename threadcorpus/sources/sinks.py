@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +14,22 @@ from threadcorpus.operators.ordering import sorted_for_output
 from threadcorpus.sources.readers import batch_key
 
 
-def write_raw(df: DataFrame, path: str, col: str = "raw", compression: str = "gzip") -> None:
-    """K1: the original line of every kept record."""
-    df.select(col).write.mode("overwrite").text(path, compression=compression)
+def _writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    """Overwrite the whole folder, or with ``partition_by`` only the folders of the values that are written."""
+    mode = "dynamic" if partition_by else "static"
+    return df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by)
 
 
-def write_keys(df: DataFrame, path: str, col: str = "id", compression: str = "gzip") -> None:
-    """K2: one key per line."""
-    df.select(F.col(col).cast("string")).write.mode("overwrite").text(path, compression=compression)
+def write_raw(df: DataFrame, path: str, col: str = "raw", compression: str = "gzip",
+              partition_by: Sequence[str] = ()) -> None:
+    """K1: the original line of every kept record, a folder for each value of ``partition_by``."""
+    _writer(df.select(col, *partition_by), partition_by).text(path, compression=compression)
+
+
+def write_keys(df: DataFrame, path: str, col: str = "id", compression: str = "gzip",
+               partition_by: Sequence[str] = ()) -> None:
+    """K2: one key per line, a folder for each value of ``partition_by``."""
+    _writer(df.select(F.col(col).cast("string"), *partition_by), partition_by).text(path, compression=compression)
 
 
 def tsv_ready(df: DataFrame) -> DataFrame:
@@ -38,7 +46,7 @@ def tsv_ready(df: DataFrame) -> DataFrame:
 def write_tsv(df: DataFrame, path: str, header: bool = True, compression: str = "gzip",
               partition_by: Sequence[str] = ()) -> None:
     """K3: tab-separated table (label meta, key tables, post meta, scores), a folder for each value of ``partition_by``."""
-    (tsv_ready(df).write.mode("overwrite").partitionBy(*partition_by)
+    (_writer(tsv_ready(df), partition_by)
      .csv(path, sep="\t", header=header, nullValue="None", emptyValue="", quote="", escape="",
           compression=compression))
 
@@ -111,3 +119,26 @@ def pending_batches(inputs: DataFrame, done: DataFrame, key: str = "batch",
     if overwrite:
         return inputs
     return inputs.join(done.select(key).distinct(), key, "left_anti")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``batch`` of every batch whose outputs are complete; empty before the first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "batch string")
+    return spark.read.text(path).select(F.col("value").alias("batch")).distinct()
+
+
+def commit_batches(batches: DataFrame, path: str) -> None:
+    """Note batches as done, after all their outputs are written.
+
+    A run that ends before this does its batches again, and replaces their
+    folders; files appear in the manifest whole or not at all.
+    """
+    batches.select("batch").coalesce(1).write.mode("append").text(path)
+
+
+def pending_dumps(spark: SparkSession, dumps: Sequence[str], manifest: str, overwrite: bool = False) -> list[str]:
+    """The dumps, named by their batch, that a manifest does not list."""
+    named = spark.createDataFrame([(d,) for d in dumps], "path string").withColumn("batch", batch_key("path"))
+    return sorted(r.path for r in pending_batches(named, read_manifest(spark, manifest), "batch", overwrite).collect())
