@@ -83,3 +83,20 @@ def test_broadcast_bound_counts_bytes(spark):
     wide = checked_join(big, small, "w", "left", max_rows=40)
     assert "BroadcastHashJoin" not in wide._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r.v or "" for r in wide.collect()) == ["", "x"]
+
+
+def test_a_hot_thread_is_gathered_in_bounded_chunks(spark, tmp_dir):
+    from threadcorpus.operators import gather as G
+    from threadcorpus.sources import readers, sinks
+    rows = [("hot", "comment", f"{i:05d}", i // 7, "x" * (i % 90)) for i in range(3000)] + [("t", "submission", "a", 1, None), ("t", "comment", "b", 1, "y")]
+    posts = spark.createDataFrame(rows, "link_id string, kind string, id string, created_utc bigint, body string").repartition(5)
+    chunks = G.gather_threads(posts, ["id", "body"], chunk_bytes=1000)
+    sinks.write_threads(chunks, tmp_dir + "/t")
+    back = readers.read_gathered(spark, tmp_dir + "/t", chunks.schema)
+    assert max(sum(len(p.body or "") for p in r.posts) for r in back.collect()) < 1000 + 90
+    assert back.where("link_id = 'hot'").count() > 100
+    got = sorted((r.link_id, r.pos, r.id, r.body) for r in G.thread_posts(back).collect())
+    want = sorted((t, k == "submission", i, u, b) for t, k, i, u, b in rows)
+    hot = [(i, b) for _, _, i, u, b in sorted(want, key=lambda r: (r[0], r[3], r[1], r[2])) if _ is not None and i != "a" and i != "b"]
+    assert [(i, b) for t, _, i, b in got if t == "hot"] == hot
+    assert [(p, i, b) for t, p, i, b in got if t == "t"] == [(1, "b", "y"), (2, "a", None)]

@@ -10,7 +10,7 @@ exploded into n-grams (the cheap-test-first gate).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -311,12 +311,25 @@ def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
 def label_with(posts: DataFrame, fn: Callable[[pd.Series], pd.Series], id_col: str = "id",
                body_col: str = "body", out_col: str = "label",
                out_type: T.DataType = T.StringType()) -> DataFrame:
-    """Pluggable per-post classifier (L6): ``fn`` maps a batch of texts to labels.
+    """Pluggable per-post classifier (L6): ``fn`` maps a batch of texts to labels, an Arrow batch at a time."""
+    return label_with_model(posts, lambda: fn, id_col, body_col, out_col, out_type)
 
-    Runs as an Arrow-batched pandas UDF, so any model is loaded once per
-    Python worker and applied a batch at a time.
+
+def label_with_model(posts: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]], id_col: str = "id",
+                     body_col: str = "body", out_col: str = "label",
+                     out_type: T.DataType = T.StringType()) -> DataFrame:
+    """L6 with a model: ``load`` returns the function of a batch of texts and is called once in each task.
+
+    What ``load`` reads (a file that the executors see, a broadcast value) is
+    held while the task's batches pass by.
     """
-    udf = F.pandas_udf(lambda s: fn(s), out_type)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        classify = load()
+        for texts in batches:
+            yield classify(texts)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    udf = F.pandas_udf(run, out_type)
     return posts.select(F.col(id_col), udf(sanitize(F.col(body_col))).alias(out_col))
 
 

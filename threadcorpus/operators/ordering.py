@@ -16,9 +16,11 @@ def _cols(cols) -> list[Column]:
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "pos",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact 1-based position of every row inside its ``keys`` group by ``order``.
 
+    With ``weight`` also ``<out>_before``, the sum of that column over the rows before.
+
     A window partitioned by the group key alone would put a whole group into
     one task. Instead rows are range-partitioned on ``keys + order`` (a hot
     group spans many partitions) and materialized, numbered inside each
@@ -29,16 +31,25 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
     key_cols, order_cols = _cols(keys), _cols(order)
     ranged = materialize(df.repartitionByRange(n, *key_cols, *order_cols)
                          .withColumn("_part", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order_cols)))
-    pieces = ranged.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
+    inside = Window.partitionBy("_part", *keys).orderBy(*order_cols)
+    local = ranged.withColumn("_local", F.row_number().over(inside))
+    sums = [F.count("*").alias("_n")]
+    if weight:
+        earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+        local = local.withColumn("_heavy", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+        sums.append(F.sum(weight).alias("_w"))
+    pieces = ranged.groupBy("_part", *keys).agg(*sums)
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(pieces.select("_part", *keys,
-                                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    shifts = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if weight:
+        shifts.append(F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_woff"))
+    offsets = materialize(pieces.select("_part", *keys, *shifts))
     # A null key is a group like any other, so it is compared as one value with its null flag.
     name = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
     ranked = checked_join(local.withColumn("_key", name), offsets.withColumn("_key", name).drop(*keys),
                           ["_part", "_key"], "inner")
+    if weight:
+        ranked = ranked.withColumn(f"{out}_before", (F.col("_heavy") + F.col("_woff")).cast("bigint")).drop("_heavy", "_woff")
     return ranked.withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint")) \
         .drop("_part", "_key", "_local", "_off")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from threadcorpus.functions.text import blank_length
 from threadcorpus.operators import corpus as C
+from threadcorpus.operators import gather as G
+from threadcorpus.operators import lang as L
 from threadcorpus.operators import render as R
 from threadcorpus.operators import threads as T
 from threadcorpus.operators.joins import checked_join
@@ -165,6 +167,57 @@ def q_file_post_lengths(spark, sf_dir):
     return spark.read.schema(rows.schema).json(path)
 
 
+THREAD_PLACES = """placed AS (SELECT *, row_number() OVER w AS pos, coalesce(sum({size}) OVER
+  (PARTITION BY link_id ORDER BY created_utc, kind = 'submission', id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bytes
+  FROM posts_conv WINDOW w AS (PARTITION BY link_id ORDER BY created_utc, kind = 'submission', id))"""
+
+
+@register("file_gathered_threads", with_ctes(("posts_conv",), THREAD_PLACES.format(size="strlen(body)")) + """
+SELECT link_id, CAST(bytes // 2000 AS BIGINT) AS chunk, CAST(pos AS BIGINT) AS pos, kind, id, body FROM placed""")
+def q_file_gathered_threads(spark, sf_dir):
+    """A10 + K5 + S7: threads gathered in order, in chunks of about 2,000 bytes, written and read back."""
+    path = work_dir(spark, "gathered")
+    chunks = G.gather_threads(fixture(spark, sf_dir, "posts_conv"), ["kind", "id", "body"], chunk_bytes=2000)
+    sinks.write_threads(chunks, path)
+    return G.thread_posts(readers.read_gathered(spark, path, chunks.schema))
+
+
+@register("file_thread_lale", with_ctes(("posts_conv",), THREAD_PLACES.format(size="16")) + """
+, rows AS (SELECT link_id, CAST(bytes // 32 AS BIGINT) AS chunk, author = 'user' AS label,
+                  CAST(len(string_split(body, ' ')) AS BIGINT) AS length FROM placed)
+SELECT link_id, CAST(count(DISTINCT chunk) AS BIGINT) AS n_chunks, CAST(count(*) AS BIGINT) AS n_posts,
+       CAST(coalesce(sum(CASE WHEN label THEN length END), 0) AS BIGINT) AS target, CAST(sum(length) AS BIGINT) AS total
+FROM rows GROUP BY link_id""")
+def q_file_thread_lale(spark, sf_dir):
+    """A11 + K6: label and length of the posts of each thread, two posts a chunk, written, read back and summed."""
+    path = work_dir(spark, "lale")
+    chunks = G.gather_lengths(fixture(spark, sf_dir, "posts_conv"), F.col("author") == "user",
+                              blank_length("body").cast("bigint"), chunk_bytes=32)
+    sinks.write_threads(chunks, path)
+    back = readers.read_gathered(spark, path, chunks.schema)
+    return G.length_shares(back).join(back.groupBy("link_id").agg(F.count("*").alias("n_chunks")), "link_id")
+
+
+@register("drop_orphans", with_ctes(("posts_conv",)) + """
+SELECT id, kind FROM posts_conv WHERE NOT (kind = 'submission' AND created_utc % 3 = 0)""")
+def q_drop_orphans(spark, sf_dir):
+    """submissions without a community id (advertisements) dropped; comments without one stay."""
+    posts = fixture(spark, sf_dir, "posts_conv").withColumn(
+        "subreddit_id", F.when(F.col("created_utc") % 3 != 0, F.col("subreddit_id")))
+    return readers.drop_orphans(posts).select("id", "kind")
+
+
+@register("label_hook", with_ctes(("posts_conv",)) + """
+SELECT id, CASE WHEN length(body) % 2 = 0 THEN 'even' ELSE 'odd' END AS label
+FROM (SELECT id, """ + O.sanitize("body") + """ AS body FROM posts_conv)""")
+def q_label_hook(spark, sf_dir):
+    """A classifier that is loaded once a task and labels batches of texts."""
+    def load():
+        names = {0: "even", 1: "odd"}
+        return lambda texts: (texts.str.len() % 2).map(names)
+    return L.label_with_model(fixture(spark, sf_dir, "posts_conv"), load)
+
+
 @register("file_xml_corpus", with_ctes(("posts_markup",), O.entity_cte()) + f"""
 SELECT id, {O.escape_spoilers(O.decode_entities(O.markdown_html(O.xml_unescape('body'))))} AS html
 FROM posts_markup, emap""")

@@ -6,6 +6,7 @@ import functools
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -47,6 +48,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each application; Python stages import it there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), f"threadcorpus-source-{sc.applicationId}.zip")
+    with zipfile.ZipFile(path, "w") as packed:  # stays while the application runs: executors fetch it from the driver
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    packed.write(file, os.path.relpath(file, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when none is set.
 

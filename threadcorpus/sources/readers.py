@@ -142,6 +142,11 @@ def read_threads(spark: SparkSession, path, comment_schema: T.StructType | None
     return arrays.select(F.posexplode("thread").alias("pos", "c")).select("pos", "c.*")
 
 
+def read_gathered(spark: SparkSession, path, schema) -> DataFrame:
+    """Chunks of threads as written by ``write_threads``, of the given schema."""
+    return spark.read.schema(schema).json(path)
+
+
 def thread_rejects(spark: SparkSession, path) -> DataFrame:
     """Lines of a thread file that :func:`read_threads` cannot parse: ``(value)``."""
     parsed = spark.read.text(path).select("value", F.from_json("value", T.ArrayType(RAW_SCHEMA)).alias("thread"))

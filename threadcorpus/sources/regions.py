@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from threadcorpus.operators.corpus import PARAGRAPH_CLOSE, PARAGRAPH_OPEN, SENTENCE_CLOSE, SENTENCE_OPEN
 from threadcorpus.operators.joins import BROADCAST_MAX_ROWS
-from threadcorpus.session import materialize
+from threadcorpus.session import materialize, ship
 from threadcorpus.sources.readers import region_attributes
 
 OPENS, CLOSES, NEITHER = 1, -1, 0
@@ -30,6 +30,7 @@ OPENS, CLOSES, NEITHER = 1, -1, 0
 
 def read_segments(spark: SparkSession, path) -> DataFrame:
     """``file, block, line``: lines of text files, in order inside each (file, block)."""
+    ship(spark)
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"))

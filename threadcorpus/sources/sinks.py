@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from threadcorpus.functions.text import epoch_timestamp, py_bool_text
 from threadcorpus.operators.ordering import sorted_for_output
+from threadcorpus.session import ship
 from threadcorpus.sources.readers import batch_key
 
 
@@ -70,6 +71,16 @@ def write_post_records(df: DataFrame, path: str, keys: Sequence[str] = ("link_id
     ordered.select(payload.alias("value")).write.mode("overwrite").text(path, compression=compression)
 
 
+def write_threads(chunks: DataFrame, path: str, group: Sequence[str] = ("link_id",), compression: str = "gzip") -> None:
+    """K5, K6: gathered threads, one JSON object for each chunk, a thread's chunks in order across files.
+
+    A line is bounded by the chunk; a thread of one chunk is one line.
+    """
+    payload = F.to_json(F.struct(*[F.col(c) for c in chunks.columns]), {"ignoreNullFields": "false"})
+    sorted_for_output(chunks, list(group), ["chunk"]).select(payload.alias("value")) \
+        .write.mode("overwrite").text(path, compression=compression)
+
+
 def write_json_records(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """K6: one JSON object per row (e.g. thread scores with their word sums)."""
     payload = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
@@ -91,6 +102,7 @@ def write_xml_corpus(df: DataFrame, path: str, col: str = "xml", compression: st
     markup, so the elements are written as text).
     """
     rows = df.select(F.col(col).alias("value"))
+    ship(df.sparkSession)
     rows.mapInPandas(_wrap_corpus, "value string").write.mode("overwrite") \
         .text(path, compression=compression)
 
