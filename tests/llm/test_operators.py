@@ -453,6 +453,41 @@ def test_secret_ownership(spark):
     assert got[1] == ("owned:3:25", 1, 0) and got[2] == ("", 0, 1)
 
 
+def test_owned_spans_and_spread_equal_brute_force(spark, documents):
+    rows = [(r.doc_id, r.text or "", r.source or "") for r in documents.select("doc_id", "text", "source").collect()]
+    own, both, wide = "Zx9-qT7_Lm2+Rk5/Wv8Pn3", "Qw3er5ty7ui9op1as3df5gh", "Nm7bv5cx3za1lk9jh7gf5ds"
+    rows += [(20_000 + i, f"a {own} b {both if i < 2 else ''} c {wide}", f"o{i % 4 if i else 0}") for i in range(8)]
+    rows += [(21_000, f"{own} {own}", "o0"), (21_001, "aaaaaaaaaaaaaaaaaaa1aaaa", "o9")]
+    found, spread = {}, defaultdict(set)
+    for i, t, owner in rows:
+        base = [(a, b, t[a:b] if k != "assign" else None) for a, k, b in brute_secrets(t)]
+        values = []
+        for a, k, b in brute_secrets(t):
+            m = re.search(r"[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)$", t[a:b]) if k == "assign" else None
+            values.append(m[1] if m else t[a:b])
+        more = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t)
+                if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(a < m.end() and m.start() < b for a, b, _ in base)]
+        found[i] = values, more
+        for v in values + [m[2] for m in more]:
+            spread[v].add((owner, i))
+
+    def entropy(v):
+        return -sum(v.count(c) / len(v) * np.log2(v.count(c) / len(v)) for c in set(v))
+
+    owners = {v: len({o for o, _ in s}) for v, s in spread.items()}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = secrets.digest(secrets.scan(df)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        values, more = found[r.doc_id]
+        every = values + [m[2] for m in more]
+        live = [v for v in every if owners[v] == 1 and entropy(v) >= secrets.LIVE_ENTROPY]
+        owned = [f"owned:{a}:{b}" for a, b, v in more if owners[v] == 1 and entropy(v) >= secrets.LIVE_ENTROPY]
+        assert [s for s in r.spans.split(",") if s.startswith("owned")] == owned
+        assert (r.n_live, r.n_example) == (len(live), sum(owners[v] >= 3 for v in every))
+        assert (r.max_owners, r.max_repositories) == (max((owners[v] for v in every), default=0), max((len(spread[v]) for v in every), default=0))
+
+
 def test_secret_of_one_owner_in_thousands_of_copies_is_live(spark):
     own = "Zx9-qT7_Lm2+Rk5/Wv8Pn3"
     rows = [(i, f"my {own} key", "a") for i in range(3_000)]

@@ -2,10 +2,11 @@
 
 Base kinds are found by pattern. Beyond them, long mixed tokens are
 candidates. The hashes of all found values are counted over the whole corpus
-by distinct owners: a value that many owners share is a copied example, a
-value of one owner only looks like a live credential, however many documents
-of that owner hold it. Candidates of the latter sort become spans of kind
-``owned``.
+by distinct repositories (documents) and owners (sources): a value that many
+owners share is a copied example, a value of one owner only looks like a live
+credential, however many repositories of that owner hold it. Candidates of
+the latter sort become spans of kind ``owned``; the number of repositories is
+reported beside, as how far a value has spread.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadcorpus.llm.common import text_of
+from threadcorpus.operators.joins import checked_join
 from threadcorpus.session import materialize
 
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -64,13 +66,13 @@ def _found(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """``doc_id, owner, row, base, more``: base spans and further candidates of every row."""
+    """``doc_id, repository, owner, row, base, more``: base spans and further candidates of every row."""
     text = F.col("text")
-    rows = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("owner"),
+    rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("repository"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("owner"),
                        F.monotonically_increasing_id().alias("row"), text_of().alias("text"))
     access = F.when(F.contains(text, F.lit("AKIA")), _found(text, ACCESS, 1)).otherwise(F.array().cast(_SPAN))
     spans = rows.select(
-        "doc_id", "owner", "row",
+        "doc_id", "repository", "owner", "row",
         F.array_sort(F.concat(_found(text, ASSIGN, 0, ASSIGN_MIN), access, _found(text, HEX, 2))).alias("base"),
         _found(text, OWNED, 3).alias("more"))
 
@@ -82,29 +84,34 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``doc_id, base, spans, n_live, n_example`` of every row.
+    """``doc_id, base, spans, n_live, n_example, max_owners, max_repositories`` of every row.
 
     ``base`` are the spans of the base kinds, ``spans`` these and the owned
     ones, both sorted by start, then kind; ends are exclusive, in code
-    points. ``source`` names the owner. A null source is one owner, a null
-    text is empty; a repeated row is searched again; an empty table gives no
+    points. ``max_owners`` and ``max_repositories`` are those of the row's most
+    widely held value, 0 without values. ``source`` names the owner, ``doc_id``
+    the repository. A null source is one owner, a null doc_id one repository of
+    its owner, a null text is empty; a repeated row is searched again; an empty table gives no
     rows; other columns are ignored.
     """
     found = materialize(find(docs))
-    values = found.select("owner", "row", F.explode(F.concat("base", "more")).alias("s"))
-    values = values.select("owner", "row", "s", F.sha2(F.col("s.value"), 256).alias("hash"))
-    # Distinct (value, owner), then by value: a value that everyone copies is
-    # summed before it is shuffled by itself.
-    counts = values.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
-    judged = values.join(counts, "hash")
+    values = found.select("repository", "owner", "row", F.explode(F.concat("base", "more")).alias("s"))
+    values = values.select("repository", "owner", "row", "s", F.sha2(F.col("s.value"), 256).alias("hash"))
+    # Distinct (value, owner, repository), then by owner, then by value: a value that everyone copies is
+    # spread by its repositories and summed before it is shuffled by itself.
+    by_owner = values.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n"))
+    counts = materialize(by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")))
+    judged = checked_join(values.drop("repository", "owner"), counts, "hash")
     live = (F.col("n_owners") == 1) & (_entropy(F.col("s.value")) >= LIVE_ENTROPY)
     per_row = judged.withColumn("live", live).groupBy("row").agg(
         F.collect_list(F.when((F.col("s.kind") == 3) & F.col("live"), F.col("s"))).alias("owned"),
-        F.count_if("live").alias("n_live"), F.count_if(F.col("n_owners") >= EXAMPLE_OWNERS).alias("n_example"))
+        F.count_if("live").alias("n_live"), F.count_if(F.col("n_owners") >= EXAMPLE_OWNERS).alias("n_example"),
+        F.max("n_owners").alias("max_owners"), F.max("n_repositories").alias("max_repositories"))
     joined = found.join(per_row, "row", "left")
     owned = F.coalesce("owned", F.array().cast(_SPAN))
     return joined.select("doc_id", "base", F.array_sort(F.concat("base", owned)).alias("spans"),
-                         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
+                         *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+                           for c in ("n_live", "n_example", "max_owners", "max_repositories")])
 
 
 def _joined(spans: str) -> Column:
@@ -119,4 +126,4 @@ def digest(scanned: DataFrame) -> DataFrame:
 
     return scanned.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                           F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"),
-                          "n_live", "n_example")
+                          "n_live", "n_example", "max_owners", "max_repositories")
