@@ -52,7 +52,7 @@ def target_ids(labelled: DataFrame, label_col: str = "label", id_col: str = "id"
     return labelled.where(F.col(label_col)).select(id_col).distinct()
 
 
-def _members(posts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def members(posts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Posts whose key is in the written, distinct ``keys``.
 
     Beyond the broadcast bound a filter of bounded size is applied to the posts
@@ -66,14 +66,14 @@ def _members(posts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def comments_of_threads(comments: DataFrame, keys: DataFrame, key: str = "link_id") -> DataFrame:
     """All comments of the threads listed in ``keys`` (semi join)."""
-    return _members(comments, materialize(keys.select(key).distinct()), key)
+    return members(comments, materialize(keys.select(key).distinct()), key)
 
 
 def submissions_of_threads(submissions: DataFrame, threads: DataFrame,
                            key: str = "link_id", id_col: str = "id") -> DataFrame:
     """Submissions whose thread key (``t3_`` + id) is in ``threads``."""
     ids = materialize(threads.select(bare_id(F.col(key)).alias(id_col)).distinct())
-    return _members(submissions, ids, id_col)
+    return members(submissions, ids, id_col)
 
 
 def extract_threads(posts: DataFrame, scores: DataFrame) -> DataFrame:

@@ -774,6 +774,23 @@ def q_stream_monthly_share(spark, sf_dir):
         "month", "subreddit", "n", "total", "prop")
 
 
+@register("stream_replaced_month", with_ctes(("posts",), MODEL, SINGLE, META, MONTHLY) + "\nSELECT * FROM monthly")
+def q_stream_replaced_month(spark, sf_dir):
+    """T2 by contributions: dumps of two halves of a year, the first one published again with other labels."""
+    from threadcorpus.streaming import stream as ST
+    base = ST.work_dir(spark, "contributions")
+    half = F.when(F.col("created_utc") < 1277942400, F.lit("first")).otherwise(F.lit("second"))
+    meta = label_meta(spark, sf_dir).select("subreddit", "created_utc", "label", half.alias("source"))
+    first, second = meta.where(F.col("source") == "first"), meta.where(F.col("source") == "second")
+    wrong = first.withColumn("label", ~F.col("label")).withColumn("subreddit", F.concat("subreddit", F.lit("_old")))
+    for publication, arrived in ((1, wrong), (1, second), (2, first)):
+        arrived = arrived.withColumn("publication", F.lit(publication))
+        arrived.repartition(2).write.mode("append").parquet(os.path.join(base, "in"))
+        source = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+        ST.contribute(source, os.path.join(base, "out"), os.path.join(base, "state")).awaitTermination()
+    return ST.share_of(ST.merged_counts(spark, os.path.join(base, "out"))).select("month", "subreddit", "n", "total", "prop")
+
+
 @register("stream_dedup", with_ctes(("posts_conv_dup",)) + """
 SELECT DISTINCT kind, id, link_id FROM posts_conv_dup""")
 def q_stream_dedup(spark, sf_dir):

@@ -353,6 +353,26 @@ def q_job_select_threads(spark, sf_dir):
     return spark.read.csv(os.path.join(out, "threads", "scores"), sep="\t", quote="", header=True, schema=SCORE_ROWS)
 
 
+@register("job_thread_lines", with_ctes(("posts_conv",), """
+scores AS (SELECT link_id, sum(CASE WHEN author = 'user' THEN len(string_split(body, ' ')) ELSE 0 END)
+                  / CAST(sum(len(string_split(body, ' '))) AS DOUBLE) AS score
+           FROM posts_conv WHERE kind = 'comment' GROUP BY link_id HAVING count(CASE WHEN author = 'user' THEN 1 END) > 0)""") + """
+SELECT kind, id, link_id, body FROM posts_conv
+WHERE CASE WHEN kind = 'submission' THEN 't3_' || string_split(id, '_')[-1] ELSE link_id END
+      IN (SELECT link_id FROM scores WHERE score >= 0.1)""")
+def q_job_thread_lines(spark, sf_dir):
+    """Original lines of both kinds of the selected threads, from dumps of both kinds, read back."""
+    comments, submissions = write_dumps(spark, sf_dir)
+    out, posts = work_dir(spark, "line-job"), fixture(spark, sf_dir, "posts_conv")
+    sinks.write_keys(posts.where((F.col("kind") == "comment") & (F.col("author") == "user")), os.path.join(out, "ids"))
+    sinks.write_csv(posts.select("subreddit").distinct().select(
+        "subreddit", F.lit(1).alias("corpus_N"), F.lit(1).alias("corpus_total"), F.lit(1.0).alias("corpus_prop")),
+        os.path.join(out, "communities"))
+    jobs.select_threads(spark, [comments], [submissions], os.path.join(out, "ids"), os.path.join(out, "communities"), out)
+    kinds = [readers.parse_posts(spark.read.text(os.path.join(out, f"{k}s")), k) for k in ("comment", "submission")]
+    return T.all_posts(*kinds).select("kind", "id", "link_id", "body")
+
+
 @register("job_threads_by_language", catalog.QUERIES["thread_extract"][1])
 def q_job_threads_by_language(spark, sf_dir):
     """Dumps of both kinds, with copies, to ordered posts of the threads of each language."""

@@ -10,12 +10,11 @@ table that all its steps read. Lines that cannot be parsed go to
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadcorpus.functions.text import thread_key
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import lang as L
 from threadcorpus.operators import render as R
@@ -23,18 +22,21 @@ from threadcorpus.operators import stats as S
 from threadcorpus.operators import threads as T
 from threadcorpus.session import in_scratch, materialize
 from threadcorpus.sources import readers, sinks
+from threadcorpus.sources.store import PART, of_threads, write_store
 
 KEYS = ["kind", "id"]
 
 
-def _posts(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], out: str) -> DataFrame:
+def _posts(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], out: str,
+           keep: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
     """Well-formed posts of both kinds, without advertisements, as a table; other lines are written to the rejects.
 
-    Compressed dumps are one task for each file; from here on tasks are cut by size.
+    Compressed dumps are one task for each file; from here on tasks are cut by
+    size, or with ``keep=write_store`` by thread.
     """
     parts = [readers.read_posts(spark, paths, kind)
              for paths, kind in ((comments, "comment"), (submissions, "submission")) if paths]
-    posts = materialize((parts[0] if len(parts) == 1 else T.all_posts(*parts)).withColumn("batch", readers.batch_key("file_path")))
+    posts = keep((parts[0] if len(parts) == 1 else T.all_posts(*parts)).withColumn("batch", readers.batch_key("file_path")))
     sinks.write_raw(posts.where("malformed"), os.path.join(out, "rejects"), partition_by=("batch",))
     return readers.drop_orphans(posts.where(~F.col("malformed")))
 
@@ -89,16 +91,16 @@ def select_threads(spark: SparkSession, comments: Sequence[str], submissions: Se
     ``scores`` (every thread with a target comment in a listed community),
     ``comments`` and ``submissions`` (original lines of the selected threads).
     """
-    posts = _posts(spark, comments, submissions, out)
-    said, opened = posts.where(F.col("kind") == "comment"), posts.where(F.col("kind") == "submission")
+    posts = _posts(spark, comments, submissions, out, write_store)
+    said = posts.where(F.col("kind") == "comment")
     members = readers.read_keys(spark, ids)
-    threads = T.union_keys(said.join(members, "id", "left_semi"))
-    candidates = T.comments_of_threads(said, threads)
+    threads = materialize(T.union_keys(T.members(said, materialize(members), "id")))
+    candidates = of_threads(said, threads)
     scores = materialize(T.thread_word_scores(candidates, members, readers.read_subreddit_stats(spark, communities)))
     sinks.write_tsv(scores, os.path.join(out, "scores"))
-    selected = scores.where("selected")
-    sinks.write_raw(T.comments_of_threads(said, selected), os.path.join(out, "comments"))
-    sinks.write_raw(T.submissions_of_threads(opened, selected), os.path.join(out, "submissions"))
+    lines = of_threads(posts, materialize(scores.where("selected").select("link_id")))
+    for kind in ("comment", "submission"):
+        sinks.write_raw(lines.where(F.col("kind") == kind), os.path.join(out, f"{kind}s"))
 
 
 @in_scratch
@@ -111,8 +113,7 @@ def threads_by_language(spark: SparkSession, comments: Sequence[str], submission
     threads as JSON lines, copies dropped, in thread order with their position)
     and ``duplicates`` (copies dropped for each thread).
     """
-    posts = _posts(spark, comments, submissions, out)
-    posts = posts.withColumn("link_id", thread_key(F.col("kind"), F.col("id"), F.col("link_id")))
+    posts = _posts(spark, comments, submissions, out, write_store)
     labels = L.label_multi(L.one_each(posts.select(*KEYS, "body")), model, targets, reference, id_col=KEYS)
     meta = materialize(posts.select(*KEYS, "created_utc", "subreddit", "subreddit_id", "link_id", "parent_id")
                        .join(labels, KEYS, "left"))
@@ -123,11 +124,13 @@ def threads_by_language(spark: SparkSession, comments: Sequence[str], submission
     sinks.write_tsv(community, os.path.join(out, "communities"))
     scores = materialize(S.thread_scores(meta, community, targets))
     sinks.write_tsv(scores, os.path.join(out, "threads"))
-    fields = ["lang", "link_id", *KEYS, "created_utc", "author", "subreddit", "parent_id", "body"]
+    fields = ["lang", "link_id", PART, *KEYS, "created_utc", "author", "subreddit", "parent_id", "body"]
     group = ("lang", "link_id")
-    found = T.extract_threads(posts, scores).select(*fields)
-    sinks.write_tsv(T.duplicate_report(found, group), os.path.join(out, "duplicates"))
-    ordered = T.order_thread(T.dedup_thread(found, group), group)
+    chosen = materialize(scores.where("exceeded").select("lang", "link_id").distinct())
+    found = of_threads(posts, chosen, "inner", ["lang"]).select(*fields)
+    sinks.write_tsv(T.duplicate_report(found.drop(PART), group), os.path.join(out, "duplicates"))
+    # Copies of a post lie in one bucket, so they collapse without a shuffle.
+    ordered = T.order_thread(T.dedup_thread(found, (*group, PART)).drop(PART), group)
     sinks.write_post_records(ordered, os.path.join(out, "posts"), group, ["pos"])
 
 

@@ -103,11 +103,17 @@ def materialize(df: DataFrame) -> DataFrame:
     back carries file sizes the planner uses for join decisions.
     """
     spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder for an intermediate table; within :func:`scratch` it is deleted at the end."""
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return path
 
 
 _SCRATCH: list[list[str]] = []
@@ -120,9 +126,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     Frames that read them must not be used afterwards.
     """
     _SCRATCH.append([])
+    tables = {t.name for t in spark.catalog.listTables()}
     try:
         yield
     finally:
+        for table in spark.catalog.listTables():
+            if table.name not in tables and table.name.startswith("thread_store_"):
+                spark.sql(f"DROP TABLE IF EXISTS {table.name}")
         for name in _SCRATCH.pop():
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

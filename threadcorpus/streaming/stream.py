@@ -87,6 +87,39 @@ def latest_snapshot(spark: SparkSession, sink: str) -> DataFrame:
     return versions.where(F.col("_batch") == F.lit(last)).drop("_batch", "version")
 
 
+CONTRIBUTION = ["source", "publication", "month", "subreddit"]
+
+
+def contribute(labelled: DataFrame, sink: str, checkpoint: str, label_col: str = "label") -> StreamingQuery:
+    """T2 by contributions: what each micro-batch adds to the counts of a month and community, kept by its source.
+
+    ``labelled`` has ``source`` (the dump a row comes from), ``publication``
+    (its edition, in order), ``subreddit``, ``created_utc`` and the label. A
+    batch writes its own partial counts and nothing else: no snapshot of all
+    counts is held or written, and a retried batch replaces its own folder.
+    """
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        part = batch.withColumn("month", epoch_month(F.col("created_utc"))).groupBy(*CONTRIBUTION).agg(
+            F.count_if(F.col(label_col)).alias("n"), F.count("*").alias("total"))
+        part.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+
+    return (labelled.writeStream.foreachBatch(per_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def merged_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """Counts per month and community from contributions; of each source its last publication counts.
+
+    A dump that is published again takes the place of its earlier edition, in
+    all months that either holds.
+    """
+    parts = spark.read.parquet(sink)
+    # One row for each dump.
+    last = parts.groupBy("source").agg(F.max("publication").alias("publication"))
+    return parts.join(F.broadcast(last), ["source", "publication"]).groupBy("month", "subreddit").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
