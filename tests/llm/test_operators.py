@@ -257,6 +257,35 @@ def test_url_parts_and_rules(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
+def test_suffix_statistics_equal_brute_force(spark):
+    urls_of = [f"http://h{i}.{s}/{p}/x" for i, (s, p) in enumerate(
+        (s, p) for s in ("net", "com", "org", "xyz", "zz9") for p in ("es", "fr", "en") for _ in range(3))]
+    urls_of += ["http://www.example.com/en/", "http://a.example.com/en/b", "http://example.com/en/", None, "no url", "http:///x"]
+    df = spark.createDataFrame(list(enumerate(urls_of)), "page_id bigint, url string")
+    name, verdict = urls.listed()
+    rows = urls.lexical(urls.parts(df).withColumns({"rule": name, "listed": verdict})) \
+        .withColumn("bad", (verdict == "block").cast("int"))
+    got, n, bad = urls.with_suffixes(rows)
+    got = got.collect()
+    of = defaultdict(list)
+    for r in got:
+        if r.listed:
+            of[r.host.split(".")[-1]].append(r.listed == "block")
+    assert len(got) == len(urls_of) and (n, bad) == (sum(map(len, of.values())), sum(map(sum, of.values()))) and 0 < bad < n
+    for r in got:
+        mine = of.get(r.host.split(".")[-1], [])
+        assert r.suffix_blocked == pytest.approx((sum(mine) + 10 * bad / n) / (len(mine) + 10))
+        assert r.suffix_share == pytest.approx(len(mine) / n)
+
+
+def test_very_long_urls_and_clashing_columns(spark):
+    rows = [(1, "http://example.com/en/" + "a-1/" * 50_000 + "?" + "x=1&" * 1000), (2, "http://x.org/" + "é" * 10_000), (2, "http://x.org/" + "é" * 10_000)]
+    df = spark.createDataFrame([(*r, "s", "b", 1, 2.0, "r") for r in rows],
+                               "page_id bigint, url string, suffix string, bad string, n_listed int, score double, rule string")
+    got = sorted(((r.page_id, r.host, len(r.path), r.rule, r.verdict) for r in urls.judge(df).collect()), key=repr)
+    assert got == [(1, "example.com", 4 + 200_000, "example.com/en/", "block"), *[(2, "x.org", 10_001, None, got[1][4])] * 2]
+
+
 def test_url_trees_learn_the_list(spark):
     got = urls.judge(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).toPandas()
     listed = got[got.rule.notna()]

@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadcorpus.operators.joins import checked_join
 from threadcorpus.session import materialize
 
 
@@ -38,8 +39,7 @@ RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("
 FIT_ROWS = 20_000
 TREES, DEPTH, BINS = 20, 3, 32
 BLOCK_SCORE = 0.5
-# Counts of listed URLs are kept for so many hash buckets of host suffixes.
-SUFFIX_BUCKETS = 256
+# A suffix without listed URLs has the share of all; this many URLs weigh as much as that share.
 SUFFIX_PRIOR = 10.0
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digits", "hyphens", "entropy",
             "n_params", "query_length", "has_fragment", "suffix_length", "suffix_blocked", "suffix_share")
@@ -77,7 +77,7 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical(urls: DataFrame) -> DataFrame:
-    """``urls`` with the lexical features and the hash bucket of the host's suffix (its last label)."""
+    """``urls`` with the lexical features and the host's suffix (its last label)."""
     url, host, path = F.col("url"), F.col("host"), F.col("path")
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
     suffix = F.element_at(F.split(host, r"\."), -1)
@@ -88,8 +88,24 @@ def lexical(urls: DataFrame) -> DataFrame:
         _entropy(url).alias("entropy"),
         F.when(query != "", F.regexp_count(query, F.lit("&")) + 1).otherwise(F.lit(0)).alias("n_params"),
         F.length(query).alias("query_length"), F.contains(url, F.lit("#")).cast("int").alias("has_fragment"),
-        F.length(suffix).alias("suffix_length"),
-        F.pmod(F.xxhash64(suffix), F.lit(SUFFIX_BUCKETS)).cast("int").alias("bucket"))
+        F.length(suffix).alias("suffix_length"), suffix.alias("suffix"))
+
+
+def with_suffixes(urls: DataFrame) -> tuple[DataFrame, int, int]:
+    """``urls`` with the statistics of their suffix over all listed URLs, and the numbers of listed and of blocked ones.
+
+    ``suffix_blocked`` is the share of block verdicts of that very suffix, drawn
+    towards the share of all by ``SUFFIX_PRIOR``; ``suffix_share`` the suffix's
+    share of the listed URLs, 0 where it has none.
+    """
+    stats = materialize(urls.where("bad is not null").groupBy("suffix").agg(F.count("*").alias("n_listed"), F.sum("bad").alias("n_bad")))
+    total = stats.agg(F.coalesce(F.sum("n_listed"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_bad"), F.lit(0)).alias("bad")).first()
+    n, bad = total["n"], total["bad"]
+    count, blocked = F.coalesce("n_listed", F.lit(0)), F.coalesce("n_bad", F.lit(0))
+    out = checked_join(urls, stats, "suffix", "left").withColumns({
+        "suffix_blocked": (blocked + SUFFIX_PRIOR * (bad / n if n else 0.0)) / (count + SUFFIX_PRIOR),
+        "suffix_share": count / F.lit(float(max(n, 1)))})
+    return out.drop("n_listed", "n_bad"), n, bad
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -104,16 +120,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = FIT
     name, verdict = listed(rules)
     urls = materialize(lexical(parts(pages).withColumns({"rule": name, "listed": verdict}))
                        .withColumn("bad", (F.col("listed") == "block").cast("int")))
-    # Suffix statistics over all listed URLs, for a fixed number of buckets.
-    stats = {r["bucket"]: (r["n"], r["bad"]) for r in urls.groupBy("bucket").agg(
-        F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).collect()}
-    n, bad = sum(s[0] for s in stats.values()), sum(s[1] for s in stats.values())
+    urls, n, bad = with_suffixes(urls)
     prior = bad / n if n else 0.0
-    got = [stats.get(b, (0, 0)) for b in range(SUFFIX_BUCKETS)]
-    count, blocked = (F.element_at(F.array(*[F.lit(float(g[i])) for g in got]), F.col("bucket") + 1) for i in (0, 1))
-    urls = urls.withColumns({
-        "suffix_blocked": (blocked + SUFFIX_PRIOR * prior) / (count + SUFFIX_PRIOR),
-        "suffix_share": count / max(n, 1)})
     if not 0 < bad < n:
         scored = urls.withColumn("score", F.lit(float(prior)))
     else:
