@@ -451,6 +451,28 @@ def test_components(spark):
     assert got == {i: i // 10 * 10 for i in range(51) if i < 50}
 
 
+def test_components_of_hot_centres(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    edges = [(0, i) for i in range(1, 3000)] + [(5000, 5000 + i) for i in range(1, 700)] + [(2999, 5001)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(10_000, 10_400, (300, 2))]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    want = {x: root(x) for x in list(parent)}
+    for least in (500, 2):
+        monkeypatch.setattr(components, "HOT_EDGES", least)
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u int, v int").repartition(5)).collect()}
+        assert got == want
+
+
 # ------------------------------------------------------------------ 8 secrets
 
 def brute_secrets(t):
