@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadcorpus.functions import markup as M
+from threadcorpus.functions import nested as N
 from threadcorpus.functions.text import blank_length, epoch_month, is_too_short, sanitize, words
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import evaluate as E
@@ -465,6 +466,18 @@ def q_markup_variety_references(spark, sf_dir):
     return R.decode_entities_rows(fixture(spark, sf_dir, "posts_markup"), ["id"], "body")
 
 
+NESTED = with_ctes(("posts_nested",), O.nested_ctes("posts_nested")).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("markup_nested_blocks", NESTED + """
+SELECT id, CAST(pos AS INTEGER) AS pos, path, t AS type, text FROM nested""")
+def q_markup_nested_blocks(spark, sf_dir):
+    """Blocks of nested lists and quotes, lazy lines, fences, tables and definitions, with their containers."""
+    posts = fixture(spark, sf_dir, "posts_nested")
+    blocks = posts.select("id", F.posexplode(N.nested_blocks(M.xml_unescape("body"))).alias("pos", "blk"))
+    return blocks.select("id", "pos", "blk.path", F.col("blk.t").alias("type"), "blk.text")
+
+
 SPOILER_VIEW = """SELECT CAST(conv_id AS STRING) AS conv_id, turn,
   concat('<p><a href="', CASE WHEN turn % 2 = 0 THEN '#s' ELSE '/s' END, '" title="',
          replace(text, ',', '"'), '">spoiler</a> ', text, '</p>') AS html

@@ -79,7 +79,30 @@ SELECT id, kind, created_utc, CASE (conv_id + turn) % 9
 FROM {posts_conv}
 """
 
+# Posts in nested markup; their sentences stand on lines of their own, so containers have lazy lines.
+POSTS_NESTED = """
+SELECT id, kind, created_utc, CASE (conv_id + turn) % 10
+  WHEN 0 THEN concat('- ', body, chr(10), '  - two', chr(10), '    > ', body, chr(10), chr(10), '    in two', chr(10), '- three *x*')
+  WHEN 1 THEN concat('> ', body, chr(10), '> > deeper', chr(10), 'lazy', chr(10), '>', chr(10), '> 1. a', chr(10), '>    b',
+                     chr(10), '> 2) c', chr(10), chr(10), 'out')
+  WHEN 2 THEN concat('```sql', chr(10), '- ', body, chr(10), chr(10), '~~~', chr(10), '````', chr(10), body, chr(10), '> ~~~',
+                     chr(10), '> x &lt;b&gt;', chr(10), 'not lazy')
+  WHEN 3 THEN concat('| name | text |', chr(10), '|:---|---:|', chr(10), '| `a` | ', body, chr(10), 'b | **c**', chr(10), chr(10), body)
+  WHEN 4 THEN concat('see [the _page_][Page], [page][] and [none][no] `[x][page]` ', body, chr(10), chr(10),
+                     '[page]: http://x.org/a_b "A &amp; B"', chr(10), '[PAGE]: http://y.org')
+  WHEN 5 THEN concat(body, chr(10), '===', chr(10), 'Second', chr(10), '---', chr(10), '***', chr(10), '    code &lt;a&gt;',
+                     chr(10), '      more', chr(10), body)
+  WHEN 6 THEN concat('10. ', body, chr(10), chr(10), '    after ten', chr(10), chr(9), 'code?', chr(10), '    * [x][ten] sub', chr(10),
+                     'lazy', chr(10), chr(10), '[ten]: /10')
+  WHEN 7 THEN concat('* - + ', body, chr(10), '    - x', chr(10), '- - -', chr(13), chr(10), '# head #', chr(10), '####### seven ', body)
+  WHEN 8 THEN concat('> - ', body, chr(10), '>   ```', chr(10), '>   in list', chr(10), '> out of list', chr(10), 'a|b', chr(10), '-|-',
+                     chr(10), '> 1|2')
+  ELSE concat(body, chr(10), chr(10), '-', chr(10), '-x 1.y ', body) END AS body
+FROM (SELECT id, kind, created_utc, conv_id, turn, replace(body, '. ', concat('.', chr(10))) AS body FROM {posts_conv}) p
+"""
+
 FIXTURES = {
+    "posts_nested": (POSTS_NESTED, ("posts_conv",)),
     "posts_markup": (POSTS_MARKUP, ("posts_conv",)),
     "posts": (POSTS, ("documents",)),
     "posts_conv": (POSTS_CONV, ("conversations",)),

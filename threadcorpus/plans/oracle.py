@@ -304,3 +304,80 @@ def open_tag(level: str, attrs) -> str:
     for name, expr in attrs:
         parts.append(f"' {name}=\"' || {xml_escape_attr(f'coalesce(CAST({expr} AS VARCHAR), {lit(chr(78) + chr(65))})')} || '\"'")
     return " || ".join(parts) + " || '>'"
+
+
+# ------------------------------------------------------------------ nested markdown
+
+NESTED_MARK = r"( {0,3}> ?| {0,3}(?:[*+-]|[0-9]{1,9}[.)]) +)"
+
+
+def nested_ctes(posts: str) -> str:
+    """``nested(id, pos, path, t, text)``: blocks of nested markdown, by recursion over the lines of each post.
+
+    Open containers stand as patterns that take their marks off a line; a failed one leaves ``chr(1)``.
+    """
+    return rf"""
+nested_lines AS (SELECT id, unnest(ls) AS line, unnest(range(len(ls))) AS n FROM (
+  SELECT id, string_split(replace(replace({xml_unescape('body')}, chr(13), ''), chr(9), '    '), chr(10)) AS ls FROM {posts})),
+nested_scan(id, n, pieces, labels, fence, para, tab, blk, t, head, leaf, text, path) AS (
+  SELECT id, CAST(-1 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), '', false, false, 0, '', '', '', '', ''
+  FROM nested_lines WHERE n = 0
+  UNION ALL
+  SELECT id, n2, CASE WHEN lazy OR fenced THEN pieces ELSE list_concat(pieces[1:m], list_transform(marks, lambda k:
+      CASE WHEN contains(k, '>') THEN '^ {{0,3}}> ?' ELSE '^( {{' || length(k) || '}}| *\z)' END)) END,
+    CASE WHEN lazy OR fenced THEN labels ELSE newlabels END,
+    CASE leaf2 WHEN 'open' THEN regexp_extract(rest2, '^ *(`{{3,}}|~{{3,}})', 1) WHEN 'fenced' THEN fence ELSE '' END,
+    leaf2 = 'paragraph', leaf2 IN ('delimiter', 'row'),
+    CASE WHEN joins OR leaf2 IN ('blank', 'close') THEN blk ELSE blk + 1 END,
+    CASE WHEN leaf2 IN ('blank', 'close') THEN '' WHEN leaf2 = 'delimiter' THEN 'table'
+      WHEN leaf2 = 'setext' THEN CASE WHEN contains(rest2, '=') THEN 'h1' ELSE 'h2' END
+      WHEN joins THEN t WHEN leaf2 = 'open' THEN 'code'
+      WHEN leaf2 = 'heading' THEN 'h' || length(regexp_extract(rest2, '^ *(#+)', 1)) ELSE leaf2 END,
+    CASE WHEN leaf2 = 'paragraph' AND NOT joins THEN rest2 ELSE '' END,
+    leaf2,
+    CASE WHEN leaf2 = 'fenced' THEN rest2 WHEN leaf2 = 'code' THEN substr(rest2, 5)
+      WHEN leaf2 = 'heading' THEN regexp_replace(regexp_replace(rest2, '^ *#+ +', ''), ' +#+ *\z', '')
+      WHEN leaf2 IN ('rule', 'open', 'setext', 'delimiter') THEN NULL ELSE trim(rest2, ' ') END,
+    CASE WHEN joins THEN path ELSE array_to_string(CASE WHEN lazy OR fenced THEN labels ELSE newlabels END, '/') END
+  FROM (SELECT *, leaf2 IN ('fenced', 'row', 'setext', 'delimiter')
+      OR (leaf2 = 'paragraph' AND para AND plain)
+      OR (leaf2 = 'code' AND t = 'code' AND every AND plain) AS joins,
+    para AND NOT every AND plain AND leaf2 = 'paragraph' AS lazy,
+    list_concat(labels[1:m], list_transform(marks, lambda k, j: CASE WHEN contains(k, '>') THEN 'q'
+      WHEN regexp_matches(k, '[0-9]') THEN 'ol' ELSE 'ul' END || n2 || '.' || (j - 1))) AS newlabels
+  FROM (SELECT *, CASE
+      WHEN fenced AND regexp_matches(rest2, '^ {{0,3}}(`+|~+) *\z') AND starts_with(ltrim(rest2, ' '), fence) THEN 'close'
+      WHEN fenced THEN 'fenced'
+      WHEN trim(rest2, ' ') = '' THEN 'blank'
+      WHEN para AND plain AND every AND underline THEN 'setext'
+      WHEN para AND plain AND every AND contains(head, '|')
+        AND regexp_matches(rest2, '^ {{0,3}}\|?( *:?-+:? *\|)+( *:?-+:?)? *\z') THEN 'delimiter'
+      WHEN tab AND plain AND every THEN 'row'
+      WHEN regexp_matches(rest2, '^ {{0,3}}(```[^`]*|````+[^`]*|~~~[^
+]*)\z') THEN 'open'
+      WHEN regexp_matches(rest2, '^ {{0,3}}#{{1,6}} ') THEN 'heading'
+      WHEN regexp_matches(rest2, '^ {{0,3}}((\* *){{3,}}|(- *){{3,}}|(_ *){{3,}})\z') THEN 'rule'
+      WHEN starts_with(rest2, '    ') AND NOT (para AND plain) THEN 'code'
+      WHEN regexp_matches(rest2, '^ {{0,3}}\[[^\[\]
+]+\]: *[^ 
+"()]+( +"[^"
+]*")? *\z') AND NOT (para AND plain)
+        THEN 'definition'
+      ELSE 'paragraph' END AS leaf2
+  FROM (SELECT *, regexp_extract_all(prefix, '{NESTED_MARK}', 1) AS marks, prefix = '' AS plain,
+      substr(rest, length(prefix) + 1) AS rest2
+  FROM (SELECT *, CASE WHEN fenced OR (para AND every AND underline)
+      OR regexp_matches(rest, '^ {{0,3}}((\* *){{3,}}|(- *){{3,}}|(_ *){{3,}})\z')
+      THEN '' ELSE regexp_extract(rest, '^{NESTED_MARK}+', 0) END AS prefix
+  FROM (SELECT *, m = len(pieces) AS every, fence <> '' AND m = len(pieces) AS fenced,
+      regexp_matches(rest, '^ {{0,3}}(=+|-+) *\z') AS underline
+  FROM (SELECT *, rests[m + 1] AS rest
+  FROM (SELECT *, len(list_filter(rests, lambda x: x <> chr(1))) - 1 AS m
+  FROM (SELECT r.*, l.n AS n2, list_transform(range(len(r.pieces) + 1), lambda k:
+      list_reduce(list_concat([l.line], r.pieces[1:k]), lambda a, p:
+        CASE WHEN regexp_matches(a, p) THEN regexp_replace(a, p, '') ELSE chr(1) END)) AS rests
+  FROM nested_scan r JOIN nested_lines l ON l.id = r.id AND l.n = r.n + 1)))))))) s),
+nested AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY blk) - 1 AS pos, path, t, text FROM (
+  SELECT id, blk, arg_min(path, n) AS path, arg_max(t, n) AS t,
+    coalesce(string_agg(text, chr(10) ORDER BY n) FILTER (WHERE text IS NOT NULL), '') AS text
+  FROM nested_scan WHERE n >= 0 AND leaf NOT IN ('blank', 'close') GROUP BY id, blk))"""
