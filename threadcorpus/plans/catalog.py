@@ -478,6 +478,17 @@ def q_markup_nested_blocks(spark, sf_dir):
     return blocks.select("id", "pos", "blk.path", F.col("blk.t").alias("type"), "blk.text")
 
 
+@register("markup_nested_xml", NESTED + f""",
+{O.nested_html_ctes().strip()},
+{O.entity_cte()}
+SELECT id, '<text id="' || {O.xml_escape_attr('id')} || '">' || chr(10) || {O.escape_spoilers(O.decode_entities('html'))}
+           || chr(10) || '</text>' AS xml
+FROM nested_html, emap""")
+def q_markup_nested_xml(spark, sf_dir):
+    """X1 + X2: the same posts rendered, with nested lists, quotes, tables and links by reference."""
+    return R.render_posts(fixture(spark, sf_dir, "posts_nested"), nested=True)
+
+
 SPOILER_VIEW = """SELECT CAST(conv_id AS STRING) AS conv_id, turn,
   concat('<p><a href="', CASE WHEN turn % 2 = 0 THEN '#s' ELSE '/s' END, '" title="',
          replace(text, ',', '"'), '">spoiler</a> ', text, '</p>') AS html

@@ -136,17 +136,18 @@ def threads_by_language(spark: SparkSession, comments: Sequence[str], submission
 
 @in_scratch
 def render_corpus(spark: SparkSession, comments: Sequence[str], submissions: Sequence[str], threads: str, out: str,
-                  attributes: Sequence[str] = ("author", "date")) -> None:
+                  attributes: Sequence[str] = ("author", "date"), nested: bool = False) -> None:
     """Posts rendered as XML and assembled with their metadata into the vertical corpus.
 
     ``threads`` is a tab-separated table of thread metadata with the bare thread
     id as ``id``. Writes ``xml``, ``comment_metadata`` and
     ``submission_metadata`` (a folder for each batch), ``vertical`` and
     ``left_out`` (threads and posts without metadata). ``attributes`` are the
-    metadata columns that become attributes of a post's tag.
+    metadata columns that become attributes of a post's tag; ``nested`` renders
+    nested markdown.
     """
     posts = _posts(spark, comments, submissions, out)
-    sinks.write_xml_corpus(R.render_posts(posts), os.path.join(out, "xml"))
+    sinks.write_xml_corpus(R.render_posts(posts, nested=nested), os.path.join(out, "xml"))
     tables = []
     for kind in ("comment", "submission"):
         path = os.path.join(out, f"{kind}_metadata")

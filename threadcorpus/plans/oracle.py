@@ -381,3 +381,46 @@ nested AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY blk) - 1 AS po
   SELECT id, blk, arg_min(path, n) AS path, arg_max(t, n) AS t,
     coalesce(string_agg(text, chr(10) ORDER BY n) FILTER (WHERE text IS NOT NULL), '') AS text
   FROM nested_scan WHERE n >= 0 AND leaf NOT IN ('blank', 'close') GROUP BY id, blk))"""
+
+
+def nested_html_ctes() -> str:
+    """``nested_html(id, html)`` of ``nested`` and ``nested_lines``: tags by the containers that two neighbours share."""
+    label = "CASE WHEN regexp_extract(p, '\\]\\[(.*)\\]$', 1) = '' THEN regexp_extract(p, '^\\[([^]]*)', 1) " \
+            "ELSE regexp_extract(p, '\\]\\[(.*)\\]$', 1) END"
+    found = f"list_filter(defs, lambda d: d.label = lower({label}))[1]"
+    piece = (f"CASE WHEN regexp_matches(p, '^\\[[^\\[\\]]+\\]\\[[^\\[\\]]*\\]$') AND {found} IS NOT NULL THEN "
+             f"regexp_extract(p, '^\\[[^]]*\\]') || '(' || {found}.url || CASE WHEN {found}.title = '' THEN '' "
+             f"ELSE ' \"' || {found}.title || '\"' END || ')' ELSE p END")
+    parts = lit(r"`[^`\n]+`|\[[^\[\]\n]+\]\[[^\[\]\n]*\]|[`\[]|[^`\[]+")
+
+    def inline(x: str) -> str:
+        return inline_text(f"array_to_string(list_transform(regexp_extract_all({x}, {parts}), lambda p: {piece}), '')", True)
+
+    cells = ("list_transform(string_split(regexp_replace(r, '^\\||\\|$', '', 'g'), '|'), lambda c: "
+             f"CASE WHEN i = 1 THEN '<th>' ELSE '<td>' END || coalesce({inline("trim(c, ' ')")}, '') "
+             "|| CASE WHEN i = 1 THEN '</th>' ELSE '</td>' END)")
+    rows = f"list_transform(string_split(text, chr(10)), lambda r, i: '<tr>' || array_to_string({cells}, '') || '</tr>')"
+    return f"""
+nested_defs AS (SELECT id, list({{'label': lower(regexp_extract(text, '^\\[([^]]+)', 1)),
+    'url': regexp_extract(text, '\\]: *([^ ]+)', 1), 'title': regexp_extract(text, '"([^"]*)"$', 1)}} ORDER BY pos) AS defs
+  FROM nested WHERE t = 'definition' GROUP BY id),
+nested_shown AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS new,
+    list_filter(string_split(coalesce(lag(path) OVER (PARTITION BY id ORDER BY pos), ''), '/'), lambda x: x <> '') AS old
+  FROM (SELECT * FROM nested WHERE t <> 'definition'
+    UNION ALL SELECT id, 1000000000, '', 'end', '' FROM nested_lines WHERE n = 0)),
+nested_moved AS (SELECT *, k > 0 AND k <= len(old) AND k <= len(new) AND kold[k] = knew[k] AND knew[k] <> 'q' AS sibling
+  FROM (SELECT *, len(list_filter(range(1, least(len(old), len(new)) + 1), lambda i: old[1:i] = new[1:i])) + 1 AS k,
+    list_transform(old, lambda x: regexp_extract(x, '^[a-z]+')) AS kold,
+    list_transform(new, lambda x: regexp_extract(x, '^[a-z]+')) AS knew FROM nested_shown)),
+nested_html AS (SELECT id, coalesce(string_agg(html, chr(10) ORDER BY pos) FILTER (WHERE html <> ''), '') AS html FROM (
+  SELECT id, pos, array_to_string(list_concat(list_concat(
+    list_transform(list_reverse(range(k, len(old) + 1)), lambda i: CASE WHEN i = k AND sibling THEN '</li>'
+      WHEN kold[i] = 'q' THEN '</blockquote>' ELSE '</li>' || chr(10) || '</' || kold[i] || '>' END),
+    list_transform(range(k, len(new) + 1), lambda i: CASE WHEN i = k AND sibling THEN '<li>'
+      WHEN knew[i] = 'q' THEN '<blockquote>' ELSE '<' || knew[i] || '>' || chr(10) || '<li>' END)),
+    CASE t WHEN 'end' THEN CAST([] AS VARCHAR[]) WHEN 'rule' THEN ['<hr/>']
+      WHEN 'code' THEN ['<pre><code>' || replace(replace(text, '<', '&lt;'), '>', '&gt;') || '</code></pre>']
+      WHEN 'table' THEN ['<table>' || chr(10) || array_to_string({rows}, chr(10)) || chr(10) || '</table>']
+      WHEN 'paragraph' THEN ['<p>' || {inline('text')} || '</p>']
+      ELSE ['<' || t || '>' || {inline('text')} || '</' || t || '>'] END), chr(10)) AS html
+  FROM (SELECT m.*, coalesce(d.defs, []) AS defs FROM nested_moved m LEFT JOIN nested_defs d USING (id))) GROUP BY id)"""
