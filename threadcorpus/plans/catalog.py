@@ -18,6 +18,7 @@ from threadcorpus.functions import nested as N
 from threadcorpus.functions.text import blank_length, epoch_month, is_too_short, sanitize, words
 from threadcorpus.operators import corpus as C
 from threadcorpus.operators import evaluate as E
+from threadcorpus.operators import features as FT
 from threadcorpus.operators import lang as L
 from threadcorpus.operators import render as R
 from threadcorpus.operators import stats as S
@@ -673,6 +674,33 @@ def q_label_quality_held_out(spark, sf_dir):
     return E.confusion(held.select("id", "gold").join(labels, "id"), "language", "gold")
 
 
+@register("langid_features", with_ctes((), O.feature_ctes("documents", FT.PER_LANGUAGE)) + """
+SELECT lang, gram, score, rank FROM ft_best""")
+def q_langid_features(spark, sf_dir):
+    """L2: the 1- to 4-grams of each language with the highest gain on the language less that on the source."""
+    return FT.select_features(FT.gram_gains(read_table(spark, sf_dir, "documents")))
+
+
+HELD_DOCS = f"""train_docs AS (SELECT * FROM documents WHERE doc_id % {HELD_OUT} <> 0),
+held_docs AS (SELECT doc_id AS id, lang, text AS clean FROM documents WHERE doc_id % {HELD_OUT} = 0)"""
+
+
+@register("langid_features_held_out", with_ctes((), HELD_DOCS, O.feature_ctes("train_docs", FT.PER_LANGUAGE),
+                                                MODEL.replace("FROM documents", "FROM train_docs"),
+                                                O.feature_langid_ctes("held_docs", "fl"), O.langid_ctes("held_docs", "tl")) + """
+SELECT h.id, h.lang AS gold, f.langid AS by_features, f.langid_score AS features_score, t.langid AS by_trigrams
+FROM held_docs h LEFT JOIN fl f USING (id) LEFT JOIN tl t USING (id)""")
+def q_langid_features_held_out(spark, sf_dir):
+    """L2 on documents that neither model saw: languages by the selected grams beside those by all trigrams."""
+    docs = read_table(spark, sf_dir, "documents")
+    train, held = docs.where(F.col("doc_id") % HELD_OUT != 0), docs.where(F.col("doc_id") % HELD_OUT == 0)
+    held = held.select(F.col("doc_id").alias("id"), F.col("lang").alias("gold"), F.col("text").alias("clean"))
+    features = FT.score_features(held, FT.train_features(train)).select(
+        "id", F.col("langid").alias("by_features"), F.col("langid_score").alias("features_score"))
+    trigrams = L.score_langid(held, L.train_langid(train)).select("id", F.col("langid").alias("by_trigrams"))
+    return held.drop("clean").join(features, "id", "left").join(trigrams, "id", "left")
+
+
 SWEEP = [0.05, 0.1, 0.2, 0.3, 0.5]
 
 

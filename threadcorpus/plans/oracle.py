@@ -424,3 +424,58 @@ nested_html AS (SELECT id, coalesce(string_agg(html, chr(10) ORDER BY pos) FILTE
       WHEN 'paragraph' THEN ['<p>' || {inline('text')} || '</p>']
       ELSE ['<' || t || '>' || {inline('text')} || '</' || t || '>'] END), chr(10)) AS html
   FROM (SELECT m.*, coalesce(d.defs, []) AS defs FROM nested_moved m LEFT JOIN nested_defs d USING (id))) GROUP BY id)"""
+
+
+# ------------------------------------------------------------------ language features (L2)
+
+def mixed_ngrams(ch: str) -> str:
+    """1- to 4-grams of a list of code points."""
+    lists = [f"list_transform(range(1, len({ch}) - {n - 2}), lambda i: "
+             + " || ".join(f"{ch}[i + {j}]" for j in range(n)) + ")" for n in (1, 2, 3, 4)]
+    return "list_filter(flatten([" + ", ".join(lists) + "]), lambda g: g <> '')"
+
+
+def _gain(x: str) -> str:
+    return f"(CASE WHEN {x} > 0 THEN CAST(round(1000.0::DOUBLE * ({x}) * ln({x})) AS BIGINT) ELSE 0 END)"
+
+
+def feature_ctes(docs: str, per_language: int) -> str:
+    """``ft_best(lang, gram, score, rank)`` and the profile ``ft_lp(lang, gram, lp)``, ``ft_prior`` of ``docs``."""
+    return f"""
+ft_docs AS (SELECT lang, coalesce(source, '') AS source, string_split(lower(text), '') AS ch FROM {docs} WHERE lang IS NOT NULL),
+ft_n AS (SELECT count(*) AS n FROM ft_docs),
+ft_lang AS (SELECT lang, count(*) AS ld FROM ft_docs GROUP BY lang),
+ft_src AS (SELECT source, count(*) AS sd FROM ft_docs GROUP BY source),
+ft_all AS (SELECT sum({_gain('sd')}) AS x FROM ft_src),
+ft_cnt AS (SELECT lang, source, gram, count(*) AS c
+  FROM (SELECT lang, source, unnest(list_distinct({mixed_ngrams('ch')})) AS gram FROM ft_docs) GROUP BY ALL),
+ft_gram AS (SELECT gram, sum(c) AS g, sum({_gain('c')}) AS inside, sum({_gain('(sd - c)')} - {_gain('sd')}) AS outside
+  FROM (SELECT gram, source, CAST(sum(c) AS BIGINT) AS c FROM ft_cnt GROUP BY gram, source) JOIN ft_src USING (source) GROUP BY gram),
+ft_pair AS (SELECT lang, gram, CAST(sum(c) AS BIGINT) AS h FROM ft_cnt GROUP BY lang, gram),
+ft_score AS (SELECT lang, gram, CAST(
+    ({_gain('n')} - {_gain('ld')} - {_gain('(n - ld)')}) - ({_gain('g')} - {_gain('h')} - {_gain('(g - h)')})
+    - ({_gain('(n - g)')} - {_gain('(ld - h)')} - {_gain('(n - g - ld + h)')})
+    - (({_gain('n')} - x) - ({_gain('g')} - inside) - ({_gain('(n - g)')} - (x + outside))) AS BIGINT) AS score
+  FROM (SELECT p.lang, p.gram, p.h, CAST(g.g AS BIGINT) AS g, g.inside, g.outside, l.ld, n.n, a.x
+        FROM ft_pair p JOIN ft_gram g USING (gram) JOIN ft_lang l USING (lang), ft_n n, ft_all a)
+  WHERE h / g > ld / n),
+ft_best AS (SELECT * FROM (SELECT lang, gram, score, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, gram) AS INTEGER)
+  AS rank FROM ft_score) WHERE rank <= {per_language}),
+ft_set AS (SELECT DISTINCT gram FROM ft_best),
+ft_seen AS (SELECT lang, gram, count(*) AS c FROM (SELECT lang, unnest({mixed_ngrams('ch')}) AS gram FROM ft_docs)
+  WHERE gram IN (SELECT gram FROM ft_set) GROUP BY lang, gram),
+ft_lp AS (SELECT l.lang, s.gram, CAST(round(1000000.0 * ln((coalesce(c.c, 0) + 1) / CAST(t.total + v.v AS DOUBLE))) AS BIGINT) AS lp
+  FROM ft_lang l CROSS JOIN ft_set s LEFT JOIN ft_seen c ON c.lang = l.lang AND c.gram = s.gram
+  JOIN (SELECT lang, sum(c) AS total FROM ft_seen GROUP BY lang) t ON t.lang = l.lang
+  CROSS JOIN (SELECT count(*) AS v FROM ft_set) v),
+ft_prior AS (SELECT lang, CAST(round(1000000.0 * ln(ld / CAST(n AS DOUBLE))) AS BIGINT) AS prior FROM ft_lang, ft_n)"""
+
+
+def feature_langid_ctes(src: str, out: str) -> str:
+    """``out(id, langid, langid_score)`` of posts ``src(id, clean)`` by the selected grams."""
+    return f"""
+{out}_g AS (SELECT id, unnest({mixed_ngrams('ch')}) AS gram FROM (SELECT id, string_split(lower(clean), '') AS ch FROM {src})),
+{out}_s AS (SELECT g.id, p.lang, CAST(sum(p.lp) AS BIGINT) + any_value(r.prior) AS score
+  FROM {out}_g g JOIN ft_lp p USING (gram) JOIN ft_prior r ON r.lang = p.lang GROUP BY g.id, p.lang),
+{out} AS (SELECT id, lang AS langid, score AS langid_score FROM {out}_s
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, lang DESC) = 1)"""
