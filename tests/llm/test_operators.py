@@ -644,3 +644,26 @@ def test_pipeline(spark, documents):
     assert set(packed.doc_id) == {i for i, t in docs.items() if t.split()}
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, documents, SF).columns == documents.columns
+
+
+def test_decontamination_keeps_clashing_columns(spark, odd):
+    """Over several blocks rows are told apart by a name that the table does not have."""
+    items = spark.createDataFrame([(1, "Text of SEVEN"), (2, "w1x1 w2x2")], "item_id bigint, text string")
+    docs = odd.selectExpr("*", "1 AS row", "2 AS _row", "map('a', 1) AS more")
+    kept = decontaminate.drop_contaminated(docs, items, 1)
+    assert kept.columns == docs.columns and kept.selectExpr("row", "_row").distinct().collect() == [(1, 2)]
+    assert kept.count() == decontaminate.drop_contaminated(docs, items).count() < odd.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    """Every stage on nulls, empty and long texts, repeats, clashing columns, and on no rows at all."""
+    import corpus_pipeline as cp
+    for name, stage in cp.STAGES:
+        out = stage(spark, odd, SF)
+        assert name == "pack" or out.columns == odd.columns, name
+        rows = out.toPandas()
+        if name == "near_duplicates":
+            assert sorted(rows.doc_id.dropna()) == [1, 2, 3, 4, 5, 7] and rows.doc_id.isna().sum() == 1
+        elif name in ("benchmark", "personal_data"):
+            assert len(rows) == odd.count(), name
+        assert stage(spark, odd.limit(0), SF).count() == 0, name

@@ -212,7 +212,11 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` without the rows that :func:`score` predicts as 0; columns stay."""
+    """``docs`` without the rows that :func:`score` predicts as 0; columns stay.
+
+    A null text is judged as the empty one, repeated rows alike, so all copies
+    stay or go; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):

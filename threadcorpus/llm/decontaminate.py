@@ -179,7 +179,7 @@ def search(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WIN
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``docs`` without contaminated rows; columns, and the cases of :func:`search`, stay as they are."""
+    """``docs`` without contaminated rows; columns, of any type and name, and the cases of :func:`search` stay as they are."""
     blocks = window_blocks(benchmark, block_windows)
     block = next(blocks, [])
     if next(blocks, None) is None:
@@ -194,7 +194,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_windows: int
                 yield batch.filter(pa.array(good, pa.bool_()))
 
         return arrow_map(docs, keep, docs.schema)
-    key = "__row"
+    key = "row"
+    while key in docs.columns:
+        key = "_" + key
     keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()))
     bad = search(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, block_windows)
     bad = bad.where("contaminated").select(F.col("doc_id").alias(key))

@@ -97,7 +97,7 @@ def pack_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead
 
     A document longer than the longest length is cut into pieces of that
     length and a rest, so no token is lost. Full pieces are bins of their own;
-    rests are dealt by a hash of the document, piece and size into groups of
+    rests are dealt by a hash of the row's number, piece and size into groups of
     about ``group_pieces`` and each group is packed by itself. Bins are named
     ``group:number``, full pieces' bins ``full:doc:piece``. A repeated row is
     packed again; a text that is null or without words makes no piece; an
