@@ -84,3 +84,5 @@ def test_no_labelled_rows(docs):
     assert FT.select_features(FT.gram_gains(none)).count() == 0
     profile = FT.train_features(none)
     assert profile.langs == [] and profile.table.count() == 0
+    got = FT.score_features(docs.selectExpr("1 AS id", "text AS clean"), profile)
+    assert got.columns == ["id", "langid", "langid_score"] and got.count() == 0

@@ -132,8 +132,11 @@ def score_features(posts: DataFrame, profile: FeatureProfile, id_col: str = "id"
 
     Grams outside the profile are skipped; ties go to the alphabetically last
     language. The profile is broadcast after its size is checked; sums are
-    combined before the shuffle.
+    combined before the shuffle. A profile without languages names none.
     """
+    if not profile.langs:
+        return posts.select(id_col, F.lit(None).cast("string").alias("langid"),
+                            F.lit(None).cast("bigint").alias("langid_score")).where(F.lit(False))
     grams = posts.select(F.col(id_col).alias("_pid"),
                          F.explode(mixed_ngrams(F.lower(F.col(text_col)), profile.sizes)).alias("gram"))
     sums = checked_join(grams, profile.table, "gram").groupBy("_pid").agg(
