@@ -53,6 +53,17 @@ def test_times_with_fractions_and_bad_times(spark):
     assert rows["b"].malformed and not rows["c"].malformed
 
 
+def test_tsv_keeps_any_value(spark, tmp_dir):
+    odd = ["\t", "a\nb", "a\r\nb", "\\t", "\\\\", "\\", "\\\t\\n", "\0", "\\0", "\\\0", " x ", "#", '"', "a\\", "\\\\0\0", "\u2028\u00a0", None]
+    rows = [(str(i), a, b) for i, (a, b) in enumerate((a, b) for a in odd for b in odd)]
+    df = spark.createDataFrame(rows, "id string, title string, author string").repartition(3)
+    path = os.path.join(tmp_dir, "odd")
+    K.write_tsv(df, path)
+    assert {tuple(r) for r in R.read_tsv(spark, path).collect()} == set(rows)
+    missing = [(i, a or "NA", b or "NA") for i, a, b in rows if a and b]
+    assert {tuple(r) for r in R.read_metadata(spark, path).collect()} >= set(missing)
+
+
 def test_tsv_keeps_quotes(spark, tmp_dir):
     df = spark.createDataFrame([("1", '"Hi', "x"), ("2", "b", "y")], "id string, title string, author string")
     path = os.path.join(tmp_dir, "quoted")

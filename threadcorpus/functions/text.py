@@ -87,6 +87,29 @@ def fill_na(c, value: str = "NA") -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(value))
 
 
+# Characters that would end a field or line of a table without quotes, and what stands for them.
+FIELD_ESCAPES = (("\t", r"\t"), ("\n", r"\n"), ("\r", r"\r"), ("\0", r"\0"))
+
+
+def escape_field(c) -> Column:
+    """A value in which no tab, line end or NUL is left; :func:`unescape_field` restores it."""
+    c = F.replace(_col(c), F.lit("\\"), F.lit("\\\\"))
+    for raw, escaped in FIELD_ESCAPES:
+        c = F.replace(c, F.lit(raw), F.lit(escaped))
+    return c
+
+
+def unescape_field(c) -> Column:
+    """The value that :func:`escape_field` was given. Other backslashes stay as they are."""
+    c = _col(c)
+    # A doubled backslash is set aside as NUL, which no escaped value holds, so that it begins no escape.
+    out = F.replace(c, F.lit("\\\\"), F.lit("\0"))
+    for raw, escaped in FIELD_ESCAPES[:-1]:
+        out = F.replace(out, F.lit(escaped), F.lit(raw))
+    pieces = F.transform(F.split(out, "\0"), lambda p: F.replace(p, F.lit(r"\0"), F.lit("\0")))
+    return F.when(c.contains("\\"), F.array_join(pieces, "\\")).otherwise(c)
+
+
 def py_bool_text(c) -> Column:
     """Render a nullable boolean the way the TSV sinks expect (True/False/None)."""
     c = _col(c)

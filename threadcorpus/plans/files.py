@@ -87,6 +87,18 @@ def q_file_lang_meta(spark, sf_dir):
     return readers.read_lang_meta(spark, path)
 
 
+ODD_ROWS = """SELECT id, concat(' ', subreddit, chr(9), chr(92), 't', chr(13), chr(10), body, chr(92), chr(92), 'n', chr(92), '" ') AS title,
+  CASE WHEN doc_id % 5 = 0 THEN NULL ELSE concat(chr(9), gold, chr(10)) END AS author FROM {posts}"""
+
+
+@register("file_odd_values", with_ctes(("posts",)) + "\n" + ODD_ROWS.format(posts="posts"))
+def q_file_odd_values(spark, sf_dir):
+    """K3 + S9: whole texts with tabs, line ends, quotes and backslashes as values of a tab-separated table."""
+    path = work_dir(spark, "odd-values")
+    sinks.write_tsv(spark.sql(ODD_ROWS, posts=fixture(spark, sf_dir, "posts")), path)
+    return readers.read_tsv(spark, path)
+
+
 POST_ROWS = """SELECT id, kind = 'submission' AS submission, CASE WHEN turn % 3 = 0 THEN NULL ELSE 'de' END AS language,
   created_utc, concat(subreddit, '"') AS subreddit, subreddit_id, link_id, {parent} AS parent_id FROM {posts_conv}"""
 
@@ -350,7 +362,7 @@ def q_job_select_threads(spark, sf_dir):
     jobs.community_statistics(spark, os.path.join(out, "meta"), out)
     jobs.select_threads(spark, dumps, [], os.path.join(out, "ids"), os.path.join(out, "selected"),
                         os.path.join(out, "threads"))
-    return spark.read.csv(os.path.join(out, "threads", "scores"), sep="\t", quote="", header=True, schema=SCORE_ROWS)
+    return readers.read_tsv(spark, os.path.join(out, "threads", "scores"), SCORE_ROWS)
 
 
 @register("job_thread_lines", with_ctes(("posts_conv",), """

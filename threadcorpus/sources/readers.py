@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadcorpus.functions.text import THREAD_PREFIX
+from threadcorpus.functions.text import THREAD_PREFIX, unescape_field
 
 # File suffixes of the codecs that Spark's text source decodes.
 SPARK_CODECS = ("gz", "bz2", "zst")
@@ -108,14 +108,22 @@ POST_META_SCHEMA = ("id STRING, submission BOOLEAN, language STRING, created_utc
                     "subreddit STRING, subreddit_id STRING, link_id STRING, parent_id STRING")
 
 
+def read_tsv(spark: SparkSession, path, schema: str | None = None, header: bool = True,
+             null: str = "None") -> DataFrame:
+    """Tab-separated values without quotes, escaped ones restored; without a schema all columns are strings."""
+    df = spark.read.csv(path, sep="\t", quote="", escape="", schema=schema, nullValue=null, header=header)
+    return df.select(*[unescape_field(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def read_lang_meta(spark: SparkSession, path) -> DataFrame:
     """S3: headerless 3-column label TSV; ``None`` is a missing label."""
-    return spark.read.csv(path, sep="\t", quote="", schema=LANG_META_SCHEMA, nullValue="None", header=False)
+    return read_tsv(spark, path, LANG_META_SCHEMA, header=False)
 
 
 def read_post_meta(spark: SparkSession, path) -> DataFrame:
     """8-column post meta TSV with header (``None`` read as NULL)."""
-    return spark.read.csv(path, sep="\t", quote="", schema=POST_META_SCHEMA, nullValue="None", header=True)
+    return read_tsv(spark, path, POST_META_SCHEMA)
 
 
 def read_subreddit_stats(spark: SparkSession, path) -> DataFrame:
@@ -129,7 +137,7 @@ def read_keys(spark: SparkSession, path, col: str | None = None) -> DataFrame:
     """Distinct keys from an id list (one per line) or the ``col`` column of a header TSV."""
     if col is None:
         return spark.read.text(path).select(F.trim("value").alias("id")).where(F.col("id") != "").distinct()
-    return spark.read.csv(path, sep="\t", quote="", header=True).select(col).distinct()
+    return read_tsv(spark, path, null="").select(col).distinct()
 
 
 def read_threads(spark: SparkSession, path, comment_schema: T.StructType | None = None) -> DataFrame:
@@ -205,10 +213,10 @@ def nested_regions(regions: DataFrame, level: str) -> DataFrame:
 def read_metadata(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
     """S9 + P16: metadata table, every column a string, missing and empty values ``NA``.
 
-    Tab-separated tables are written without quotes and read so.
+    Tab-separated tables are written without quotes, with escapes, and read so.
     """
-    quote = "" if sep == "\t" else '"'
-    df = spark.read.csv(path, sep=sep, quote=quote, escape=quote, header=True, inferSchema=False)
+    df = read_tsv(spark, path, null="") if sep == "\t" else \
+        spark.read.csv(path, sep=sep, quote='"', escape='"', header=True, inferSchema=False)
     df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     return df.replace("", None).na.fill("NA")
 

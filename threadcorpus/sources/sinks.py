@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadcorpus.functions.text import epoch_timestamp, py_bool_text
+from threadcorpus.functions.text import epoch_timestamp, escape_field, py_bool_text
 from threadcorpus.operators.ordering import sorted_for_output
 from threadcorpus.session import ship
 from threadcorpus.sources.readers import batch_key
@@ -33,12 +33,16 @@ def write_keys(df: DataFrame, path: str, col: str = "id", compression: str = "gz
     _writer(df.select(F.col(col).cast("string"), *partition_by), partition_by).text(path, compression=compression)
 
 
-def tsv_ready(df: DataFrame) -> DataFrame:
-    """Booleans rendered ``True``/``False``, NULL as ``None`` (the TSV convention)."""
+def tsv_ready(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Booleans rendered ``True``/``False``, NULL as ``None`` (the TSV convention), strings escaped; ``keep`` as they are."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.BooleanType):
+        if f.name in keep:
+            cols.append(F.col(f.name))
+        elif isinstance(f.dataType, T.BooleanType):
             cols.append(py_bool_text(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
+            cols.append(escape_field(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -46,10 +50,15 @@ def tsv_ready(df: DataFrame) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, compression: str = "gzip",
               partition_by: Sequence[str] = ()) -> None:
-    """K3: tab-separated table (label meta, key tables, post meta, scores), a folder for each value of ``partition_by``."""
-    (_writer(tsv_ready(df), partition_by)
+    """K3: tab-separated table (label meta, key tables, post meta, scores), a folder for each value of ``partition_by``.
+
+    A value stays in its column whatever it holds: tabs, line ends, NUL and
+    backslashes are escaped, blanks at its ends stay. NULL and the text
+    ``None`` are written alike, and the empty text is read back as NULL.
+    """
+    (_writer(tsv_ready(df, partition_by), partition_by)
      .csv(path, sep="\t", header=header, nullValue="None", emptyValue="", quote="", escape="",
-          compression=compression))
+          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression))
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
