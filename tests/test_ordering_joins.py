@@ -1,9 +1,13 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from threadcorpus.operators import joins
+from threadcorpus.operators import threads as T
 from threadcorpus.operators.joins import checked_join
-from threadcorpus.operators.ordering import keep_first, rank_in_group
+from threadcorpus.operators.ordering import keep_first, rank_by_histogram, rank_in_group
 
 
 def test_rank_in_group_matches_brute_force_with_hot_group(spark):
@@ -22,6 +26,52 @@ def test_rank_in_group_matches_brute_force_with_hot_group(spark):
     assert got == want
 
 
+def hot_rows():
+    """A hot group with a second of a third of its rows, groups of a few rows, null keys and null times."""
+    rnd = random.Random(8)
+    rows = [("hot", 77 if i % 3 == 0 else rnd.randint(0, 120), f"id{i}") for i in range(2400)]
+    rows += [(rnd.choice(["a", "b", None]), rnd.choice([None, 1, 2, 3]), f"x{i}") for i in range(300)]
+    rows += [("hot", None, f"n{i}") for i in range(40)] + [(f"g{i}", i, f"y{i}") for i in range(50)]
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("max_rows", [joins.BROADCAST_MAX_ROWS, 0])
+@pytest.mark.parametrize("bucket_rows", [50, 900, 10_000])
+def test_rank_by_histogram_equals_brute_force(spark, monkeypatch, max_rows, bucket_rows):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", max_rows)
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "g string, t int, id string").repartition(6)
+    got = {(r.g, r.id): r.pos for r in rank_by_histogram(df, ["g"], ["t", "id"], bucket_rows=bucket_rows).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        some = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        want.update({(g, r[2]): pos for pos, r in enumerate(some, start=1)})
+    assert got == want and len(got) == len(rows)
+    empty = rank_by_histogram(df.limit(0), ["g"], ["t", "id"])
+    assert empty.count() == 0 and empty.columns == ["g", "t", "id", "pos"]
+
+
+def test_rank_by_histogram_moves_rows_once(spark):
+    """No range is sampled; buckets of a hot group are dealt apart, and only the counts are joined to the rows."""
+    rows = [("hot", i % 700, f"id{i}") for i in range(3000)] + [(f"g{i}", i, f"y{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, t int, id string").repartition(6)
+    plan = rank_by_histogram(df, ["g"], ["t", "id"], bucket_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(g", plan)) == 1 and "Exchange rangepartitioning" not in plan
+    assert re.search(r"Exchange hashpartitioning\(g#\d+, _bucket", plan) and "BroadcastHashJoin" in plan
+
+
+def test_first_times_are_those_of_the_kept_posts(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), rnd.choice(["comment", "submission"]), str(rnd.randint(0, 30)), rnd.choice([None, 1, 2, 3]), str(i))
+            for i in range(300)]
+    posts = spark.createDataFrame(rows, "link_id string, kind string, id string, created_utc bigint, body string")
+    for strict in (False, True):
+        kept = T.dedup_thread(posts, strict=strict)
+        times = sorted((r.link_id, r.created_utc or 0) for r in T.first_times(posts, strict=strict).collect())
+        assert times == sorted((r.link_id, r.created_utc or 0) for r in kept.collect())
+
+
 def test_keep_first_collapses_copies(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("a", 1, "y"), ("b", 2, "z")],
                                "k string, t int, v string")

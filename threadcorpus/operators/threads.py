@@ -17,7 +17,7 @@ from threadcorpus.functions.text import THREAD_SCORE_CUTOFF, bare_id, blank_leng
 from threadcorpus.operators import joins
 from threadcorpus.operators.bloom import key_filter
 from threadcorpus.operators.joins import broadcast_rows, checked_join
-from threadcorpus.operators.ordering import keep_first, rank_in_group
+from threadcorpus.operators.ordering import keep_first, rank_by_histogram
 from threadcorpus.session import materialize
 
 # Order of posts inside a thread: time, then comments before submissions, then id.
@@ -97,9 +97,21 @@ def dedup_thread(posts: DataFrame, group: Sequence[str] = ("link_id",),
     return keep_first(posts, keys, thread_order())
 
 
-def order_thread(posts: DataFrame, group: Sequence[str] = ("link_id",), out: str = "pos") -> DataFrame:
-    """Exact position of each post in its thread (1 = first)."""
-    return rank_in_group(posts, list(group), thread_order(), out)
+def first_times(posts: DataFrame, group: Sequence[str] = ("link_id",), strict: bool = False) -> DataFrame:
+    """Thread and time of the posts that :func:`dedup_thread` keeps, without their other columns."""
+    keys = [*group, "id"] if strict else [*group, "kind", "id"]
+    first = posts.groupBy(*keys).agg(F.min(F.struct("created_utc")).alias("_first"))  # a missing time is the least
+    return first.select(*group, F.col("_first.created_utc").alias("created_utc"))
+
+
+def order_thread(posts: DataFrame, group: Sequence[str] = ("link_id",), out: str = "pos",
+                 narrow: DataFrame | None = None) -> DataFrame:
+    """Exact position of each post in its thread (1 = first).
+
+    ``narrow`` may give the threads and times of the same posts (:func:`first_times`)
+    where computing ``posts`` a second time costs more.
+    """
+    return rank_by_histogram(posts, list(group), thread_order(), out, narrow)
 
 
 def duplicate_report(posts: DataFrame, group: Sequence[str] = ("link_id",)) -> DataFrame:

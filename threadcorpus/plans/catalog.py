@@ -303,9 +303,9 @@ def q_thread_extract(spark, sf_dir):
     """J3 + W5 + W4: posts of exceeded threads per language, copies dropped, position in thread."""
     posts = fixture(spark, sf_dir, "posts_conv_dup")
     extracted = T.extract_threads(posts, _thread_scores(spark, sf_dir))
-    deduped = T.dedup_thread(extracted.select("lang", "link_id", "id", "kind", "created_utc"),
-                             group=("lang", "link_id"))
-    return T.order_thread(deduped, group=("lang", "link_id"))
+    group = ("lang", "link_id")
+    deduped = T.dedup_thread(extracted.select("lang", "link_id", "id", "kind", "created_utc"), group)
+    return T.order_thread(deduped, group, narrow=T.first_times(extracted, group))
 
 
 @register("duplicate_report", with_ctes(("posts_conv_dup",)) + """

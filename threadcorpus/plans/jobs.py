@@ -129,8 +129,9 @@ def threads_by_language(spark: SparkSession, comments: Sequence[str], submission
     chosen = materialize(scores.where("exceeded").select("lang", "link_id").distinct())
     found = of_threads(posts, chosen, "inner", ["lang"]).select(*fields)
     sinks.write_tsv(T.duplicate_report(found.drop(PART), group), os.path.join(out, "duplicates"))
-    # Copies of a post lie in one bucket, so they collapse without a shuffle.
-    ordered = T.order_thread(T.dedup_thread(found, (*group, PART)).drop(PART), group)
+    # Copies of a post lie in one bucket, so they collapse without a shuffle, and so do their times.
+    ordered = T.order_thread(T.dedup_thread(found, (*group, PART)).drop(PART), group,
+                             narrow=T.first_times(found, (*group, PART)))
     sinks.write_post_records(ordered, os.path.join(out, "posts"), group, ["pos"])
 
 
