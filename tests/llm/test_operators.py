@@ -382,6 +382,53 @@ def test_jaccard_join_equals_brute_force(spark, documents, block):
     assert got == brute_groups(texts(documents))
 
 
+def test_classes_climb_until_the_target_recall():
+    needs = forest.needed_depths()
+    for n in range(1, forest.SMALL_SET):
+        reach = [c / (n + b - c) for b in range(1, 2 * n + 2) for c in range(1, min(n, b) + 1) if c >= 0.8 * (n + b - c) - 1e-9]
+        recall = [1 - (1 - min(reach) ** d) ** forest.TREES for d in range(forest.DEPTH + 1)]
+        assert recall[needs[n]] >= forest.TARGET_RECALL
+        assert needs[n] == forest.DEPTH or recall[needs[n] + 1] < forest.TARGET_RECALL
+    assert needs[-1] == forest.matched_depth() and len(set(needs)) > 2
+
+
+def test_climbed_tries_join_all_that_meet(spark):
+    """Classes that share a node where both still climb are connected, and nothing else is but by others of their bucket."""
+    rng = np.random.default_rng(5)
+    depth, bits = 6, forest.level_bits(6)
+    rows = {(int(b), int(c)): ((int(x) << bits) | int(y), int(need)) for b, c, x, y, need in zip(
+        rng.integers(0, 25, 900) // rng.integers(1, 25, 900), rng.integers(0, 300, 900), rng.integers(0, 3, 900),
+        rng.integers(0, 3, 900), rng.integers(6, 9, 900))}
+    need_of = {c: need for (_, c), (_, need) in rows.items()}
+    df = spark.createDataFrame([(b, rest, bytes([c // 256, c % 256]), need_of[c]) for (b, c), (rest, _) in rows.items()],
+                               "bucket bigint, rest bigint, class binary, need int")
+    edges = forest.climb(df, depth)
+    named = {tuple(r.node): tuple(r.component) for r in components.components(edges).collect()}
+    buckets = defaultdict(set)
+    for b, c in rows:
+        buckets[c].add(b)
+    for e in edges.collect():
+        u, v = (x[0] * 256 + x[1] for x in (e.u, e.v))
+        assert buckets[u] & buckets[v]
+    for (b, c), (rest, _) in rows.items():
+        for (b2, d), (rest2, _) in rows.items():
+            if b == b2 and c < d:
+                met = max(need_of[c], need_of[d])
+                if rest >> bits * (8 - met) == rest2 >> bits * (8 - met):
+                    x, y = (tuple(bytes([k // 256, k % 256])) for k in (c, d))
+                    assert named[x] == named[y]
+
+
+def test_jaccard_join_of_short_near_copies(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for g in range(120):
+        words = [f"g{g}w{i}" for i in range(int(rng.integers(5, 16)))]
+        rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate((words, words[:-1], words + ["end"], ["start"] + words, words[::-1]))]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in forest.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_groups(dict(rows))
+
+
 def test_jaccard_join_of_chained_near_copies(spark):
     words = [f"w{i}" for i in range(300)]
     rows = [(i, " ".join(words[2 * i:2 * i + 120])) for i in range(60)] + [(100 + i, " ".join(words[:120])) for i in range(40)]

@@ -3,12 +3,17 @@
 Texts of the same words form a class, and one text stands for it. Each class
 has a signature in every tree of the forest: a row of MinHash values read as a
 path from the root. Two texts meet in a tree as far down as their paths agree.
-The forest starts from its full depth and shortens the matched prefixes, one
-value at a time, until pairs at the threshold meet in some tree with the
-target recall; texts that meet at that depth may be linked.
-
-Meeting is recorded as an edge to the bucket's least class, never as all pairs
-of a bucket; connected classes form a group of candidates. In a group all
+The tries are climbed from the full depth: classes of one path meet first, then
+those whose paths agree in one value less. A class climbs until the recall of
+its links reaches the target. That depth depends on its size, as a small set
+cannot be similar to just the threshold: one of 7 shingles links at 0.857 or
+more and stops at the full depth, while large sets climb to the depth where
+pairs at the threshold itself meet with the target recall. Texts that meet may
+be linked.
+
+Meeting is recorded as an edge to the node's least class, never as all pairs
+of a node, and one class of a node climbs on for all that do; connected classes
+form a group of candidates. In a group all
 pairs are compared exactly, shingle set against shingle set, in tiles of
 bounded size: large groups are dealt by the size of the sets (sets whose sizes
 differ by more than the threshold allows cannot be linked) and by a hash. A
@@ -49,6 +54,28 @@ def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return depth
 
 
+# Sets of more shingles than this are taken to reach the threshold itself.
+SMALL_SET = 64
+
+
+def least_similarity(size: int, threshold: float = THRESHOLD) -> float:
+    """The least similarity, not below the threshold, that a set of ``size`` values can have to another set."""
+    least = 1.0
+    for other in range(int(size * threshold), int(size / threshold) + 2):
+        for common in range(1, min(size, other) + 1):
+            similarity = common / (size + other - common)
+            if threshold - 1e-9 <= similarity < least:
+                least = similarity
+    return least
+
+
+def needed_depths(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
+                  target: float = TARGET_RECALL) -> list[int]:
+    """Where a class of 0, 1, 2 ... ``SMALL_SET`` shingles stops climbing; the last entry is that of all larger ones too."""
+    small = [matched_depth(least_similarity(n, threshold), trees, depth, target) for n in range(1, SMALL_SET)]
+    return [depth, *small, matched_depth(threshold, trees, depth, target)]
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of each text's shingles, without repeats: values by text, each text's first index, and its class key.
 
@@ -93,15 +120,53 @@ _SEEDS = (np.random.default_rng(11).integers(1, 1 << 62, (TREES, DEPTH, 2), dtyp
           * np.uint64(2) + np.uint64(1))
 
 
-def prefixes(values: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
-    """Each text's path in each tree down to ``depth``, as one value. Texts must have shingles."""
+def prefixes(values: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's path in each tree: down to ``depth`` as one value, and the rest of it. Texts must have shingles.
+
+    The rest holds the paths' hashes at the deeper levels, the upper level in
+    the higher bits, so that its order is the order of the trie below ``depth``.
+    """
     path = np.broadcast_to(np.arange(TREES, dtype=np.uint64), (len(first) - 1, TREES)).copy()
+    rest = np.zeros_like(path)
+    bits = level_bits(depth)
     for tree in range(TREES):
-        for d in range(depth):
+        at = path[:, tree]
+        for d in range(DEPTH):
             a, b = _SEEDS[tree, d]
             least = np.minimum.reduceat(((values ^ b) * a) >> np.uint64(16), first[:-1])
-            path[:, tree] = mix(path[:, tree] * np.uint64(0x9FB21C651E98DF25) + least)
-    return path
+            at = mix(at * np.uint64(0x9FB21C651E98DF25) + least)
+            if d + 1 == depth:
+                path[:, tree] = at
+            elif d + 1 > depth:
+                rest[:, tree] = rest[:, tree] << np.uint64(bits) | at >> np.uint64(64 - bits)
+    return path, rest
+
+
+def level_bits(depth: int) -> int:
+    """Bits that a level below ``depth`` has in the rest of a path."""
+    return min(32, 64 // max(1, DEPTH - depth))
+
+
+def climb(tries: DataFrame, depth: int, top: int = DEPTH) -> DataFrame:
+    """Edges ``u, v`` between classes that meet in the tries ``bucket, rest, class, need``.
+
+    ``bucket`` names a node at ``depth``, ``rest`` the path below it. From the
+    full depth upwards the classes of a node are joined to its least one; of
+    those that climb on, one stands for the others.
+    """
+    edges, current = None, tries
+    for level in range(top, depth - 1, -1):
+        node = F.shiftrightunsigned("rest", level_bits(depth) * (top - level)) if level > depth else F.lit(0).cast("bigint")
+        at = current.withColumn("node", node)
+        climbing = F.struct("need", "class", "rest")
+        nodes = materialize(at.groupBy("bucket", "node").agg(
+            F.min("class").alias("m"), F.count("*").alias("n"), F.min(F.when(F.col("need") < level, climbing)).alias("up")))
+        met = at.join(nodes.where("n > 1").select("bucket", "node", "m"), ["bucket", "node"]).where("class <> m")
+        met = met.select(F.col("class").alias("u"), F.col("m").alias("v"))
+        edges = met if edges is None else edges.unionByName(met)
+        # The one that stands for the others climbs as far as any of them.
+        current = nodes.where("up is not null").select("bucket", "up.rest", "up.class", "up.need")
+    return edges
 
 
 def _binary(keys: np.ndarray) -> pa.Array:
@@ -117,30 +182,33 @@ def row_key(columns: Sequence[str]) -> Column:
 
 
 def paths(rows: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, row, class, n_shingles, prefixes`` of each row: the key of its words, and its path in each tree."""
+    """``doc_id, row, class, n_shingles, prefixes, rests`` of each row: the key of its words, and its path in each tree."""
     source = rows.select("doc_id", "row", text_of().alias("text"))
 
     def run(batches):
         for batch in batches:
-            keys, sizes, trees = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.int64)], [np.zeros((0, TREES), np.uint64)]
+            keys, sizes, none = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.int64)], np.zeros((0, TREES), np.uint64)
+            trees, rests = [none], [none]
             for _, _, data, offsets in text_chunks(batch.column("text")):
                 values, first, key = shingle_sets(data, offsets)
                 n = np.diff(first)
                 some = np.flatnonzero(n)
                 if len(some):
-                    trees.append(prefixes(values, np.append(first[:-1][some], len(values)), depth))
+                    path, rest = prefixes(values, np.append(first[:-1][some], len(values)), depth)
+                    trees.append(path)
+                    rests.append(rest)
                 keys.append(key)
                 sizes.append(n)
             size = np.concatenate(sizes)
             ends = np.concatenate([[0], np.cumsum(np.where(size > 0, TREES, 0))]).astype(np.int32)
-            flat = np.concatenate(trees).view(np.int64).ravel()
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(v).view(np.int64).ravel())) for v in (trees, rests)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), _binary(np.concatenate(keys)), pa.array(size.astype(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["doc_id", "row", "class", "n_shingles", "prefixes"])
+                [batch.column("doc_id"), batch.column("row"), _binary(np.concatenate(keys)), pa.array(size.astype(np.int64)), *lists],
+                names=["doc_id", "row", "class", "n_shingles", "prefixes", "rests"])
 
     key_type = source.schema["doc_id"].dataType.simpleString()
-    return arrow_map(source, run, f"doc_id {key_type}, row binary, class binary, n_shingles bigint, prefixes array<bigint>")
+    return arrow_map(source, run, f"doc_id {key_type}, row binary, class binary, n_shingles bigint, "
+                     "prefixes array<bigint>, rests array<bigint>")
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float):
@@ -347,14 +415,17 @@ def _grouped(rows: DataFrame, threshold: float = THRESHOLD, target: float = TARG
     are read in place; only those of classes that may be linked are moved,
     found by a filter of bounded size before the exact join.
     """
-    found = materialize(paths(rows, matched_depth(threshold, target=target)))
+    depth, needs = matched_depth(threshold, target=target), needed_depths(threshold, target=target)
+    found = materialize(paths(rows, depth))
     classes = materialize(found.where("n_shingles > 0").groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"), F.count("*").alias("n_copies"),
-        F.first("n_shingles").alias("n_shingles"), F.first("prefixes").alias("prefixes")))
-    buckets = classes.select("class", F.explode("prefixes").alias("bucket"))
-    least = buckets.groupBy("bucket").agg(F.min("class").alias("m"), F.count("*").alias("n")).where("n > 1")
-    edges = buckets.join(least, "bucket").where("class <> m").select(F.col("class").alias("u"), F.col("m").alias("v"))
-    groups = components(edges)
+        F.first("n_shingles").alias("n_shingles"), F.first("prefixes").alias("prefixes"), F.first("rests").alias("rests")))
+    need = F.element_at(F.array(*map(F.lit, needs)), F.least(F.col("n_shingles") + 1, F.lit(len(needs))).cast("int"))
+    branches = classes.select("class", need.alias("need"), F.explode(F.arrays_zip("prefixes", "rests")).alias("p")) \
+        .select("class", "need", F.col("p.prefixes").alias("bucket"), F.col("p.rests").alias("rest"))
+    # A class that is alone at the least depth of a tree meets nobody in it.
+    shared = classes.select(F.explode("prefixes").alias("bucket")).groupBy("bucket").count().where("count > 1").select("bucket")
+    groups = components(climb(materialize(branches.join(shared, "bucket")), depth))
 
     # A base slightly above 1 / threshold keeps rounding from parting two sizes that may be linked.
     size = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(1.0001 / threshold))).cast("int")
