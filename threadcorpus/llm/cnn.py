@@ -158,8 +158,8 @@ def held_out(column: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Network:
     """Fit on a bounded sample of labelled rows that are not held out.
 
-    Up to ``fit_rows`` rows of either label enter, the first by a hash of the
-    id; the bias is then shifted to the share of labels among all labelled
+    Up to ``fit_rows`` ids of either label enter, the first by a hash of the
+    id, with one text each; the bias is then shifted to the share of labels among all labelled
     rows. Rows with a null or another label are left out. With one label only,
     or none, the score is that label's (1 without any labels).
     """
@@ -178,9 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Network
         chosen = some if chosen is None else chosen.unionByName(some)
     # The sample has a proven bound (twice fit_rows ids), so it may be broadcast.
     chosen = materialize(chosen)
+    # Of an id's texts the least by bytes enters, so the network does not depend on the order of rows.
     rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id") \
-        .select("doc_id", "quality", F.encode("text", "UTF-8").alias("data")).limit(4 * fit_rows)
-    rows = sorted(rows.toLocalIterator(), key=lambda r: (r["doc_id"], bytes(r["data"])))
+        .groupBy("doc_id", "quality").agg(F.min(F.encode("text", "UTF-8")).alias("data"))
+    rows = sorted(rows.toLocalIterator(), key=lambda r: r["doc_id"])
     if not rows:
         net.p["mean"][:] = net.p["top"][:] = 0
         return net
