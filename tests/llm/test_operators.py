@@ -151,6 +151,46 @@ def test_rules_counts_and_verdicts(spark, documents):
     assert np.mean(right) > 0.9
 
 
+def test_verdicts_equal_brute_force(spark, documents):
+    """Votes, expectation-maximisation and posterior written out row by row, without patterns or log-odds."""
+    rows = rules.score(documents).toPandas()
+
+    def vote(r):
+        n, bad = r.n_words, []
+        bad.append(r.word_chars > 15 * n or r.word_chars < 2 * n)
+        bad.append(r.n_symbols > 0.1 * n)
+        bad.append(r.n_upper > 0.4 * r.n_letters)
+        bad.append(r.n_dup_lines > 0.4 * r.n_lines)
+        bad.append(r.n_repeat_words > n / 7)
+        bad.append(n >= 20 and r.n_top_word > n / 5)
+        bad.append(50 <= n <= 1000 and r.n_distinct < n / 4)
+        bad.append(n >= 30 and r.n_stops < n / 60)
+        bad.append(n >= 20 and r.n_stops > n / 2)
+        prose = 2 * n <= r.word_chars <= 15 * n and r.n_symbols <= n / 40 and r.n_upper <= r.n_letters / 4 \
+            and r.n_stops >= n / 60 and r.n_repeat_words <= n / 7
+        return [-1 if b else 0 for b in bad[:-1]] + [-1 if bad[-1] else 1 if prose else 0]
+
+    table = [vote(r) for r in rows.itertuples()]
+    chance = {y: [dict(zip((-1, 0, 1), start)) for _ in rules.RULES] for y, start in ((0, (0.3, 0.6, 0.1)), (1, (0.02, 0.5, 0.48)))}
+    prior = 0.8
+    for _ in range(200):
+        good = []
+        for v in table:
+            one, zero = (w * np.prod([chance[y][i][x] for i, x in enumerate(v)]) for y, w in ((1, prior), (0, 1 - prior)))
+            good.append(one / (one + zero))
+        if _ and max(abs(a - b) for a, b in zip(good, before)) < 1e-9:
+            break
+        before = good
+        for y in (0, 1):
+            for i in range(len(rules.RULES)):
+                got = {x: 1 + sum(g if y else 1 - g for g, v in zip(good, table) if v[i] == x) for x in (-1, 0, 1)}
+                chance[y][i] = {x: n / sum(got.values()) for x, n in got.items()}
+        prior = min(0.95, max(0.05, (sum(good) + 1) / (len(good) + 2)))
+    for r, p in zip(rows.itertuples(), good):
+        assert abs(r.posterior - p) < 1e-5
+        assert r.kept == (not r.base_failed and p >= 0.5) or abs(p - 0.5) < 1e-5
+
+
 def test_rules_em_recovers_planted_accuracies():
     rng = np.random.default_rng(1)
     good = rng.random(20_000) < 0.8
@@ -232,6 +272,41 @@ def test_classifier_on_held_out_rows(spark):
     assert both.predicted[both.quality == 1].mean() > 0.95
 
 
+def test_network_does_not_depend_on_row_order_where_ids_repeat(spark, monkeypatch):
+    monkeypatch.setattr(cnn, "STEPS", 3)
+    texts_of = [(i, f"text {i} {k} " * 20) for i in range(12) for k in range(9)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id bigint, quality int")
+    nets = []
+    for order in (texts_of, texts_of[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(len(nets) + 2)
+        nets.append(cnn.fit(docs, labels, fit_rows=2))
+    assert all(np.array_equal(nets[0].p[k], nets[1].p[k]) for k in nets[0].p)
+
+
+def brute_score(net, text):
+    """The network written out for one text: every chunk, filter and place by loops."""
+    data, p = text.encode(), net.p
+    hidden = []
+    for at in range(0, max(len(data) - 64, 1), 192):
+        chunk = data[at:at + 256].ljust(256, b"\0")
+        best = []
+        for f in range(cnn.FILTERS):
+            places = [sum(float(p["embed"][chunk[x + i]] @ p["w"][i * cnn.EMBED:(i + 1) * cnn.EMBED, f]) for i in range(8))
+                      for x in range(0, 249, 2)]
+            best.append(max(0.0, max(places) + float(p["b"][f])))
+        hidden.append(np.maximum(np.array(best) @ p["u"] + p["c"], 0))
+    z = np.mean(hidden, 0) @ p["mean"] + np.max(hidden, 0) @ p["top"] + p["bias"][0]
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_brute_force(spark):
+    net = cnn.Network(4)
+    rows = [(1, ""), (2, "short"), (3, "é" * 32), (4, "x" * 64), (5, "a longer text, twice cut. " * 16), (6, None)]
+    got = {r.doc_id: r.score for r in cnn.score(spark.createDataFrame(rows, "doc_id bigint, text string"), net).collect()}
+    for i, t in rows:
+        assert abs(got[i] - brute_score(net, t or "")) < 1e-4
+
+
 def test_classifier_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(4, 0), (5, 1), (7, None), (None, 1)], "doc_id bigint, quality int")
     for some in (labels, labels.limit(0), labels.where("quality = 1")):
@@ -612,6 +687,49 @@ def test_packing_places_every_token(spark, documents):
         assert (bin_.bin_length == least).all()
 
 
+def brute_pack(sizes, lengths=packing.LENGTHS):
+    """Best fit written out over plain lists: every open bin is looked at, and the sizes still to come one by one."""
+    todo = sorted(sizes, reverse=True)
+    bins = []
+    for i, size in enumerate(todo):
+        fits = [b for b in bins if b["room"] >= size]
+        if fits:
+            b = min(fits, key=lambda b: (b["room"], b["name"]))
+        else:
+            def price(n):
+                room, ahead, left = n - size, 0, todo[i + 1:]
+                for _ in range(4):
+                    best = next((x for x in left if x <= room), None)
+                    if best is None:
+                        break
+                    left = left[:left.index(best)] + left[left.index(best) + 1:]
+                    ahead, room = ahead + best, room - best
+                return (n + packing.OVERHEAD) / (size + ahead), n
+            n = min((n for n in lengths if n >= size), key=price)
+            b = {"name": len(bins), "room": n, "items": []}
+            bins.append(b)
+        b["items"].append(size)
+        b["room"] -= size
+    return sorted((min(n for n in lengths if n >= sum(b["items"])), tuple(b["items"])) for b in bins)
+
+
+def test_bins_equal_brute_force(spark, documents):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 60, 250):
+        sizes = rng.integers(1, 900, n) if n != 60 else rng.integers(1, 4096, n)
+        bins, offset, length = packing.pack(sizes)
+        got = defaultdict(list)
+        for at in np.lexsort((offset, bins)):
+            got[int(bins[at]), int(length[at])].append(int(sizes[at]))
+        assert sorted((n, tuple(items)) for (_, n), items in got.items()) == brute_pack(sizes.tolist())
+    # All documents of one group: the table's bins are those of the rests, and the full pieces.
+    packed = packing.pack_documents(documents).toPandas().sort_values("bin_offset")
+    got = sorted((int(g.bin_length.iloc[0]), tuple(int(n) for n in g.n_tokens)) for _, g in packed.groupby("bin"))
+    words = [len(re.findall(SPACE, t)) for t in texts(documents).values()]
+    full = [(4096, (4096,))] * sum(w // 4096 for w in words)
+    assert got == sorted(brute_pack([w % 4096 for w in words if w % 4096]) + full)
+
+
 def test_packing_beats_one_length():
     sizes = np.random.default_rng(0).integers(1, 1500, 2_000)
     bins, _, length = packing.pack(sizes)
