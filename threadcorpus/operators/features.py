@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadcorpus.operators.grams import gram_lists, gram_totals
 from threadcorpus.operators.joins import checked_join
 from threadcorpus.operators.lang import LOGPROB_SCALE, char_ngrams
 from threadcorpus.session import materialize
@@ -55,8 +56,7 @@ def gram_gains(labelled: DataFrame, text_col: str = "text", lang_col: str = "lan
     n = F.lit(sum(langs.values())).cast("bigint")
     sources = materialize(places.groupBy("source").agg(F.sum("docs").alias("source_docs")))
     all_sources = F.lit(sources.agg(F.sum(_xlnx(F.col("source_docs")))).first()[0] or 0).cast("bigint")
-    counts = materialize(docs.select("lang", "source", F.explode(F.array_distinct(mixed_ngrams(F.col("_t"), sizes))).alias("gram"))
-                         .groupBy("lang", "source", "gram").agg(F.count("*").alias("n")))
+    counts = materialize(gram_totals(docs, ["lang", "source"], "_t", sizes, once=True).withColumnRenamed("cnt", "n"))
 
     by_source = checked_join(counts.groupBy("gram", "source").agg(F.sum("n").alias("n")), sources, "source")
     rest = F.col("source_docs") - F.col("n")
@@ -111,9 +111,10 @@ def train_features(labelled: DataFrame, text_col: str = "text", lang_col: str =
     size = chosen.count()
     per_lang = {r["lang"]: r["d"] for r in docs.groupBy("lang").agg(F.count("*").alias("d")).collect()}
     langs = sorted(per_lang)
-    found = checked_join(docs.select("lang", F.explode(mixed_ngrams(F.col("_t"), sizes)).alias("gram")), chosen, "gram")
+    found = checked_join(gram_totals(docs, ["lang"], "_t", sizes), chosen, "gram")
     seen = materialize(found.groupBy("gram").agg(*[
-        F.count_if(F.col("lang") == lang).alias(f"n_{i}") for i, lang in enumerate(langs)] or [F.count("*").alias("n")]))
+        F.sum(F.when(F.col("lang") == lang, F.col("cnt")).otherwise(F.lit(0))).alias(f"n_{i}")
+        for i, lang in enumerate(langs)] or [F.sum("cnt").alias("n")]))
     totals = seen.agg(*[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"n_{i}") for i in range(len(langs))]
                       or [F.count("*").alias("n")]).first()
     scale = F.lit(float(LOGPROB_SCALE))
@@ -137,10 +138,10 @@ def score_features(posts: DataFrame, profile: FeatureProfile, id_col: str = "id"
     if not profile.langs:
         return posts.select(id_col, F.lit(None).cast("string").alias("langid"),
                             F.lit(None).cast("bigint").alias("langid_score")).where(F.lit(False))
-    grams = posts.select(F.col(id_col).alias("_pid"),
-                         F.explode(mixed_ngrams(F.lower(F.col(text_col)), profile.sizes)).alias("gram"))
+    lowered = posts.select(F.col(id_col).alias("_pid"), F.lower(F.col(text_col)).alias("_t"))
+    grams = gram_lists(lowered, "_pid", "_t", profile.sizes)
     sums = checked_join(grams, profile.table, "gram").groupBy("_pid").agg(
-        *[F.sum(f"lp_{lang}").alias(f"s_{i}") for i, lang in enumerate(profile.langs)])
+        *[F.sum(F.col(f"lp_{lang}") * F.col("cnt")).alias(f"s_{i}") for i, lang in enumerate(profile.langs)])
     best = F.array_max(F.array(*[F.struct((F.col(f"s_{i}") + F.lit(profile.prior[lang])).alias("score"),
                                           F.lit(lang).alias("lang")) for i, lang in enumerate(profile.langs)]))
     return sums.select(F.col("_pid").alias(id_col), best["lang"].alias("langid"), best["score"].alias("langid_score"))

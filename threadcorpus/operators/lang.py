@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import is_too_short, sanitize, words
+from threadcorpus.operators.grams import gram_lists, gram_totals
 from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, broadcast_rows, checked_join
 from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import materialize
@@ -57,7 +58,7 @@ def lexicon_index(lexicon: DataFrame, langs: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------- scoring pieces against a model
 
 def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows: int) -> DataFrame:
-    """Attach model rows to exploded pieces ``(_pid, key)``; adds the multiplicity ``cnt``.
+    """Attach model rows to exploded pieces ``(_pid, key)``; adds the multiplicity ``cnt`` where they have none.
 
     With a model small enough to broadcast (checked size), every piece
     probes the broadcast hash table directly and the following per-post
@@ -66,9 +67,11 @@ def _pieces_with_model(pieces: DataFrame, key: str, table: DataFrame, table_rows
     by a shuffle, in which hot pieces (frequent words or n-grams) are split by
     their size.
     """
+    if "cnt" not in pieces.columns:
+        pieces = pieces.withColumn("cnt", F.lit(1).cast("bigint"))
     if table_rows <= BROADCAST_MAX_ROWS:
-        return pieces.join(F.broadcast(table), key, "left").withColumn("cnt", F.lit(1).cast("bigint"))
-    counted = pieces.groupBy("_pid", key).agg(F.count("*").alias("cnt"))
+        return pieces.join(F.broadcast(table), key, "left")
+    counted = pieces.groupBy("_pid", key).agg(F.sum("cnt").alias("cnt"))
     return checked_join(counted, table, key, "left", max_rows=BROADCAST_MAX_ROWS, small_rows=table_rows)
 
 
@@ -158,8 +161,7 @@ def train_langid(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
     """
     docs = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.lower(F.col(text_col)).alias("_t"))
-    counts = materialize(docs.select("lang", F.explode(char_ngrams(F.col("_t"), n)).alias("gram"))
-                         .groupBy("lang", "gram").agg(F.count("*").alias("cnt")))
+    counts = materialize(gram_totals(docs, ["lang"], "_t", [n]))
     # Per-language constants: bounded by the number of languages.
     totals = counts.groupBy("lang").agg(F.sum("cnt").alias("total"))
     vocab = counts.select("gram").distinct().count()
@@ -196,12 +198,12 @@ def score_langid(posts: DataFrame, profile: NgramProfile, id_col: str = "id",
                  text_col: str = "clean") -> DataFrame:
     """Most probable language per post: ``(id, langid, langid_score)``.
 
-    Every n-gram occurrence is looked up in the profile (broadcast when its
-    checked size allows, a shuffle join otherwise) and the log-probabilities are
+    The n-grams of a post are counted and looked up in the profile (broadcast when
+    its checked size allows, a shuffle join otherwise) and the log-probabilities are
     summed per post and language. Ties go to the alphabetically last language.
     """
-    grams = posts.select(F.col(id_col).alias("_pid"),
-                         F.explode(char_ngrams(F.lower(F.col(text_col)), profile.n)).alias("gram"))
+    lowered = posts.select(F.col(id_col).alias("_pid"), F.lower(F.col(text_col)).alias("_t"))
+    grams = gram_lists(lowered, "_pid", "_t", [profile.n])
     joined = _pieces_with_model(grams, "gram", profile.table, profile.rows)
     sums = [F.sum(F.col("cnt") * F.coalesce(F.col(f"lp_{lang}"), F.lit(profile.unseen[lang])))
             .alias(f"s_{lang}") for lang in profile.langs]
