@@ -442,8 +442,12 @@ def _joined(spans: str) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: int) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 def digest(found: DataFrame) -> DataFrame:
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}")
-              for i, k in enumerate(KINDS)]
+    # A second argument of a filter's function would be the element's index, so the kind is no default argument.
+    counts = [F.size(F.filter("base", _of_kind(i))).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
                         _joined("spans").alias("spans"))
