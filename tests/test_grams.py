@@ -50,3 +50,26 @@ def test_training_and_scoring_count_before_rows(spark):
     assert G.gram_totals(docs, ["lang"], "text", [3]).count() == 3
     plan = L.score_langid(docs.selectExpr("doc_id AS id", "text AS clean"), profile)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "regexp_extract_all" not in plan
+
+
+def test_sums_equal_every_place(spark, monkeypatch):
+    """Scores are summed where the texts are: one row for each text, none for each gram."""
+    table = spark.createDataFrame([("aé😀", 5, None), ("xxx", -7, 2), ("é😀c", None, 1), ("\n\x00퟿", 3, 3)], "gram string, a long, b long")
+    value = {r["gram"]: (r["a"], r["b"]) for r in table.collect()}
+    expected = Counter()
+    for i, _, t in TEXTS:
+        grams = of(t or "", 3)
+        if grams:
+            expected[(i, *(sum(m if value.get(g, (None, None))[j] is None else value[g][j] for g in grams)
+                           for j, m in enumerate((-100, -1000))))] += 1
+    for run_chars in (4, 1 << 20):
+        monkeypatch.setattr(G, "RUN_CHARS", run_chars)
+        sums = G.gram_sums(frame(spark).coalesce(1), "id", "t", 3, table, [-100, -1000])
+        assert Counter(map(tuple, sums.collect())) == expected
+    assert G.gram_sums(frame(spark), "id", "t", 3, table.limit(0), [1, 2]).where("id = 2").collect() == []
+    profile = L.train_langid(spark.createDataFrame([(1, "ab " * 9, "de"), (2, "cd " * 9, "fr")], "doc_id long, text string, lang string"))
+    posts = spark.createDataFrame([(1, "ab ab"), (2, "cd cd"), (1, "ab cd"), (3, "x"), (4, None)], "id long, clean string")
+    scored = L.score_langid(posts, profile)
+    assert "Generate explode" not in scored._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(L, "BROADCAST_MAX_ROWS", 0)
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, L.score_langid(posts, profile).collect()))

@@ -28,10 +28,9 @@ def _col(c) -> Column:
 
 def sanitize(c) -> Column:
     """Delete carriage returns, turn line feeds into blanks, delete URLs."""
-    c = _col(c)
-    c = F.regexp_replace(c, "\r", "")
-    c = F.regexp_replace(c, "\n", " ")
-    return F.regexp_replace(c, URL_PATTERN, "")
+    c = F.replace(F.replace(_col(c), F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" "))
+    # The pattern tries every character; most texts hold no URL.
+    return F.when(c.contains("http"), F.regexp_replace(c, URL_PATTERN, "")).otherwise(c)
 
 
 def is_too_short(c, n: int = MIN_LABEL_CHARS) -> Column:

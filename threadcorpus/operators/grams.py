@@ -21,6 +21,8 @@ from threadcorpus.session import ship
 
 # Characters counted at once; a longer single text is a run of its own.
 RUN_CHARS = 1 << 20
+# Bits of a code point, and how many code points fit into 64 bits.
+POINT_BITS, PACKED = 21, 3
 
 _COUNTED = pa.struct([("gram", pa.string()), ("cnt", pa.int64())])
 
@@ -44,16 +46,18 @@ def _counted(texts: list[str], sizes: Sequence[int], once: bool = False,
     ``once`` counts a gram once a text. Grams are overlapping runs of code points inside one text.
     """
     joined = "".join(texts)
-    points, alphabet = pd.factorize(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32))
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.array([len(t) for t in texts], np.int64)
     row = np.repeat(np.arange(len(texts)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
-    codes, grams, pairs = points, [], []
+    codes, grams, pairs = None, [], []
     for n in range(1, max(sizes) + 1):
         if n > len(points):
             break
-        if n > 1:
-            codes = pd.factorize(codes[:-1] * len(alphabet) + points[n - 1:])[0]
+        if n <= PACKED:
+            codes = pd.factorize(_packed(points, n))[0] if n in sizes or n == PACKED else None
+        else:
+            codes = pd.factorize(codes[:-1].astype(np.uint64) << np.uint64(POINT_BITS) | points[n - 1:])[0]
         if n not in sizes:
             continue
         at = np.flatnonzero(left[:len(codes)] >= n)
@@ -68,15 +72,30 @@ def _counted(texts: list[str], sizes: Sequence[int], once: bool = False,
     if not pairs:
         return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64)
     of, width = np.concatenate([p[0] for p in pairs]), max(len(grams), 1)
+    if group is not None and not once:
+        of = group[of]
     pair = of * width + np.concatenate([p[1] for p in pairs])
     if once:
         pair = np.unique(pair)
-    if group is not None:
-        pair = group[pair // width] * width + pair % width
-    pair, counts = np.unique(pair, return_counts=True)
+        if group is not None:
+            pair = group[pair // width] * width + pair % width
+    if len(pair) and int(pair.max()) < 4 * len(pair):
+        counts = np.bincount(pair)
+        pair = np.flatnonzero(counts)
+        counts = counts[pair]
+    else:
+        pair, counts = np.unique(pair, return_counts=True)
     return pair // width, pa.array(grams, pa.string()).take(pa.array(pair % width)), counts.astype(np.int64)
 
 
+def _packed(points: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` code points from each place on as one number, ``n`` at most ``PACKED``."""
+    out = points[:len(points) - n + 1].astype(np.uint64)
+    for i in range(1, n):
+        out = out << np.uint64(POINT_BITS) | points[i:len(points) - n + 1 + i]
+    return out
+
+
 def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
@@ -127,3 +146,44 @@ def gram_totals(texts: DataFrame, keys: Sequence[str], text_col: str, sizes: Seq
     counted = source.mapInArrow(run, T.StructType([*fields, T.StructField("gram", T.StringType()),
                                                    T.StructField("cnt", T.LongType())]))
     return counted.groupBy(*names, "gram").agg(F.sum("cnt").alias("cnt"))
+
+
+def gram_sums(texts: DataFrame, key: str, text_col: str, n: int, table: DataFrame, missing: Sequence[int]) -> DataFrame:
+    """``key`` and the sums, over the grams of each text, of the value columns of ``table``; a text without grams has no row.
+
+    ``table`` has ``gram``, each once, and a BIGINT column for each of
+    ``missing``, which counts where a gram or its value is absent. It is
+    broadcast, so its size must have been checked, and looked up in the tasks
+    that hold the texts; ``n`` is at most ``PACKED``.
+    """
+    spark = texts.sparkSession
+    ship(spark)
+    names = [c for c in table.columns if c != "gram"]
+    held = table.select("gram", *[F.coalesce(F.col(c), F.lit(m)).cast("bigint").alias(c) for c, m in zip(names, missing)]).toArrow()
+    grams = "".join(held.column("gram").to_pylist())
+    keys = _packed(np.frombuffer(grams.encode("utf-32-le", "surrogatepass"), np.uint32), n)[::n] if grams else np.zeros(0, np.uint64)
+    # The values of an absent gram stand last, where a place of -1 finds them.
+    values = [np.append(held.column(c).to_numpy(), m).astype(np.int64) for c, m in zip(names, missing)]
+    shared = spark.sparkContext.broadcast((keys, values))
+    source = texts.select(key, F.col(text_col).alias("_text"))
+
+    def run(batches):
+        places, sums_of = pd.Index(shared.value[0]), shared.value[1]
+        for batch in batches:
+            whole = _texts(batch.column(1))
+            for lo, hi in _runs(whole):
+                lengths = np.array([len(t) for t in whole[lo:hi]], np.int64)
+                rows = np.flatnonzero(lengths >= n)
+                if not len(rows):
+                    continue
+                points = np.frombuffer("".join(whole[lo + r] for r in rows).encode("utf-32-le", "surrogatepass"), np.uint32)
+                at = places.get_indexer(_packed(points, n))
+                ends = np.cumsum(lengths[rows])
+                found = []
+                for value in sums_of:
+                    total = np.concatenate([[0], np.cumsum(value[at])])
+                    found.append(pa.array(total[ends - n + 1] - total[ends - lengths[rows]]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + rows)), *found], names=[key, *names])
+
+    fields = [T.StructField(c, T.LongType()) for c in names]
+    return source.mapInArrow(run, T.StructType([T.StructField(key, source.schema[key].dataType), *fields]))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadcorpus.functions.text import is_too_short, sanitize, words
-from threadcorpus.operators.grams import gram_lists, gram_totals
+from threadcorpus.operators.grams import PACKED, gram_lists, gram_sums, gram_totals
 from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, broadcast_rows, checked_join
 from threadcorpus.operators.ordering import keep_first
 from threadcorpus.session import materialize
@@ -198,16 +198,21 @@ def score_langid(posts: DataFrame, profile: NgramProfile, id_col: str = "id",
                  text_col: str = "clean") -> DataFrame:
     """Most probable language per post: ``(id, langid, langid_score)``.
 
-    The n-grams of a post are counted and looked up in the profile (broadcast when
-    its checked size allows, a shuffle join otherwise) and the log-probabilities are
-    summed per post and language. Ties go to the alphabetically last language.
+    With a profile small enough to broadcast (checked size) the n-grams of a post
+    are looked up and summed in its task; beyond that they are counted and
+    joined by a shuffle. Ties go to the alphabetically last language.
     """
     lowered = posts.select(F.col(id_col).alias("_pid"), F.lower(F.col(text_col)).alias("_t"))
-    grams = gram_lists(lowered, "_pid", "_t", [profile.n])
-    joined = _pieces_with_model(grams, "gram", profile.table, profile.rows)
-    sums = [F.sum(F.col("cnt") * F.coalesce(F.col(f"lp_{lang}"), F.lit(profile.unseen[lang])))
-            .alias(f"s_{lang}") for lang in profile.langs]
-    per_post = joined.groupBy("_pid").agg(*sums)
+    if profile.rows <= BROADCAST_MAX_ROWS and profile.n <= PACKED and profile.langs:
+        table = profile.table.select("gram", *[f"lp_{lang}" for lang in profile.langs])
+        found = gram_sums(lowered, "_pid", "_t", profile.n, table, [profile.unseen[lang] for lang in profile.langs])
+        per_post = found.groupBy("_pid").agg(*[F.sum(f"lp_{lang}").alias(f"s_{lang}") for lang in profile.langs])
+    else:
+        grams = gram_lists(lowered, "_pid", "_t", [profile.n])
+        joined = _pieces_with_model(grams, "gram", profile.table, profile.rows)
+        sums = [F.sum(F.col("cnt") * F.coalesce(F.col(f"lp_{lang}"), F.lit(profile.unseen[lang])))
+                .alias(f"s_{lang}") for lang in profile.langs]
+        per_post = joined.groupBy("_pid").agg(*sums)
     candidates = F.array(*[F.struct((F.col(f"s_{lang}") + F.lit(profile.prior[lang])).alias("score"),
                                     F.lit(lang).alias("lang")) for lang in profile.langs])
     best = F.array_max(candidates)
