@@ -73,3 +73,12 @@ def test_sums_equal_every_place(spark, monkeypatch):
     assert "Generate explode" not in scored._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(L, "BROADCAST_MAX_ROWS", 0)
     assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, L.score_langid(posts, profile).collect()))
+
+
+def test_totals_by_numbered_code_points(spark):
+    """Small alphabets are counted by numbered code points, others by the runs' own grams: same counts."""
+    many = "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))
+    for texts in (["aé😀cd aé😀", "ab", "", "x" * 50 + "\n\x00퟿", "aé😀"], [many, many[5:9], "a"], ["ab", ""], []):
+        grams, counts = G._totals(texts, 3)
+        assert dict(zip(grams.to_pylist(), counts.tolist())) == Counter(g for t in texts for g in of(t, 3))
+        assert len(set(grams.to_pylist())) == len(grams)

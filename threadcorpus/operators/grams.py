@@ -121,6 +121,34 @@ def gram_lists(texts: DataFrame, key: str, text_col: str, sizes: Sequence[int])
     return source.mapInArrow(run, schema).select(key, F.explode("_grams").alias("_g")).select(key, "_g.gram", "_g.cnt")
 
 
+def _totals(texts: list[str], n: int) -> tuple[pa.Array, np.ndarray]:
+    """The grams of size ``n`` of all texts and their counts.
+
+    Code points are numbered, so that a gram is a small number and counting is an array; where
+    the texts have too many different ones for that, grams are told apart by :func:`_counted`.
+    """
+    texts = [t for t in texts if len(t) >= n]
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    seen = np.zeros(int(points.max(initial=0)) + 1, bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen)
+    if len(alphabet) ** n > max(4 * len(points), 1 << 20):
+        return _counted(texts, [n], group=np.zeros(len(texts), np.int64))[1:]
+    number = np.zeros(len(seen), np.int64)
+    number[alphabet] = np.arange(len(alphabet))
+    places = number[points]
+    code = np.zeros(max(len(points) - n + 1, 0), np.int64)
+    for i in range(n):
+        code = code * len(alphabet) + places[i:i + len(code)]
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)[:-1]
+    over = (ends[:, None] - np.arange(1, n)).ravel()  # grams that reach into the next text
+    counts = np.bincount(code, minlength=1) - np.bincount(code[over], minlength=int(code.max(initial=0)) + 1)
+    held = np.flatnonzero(counts)
+    parts = [alphabet[held // len(alphabet) ** (n - 1 - i) % len(alphabet)] for i in range(n)] if len(held) else []
+    grams = np.stack(parts, 1).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") if parts else ""
+    return pa.array([grams[i:i + n] for i in range(0, len(grams), n)], pa.string()), counts[held].astype(np.int64)
+
+
 def gram_totals(texts: DataFrame, keys: Sequence[str], text_col: str, sizes: Sequence[int], once: bool = False) -> DataFrame:
     """``*keys, gram, cnt``: grams counted over all texts of the same ``keys``; ``once`` counts texts that hold the gram.
 
@@ -138,7 +166,14 @@ def gram_totals(texts: DataFrame, keys: Sequence[str], text_col: str, sizes: Seq
                              np.int64)
             distinct = [pa.array(values, batch.schema.field(i).type) for i, values in enumerate(zip(*of))]
             for lo, hi in _runs(whole):
-                rows, grams, counts = _counted(whole[lo:hi], sizes, once, group[lo:hi])
+                if len(sizes) == 1 and not once:
+                    used = np.unique(group[lo:hi])
+                    found = [_totals([whole[i] for i in range(lo, hi) if group[i] == g], sizes[0]) for g in used]
+                    rows = np.repeat(used, [len(counts) for _, counts in found])
+                    grams = pa.concat_arrays([grams for grams, _ in found])
+                    counts = np.concatenate([counts for _, counts in found])
+                else:
+                    rows, grams, counts = _counted(whole[lo:hi], sizes, once, group[lo:hi])
                 yield pa.RecordBatch.from_arrays([*(d.take(pa.array(rows)) for d in distinct), grams, pa.array(counts)],
                                                  names=[*names, "gram", "cnt"])
 
