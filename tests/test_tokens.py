@@ -59,3 +59,18 @@ def test_words_of_a_plain_post_are_no_rows(spark):
     assert [tuple(r)[1:] for r in rates.collect()] == [(100, 0.5)] * 4
     plan = rates._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan
+
+
+def test_texts_are_not_sorted_for_the_gate(spark):
+    """Fails where the gated posts come from a sort-merge join, which holds a partition's texts."""
+    docs = spark.createDataFrame([(i, "der hund und die katze", "de") for i in range(3)], "doc_id long, text string, lang string")
+    model = L.train_language_model(docs, ["en", "de"])
+    posts = spark.createDataFrame([("a", "der hund und die katze"), ("a", "der hund und"), ("b", "x")], "id string, body string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for labels, value in ((L.label_single(posts, model), True), (L.label_multi(posts, model, ["de"]), "de")):
+            assert "ShuffledHashJoin" in labels._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, labels.collect()), key=str) == [("a", value), ("a", value), ("b", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -264,6 +264,11 @@ def _prepared(posts: DataFrame, id_col: str | Sequence[str], body_col: str) -> D
         .withColumn("short", is_too_short(F.col("clean"))).repartition("_pid")
 
 
+def _of_posts(prepared: DataFrame, gated: DataFrame) -> DataFrame:
+    """Posts of the keys in ``gated``: the keys are held, so that texts are not sorted for the join."""
+    return prepared.join(gated.select("_pid").hint("shuffle_hash"), "_pid", "left_semi")
+
+
 def one_each(posts: DataFrame, keys: Sequence[str] = ("kind", "id")) -> DataFrame:
     """One copy of every post (the least), so that labels can be joined back to all copies."""
     return keep_first(posts, list(keys), [])
@@ -281,8 +286,7 @@ def label_single(posts: DataFrame, model: LanguageModel, target: str = "de", ref
                         model.index_rows, skip=F.col("short"))
     gated = rates.where((F.col(f"err_{reference}") > ENGLISH_ERROR_MIN)
                         & (F.col(f"err_{target}") < TARGET_ERROR_MAX)).select("_pid")
-    gated_text = prepared.join(gated, "_pid", "left_semi")
-    lid = score_langid(gated_text, model.profile, "_pid", "clean")
+    lid = score_langid(_of_posts(prepared, gated), model.profile, "_pid", "clean")
     labelled = prepared.join(lid, "_pid", "left")
     label = F.when(F.col("short"), F.lit(None).cast("boolean")) \
         .otherwise(F.coalesce(F.col("langid") == F.lit(target), F.lit(False)))
@@ -307,8 +311,7 @@ def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
     rated = rates.select("_pid", (F.col(f"err_{reference}") > ENGLISH_ERROR_MIN).alias("non_ref"),
                          candidates.alias("candidates"))
     gated = rated.where(F.col("non_ref") & (F.size("candidates") > 0))
-    gated_text = prepared.join(gated.select("_pid"), "_pid", "left_semi")
-    lid = score_langid(gated_text, model.profile, "_pid", "clean")
+    lid = score_langid(_of_posts(prepared, gated), model.profile, "_pid", "clean")
     decided = rated.join(lid, "_pid", "left").select(
         "_pid",
         F.when(~F.col("non_ref"), F.lit("other"))
