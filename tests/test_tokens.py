@@ -74,3 +74,42 @@ def test_texts_are_not_sorted_for_the_gate(spark):
             assert sorted(map(tuple, labels.collect()), key=str) == [("a", value), ("a", value), ("b", None)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_large_lexicons_are_looked_up_in_the_tasks(spark, monkeypatch):
+    """Fails where a lexicon beyond a million words turns every word of a post into a row."""
+    posts = spark.createDataFrame(TEXTS, "id long, lang string, t string").repartition(2)
+    # No plain text holds the words from "Hund" on: those with great letters, other signs or other code points.
+    index = spark.createDataFrame([("der", 1, 0), ("x²", 0, 1), ("the", 0, 1), ("äpfelß", 1, 1), ("Hund", 1, 1), ("der hund", 1, 1), ("", 1, 1),
+                                   (None, 1, 1), ("漢字", 0, 1), ("x\n", 1, 1)], "word string, in_de int, in_en int")
+
+    def rates(rows):
+        return L.error_rates(posts, index, ["de", "en"], "id", "t", rows)
+
+    expected = sorted(map(tuple, rates(7).collect()), key=str)
+    plan = rates(1_500_000)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan
+    # Beyond the size for a broadcast in the JVM, words of texts that are handed on are joined by a shuffle.
+    assert sorted(map(tuple, rates(3_000_000).collect()), key=str) == expected
+    monkeypatch.setattr(L, "HELD_WORDS", 0)
+    assert sorted(map(tuple, rates(7).collect()), key=str) == expected and len(expected) == 3
+
+
+def test_words_of_one_number_are_looked_up_by_both(spark, monkeypatch):
+    monkeypatch.setattr(W, "_BASES", (1, W._BASES[1]))
+    one, two = [n.tolist() for n in W._coded(["ab ba cd"], {})[2]]
+    assert one[0] == one[1] and two[0] != two[1]
+    held = tuple(W.np.array(c) for c in zip(*sorted((a, b, f) for a, b, f in zip(one[:2], two[:2], (1, 2)))))
+    held = (held[0].astype("uint64"), held[1].astype("uint64"), held[2])
+    numbers = W._coded(["cd ba ab dc"], {})[2]
+    assert W._flags_of(numbers, held, 2).tolist() == [0, 2, 1, 0]
+    assert W._flags_of(numbers, tuple(c[:0] for c in held), 0).tolist() == [0] * 4
+
+
+def test_the_least_copy_travels_once(spark):
+    """Fails where a text is sent both as the row and as its order."""
+    posts = spark.createDataFrame([("c", "a", "y"), ("c", "a", "x"), ("c", "b", None), ("c", None, "z"), ("c", None, None)],
+                                  "kind string, id string, body string")
+    one = L.one_each(posts)
+    assert sorted(map(tuple, one.collect()), key=str) == [("c", "a", "x"), ("c", "b", None), ("c", None, None)]
+    assert "min_by" not in one._jdf.queryExecution().executedPlan().toString()

@@ -90,7 +90,7 @@ def error_rates(posts: DataFrame, index: DataFrame, langs: Sequence[str],
     if rows <= HELD_WORDS:
         kept = F.col(text_col) if skip is None else F.when(~skip, F.col(text_col))
         per_post = word_misses(posts.select(F.col(id_col).alias("_pid"), kept.alias("_text")), "_pid", "_text", index,
-                               [f"in_{lang}" for lang in langs])
+                               [f"in_{lang}" for lang in langs], rows)
     else:
         toks = words(F.col(text_col))
         if skip is not None:
@@ -259,9 +259,12 @@ def _columns(id_col: str | Sequence[str]) -> list:
 
 
 def _prepared(posts: DataFrame, id_col: str | Sequence[str], body_col: str) -> DataFrame:
-    """Sanitized texts by key: one shuffle of the text, whose layout the aggregations and joins by key reuse."""
+    """Sanitized texts by key, the empty one where too short to be labelled.
+
+    All steps read the same two columns, so that error rates and labels share a shuffle of the texts; the gate has its own.
+    """
     return posts.select(_key(id_col).alias("_pid"), sanitize(F.col(body_col)).alias("clean")) \
-        .withColumn("short", is_too_short(F.col("clean"))).repartition("_pid")
+        .withColumn("clean", F.when(is_too_short(F.col("clean")), F.lit("")).otherwise(F.col("clean"))).repartition("_pid")
 
 
 def _of_posts(prepared: DataFrame, gated: DataFrame) -> DataFrame:
@@ -282,13 +285,12 @@ def label_single(posts: DataFrame, model: LanguageModel, target: str = "de", ref
     ``target`` error rate under 0.7, and the classifier answers ``target``.
     """
     prepared = _prepared(posts, id_col, body_col)
-    rates = error_rates(prepared, model.index, [reference, target], "_pid", "clean",
-                        model.index_rows, skip=F.col("short"))
+    rates = error_rates(prepared, model.index, [reference, target], "_pid", "clean", model.index_rows)
     gated = rates.where((F.col(f"err_{reference}") > ENGLISH_ERROR_MIN)
                         & (F.col(f"err_{target}") < TARGET_ERROR_MAX)).select("_pid")
     lid = score_langid(_of_posts(prepared, gated), model.profile, "_pid", "clean")
     labelled = prepared.join(lid, "_pid", "left")
-    label = F.when(F.col("short"), F.lit(None).cast("boolean")) \
+    label = F.when(F.col("clean") == "", F.lit(None).cast("boolean")) \
         .otherwise(F.coalesce(F.col("langid") == F.lit(target), F.lit(False)))
     return labelled.select(*_columns(id_col), label.alias("label"))
 
@@ -304,7 +306,7 @@ def label_multi(posts: DataFrame, model: LanguageModel, targets: Sequence[str],
     targets = list(targets)
     langs = [reference] + [t for t in targets if t != reference]
     prepared = _prepared(posts, id_col, body_col)
-    rates = error_rates(prepared, model.index, langs, "_pid", "clean", model.index_rows, skip=F.col("short"))
+    rates = error_rates(prepared, model.index, langs, "_pid", "clean", model.index_rows)
     candidates = F.filter(
         F.array(*[F.when(F.col(f"err_{t}") < TARGET_ERROR_MAX, F.lit(t)) for t in targets]),
         lambda x: x.isNotNull())

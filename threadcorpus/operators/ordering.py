@@ -130,13 +130,14 @@ def rank_by_histogram(df: DataFrame, keys: Sequence[str], order: Sequence, out:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """One row per ``keys``: the row smallest by ``order``, then by its other columns.
 
-    ``min_by`` is a partial aggregate, so copies are collapsed map-side before
-    the shuffle; a key repeated a million times sends one row per map task.
+    The least row is a partial aggregate, so copies are collapsed map-side before
+    the shuffle; a key repeated a million times sends one row per map task, and
+    each column of a row travels once.
     """
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*_cols(order), *_cols(rest))).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    order_cols = [c.alias(f"_order{i}") for i, c in enumerate(_cols(order))]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order_cols, *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)])).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row._{i}").alias(c) for i, c in enumerate(rest)])
 
 
 def sorted_for_output(df: DataFrame, keys: Sequence[str], order: Sequence,

@@ -10,7 +10,7 @@ hands such a text on, and the JVM cuts it into a row for each word.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 
 from threadcorpus.functions.text import words
 from threadcorpus.operators.grams import _runs
+from threadcorpus.operators.joins import BROADCAST_MAX_ROWS, checked_join
 from threadcorpus.session import ship
 
-# Words of a lexicon that a task holds: a word takes about 150 bytes there.
-HELD_WORDS = 1_000_000
+# Words of a lexicon that a task holds: a word takes two numbers and its flags there, 17 bytes.
+HELD_WORDS = 8_000_000
 # Different words counted before they become rows.
 RUN_WORDS = 1 << 18
 
@@ -58,10 +59,11 @@ def _powers(base: int, size: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _cut(texts: list[str], powers: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """The words of plain texts: bounds of each text's words, the number of each word, the different words by number.
+def _coded(texts: list[str], powers: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], Callable]:
+    """The words of plain texts: bounds of each text's words, the number of each word, and of the different words by
+    number their two 64-bit numbers, by which words are told apart, and a function that spells them.
 
-    Words are told apart by two 64-bit numbers. ``powers`` keeps what those need from one call to the next.
+    ``powers`` keeps what the numbers need from one call to the next.
     """
     points = np.frombuffer("\n".join([*texts, ""]).encode("utf-16-le"), np.uint16)
     letters = _LOWER[points]
@@ -70,7 +72,7 @@ def _cut(texts: list[str], powers: dict[int, np.ndarray]) -> tuple[np.ndarray, n
     start, end = change[::2], change[1::2]
     bounds = np.searchsorted(start, np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]))
     if not len(start):
-        return bounds, np.zeros(0, np.int64), []
+        return bounds, np.zeros(0, np.int64), [np.zeros(0, np.uint64)] * 2, lambda: []
     numbers = []
     for base in _BASES:
         if base not in powers or len(powers[base]) < len(points):
@@ -85,38 +87,86 @@ def _cut(texts: list[str], powers: dict[int, np.ndarray]) -> tuple[np.ndarray, n
         code = pd.factorize(pd.Series(list(zip(*(n.tolist() for n in numbers)))))[0]
         first = np.zeros(int(code.max()) + 1, np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-    small = letters.tobytes().decode("utf-16-le")
-    return bounds, code, [small[i:j] for i, j in zip(start[first].tolist(), end[first].tolist())]
 
+    def spell() -> list[str]:
+        small = letters.tobytes().decode("utf-16-le")
+        return [small[i:j] for i, j in zip(start[first].tolist(), end[first].tolist())]
+
+    return bounds, code, [n[first] for n in numbers], spell
+
+
+def _cut(texts: list[str], powers: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The words of plain texts: bounds of each text's words, the number of each word, the different words by number."""
+    bounds, code, _, spell = _coded(texts, powers)
+    return bounds, code, spell()
 
-def word_misses(texts: DataFrame, key: str, text_col: str, index: DataFrame, flags: Sequence[str]) -> DataFrame:
+
+def _held(index: DataFrame, flags: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of ``index`` that plain texts can hold: both numbers, sorted, and the flags of each."""
+    def run(batches):
+        powers: dict = {}
+        for batch in batches:
+            whole, _ = _plain(batch.column(0))
+            for lo, hi in _runs(whole):
+                bounds, code, numbers, spell = _coded(whole[lo:hi], powers)
+                different = spell()
+                # A text of one word which is that text: others are found in no plain text.
+                at = [i for i in np.flatnonzero(np.diff(bounds) == 1).tolist() if different[code[bounds[i]]] == whole[lo + i]]
+                found = [n[code[bounds[:-1][at]]].view(np.int64) for n in numbers]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, found), batch.column(1).take(pa.array(np.array(at, np.int64) + lo))],
+                                                 names=["a", "b", "f"])
+
+    found = index.select("word", F.col(flags).cast("int")).mapInArrow(run, "a long, b long, f int").toArrow()
+    one, two = (found.column(c).to_numpy().view(np.uint64) for c in ("a", "b"))
+    order = np.lexsort([two, one])
+    return one[order], two[order], found.column("f").to_numpy()[order].astype(np.int64)
+
+
+def _flags_of(numbers: Sequence[np.ndarray], held: tuple[np.ndarray, np.ndarray, np.ndarray], most: int) -> np.ndarray:
+    """The flags of each word by its numbers, 0 where ``held`` lacks it; ``most`` of its words share their first number."""
+    out = np.zeros(len(numbers[0]), np.int64)
+    if not len(held[0]):
+        return out
+    order = np.argsort(numbers[0])  # neighbours are sought in one part of the table
+    one, two = numbers[0][order], numbers[1][order]
+    place = np.searchsorted(held[0], one)
+    for _ in range(most):
+        at = np.minimum(place, len(held[0]) - 1)
+        hit = (held[0][at] == one) & (held[1][at] == two)
+        out[order[hit]] = held[2][at[hit]]
+        place += 1
+    return out
+
+
+def word_misses(texts: DataFrame, key: str, text_col: str, index: DataFrame, flags: Sequence[str], index_rows: int) -> DataFrame:
     """``key, n_words`` and for each of ``flags`` ``miss_<flag>``: words, and words without that flag in ``index``.
 
     Sums over all texts of a key; a key without words has no row. ``index``
-    has ``word``, each once, and 0/1 flags; it is broadcast, so its size must
-    have been checked.
+    has ``word``, each once, and 0/1 flags; the numbers of its words are
+    broadcast, so its size ``index_rows`` must have been checked.
     """
     spark = texts.sparkSession
     ship(spark)
     flags = list(flags)
     bits = [F.when(F.col(f) == 1, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(flags)]
     flagged = index.select("word", sum(bits, F.lit(0)).cast("int").alias("_flags"))
-    held = flagged.toArrow()
-    shared = spark.sparkContext.broadcast(dict(zip(held.column("word").to_pylist(), held.column("_flags").to_pylist())))
+    held = _held(flagged, "_flags")
+    most = int(np.unique(held[0], return_counts=True)[1].max(initial=0))
+    shared = spark.sparkContext.broadcast((held[0], held[1], held[2].astype(np.min_scalar_type(1 << len(flags)))))
     source = texts.select(key, F.col(text_col).alias("_text"))
     misses = [f"miss_{f}" for f in flags]
     names = [key, "n_words", *misses, "_text"]
 
     def run(batches):
-        flags_of, powers = shared.value.get, {}
+        table, powers = shared.value, {}
         for batch in batches:
             whole, other = _plain(batch.column(1))
             for lo, hi in _runs(whole):
-                bounds, code, different = _cut(whole[lo:hi], powers)
+                bounds, code, numbers, _ = _coded(whole[lo:hi], powers)
                 rows = np.flatnonzero(np.diff(bounds))
                 if not len(rows):
                     continue
-                known = np.array([flags_of(w) or 0 for w in different], np.int64)[code]
+                known = _flags_of(numbers, table, most)[code]
                 found = [bounds[rows + 1] - bounds[rows]]
                 for i in range(len(flags)):
                     total = np.concatenate([[0], np.cumsum(known >> i & 1 == 0)])[bounds]
@@ -134,7 +184,9 @@ def word_misses(texts: DataFrame, key: str, text_col: str, index: DataFrame, fla
     # One row with counts, or a row for each word of a text that was handed on.
     pieces = counted.select(key, "n_words", *misses, F.explode_outer(words("_text")).alias("_token")) \
         .where(F.col("n_words").isNotNull() | F.col("_token").isNotNull()).withColumn("word", F.lower("_token"))
-    joined = pieces.join(F.broadcast(flagged), "word", "left")
+    if index_rows > BROADCAST_MAX_ROWS:  # rows with counts have no word: they must not meet in one task
+        pieces = pieces.withColumn("word", F.coalesce("word", F.concat(F.lit(" "), F.xxhash64(key).cast("string"))))
+    joined = checked_join(pieces, flagged, "word", "left", small_rows=index_rows)
     missed = [F.coalesce(F.col(c), F.when(F.coalesce(F.col("_flags"), F.lit(0)).bitwiseAND(1 << i) == 0, 1).otherwise(0))
               for i, c in enumerate(misses)]
     return joined.groupBy(key).agg(F.sum(F.coalesce("n_words", F.lit(1))).alias("n_words"),
