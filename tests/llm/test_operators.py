@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from threadcorpus.llm import (chat, cnn, components, decontaminate, forest, packing, pii, queries, rules, secrets,
@@ -93,6 +94,48 @@ def test_merge_finds_the_repeated_intervals():
         assert {frozenset(v) for v in got.values() if len(v) > 1} == {frozenset(v) for v in want.values() if len(v) > 1}
 
 
+def test_windows_of_many_pieces_come_in_one_block_a_group():
+    rng = np.random.default_rng(6)
+    groups, texts_ = 8, ["".join(rng.choice(list("abcdef"), 700)) for _ in range(40)]
+    text, start = np.repeat(np.arange(40), 9), np.tile(np.arange(9) * 60, 40).astype(np.int32)
+    windows = rng.integers(1, 62, len(text)).astype(np.uint16)
+    asked = suffix._pack(np.zeros(len(text), np.uint64), text, start, windows, np.ones(len(text), bool))
+    out = suffix._fetch(groups)(pa.table({"doc": pa.array(range(40), pa.int64()), "text": texts_}),
+                                pa.table({"packed": pa.array([asked], pa.binary())}))
+    assert out.column("kind").to_pylist() == [1] * groups and out.column("part").to_pylist() == list(range(groups))
+    whole, doc, at = suffix._unpack(out.column("packed").to_pylist(), *suffix._WINDOWS)
+    got = sorted(zip(doc.tolist(), at.tolist(), whole.tolist()))
+    by_text = [suffix.window_hashes(np.frombuffer(t.encode(), np.uint8))[1] for t in texts_]
+    assert got == sorted((int(t), int(p), int(by_text[t][p])) for t, s, n in zip(text, start, windows)
+                         for p in range(s, s + n))
+
+
+@pytest.mark.parametrize("depth", [1, 2, 9, 16, 100])
+def test_merge_takes_more_symbols_each_round(depth, monkeypatch):
+    rng = np.random.default_rng(depth)
+    parts = [bytes(rng.choice([97, 254], n).astype(np.uint8)) for n in (130, 40, 7, 260)]
+    some = [b"", b"a", parts[0], parts[1] + parts[0], parts[0][:99], parts[3], parts[2] + parts[3], parts[0], b"a" * 150]
+    own = [np.arange(k, len(some), 2) for k in range(2)]
+    shards = [suffix.Shard([some[j] for j in o]) for o in own]
+    for shard, o in zip(shards, own):
+        rows = sorted((some[t][p:], i, p) for i, t in enumerate(o) for p in range(len(some[t]) + 1))
+        assert [(some[o[t]][p:], t, p) for t, p in zip(shard.text, shard.place)] == rows
+        assert [255 if p == 0 else some[o[t]][p - 1] for t, p in zip(shard.text, shard.place)] == shard.symbol.tolist()
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **b: sorts.append(1) or argsort(*a, **b))
+    order, interval = suffix.merge(shards, depth)
+    assert len(sorts) <= 5
+    text = np.concatenate([o[s.text] for o, s in zip(own, shards)])[order]
+    place = np.concatenate([s.place for s in shards])[order]
+    heads = [some[t][p:p + depth] for t, p in zip(text, place)]
+    assert heads == sorted(heads) and (np.diff(interval) >= 0).all()
+    got, want = defaultdict(set), defaultdict(set)
+    for t, p, h, v in zip(text.tolist(), place.tolist(), heads, interval.tolist()):
+        got[v].add((t, p))
+        want[h if len(h) == depth else (t, p)].add((t, p))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_suffix_dedup_of_odd_rows(spark, odd):
     rows = suffix.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

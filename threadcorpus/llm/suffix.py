@@ -16,12 +16,12 @@ exchanged by that hash, in four steps:
    is fetched from the documents.
 3. Pieces are indexed in shards: the suffixes of a shard are sorted once, which
    gives its Burrows-Wheeler transform. The shards' transforms are then merged
-   by refining their interleave: each round takes the merged transform's
-   symbols in the present order and deals the rows by them, stably, which
-   orders all suffixes by one more symbol; a boundary between two rows in round
-   k means that they share k - 1 symbols. After 100 rounds the rows without a
-   boundary between them are the repeated intervals. No suffixes are compared
-   in the merge.
+   by refining their interleave: the rows are dealt by eight symbols that the
+   transforms give, then each round by the intervals of the rows as many
+   symbols on, which orders all suffixes by twice the symbols; a boundary
+   between two rows means that they do not share those. After 100 symbols the
+   rows without a boundary between them are the repeated intervals. Only rows
+   of open intervals are dealt again, and no suffixes are compared in the merge.
 4. The windows found, except the earliest of each interval, are removed.
 
 A hash with very many different pieces (text around a very common passage) is
@@ -30,6 +30,8 @@ dealt again by a hash of each whole window, so that no task holds it all.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,12 +47,14 @@ INNER = 1 << 15
 # Bytes of text for each group of documents and of pieces.
 GROUP_BYTES = 16 << 20
 MIN_GROUPS = 64
+# Bytes of text named at once: their hashes stay in a core's cache.
+NAME_BYTES = 1 << 16
 # Pieces named in a task before they are sent.
 SEND_PIECES = 1 << 20
 # Different pieces under one hash from which it is dealt again by whole windows.
 MANY_PIECES = 2_000
 # Bytes merged at once, in so many shards.
-MERGE_BYTES, SHARDS = 1 << 18, 4
+MERGE_BYTES, SHARDS = 1 << 15, 4
 
 _BYTE = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -73,7 +77,8 @@ def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     h = _BYTE[data]
     by_size, size = {1: h}, 1
     while size < 64:
-        h = h[:-size] * _power(size) + h[size:]
+        h, rest = h[:-size] * _power(size), h[size:]
+        h += rest
         size *= 2
         by_size[size] = h
     n = len(data) - LENGTH + 1
@@ -129,6 +134,26 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return least[start], identity, text, (start - offsets[text]).astype(np.int32), flags.astype(np.uint16)
 
 
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of several runs."""
+    sizes = sizes.astype(np.int64)
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _whole_hashes(data: np.ndarray, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Whole hashes of ``windows`` windows from each ``first`` on, some pieces' text side by side at a time."""
+    size = windows + LENGTH - 1
+    filled = np.concatenate([[0], np.cumsum(size)])
+    out, lo = [np.zeros(0, np.uint64)], 0
+    while lo < len(first):
+        hi = max(lo + 1, int(np.searchsorted(filled, filled[lo] + NAME_BYTES, side="right")) - 1)
+        text = data[np.repeat(first[lo:hi], size[lo:hi]) + _within(size[lo:hi])]
+        at = np.repeat(filled[lo:hi] - filled[lo], windows[lo:hi]) + _within(windows[lo:hi])
+        out.append(window_hashes(text)[1][at])
+        lo = hi
+    return np.concatenate(out)
+
+
 def _pack(*columns: np.ndarray) -> bytes:
     return b"".join([np.int64(len(columns[0])).tobytes(), *(np.ascontiguousarray(c).tobytes() for c in columns)])
 
@@ -152,7 +177,8 @@ _WINDOWS = (np.uint64, np.int64, np.int32)  # whole hash, document, start
 
 def _dealt(key: np.ndarray, n: int, *columns: np.ndarray):
     """Rows split by a key from 0 to n - 1: (key, packed columns)."""
-    order = np.argsort(key, kind="stable")
+    # Numbers of 16 bits are sorted by their digits.
+    order = np.argsort(key.astype(np.uint16) if n <= 1 << 16 else key, kind="stable")
     bounds = np.searchsorted(key[order], np.arange(n + 1))
     columns = tuple(c[order] for c in columns)
     for k in np.flatnonzero(np.diff(bounds)):
@@ -166,7 +192,7 @@ def _group_of(doc: np.ndarray, n: int) -> np.ndarray:
 def _own_repeats(least: np.ndarray, identity: np.ndarray, doc: np.ndarray, start: np.ndarray,
                  windows: np.ndarray) -> tuple[np.ndarray, ...]:
     """Among pieces held together: flags of those that are not repeats, and the spans (document, start, end) of the others."""
-    order = np.argsort(identity, kind="stable")
+    order = np.argsort(identity)
     same = identity[order][1:] == identity[order][:-1]
     some = order[(np.append(same, False) | np.append(False, same))[:len(order)]]
     some = some[np.lexsort((start[some], doc[some], least[some], identity[some]))]
@@ -206,7 +232,7 @@ def _name_pieces(docs: DataFrame, groups: int) -> DataFrame:
 
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
-            for lo, _, data, offsets in text_chunks(batch.column("text")):
+            for lo, _, data, offsets in text_chunks(batch.column("text"), NAME_BYTES):
                 least, identity, text, start, windows = pieces(data, offsets)
                 held.append((least, identity, ids[lo + text], start, windows))
                 count += len(least)
@@ -225,7 +251,7 @@ def _earliest(groups: int):
         sent = list(zip(table.column("part").to_pylist(), table.column("kind").to_pylist(),
                         table.column("packed").to_pylist()))
         least, identity, doc, start, windows = _unpack([b for _, k, b in sent if k == 1], *_NAMED)
-        order = np.argsort(least, kind="stable")
+        order = np.argsort(least)
         same = least[order][1:] == least[order][:-1]
         again = order[np.append(same, False) | np.append(False, same) | (windows[order] >= INNER)] if len(order) else order
         again = again[np.lexsort((start[again], doc[again], identity[again], least[again]))]
@@ -277,17 +303,47 @@ def _fetch(groups: int):
             some = few[bounds[p]:bounds[p + 1]]
             text = b"".join(data[a:a + n].tobytes() for a, n in zip(first[some].tolist(), size[some].tolist()))
             rows.append((int(p), 0, _pack(least[some], doc[some], start[some], windows[some]) + text))
-        for i in np.flatnonzero(many & fits):
-            whole = window_hashes(data[first[i]:first[i] + size[i]])[1]
-            at = (start[i] + np.arange(windows[i])).astype(np.int32)
-            rows += [(p, 1, b) for p, b in _dealt((whole % np.uint64(groups)).astype(np.int64), groups, whole,
-                                                  np.full(len(whole), doc[i]), at)]
+        some = np.flatnonzero(many & fits)
+        whole = _whole_hashes(data, first[some], windows[some].astype(np.int64))
+        again = np.repeat(some, windows[some])
+        rows += [(p, 1, b) for p, b in _dealt((whole % np.uint64(groups)).astype(np.int64), groups, whole, doc[again],
+                                              start[again] + _within(windows[some]).astype(np.int32))]
         part, kind, packed = zip(*rows) if rows else ((), (), ())
         return pa.table({"part": pa.array(part, pa.int64()), "kind": pa.array(kind, pa.int32()),
                          "packed": pa.array(packed, pa.binary())})
     return run
 
 
+class _Order:
+    """Rows ordered by symbols, more of them each round, and their intervals: neighbours that share all symbols so far.
+
+    ``interval`` has for each row the place in ``rows`` of its interval's
+    first. Rows flagged ``alone`` share with no other.
+    """
+
+    def __init__(self, key: np.ndarray, alone: np.ndarray | None = None):
+        self.rows, self.lead, self.interval = np.arange(len(key)), np.arange(len(key)), np.arange(len(key))
+        self._deal(np.arange(len(key)), key, alone)
+
+    def _deal(self, places: np.ndarray, key: np.ndarray, alone: np.ndarray | None) -> None:
+        order = np.argsort(key)
+        rows, key = self.rows[places[order]], key[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = key[1:] != key[:-1]
+        if alone is not None:
+            new |= alone[rows]
+        lead = places[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
+        self.rows[places], self.lead[places], self.interval[rows] = rows, lead, lead
+
+    def refine(self, step: np.ndarray, alone: np.ndarray | None = None) -> bool:
+        """Order by the symbols from the rows ``step`` on too, which are ordered by as many; False if no rows share any."""
+        same = self.lead[1:] == self.lead[:-1]
+        places = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        rows = self.rows[places]
+        self._deal(places, self.interval[rows] * len(self.rows) + self.interval[step[rows]], alone)
+        return len(places) > 0
+
+
 class Shard:
     """Sorted suffixes of some texts, and the Burrows-Wheeler transform they give.
 
@@ -298,13 +354,23 @@ class Shard:
     """
 
     def __init__(self, texts: list[bytes]):
-        suffixes = [t[i:] for t in texts for i in range(len(t) + 1)]
         lengths = np.array([len(t) + 1 for t in texts])
+        end = np.cumsum(lengths) - 1
         owner = np.repeat(np.arange(len(texts)), lengths)
-        at = np.arange(len(suffixes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        rows = np.array(sorted(range(len(suffixes)), key=suffixes.__getitem__))
-        self.text, self.place = owner[rows], at[rows]
+        at = np.arange(lengths.sum()) - np.repeat(end + 1 - lengths, lengths)
         joined = np.frombuffer(b"\xff" + b"\xff".join(texts) + b"\xff", np.uint8)
+        # The symbols of each suffix, eight at first, then twice as many each round; its end comes before all bytes.
+        key = joined[1:] + np.uint64(1)
+        key[end] = 0
+        here, end, size = np.arange(len(at)), end[owner], 1
+        while size < 8:
+            key = (key << np.uint64(8 * size)) + key[np.minimum(here + size, end)]
+            size *= 2
+        order = _Order(key)
+        while size < lengths.max() and order.refine(np.minimum(here + size, end)):
+            size *= 2
+        rows = order.rows[np.lexsort((order.rows, order.lead))]
+        self.text, self.place = owner[rows], at[rows]
         self.symbol = joined[rows]
         rank = np.empty(len(rows), np.int64)
         rank[rows] = np.arange(len(rows))
@@ -321,21 +387,33 @@ def merge(shards: list[Shard], depth: int = LENGTH) -> tuple[np.ndarray, np.ndar
     sizes = np.array([len(s.symbol) for s in shards])
     shift = np.cumsum(sizes) - sizes
     symbol = np.concatenate([s.symbol for s in shards])
-    before = np.concatenate([s.before + o for s, o in zip(shards, shift)])
+    before = np.concatenate([np.where(s.before < 0, -1, s.before + o) for s, o in zip(shards, shift)])
     ends = np.concatenate([o + np.arange(s.n_texts) for s, o in zip(shards, shift)])
-    n, m = len(symbol), len(ends)
-    order, interval = np.arange(n), np.zeros(n, np.int32)
-    for _ in range(depth):
-        taken = symbol[order]
-        deal = np.argsort(taken, kind="stable")[:n - m]  # rows without a byte before them come last
-        taken, old = taken[deal], interval[deal]
-        boundary = np.ones(n - m, bool)
-        boundary[1:] = (taken[1:] != taken[:-1]) | (old[1:] != old[:-1])
-        order = np.concatenate([ends, before[order[deal]]])
-        interval = np.concatenate([np.arange(m, dtype=np.int32), m - 1 + np.cumsum(boundary, dtype=np.int32)])
-        if interval[-1] == n - 1:  # every row stands alone
+    n = len(symbol)
+    # The row without its first symbol; an end has none and stays.
+    after = np.arange(n)
+    after[before[before >= 0]] = np.flatnonzero(before >= 0)
+    first = symbol[after] + np.uint64(1)
+    first[ends] = 0
+    ended = np.zeros(n, bool)  # within the symbols taken so far
+    ended[ends] = True
+    key, known, steps = first, 1, [after]  # rows after 1, 2, 4, ... symbols
+    while known * 2 <= min(depth, 8):
+        key = (key << np.uint64(8 * known)) + key[steps[-1]]
+        ended |= ended[steps[-1]]
+        steps.append(steps[-1][steps[-1]])
+        known *= 2
+    order = _Order(key, ended)
+    while known < depth:
+        more = min(known, depth - known)
+        step = functools.reduce(lambda a, b: b[a], [s for j, s in enumerate(steps) if more >> j & 1])
+        ended |= ended[step]
+        if not order.refine(step, ended):
             break
-    return order, interval
+        known += more
+        if known < depth:
+            steps.append(steps[-1][steps[-1]])
+    return order.rows, order.lead
 
 
 def repeats(texts: list[bytes], doc: np.ndarray, start: np.ndarray, shards: int = SHARDS
